@@ -32,3 +32,80 @@ def q_word_count(spark, sf_dir):
 @query("word_count_sorted")
 def q_word_count_sorted(spark, sf_dir):
     return words.word_count_sorted(_documents_as_lines(spark, sf_dir), "text")
+
+
+# ---------------------------------------------------------------- retail worksheet
+import datetime as _dt  # noqa: E402
+
+from cinder.operators import retail  # noqa: E402
+from cinder.sources.external import read_external  # noqa: E402
+
+RETAIL_PARAMS = {
+    "segment": "BUILDING",
+    "name_prefix": "Customer#00000001",
+    "status": "F",
+    "day": _dt.date(2000, 8, 3),
+    "month_start": _dt.date(1997, 5, 1),
+    "month_end": _dt.date(1997, 6, 1),
+}
+
+
+@query("filter_like_prefix")
+def q_filter_like_prefix(spark, sf_dir):
+    p = RETAIL_PARAMS
+    return retail.filter_like_prefix(read_table(spark, sf_dir, "customer"), p["segment"], p["name_prefix"])
+
+
+@query("lowest_price")
+def q_lowest_price(spark, sf_dir):
+    return retail.lowest_price(read_table(spark, sf_dir, "part"), 10)
+
+
+@query("count_distinct_concat")
+def q_count_distinct_concat(spark, sf_dir):
+    return retail.count_distinct_concat(read_table(spark, sf_dir, "customer"))
+
+
+@query("distinct_addresses")
+def q_distinct_addresses(spark, sf_dir):
+    return retail.distinct_addresses(read_table(spark, sf_dir, "customer"), 10)
+
+
+@query("customers_per_group")
+def q_customers_per_group(spark, sf_dir):
+    return retail.customers_per_group(read_table(spark, sf_dir, "customer"), read_table(spark, sf_dir, "nation"))
+
+
+@query("top_products")
+def q_top_products(spark, sf_dir):
+    return retail.top_products(read_table(spark, sf_dir, "lineitem"), read_table(spark, sf_dir, "part"), 3)
+
+
+@query("orders_on_day")
+def q_orders_on_day(spark, sf_dir):
+    p = RETAIL_PARAMS
+    return retail.orders_on_day(read_table(spark, sf_dir, "orders"), p["status"], p["day"])
+
+
+@query("revenue_on_day")
+def q_revenue_on_day(spark, sf_dir):
+    p = RETAIL_PARAMS
+    return retail.revenue_on_day(read_table(spark, sf_dir, "lineitem"), read_table(spark, sf_dir, "orders"),
+                                 p["status"], p["month_start"], p["month_end"])
+
+
+@query("revenue_formatted")
+def q_revenue_formatted(spark, sf_dir):
+    p = RETAIL_PARAMS
+    return retail.revenue_formatted(read_table(spark, sf_dir, "lineitem"), read_table(spark, sf_dir, "orders"),
+                                    p["status"], p["month_start"], p["month_end"])
+
+
+@query("count_rows")
+def q_count_rows(spark, sf_dir):
+    return retail.count_rows(read_table(spark, sf_dir, "events"))
+
+
+@query("external_table_scan")
+def q_external_table_scan(spark, sf_dir):
+    return read_external(spark, f"{sf_dir.rstrip('/')}/orders.parquet", "parquet")

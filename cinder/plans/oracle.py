@@ -16,3 +16,52 @@ GROUP BY word
 """
 
 ORACLE["word_count_sorted"] = ORACLE["word_count"] + " ORDER BY word"
+
+ORACLE["filter_like_prefix"] = """
+SELECT c_custkey, c_name, c_mktsegment FROM customer
+WHERE c_mktsegment = 'BUILDING' AND c_name LIKE 'Customer#00000001%'
+"""
+
+ORACLE["lowest_price"] = """
+SELECT p_partkey, p_name, p_retailprice FROM part
+WHERE p_retailprice = (SELECT min(p_retailprice) FROM part)
+ORDER BY p_retailprice, p_partkey LIMIT 10
+"""
+
+ORACLE["count_distinct_concat"] = """
+SELECT count(DISTINCT c_mktsegment || CAST(c_nationkey AS VARCHAR))::BIGINT AS n_distinct FROM customer
+"""
+
+ORACLE["distinct_addresses"] = """
+SELECT DISTINCT c_mktsegment || CAST(c_nationkey AS VARCHAR) AS address FROM customer
+ORDER BY address LIMIT 10
+"""
+
+ORACLE["customers_per_group"] = """
+SELECT n_name, count(c_custkey)::BIGINT AS customer_count
+FROM customer JOIN nation ON c_nationkey = n_nationkey
+GROUP BY n_name ORDER BY customer_count DESC, n_name
+"""
+
+ORACLE["top_products"] = """
+SELECT l_partkey AS pid, p_name, sum(CAST(l_quantity AS DECIMAL(18,2)))::DECIMAL(18,2) AS ttl_qty
+FROM lineitem, part WHERE lineitem.l_partkey = part.p_partkey
+GROUP BY l_partkey, p_name ORDER BY ttl_qty DESC, pid LIMIT 3
+"""
+
+ORACLE["orders_on_day"] = """
+SELECT count(o_orderkey)::BIGINT AS n_orders FROM orders
+WHERE o_orderstatus = 'F' AND year(o_orderdate) = 2000 AND month(o_orderdate) = 8 AND day(o_orderdate) = 3
+"""
+
+_REVENUE = """
+SELECT sum(CAST(l_extendedprice AS DECIMAL(18,2)))::DECIMAL(18,2) AS total FROM lineitem
+WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F'
+                     AND year(o_orderdate) = 1997 AND month(o_orderdate) = 5)
+"""
+ORACLE["revenue_on_day"] = _REVENUE
+ORACLE["revenue_formatted"] = f"SELECT printf('$%.2f', CAST(total AS DOUBLE)) AS total FROM ({_REVENUE})"
+
+ORACLE["count_rows"] = "SELECT count(*)::BIGINT AS n_rows FROM events"
+
+ORACLE["external_table_scan"] = "SELECT * FROM orders"
