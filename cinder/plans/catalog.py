@@ -109,3 +109,57 @@ def q_count_rows(spark, sf_dir):
 @query("external_table_scan")
 def q_external_table_scan(spark, sf_dir):
     return read_external(spark, f"{sf_dir.rstrip('/')}/orders.parquet", "parquet")
+
+
+# ---------------------------------------------------------------- listing screener (D1)
+from cinder.operators import screen as scr  # noqa: E402
+from cinder.plans import fixtures as fx  # noqa: E402
+
+
+def _listing(spark, sf_dir):
+    return scr.parse_listing(fx.listing_lines(spark, sf_dir))
+
+
+@query("listing_parse")
+def q_listing_parse(spark, sf_dir):
+    return scr.listing_records(_listing(spark, sf_dir)).select("symbol", "name", "market_cap", "sector")
+
+
+@query("listing_rejects")
+def q_listing_rejects(spark, sf_dir):
+    return scr.listing_rejects(_listing(spark, sf_dir))
+
+
+@query("cap_normalize")
+def q_cap_normalize(spark, sf_dir):
+    return scr.cap_normalize(scr.listing_records(_listing(spark, sf_dir)))
+
+
+@query("screen_million")
+def q_screen_million(spark, sf_dir):
+    return scr.screen(scr.listing_records(_listing(spark, sf_dir)), billion=False)
+
+
+@query("screen_billion")
+def q_screen_billion(spark, sf_dir):
+    return scr.screen(scr.listing_records(_listing(spark, sf_dir)), billion=True)
+
+
+@query("screen_known_sectors")
+def q_screen_known_sectors(spark, sf_dir):
+    return scr.screen(scr.listing_records(_listing(spark, sf_dir)), billion=False, known_sectors_only=True)
+
+
+@query("screen_symbols")
+def q_screen_symbols(spark, sf_dir):
+    return scr.screen_symbols(scr.listing_records(_listing(spark, sf_dir)), billion=False, chunk_size=100)
+
+
+@query("screen_formatted")
+def q_screen_formatted(spark, sf_dir):
+    return scr.screen_formatted(scr.listing_records(_listing(spark, sf_dir)), billion=False)
+
+
+@query("screen_counters")
+def q_screen_counters(spark, sf_dir):
+    return scr.screen_counters(_listing(spark, sf_dir), billion=False)

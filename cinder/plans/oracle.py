@@ -65,3 +65,56 @@ ORACLE["revenue_formatted"] = f"SELECT printf('$%.2f', CAST(total AS DOUBLE)) AS
 ORACLE["count_rows"] = "SELECT count(*)::BIGINT AS n_rows FROM events"
 
 ORACLE["external_table_scan"] = "SELECT * FROM orders"
+
+# ---------------------------------------------------------------- D1 listing, from customer columns
+_D1 = """
+WITH d AS (
+  SELECT c_custkey AS k, c_name AS symbol, c_name || ', Inc.' AS name,
+         CASE WHEN c_custkey % 17 = 0 THEN 'n/a' ELSE c_mktsegment END AS sector,
+         CAST(abs(c_acctbal) AS DECIMAL(12,2)) AS x
+  FROM customer),
+r AS (
+  SELECT *, k % 101 = 50 AS short_row,
+         CASE WHEN k % 13 = 0 THEN 'n/a' WHEN k % 5 = 0 THEN '$' || CAST(x AS VARCHAR) || 'B'
+              WHEN k % 7 = 0 THEN '$' || CAST(x AS VARCHAR) ELSE '$' || CAST(x AS VARCHAR) || 'M' END AS market_cap,
+         CASE WHEN k % 13 = 0 THEN NULL WHEN k % 5 = 0 THEN 'B' WHEN k % 7 = 0 THEN '' ELSE 'M' END AS cap_unit,
+         CAST(CASE WHEN k % 13 = 0 THEN 0 WHEN k % 5 = 0 THEN x * 1000000000 WHEN k % 7 = 0 THEN x
+              ELSE x * 1000000 END AS DECIMAL(26,2)) AS cap_usd,
+         k % 13 <> 0 AND k % 5 = 0 AS is_b
+  FROM d),
+v AS (SELECT * FROM r WHERE NOT short_row)
+"""
+
+ORACLE["listing_parse"] = _D1 + "SELECT symbol, name, market_cap, sector FROM v"
+
+ORACLE["listing_rejects"] = _D1 + """
+SELECT '"' || symbol || '","' || name || '","1.00"' AS line, 3 AS n_tokens FROM r WHERE short_row"""
+
+ORACLE["cap_normalize"] = _D1 + "SELECT symbol, market_cap, cap_unit, cap_usd FROM v"
+
+_SCREEN = _D1 + """
+SELECT sector, count(*)::BIGINT AS company_count, sum(cap_usd)::DECIMAL(38,2) AS total_cap
+FROM v WHERE {cond} GROUP BY sector"""
+
+ORACLE["screen_million"] = _SCREEN.format(cond="NOT is_b")
+ORACLE["screen_billion"] = _SCREEN.format(cond="is_b")
+ORACLE["screen_known_sectors"] = _SCREEN.format(cond="NOT is_b AND lower(sector) <> 'n/a'")
+
+ORACLE["screen_symbols"] = _D1 + """
+SELECT sector, part, string_agg(symbol, ', ' ORDER BY symbol) AS symbols, count(*)::BIGINT AS n_symbols
+FROM (SELECT sector, symbol,
+             CAST((row_number() OVER (PARTITION BY sector ORDER BY symbol) - 1) // 100 AS INTEGER) AS part
+      FROM v WHERE NOT is_b)
+GROUP BY sector, part"""
+
+ORACLE["screen_formatted"] = _D1 + """
+SELECT 'Sector: ' || sector AS sector_label, count(*)::BIGINT AS company_count,
+       '$' || format('{:,.2f}', sum(cap_usd)::DECIMAL(38,2)) AS total_market_cap
+FROM v WHERE NOT is_b GROUP BY sector"""
+
+ORACLE["screen_counters"] = _D1 + """
+SELECT CASE WHEN short_row THEN NULL ELSE sector END AS sector, false AS is_total,
+       count(*)::BIGINT AS attempted, count(*) FILTER (WHERE NOT short_row AND NOT is_b)::BIGINT AS processed
+FROM r GROUP BY 1
+UNION ALL
+SELECT NULL, true, count(*)::BIGINT, count(*) FILTER (WHERE NOT short_row AND NOT is_b)::BIGINT FROM r"""
