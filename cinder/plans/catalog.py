@@ -163,3 +163,61 @@ def q_screen_formatted(spark, sf_dir):
 @query("screen_counters")
 def q_screen_counters(spark, sf_dir):
     return scr.screen_counters(_listing(spark, sf_dir), billion=False)
+
+
+# ---------------------------------------------------------------- financials (D2) and exchange list (D3)
+from cinder.operators import financials as fin_ops  # noqa: E402
+from cinder.operators import listing as lst  # noqa: E402
+
+
+def _fin(spark, sf_dir):
+    return fin_ops.parse_financials(fx.financials_lines(spark, sf_dir))
+
+
+def _exch(spark, sf_dir):
+    return lst.parse_exchange(fx.exchange_lines(spark, sf_dir))
+
+
+@query("financials_parse")
+def q_financials_parse(spark, sf_dir):
+    return _fin(spark, sf_dir).select("symbol", "dividend", "pe")
+
+
+@query("financials_clean")
+def q_financials_clean(spark, sf_dir):
+    return fin_ops.clean(_fin(spark, sf_dir))
+
+
+@query("financials_counts")
+def q_financials_counts(spark, sf_dir):
+    return fin_ops.counts(_fin(spark, sf_dir))
+
+
+@query("tuple_render")
+def q_tuple_render(spark, sf_dir):
+    return fin_ops.render_tuples(fin_ops.clean_text(_fin(spark, sf_dir)), ["symbol", "dividend", "pe"])
+
+
+@query("join_both_lists")
+def q_join_both_lists(spark, sf_dir):
+    return lst.join_both_lists(_fin(spark, sf_dir), _exch(spark, sf_dir))
+
+
+@query("join_both_details")
+def q_join_both_details(spark, sf_dir):
+    return lst.join_both_details(_fin(spark, sf_dir), _exch(spark, sf_dir))
+
+
+@query("top10_dividend")
+def q_top10_dividend(spark, sf_dir):
+    return lst.top_dividend(lst.join_both(_fin(spark, sf_dir), _exch(spark, sf_dir).select("symbol")), 10)
+
+
+@query("top10_growth")
+def q_top10_growth(spark, sf_dir):
+    return lst.top_growth(lst.join_both(_fin(spark, sf_dir), _exch(spark, sf_dir).select("symbol")), 10)
+
+
+@query("listing_report")
+def q_listing_report(spark, sf_dir):
+    return lst.report(_fin(spark, sf_dir), _exch(spark, sf_dir), 10)

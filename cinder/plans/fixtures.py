@@ -45,3 +45,27 @@ def listing_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                      _q(F.lit("ind")), _q(F.lit("url"))), F.lit(","))
     lines = c.select(F.when(k % 101 == 50, head).otherwise(full).alias("value"))
     return _with_header(spark, LISTING_HEADER, lines)
+
+
+def financials_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D2: one 15-field financials line per part (dividend, P/E, 52-week low/high)."""
+    p = read_table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    price = F.col("p_retailprice").cast("decimal(12,2)").cast("string")
+    div = (F.when(k % 7 == 0, F.lit("")).when(k % 11 == 0, F.lit("bad"))
+           .otherwise((F.col("p_size") * F.lit(0.1)).cast("decimal(10,2)").cast("string")))
+    pe = F.when(k % 5 == 0, F.lit("")).when(k % 23 == 0, F.lit("n/a")).otherwise(price)
+    low = F.when(k % 19 == 0, F.lit("0")).when(k % 29 == 0, F.lit("")).otherwise(price)
+    high = (F.col("p_retailprice").cast("decimal(12,2)") + (k % 97)).cast("decimal(12,2)").cast("string")
+    line = F.concat_ws(",", F.concat(F.lit("P"), k.cast("string")), F.col("p_name"), F.col("p_brand"),
+                       F.lit("1.0"), div, pe, F.lit(""), F.lit(""), low, high,
+                       F.lit(""), F.lit(""), F.lit(""), F.lit(""), F.lit(""))
+    return _with_header(spark, FINANCIALS_HEADER, p.select(line.alias("value")))
+
+
+def exchange_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D3: quoted 3-field exchange list for parts with key % 3 <> 0."""
+    p = read_table(spark, sf_dir, "part").where(F.col("p_partkey") % 3 != 0)
+    line = F.concat_ws(",", _q(F.concat(F.lit("P"), F.col("p_partkey").cast("string"))),
+                       _q(F.concat(F.col("p_name"), F.lit(", Inc."))), _q(F.lit("1.00")))
+    return _with_header(spark, EXCHANGE_HEADER, p.select(line.alias("value")))

@@ -118,3 +118,79 @@ SELECT CASE WHEN short_row THEN NULL ELSE sector END AS sector, false AS is_tota
 FROM r GROUP BY 1
 UNION ALL
 SELECT NULL, true, count(*)::BIGINT, count(*) FILTER (WHERE NOT short_row AND NOT is_b)::BIGINT FROM r"""
+
+# ---------------------------------------------------------------- D2 financials / D3 exchange, from part columns
+_D2 = """
+WITH p AS (
+  SELECT p_partkey AS k, 'P' || CAST(p_partkey AS VARCHAR) AS symbol, p_name, p_brand, p_size,
+         CAST(p_retailprice AS DECIMAL(12,2)) AS price
+  FROM part),
+f AS (
+  SELECT k, symbol, p_name AS name, p_brand AS sector, '1.0' AS price,
+         CASE WHEN k % 7 = 0 THEN NULL WHEN k % 11 = 0 THEN 'bad'
+              ELSE CAST(CAST(p_size * 0.1 AS DECIMAL(10,2)) AS VARCHAR) END AS dividend,
+         CASE WHEN k % 5 = 0 THEN NULL WHEN k % 23 = 0 THEN 'n/a' ELSE CAST(price AS VARCHAR) END AS pe,
+         NULL::VARCHAR AS eps, NULL::VARCHAR AS book_value,
+         CASE WHEN k % 19 = 0 THEN '0' WHEN k % 29 = 0 THEN NULL ELSE CAST(price AS VARCHAR) END AS low_52w,
+         CAST(CAST(price + k % 97 AS DECIMAL(12,2)) AS VARCHAR) AS high_52w,
+         NULL::VARCHAR AS market_cap, NULL::VARCHAR AS ebitda, NULL::VARCHAR AS price_sales,
+         NULL::VARCHAR AS price_book, NULL::VARCHAR AS sec_filings
+  FROM p),
+fd AS (
+  SELECT *, coalesce(dividend, '0.0') AS div_text, coalesce(pe, '-Infinity') AS pe_text,
+         TRY_CAST(coalesce(dividend, '0.0') AS FLOAT) IS NOT NULL
+           AND TRY_CAST(coalesce(pe, '-Infinity') AS FLOAT) IS NOT NULL AS ok
+  FROM f),
+e AS (
+  SELECT 'P' || CAST(p_partkey AS VARCHAR) AS symbol, p_name || ', Inc.' AS name, '1.00' AS last_sale
+  FROM part WHERE p_partkey % 3 <> 0),
+j AS (
+  SELECT f.*, e.name AS ex_name, e.last_sale AS ex_last_sale,
+         coalesce(TRY_CAST(f.dividend AS FLOAT), 0::FLOAT) AS div_f,
+         TRY_CAST(f.low_52w AS FLOAT) AS lo, TRY_CAST(f.high_52w AS FLOAT) AS hi
+  FROM f JOIN e ON f.symbol = e.symbol),
+g AS (
+  SELECT *, CASE WHEN lo IS NULL OR hi IS NULL THEN 0::FLOAT WHEN lo = 0 THEN 0::FLOAT
+                 ELSE CAST((hi - lo) / lo AS FLOAT) END AS growth
+  FROM j),
+td AS (
+  SELECT symbol, div_f AS dividend, '$' || format('{:,.2f}', CAST(div_f AS DECIMAL(20,2))) AS dividend_text
+  FROM g ORDER BY div_f DESC, symbol LIMIT 10),
+tg AS (
+  SELECT symbol, growth, format('{:,.0f}', CAST(growth AS DOUBLE) * 100) || '%' AS growth_text
+  FROM g ORDER BY growth DESC, symbol LIMIT 10)
+"""
+
+ORACLE["financials_parse"] = _D2 + "SELECT symbol, dividend, pe FROM f"
+
+ORACLE["financials_clean"] = _D2 + """
+SELECT symbol, CAST(div_text AS FLOAT) AS dividend, CAST(pe_text AS FLOAT) AS pe FROM fd WHERE ok ORDER BY symbol"""
+
+ORACLE["financials_counts"] = _D2 + """
+SELECT count(*) FILTER (WHERE ok)::BIGINT AS valid, count(*) FILTER (WHERE NOT ok)::BIGINT AS invalid,
+       count(*) FILTER (WHERE dividend IS NULL)::BIGINT AS no_dividend,
+       count(*) FILTER (WHERE pe IS NULL)::BIGINT AS no_pe
+FROM fd"""
+
+ORACLE["tuple_render"] = _D2 + "SELECT '(' || symbol || ',' || div_text || ',' || pe_text || ')' AS value FROM fd WHERE ok"
+
+ORACLE["join_both_lists"] = _D2 + "SELECT symbol FROM j"
+
+ORACLE["join_both_details"] = _D2 + """
+SELECT symbol, name AS fin_name, sector AS fin_sector, price AS fin_price, dividend AS fin_dividend,
+       pe AS fin_pe, eps AS fin_eps, book_value AS fin_book_value, low_52w AS fin_low_52w,
+       high_52w AS fin_high_52w, market_cap AS fin_market_cap, ebitda AS fin_ebitda,
+       price_sales AS fin_price_sales, price_book AS fin_price_book, sec_filings AS fin_sec_filings,
+       ex_name, ex_last_sale
+FROM j"""
+
+ORACLE["top10_dividend"] = _D2 + "SELECT * FROM td"
+
+ORACLE["top10_growth"] = _D2 + "SELECT * FROM tg"
+
+ORACLE["listing_report"] = _D2 + """
+SELECT 'common' AS section, row_number() OVER (ORDER BY symbol)::BIGINT AS rank, symbol, NULL::VARCHAR AS value
+FROM j
+UNION ALL SELECT 'common_total', NULL, NULL, CAST(count(*) AS VARCHAR) FROM j
+UNION ALL SELECT 'top_dividend', row_number() OVER (ORDER BY dividend DESC, symbol), symbol, dividend_text FROM td
+UNION ALL SELECT 'top_growth', row_number() OVER (ORDER BY growth DESC, symbol), symbol, growth_text FROM tg"""
