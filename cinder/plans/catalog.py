@@ -221,3 +221,51 @@ def q_top10_growth(spark, sf_dir):
 @query("listing_report")
 def q_listing_report(spark, sf_dir):
     return lst.report(_fin(spark, sf_dir), _exch(spark, sf_dir), 10)
+
+
+# ---------------------------------------------------------------- access log (D4), ratings (D5), loyalty (D6)
+from cinder.operators import nested  # noqa: E402
+from cinder.sources.delimited import parse_delimited  # noqa: E402
+from cinder.sources.regex_log import parse_access_log  # noqa: E402
+from pyspark.sql import types as _T  # noqa: E402
+
+# The ratings table's columns and types.
+RATINGS_SCHEMA = _T.StructType([
+    _T.StructField("posted", _T.TimestampNTZType()),
+    _T.StructField("cust_id", _T.IntegerType()),
+    _T.StructField("prod_id", _T.IntegerType()),
+    _T.StructField("rating", _T.ByteType()),
+    _T.StructField("message", _T.StringType()),
+])
+
+
+@query("log_parse")
+def q_log_parse(spark, sf_dir):
+    return parse_access_log(fx.access_log_lines(spark, sf_dir))
+
+
+@query("ratings_typed")
+def q_ratings_typed(spark, sf_dir):
+    return parse_delimited(fx.ratings_lines(spark, sf_dir), RATINGS_SCHEMA, sep="\t",
+                           options={"quote": ""}).drop("_malformed")
+
+
+@query("map_lookup")
+def q_map_lookup(spark, sf_dir):
+    return nested.map_lookup(fx.loyalty_rows(spark, sf_dir, order_ids_kept=3), "HOME")
+
+
+@query("array_element")
+def q_array_element(spark, sf_dir):
+    return nested.array_element(fx.loyalty_rows(spark, sf_dir, order_ids_kept=3), 2)
+
+
+@query("struct_field")
+def q_struct_field(spark, sf_dir):
+    return nested.struct_lookup(fx.loyalty_rows(spark, sf_dir, order_ids_kept=3), "total")
+
+
+@query("column_rename")
+def q_column_rename(spark, sf_dir):
+    renamed = nested.rename_column(fx.loyalty_rows(spark, sf_dir, order_ids_kept=3), "level", "status")
+    return renamed.select("cust_id", "status")

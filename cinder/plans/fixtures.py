@@ -69,3 +69,67 @@ def exchange_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = F.concat_ws(",", _q(F.concat(F.lit("P"), F.col("p_partkey").cast("string"))),
                        _q(F.concat(F.col("p_name"), F.lit(", Inc."))), _q(F.lit("1.00")))
     return _with_header(spark, EXCHANGE_HEADER, p.select(line.alias("value")))
+
+
+def access_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D4: one access-log line per event; bytes '-' when event_id % 10 = 0, a
+    trailing referrer when event_id % 15 = 1 (both do not match the pattern)."""
+    e = read_table(spark, sf_dir, "events")
+    i = F.col("event_id")
+    size = F.when(i % 10 == 0, F.lit("-")).otherwise((i % 5000).cast("string"))
+    line = F.concat(
+        F.lit("10.0."), (F.col("user_id") % 256).cast("string"), F.lit(".1 - - ["),
+        F.date_format("ts", "yyyy-MM-dd"), F.lit('] "GET /'), F.col("event_type"), F.lit(' HTTP/1.0" 200 '),
+        size, F.when(i % 15 == 1, F.lit(' "ref"')).otherwise(F.lit("")),
+    )
+    return e.select(line.alias("value"))
+
+
+def ratings_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D5: tab-separated ratings (posted, cust_id, prod_id, rating, message);
+    rating 300 (out of TINYINT range) when event_id % 50 = 0."""
+    e = read_table(spark, sf_dir, "events")
+    i = F.col("event_id")
+    rating = F.when(i % 50 == 0, F.lit(300)).otherwise(i % 6).cast("string")
+    line = F.concat_ws("\t", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.col("user_id").cast("string"),
+                       (i % 500).cast("string"), rating, F.col("event_type"))
+    return e.select(line.alias("value"))
+
+
+def loyalty_rows(spark: SparkSession, sf_dir: str, order_ids_kept: int | None = None) -> DataFrame:
+    """D6: one nested row per customer with orders:
+    cust_id, email, fname, lname, order_ids ARRAY (ascending), order_value
+    STRUCT<min,max,avg,total> of the order prices, phone MAP, level.
+
+    ``order_ids_kept=k`` keeps the k smallest order ids, computed exactly with a
+    per-key top-k (bounded per key); ``None`` keeps all of them, which makes one
+    array as long as the customer's order history.
+    """
+    from cinder.operators.topk import smallest_k_array
+
+    o = read_table(spark, sf_dir, "orders")
+    k = F.col("o_custkey")
+    price = F.col("o_totalprice").cast("decimal(18,2)")
+    agg = o.groupBy("o_custkey").agg(
+        F.struct(
+            F.min(price).alias("min"), F.max(price).alias("max"),
+            F.avg(price).cast("decimal(18,2)").alias("avg"), F.sum(price).cast("decimal(38,2)").alias("total"),
+        ).alias("order_value"),
+        F.count(F.lit(1)).alias("_n"),
+    )
+    if order_ids_kept is None:
+        ids = o.groupBy("o_custkey").agg(F.array_sort(F.collect_list("o_orderkey")).alias("order_ids"))
+    else:
+        ids = smallest_k_array(o, "o_custkey", "o_orderkey", order_ids_kept, "order_ids")
+    phone_no = F.concat(F.lit("555-"), F.lpad((k % 10000).cast("string"), 4, "0"))
+    return agg.join(ids, "o_custkey").select(
+        k.cast("int").alias("cust_id"),
+        F.concat(F.lit("cust"), k.cast("string"), F.lit("@example.com")).alias("email"),
+        F.concat(F.lit("F"), k.cast("string")).alias("fname"),
+        F.concat(F.lit("L"), k.cast("string")).alias("lname"),
+        "order_ids",
+        "order_value",
+        F.when(k % 4 == 0, F.create_map(F.lit("WORK"), phone_no))
+        .otherwise(F.create_map(F.lit("HOME"), phone_no)).alias("phone"),
+        F.when(F.col("_n") >= 12, F.lit("GOLD")).otherwise(F.lit("SILVER")).alias("level"),
+    )

@@ -194,3 +194,41 @@ FROM j
 UNION ALL SELECT 'common_total', NULL, NULL, CAST(count(*) AS VARCHAR) FROM j
 UNION ALL SELECT 'top_dividend', row_number() OVER (ORDER BY dividend DESC, symbol), symbol, dividend_text FROM td
 UNION ALL SELECT 'top_growth', row_number() OVER (ORDER BY growth DESC, symbol), symbol, growth_text FROM tg"""
+
+# ---------------------------------------------------------------- D4 access log, D5 ratings (events); D6 loyalty (orders)
+ORACLE["log_parse"] = """
+WITH x AS (SELECT *, event_id % 10 = 0 OR event_id % 15 = 1 AS bad FROM events)
+SELECT CASE WHEN bad THEN NULL ELSE '10.0.' || CAST(user_id % 256 AS VARCHAR) || '.1' END AS ip,
+       CASE WHEN bad THEN NULL ELSE strftime(ts, '%Y-%m-%d') END AS time_local,
+       CASE WHEN bad THEN NULL ELSE 'GET' END AS method,
+       CASE WHEN bad THEN NULL ELSE '/' || event_type END AS uri,
+       CASE WHEN bad THEN NULL ELSE 'HTTP/1.0' END AS protocol,
+       CASE WHEN bad THEN NULL ELSE '200' END AS status,
+       CASE WHEN bad THEN NULL ELSE CAST(event_id % 5000 AS VARCHAR) END AS bytes_sent
+FROM x"""
+
+ORACLE["ratings_typed"] = """
+SELECT date_trunc('second', ts) AS posted, CAST(user_id AS INTEGER) AS cust_id,
+       CAST(event_id % 500 AS INTEGER) AS prod_id,
+       CAST(CASE WHEN event_id % 50 = 0 THEN NULL ELSE event_id % 6 END AS TINYINT) AS rating,
+       event_type AS message
+FROM events"""
+
+_D6 = """
+WITH c AS (
+  SELECT o_custkey AS k, count(*) AS n, sum(CAST(o_totalprice AS DECIMAL(18,2)))::DECIMAL(38,2) AS total,
+         list_sort(list(o_orderkey)) AS ids
+  FROM orders GROUP BY o_custkey)
+"""
+
+ORACLE["map_lookup"] = _D6 + """
+SELECT CAST(k AS INTEGER) AS cust_id,
+       CASE WHEN k % 4 = 0 THEN NULL ELSE '555-' || lpad(CAST(k % 10000 AS VARCHAR), 4, '0') END AS home_phone
+FROM c"""
+
+ORACLE["array_element"] = _D6 + "SELECT CAST(k AS INTEGER) AS cust_id, ids[3] AS third_order_id FROM c"
+
+ORACLE["struct_field"] = _D6 + "SELECT CAST(k AS INTEGER) AS cust_id, total AS order_total FROM c"
+
+ORACLE["column_rename"] = _D6 + """
+SELECT CAST(k AS INTEGER) AS cust_id, CASE WHEN n >= 12 THEN 'GOLD' ELSE 'SILVER' END AS status FROM c"""
