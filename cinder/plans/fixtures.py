@@ -122,7 +122,9 @@ def loyalty_rows(spark: SparkSession, sf_dir: str, order_ids_kept: int | None =
     else:
         ids = smallest_k_array(o, "o_custkey", "o_orderkey", order_ids_kept, "order_ids")
     phone_no = F.concat(F.lit("555-"), F.lpad((k % 10000).cast("string"), 4, "0"))
-    return agg.join(ids, "o_custkey").select(
+    # left join: every customer in agg has ids; when order_ids is not selected,
+    # Catalyst drops this join (right side unique on the key, no column used)
+    return agg.join(ids, "o_custkey", "left").select(
         k.cast("int").alias("cust_id"),
         F.concat(F.lit("cust"), k.cast("string"), F.lit("@example.com")).alias("email"),
         F.concat(F.lit("F"), k.cast("string")).alias("fname"),
