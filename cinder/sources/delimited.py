@@ -15,7 +15,8 @@ from pyspark.sql import types as T
 
 # A comma that is followed by an even number of double quotes up to
 # the end of the line is a field separator (it lies outside any quoted field).
-QUOTE_AWARE_COMMA = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+# Possessive quantifiers: same matches, but no backtracking inside the look-ahead.
+QUOTE_AWARE_COMMA = ',(?=(?:[^"]*+"[^"]*+")*+[^"]*+$)'
 
 CORRUPT_COL = "_corrupt_record"
 
@@ -43,12 +44,13 @@ def parse_delimited(
     opts = {"sep": sep, "quote": '"', "escape": '"', "mode": "PERMISSIVE",
             "columnNameOfCorruptRecord": CORRUPT_COL, "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss"}
     opts.update(options or {})
-    parsed = F.from_csv(F.col(line_col), parse_schema.simpleString(), opts).alias("_r")
-    cols = [F.col(f"_r.{f.name}").alias(f.name) for f in schema.fields]
-    cols.append(F.col(f"_r.{CORRUPT_COL}").isNotNull().alias("_malformed"))
-    if keep_line:
-        cols.append(F.col(line_col).alias("line"))
-    return lines.select(F.col(line_col), parsed).select(*cols)
+    parsed = F.from_csv(F.col(line_col), parse_schema.simpleString(), opts)
+    # inline(array(struct)) parses once per line: a Generate is a barrier for
+    # filter push-down, so later predicates on the fields do not re-run the parser.
+    extra = [F.col(line_col).alias("line")] if keep_line else []
+    out = lines.select(*extra, F.inline(F.array(parsed)))
+    cols = [f.name for f in schema.fields]
+    return out.select(*cols, F.col(CORRUPT_COL).isNotNull().alias("_malformed"), *(["line"] if keep_line else []))
 
 
 def read_delimited(spark: SparkSession, path: str, schema: T.StructType, *, sep: str = ",", **kw) -> DataFrame:
