@@ -1,0 +1,19 @@
+"""Parallelism guard for CPU-heavy per-row work (tokenizing, parsing).
+
+A scan yields one partition per file split; a small or single-row-group input
+can leave most cores idle while one task tokenizes everything. ``spread``
+round-robins such an input over the cluster's default parallelism. The check
+is on the planned partition count (no data is read), and on a large input
+(many more splits than cores) it does nothing, so no shuffle is added there.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cinder.operators import words
+from cinder.operators.partitioning import spread
 from cinder.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,7 +22,7 @@ def query(name: str):
 
 
 def _documents_as_lines(spark, sf_dir):
-    return read_table(spark, sf_dir, "documents").select("text")
+    return spread(read_table(spark, sf_dir, "documents").select("text"))
 
 
 @query("word_count")
@@ -117,7 +118,7 @@ from cinder.plans import fixtures as fx  # noqa: E402
 
 
 def _listing(spark, sf_dir):
-    return scr.parse_listing(fx.listing_lines(spark, sf_dir))
+    return scr.parse_listing(spread(fx.listing_lines(spark, sf_dir)))
 
 
 @query("listing_parse")
@@ -171,11 +172,11 @@ from cinder.operators import listing as lst  # noqa: E402
 
 
 def _fin(spark, sf_dir):
-    return fin_ops.parse_financials(fx.financials_lines(spark, sf_dir))
+    return fin_ops.parse_financials(spread(fx.financials_lines(spark, sf_dir)))
 
 
 def _exch(spark, sf_dir):
-    return lst.parse_exchange(fx.exchange_lines(spark, sf_dir))
+    return lst.parse_exchange(spread(fx.exchange_lines(spark, sf_dir)))
 
 
 @query("financials_parse")
@@ -241,12 +242,12 @@ RATINGS_SCHEMA = _T.StructType([
 
 @query("log_parse")
 def q_log_parse(spark, sf_dir):
-    return parse_access_log(fx.access_log_lines(spark, sf_dir))
+    return parse_access_log(spread(fx.access_log_lines(spark, sf_dir)))
 
 
 @query("ratings_typed")
 def q_ratings_typed(spark, sf_dir):
-    return parse_delimited(fx.ratings_lines(spark, sf_dir), RATINGS_SCHEMA, sep="\t",
+    return parse_delimited(spread(fx.ratings_lines(spark, sf_dir)), RATINGS_SCHEMA, sep="\t",
                            options={"quote": ""}).drop("_malformed")
 
 
