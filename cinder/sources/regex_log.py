@@ -15,16 +15,49 @@ ACCESS_LOG_PATTERN = r'^(\S+) \S+ \S+ \[([^\[]+)\] "(\w+) (\S+) (\S+)" (\d+) (\d
 ACCESS_LOG_COLUMNS = ["ip", "time_local", "method", "uri", "protocol", "status", "bytes_sent"]
 
 
+_MARK = "\u0000"  # prefix that tells a rewritten (matching) line from an untouched one
+_SEP = "\u0001"  # joins the captured groups in the rewritten line
+
+
+def _anchored(pattern: str) -> str:
+    p = pattern if pattern.endswith("$") else pattern + "$"
+    return p if p.startswith("^") else "^" + p
+
+
+def parse_regex_per_group(lines: DataFrame, pattern: str, names: list[str], line_col: str = "value") -> DataFrame:
+    """Reference form: a whole-line ``rlike`` guard plus one ``regexp_extract`` per group."""
+    rx = _anchored(pattern)
+    line = F.col(line_col)
+    ok = line.rlike(rx)
+    return lines.select(*[F.when(ok, F.regexp_extract(line, rx, i + 1)).alias(n) for i, n in enumerate(names)])
+
+
 def parse_regex(lines: DataFrame, pattern: str, names: list[str], line_col: str = "value") -> DataFrame:
-    """One row per line, one column per capture group, NULLs when the line does not match."""
-    anchored = pattern if pattern.endswith("$") else pattern + "$"
-    if not anchored.startswith("^"):
-        anchored = "^" + anchored
+    """One row per line, one column per capture group, NULLs when the line does
+    not match the whole pattern.
+
+    The regex runs once per line: ``regexp_replace`` rewrites a matching line to
+    MARK g1 SEP g2 SEP ... and leaves any other line as it is; the groups are
+    then split out. A line that already contains MARK or SEP takes the
+    per-group path, so the result is the same for every input.
+    """
+    rx = _anchored(pattern)
     line = F.col(line_col)
-    ok = line.rlike(anchored)
-    return lines.select(
-        *[F.when(ok, F.regexp_extract(line, anchored, i + 1)).alias(n) for i, n in enumerate(names)]
+    rewritten = F.regexp_replace(line, rx, _MARK + _SEP.join(f"${i + 1}" for i in range(len(names))))
+    staged = lines.select(
+        line.alias("_line"),
+        ((F.instr(line, _MARK) == 0) & (F.instr(line, _SEP) == 0)).alias("_plain"),
+        rewritten.alias("_rw"),
     )
+    hit = F.col("_rw").startswith(_MARK)
+    parts = F.split(F.substring(F.col("_rw"), 2, 1 << 30), _SEP, -1)
+    slow_ok = F.col("_line").rlike(rx)
+    cols = []
+    for i, n in enumerate(names):
+        fast = F.when(hit, F.get(parts, i))
+        slow = F.when(slow_ok, F.regexp_extract(F.col("_line"), rx, i + 1))
+        cols.append(F.when(F.col("_plain"), fast).otherwise(slow).alias(n))
+    return staged.select(*cols)
 
 
 def parse_access_log(lines: DataFrame, line_col: str = "value") -> DataFrame:
