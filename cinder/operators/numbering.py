@@ -53,7 +53,13 @@ def number_rows(
     offsets = per_chunk.select(
         "_pid", *part, "_first", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off")
     )
-    joined = staged.join(offsets, on=["_pid", *part], how="inner") if part else staged.join(offsets, "_pid")
+    if part:
+        # at most (partitions + groups) rows; the number of groups is not known
+        # here, so the join strategy is left to AQE (broadcast when it is small)
+        joined = staged.join(offsets, on=["_pid", *part], how="inner")
+    else:
+        # one row per partition: a proven bound, always broadcast
+        joined = staged.join(F.broadcast(offsets), "_pid")
     return joined.withColumn(name, (F.col("_off") + F.col("_pos") - F.col("_first") + 1).cast("bigint")).drop(
         "_pid", "_pos", "_first", "_off"
     )
