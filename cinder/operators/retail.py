@@ -40,10 +40,10 @@ def filter_like_prefix(customer: DataFrame, segment: str, name_prefix: str) -> D
 
 def lowest_price(part: DataFrame, k: int = 10) -> DataFrame:
     """Rows at the minimum price, ordered by price then key, first ``k``."""
-    lo = part.agg(F.min("p_retailprice").alias("_lo"))
+    lo = part.agg(F.min("p_retailprice").alias("_lo"))  # exactly one row: safe to broadcast
     return (
         part.select("p_partkey", "p_name", "p_retailprice")
-        .join(lo, F.col("p_retailprice") == F.col("_lo"), "left_semi")
+        .join(F.broadcast(lo), F.col("p_retailprice") == F.col("_lo"), "left_semi")
         .orderBy("p_retailprice", "p_partkey")
         .limit(k)
     )
