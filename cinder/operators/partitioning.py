@@ -13,7 +13,11 @@ from pyspark.sql import DataFrame
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        planned = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - sessions without an RDD view (Spark Connect)
+        return df
+    if planned >= target:
         return df
     return df.repartition(target)
