@@ -76,25 +76,35 @@ def report(fin: DataFrame, exch: DataFrame, k: int = 10) -> DataFrame:
     * ``common_total``: N;
     * ``top_dividend`` / ``top_growth``: ranks 1..k with the formatted value.
 
-    The joined set is persisted because four results read it (MEM-1).
+    The join runs once: its rows (symbol, dividend, growth) are numbered, and
+    the numbering checkpoints them, so the total and both rankings read the
+    checkpointed rows instead of re-running the join (MEM-1 without a cache
+    left behind; a re-run task reads the same rows).
     """
-    joined = join_both(fin.select("symbol", "dividend", "low_52w", "high_52w"), exch.select("symbol")).persist()
-    common = number_rows(joined.select("symbol"), ["symbol"], name="rank").select(
+    joined = join_both(fin.select("symbol", "dividend", "low_52w", "high_52w"), exch.select("symbol"))
+    values = joined.select(
+        "symbol",
+        float_or_zero(F.col("dividend")).alias("dividend"),
+        growth(F.col("low_52w"), F.col("high_52w")).alias("growth"),
+    )
+    numbered = number_rows(values, ["symbol", "dividend", "growth"], name="rank")
+    common = numbered.select(
         F.lit("common").alias("section"), "rank", "symbol", F.lit(None).cast("string").alias("value")
     )
-    total = joined.agg(F.count(F.lit(1)).alias("n")).select(
+    total = numbered.agg(F.count(F.lit(1)).alias("n")).select(
         F.lit("common_total").alias("section"), F.lit(None).cast("bigint").alias("rank"),
         F.lit(None).cast("string").alias("symbol"), F.col("n").cast("string").alias("value"),
     )
 
-    def ranked(top: DataFrame, section: str, text: str) -> DataFrame:
+    def ranked(value: str, section: str, text) -> DataFrame:
+        top = _top(numbered.select("symbol", value), value, k)
         # k rows: numbering them with a window over one tiny partition is fine
-        w = Window.orderBy(F.desc(top.columns[1]), F.asc("symbol"))
+        w = Window.orderBy(F.desc(value), F.asc("symbol"))
         return top.select(F.lit(section).alias("section"), F.row_number().over(w).cast("bigint").alias("rank"),
-                          "symbol", F.col(text).alias("value"))
+                          "symbol", text.alias("value"))
 
     return (
         common.unionByName(total)
-        .unionByName(ranked(top_dividend(joined, k), "top_dividend", "dividend_text"))
-        .unionByName(ranked(top_growth(joined, k), "top_growth", "growth_text"))
+        .unionByName(ranked("dividend", "top_dividend", currency(F.col("dividend").cast("decimal(20,2)"))))
+        .unionByName(ranked("growth", "top_growth", whole_percent(F.col("growth"))))
     )

@@ -14,6 +14,7 @@ An unpartitioned ``row_number()`` would sort every row in one task. Instead:
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,8 +38,12 @@ def number_rows(
     ensure_checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     mono = F.monotonically_increasing_id()
+    # Range partitioning samples its input in a job of its own; keep the input
+    # for the duration of the checkpoint so the upstream plan runs once. Nothing
+    # reads it after the checkpoint, so it is released right away.
+    source = df.persist(StorageLevel.MEMORY_AND_DISK)
     staged = (
-        df.repartitionByRange(n, *keys)
+        source.repartitionByRange(n, *keys)
         .sortWithinPartitions(*keys)
         .withColumn("_tag", mono)
         .withColumn("_pid", F.shiftright(F.col("_tag"), _POS_BITS))
@@ -46,6 +51,7 @@ def number_rows(
         .drop("_tag")
         .checkpoint(eager=True)
     )
+    source.unpersist()
     per_chunk = staged.groupBy("_pid", *part).agg(
         F.count(F.lit(1)).alias("_cnt"), F.min("_pos").alias("_first")
     )
