@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cinder.functions.numbers import try_float
-from cinder.sources.delimited import parse_delimited
+from cinder.sources.delimited import parse_delimited, token_count
 
 # Field names in file order (15 fields) and the defaults for blanks.
 FINANCIALS_FIELDS = ["symbol", "name", "sector", "price", "dividend", "pe", "eps", "book_value",
@@ -20,12 +20,22 @@ FINANCIALS_FIELDS = ["symbol", "name", "sector", "price", "dividend", "pe", "eps
 FINANCIALS_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in FINANCIALS_FIELDS])
 DIVIDEND_DEFAULT = "0.0"
 PE_DEFAULT = "-Infinity"
+MIN_FIELDS = 6  # a record must reach the P/E field (ordinal 5)
 
 
 def parse_financials(lines: DataFrame, line_col: str = "value") -> DataFrame:
-    """All fields as strings (blank -> NULL), header rows (symbol = 'Symbol', any case) dropped."""
-    parsed = parse_delimited(lines.select(F.col(line_col).alias("value")), FINANCIALS_SCHEMA)
-    return parsed.where(F.coalesce(F.lower(F.col("symbol")) != "symbol", F.lit(True))).drop("_malformed")
+    """All fields as strings (blank -> NULL) plus ``_short`` (the record ends
+    before the P/E field). Blank lines are not records; header rows
+    (symbol = 'Symbol', any case) are dropped. Over-long rows keep their first
+    15 fields. The field count is computed only for rows the parser flagged."""
+    parsed = parse_delimited(lines.select(F.col(line_col).alias("value")), FINANCIALS_SCHEMA, keep_line=True)
+    return (
+        parsed.where(F.trim(F.col("line")) != "")
+        .where(F.coalesce(F.lower(F.col("symbol")) != "symbol", F.lit(True)))
+        .withColumn("_short", F.when(F.col("_malformed"), token_count(F.col("line")) < MIN_FIELDS)
+                    .otherwise(F.lit(False)))
+        .drop("_malformed", "line")
+    )
 
 
 def with_defaults(fin: DataFrame) -> DataFrame:
@@ -34,14 +44,16 @@ def with_defaults(fin: DataFrame) -> DataFrame:
         "symbol",
         F.coalesce(F.col("dividend"), F.lit(DIVIDEND_DEFAULT)).alias("dividend"),
         F.coalesce(F.col("pe"), F.lit(PE_DEFAULT)).alias("pe"),
+        "_short",
     )
 
 
 def _valid(d: DataFrame) -> F.Column:
-    """Dividend and P/E (blank defaults applied) both parse as floats."""
+    """The record holds the fields, and dividend and P/E (blank defaults
+    applied) both parse as floats."""
     div = F.coalesce(F.col("dividend"), F.lit(DIVIDEND_DEFAULT))
     pe = F.coalesce(F.col("pe"), F.lit(PE_DEFAULT))
-    return try_float(div).isNotNull() & try_float(pe).isNotNull()
+    return ~F.col("_short") & try_float(div).isNotNull() & try_float(pe).isNotNull()
 
 
 def clean(fin: DataFrame) -> DataFrame:
@@ -55,7 +67,7 @@ def clean(fin: DataFrame) -> DataFrame:
 def clean_text(fin: DataFrame) -> DataFrame:
     """Valid records keeping the original number text (what the tuple output prints)."""
     d = with_defaults(fin)
-    return d.where(_valid(d))
+    return d.where(_valid(d)).drop("_short")
 
 
 def counts(fin: DataFrame) -> DataFrame:
@@ -63,7 +75,9 @@ def counts(fin: DataFrame) -> DataFrame:
     d = with_defaults(fin)
     ok = _valid(d)
     return fin.select(
-        ok.alias("_ok"), F.col("dividend").isNull().alias("_nodiv"), F.col("pe").isNull().alias("_nope")
+        ok.alias("_ok"),
+        (F.col("dividend").isNull() & ~F.col("_short")).alias("_nodiv"),
+        (F.col("pe").isNull() & ~F.col("_short")).alias("_nope"),
     ).agg(
         F.count_if(F.col("_ok")).alias("valid"),
         F.count_if(~F.col("_ok")).alias("invalid"),

@@ -22,8 +22,13 @@ EXCHANGE_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in EXCHAN
 
 
 def parse_exchange(lines: DataFrame, line_col: str = "value") -> DataFrame:
-    parsed = parse_delimited(lines.select(F.col(line_col).alias("value")), EXCHANGE_SCHEMA)
-    return parsed.where(F.coalesce(F.lower(F.col("symbol")) != "symbol", F.lit(True))).drop("_malformed")
+    """(symbol, name, last_sale); blank lines and header rows dropped."""
+    parsed = parse_delimited(lines.select(F.col(line_col).alias("value")), EXCHANGE_SCHEMA, keep_line=True)
+    return (
+        parsed.where(F.trim(F.col("line")) != "")
+        .where(F.coalesce(F.lower(F.col("symbol")) != "symbol", F.lit(True)))
+        .drop("_malformed", "line")
+    )
 
 
 def join_both(fin: DataFrame, exch: DataFrame) -> DataFrame:
@@ -37,8 +42,11 @@ def join_both_lists(fin: DataFrame, exch: DataFrame) -> DataFrame:
 
 def join_both_details(fin: DataFrame, exch: DataFrame) -> DataFrame:
     """Every field of both sides for symbols in both (JOIN-4), prefixed fin_/ex_."""
-    f = fin.select("symbol", *[F.col(c).alias(f"fin_{c}") for c in fin.columns if c != "symbol"])
-    e = exch.select("symbol", *[F.col(c).alias(f"ex_{c}") for c in exch.columns if c != "symbol"])
+    def fields(df):  # data fields only, not the parser's flags
+        return [c for c in df.columns if c != "symbol" and not c.startswith("_")]
+
+    f = fin.select("symbol", *[F.col(c).alias(f"fin_{c}") for c in fields(fin)])
+    e = exch.select("symbol", *[F.col(c).alias(f"ex_{c}") for c in fields(exch)])
     return join_both(f, e)
 
 

@@ -62,3 +62,14 @@ def test_report_partition_independent(spark):
     a = rows(lst.report(fin.parse_financials(lines_df(spark, lines, 1)), lst.parse_exchange(lines_df(spark, ex, 1))))
     b = rows(lst.report(fin.parse_financials(lines_df(spark, lines, 8)), lst.parse_exchange(lines_df(spark, ex, 8))))
     assert a == b
+
+
+def test_blank_short_and_long_rows(spark):
+    lines = [HDR, "", "   ", "SHORT,Name,Sec,1.0,2.0", line("OK", "1", "2"), line("LONG", "1", "2") + ",extra,more"]
+    f = fin.parse_financials(lines_df(spark, lines, 2))
+    assert f.count() == 3  # blank lines are not records
+    assert sorted(r.symbol for r in fin.clean(f).collect()) == ["LONG", "OK"]
+    c = fin.counts(f).first()
+    assert (c.valid, c.invalid, c.no_dividend, c.no_pe) == (2, 1, 0, 0)
+    d = lst.join_both_details(f, lst.parse_exchange(lines_df(spark, ['"OK","n","1"', ""])))
+    assert not [c for c in d.columns if c.startswith("fin__") or c.startswith("ex__")]
