@@ -66,10 +66,13 @@ def financials_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def exchange_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """D3: quoted 3-field exchange list for parts with key % 3 <> 0."""
-    p = read_table(spark, sf_dir, "part").where(F.col("p_partkey") % 3 != 0)
-    line = F.concat_ws(",", _q(F.concat(F.lit("P"), F.col("p_partkey").cast("string"))),
-                       _q(F.concat(F.col("p_name"), F.lit(", Inc."))), _q(F.lit("1.00")))
+    """D3: quoted 3-field exchange list, one line per part. Parts with key % 3 = 0
+    are listed under an exchange-only symbol ('X<key>'), so they are on this
+    list but not in the financials."""
+    p = read_table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    sym = F.concat(F.when(k % 3 == 0, F.lit("X")).otherwise(F.lit("P")), k.cast("string"))
+    line = F.concat_ws(",", _q(sym), _q(F.concat(F.col("p_name"), F.lit(", Inc."))), _q(F.lit("1.00")))
     return _with_header(spark, EXCHANGE_HEADER, p.select(line.alias("value")))
 
 

@@ -142,8 +142,9 @@ fd AS (
            AND TRY_CAST(coalesce(pe, '-Infinity') AS FLOAT) IS NOT NULL AS ok
   FROM f),
 e AS (
-  SELECT 'P' || CAST(p_partkey AS VARCHAR) AS symbol, p_name || ', Inc.' AS name, '1.00' AS last_sale
-  FROM part WHERE p_partkey % 3 <> 0),
+  SELECT CASE WHEN p_partkey % 3 = 0 THEN 'X' ELSE 'P' END || CAST(p_partkey AS VARCHAR) AS symbol,
+         p_name || ', Inc.' AS name, '1.00' AS last_sale
+  FROM part),
 j AS (
   SELECT f.*, e.name AS ex_name, e.last_sale AS ex_last_sale,
          coalesce(TRY_CAST(f.dividend AS FLOAT), 0::FLOAT) AS div_f,
