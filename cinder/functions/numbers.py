@@ -6,7 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MONEY = "decimal(18,2)"
-CAP = "decimal(22,2)"
+CAP = "decimal(38,2)"
+CAP_AMOUNT = "decimal(30,8)"  # the number before the unit, parsed before scaling
 
 # A market cap is written "$<number>" with an optional unit
 # suffix, B (x 1e9) or M (x 1e6); "n/a" means unknown (counted as 0).
@@ -34,8 +35,11 @@ def cap_unit(cap: Column) -> Column:
 
 
 def cap_usd(cap: Column) -> Column:
-    """Cap in dollars as DECIMAL: unit taken from the actual suffix; n/a -> 0."""
-    amount = F.regexp_extract(cap, CAP_PATTERN, 1).try_cast("decimal(16,2)")
+    """Cap in dollars as DECIMAL(38,2): unit taken from the actual suffix; n/a -> 0.
+
+    The amount keeps its own decimals until it is scaled ('$1.234M' is
+    1,234,000.00), then rounds to cents."""
+    amount = F.regexp_extract(cap, CAP_PATTERN, 1).try_cast(CAP_AMOUNT)
     unit = cap_unit(cap)
     scaled = (
         F.when(unit == "B", amount * F.lit(1000000000))

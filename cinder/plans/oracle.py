@@ -79,7 +79,7 @@ r AS (
               WHEN k % 7 = 0 THEN '$' || CAST(x AS VARCHAR) ELSE '$' || CAST(x AS VARCHAR) || 'M' END AS market_cap,
          CASE WHEN k % 13 = 0 THEN NULL WHEN k % 5 = 0 THEN 'B' WHEN k % 7 = 0 THEN '' ELSE 'M' END AS cap_unit,
          CAST(CASE WHEN k % 13 = 0 THEN 0 WHEN k % 5 = 0 THEN x * 1000000000 WHEN k % 7 = 0 THEN x
-              ELSE x * 1000000 END AS DECIMAL(26,2)) AS cap_usd,
+              ELSE x * 1000000 END AS DECIMAL(38,2)) AS cap_usd,
          k % 13 <> 0 AND k % 5 = 0 AS is_b
   FROM d),
 v AS (SELECT * FROM r WHERE NOT short_row)

@@ -18,6 +18,7 @@ LINES = [
     rec("DDD", "n/a", "Tech"),
     rec("TORM          ", "$10.25M", "Energy"),  # padded symbol kept, one-row sector
     rec("EEE", "$1M", "n/a"),
+    rec("FFF", "$1.234M", "Energy"),
     '"SHORT","x","1"',  # short row
     rec("LONG", "$1M", "Tech") + "extra,",  # over-long row
     H,  # a header again (multi-file input)
@@ -27,7 +28,7 @@ LINES = [
 def test_parse_and_rejects(spark):
     parsed = scr.parse_listing(lines_df(spark, LINES, 3))
     recs = scr.listing_records(parsed)
-    assert sorted(r.symbol for r in recs.collect()) == ["AAA", "BBB", "CCC", "DDD", "EEE", "TORM          "]
+    assert sorted(r.symbol for r in recs.collect()) == ["AAA", "BBB", "CCC", "DDD", "EEE", "FFF", "TORM          "]
     rej = rows(scr.listing_rejects(parsed))
     assert [r[1] for r in rej] == [3, 10] or sorted(r[1] for r in rej) == [3, 10]
 
@@ -39,8 +40,9 @@ def test_units_and_screens(spark):
     assert caps["BBB"] == ("B", Decimal("2000000000.00"))
     assert caps["CCC"] == ("", Decimal("300.00"))  # no suffix: plain dollars, not millions
     assert caps["DDD"] == (None, Decimal("0.00"))
+    assert caps["FFF"] == ("M", Decimal("1234000.00"))  # decimals kept until scaled
     million = {r.sector: (r.company_count, r.total_cap) for r in scr.screen(recs).collect()}
-    assert million == {"Tech": (3, Decimal("1500300.00")), "Energy": (1, Decimal("10250000.00")),
+    assert million == {"Tech": (3, Decimal("1500300.00")), "Energy": (2, Decimal("11484000.00")),
                        "n/a": (1, Decimal("1000000.00"))}
     billion = {r.sector: r.company_count for r in scr.screen(recs, billion=True).collect()}
     assert billion == {"Tech": 1}
@@ -59,7 +61,7 @@ def test_formatted_and_symbols(spark):
 def test_counters(spark):
     c = {(r.sector, r.is_total): (r.attempted, r.processed)
          for r in scr.screen_counters(scr.parse_listing(lines_df(spark, LINES))).collect()}
-    assert c[(None, True)] == (8, 5)  # data rows only (headers not attempted)
+    assert c[(None, True)] == (9, 6)  # data rows only (headers not attempted)
     assert c[("Tech", False)] == (5, 3)
 
 
