@@ -25,26 +25,29 @@ LISTING_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in LISTING
 
 
 def parse_listing(lines: DataFrame, line_col: str = "value") -> DataFrame:
-    """Every line with its fields, ``n_tokens`` and ``is_header`` (FLT-2)."""
+    """Every line with its fields, ``is_header`` (FLT-2), ``bad_width`` (FLT-6:
+    the parser did not find exactly 9 fields, or the line is blank) and
+    ``n_tokens``. The quote-aware field count is only computed for bad rows;
+    a good row has 9 fields by definition."""
     parsed = parse_delimited(lines.select(F.col(line_col).alias("value")), LISTING_SCHEMA, keep_line=True)
-    return parsed.withColumn("n_tokens", token_count(F.col("line"))).withColumn(
-        "is_header", F.coalesce(
-            (F.lower(F.col("symbol")) == "symbol") | (F.lower(F.col("sector")) == "sector"), F.lit(False))
+    bad = F.col("_malformed") | (F.col("line") == "")
+    return (
+        parsed.withColumn("bad_width", bad)
+        .withColumn("n_tokens", F.when(bad, token_count(F.col("line"))).otherwise(F.lit(LISTING_WIDTH)))
+        .withColumn("is_header", F.coalesce(
+            (F.lower(F.col("symbol")) == "symbol") | (F.lower(F.col("sector")) == "sector"), F.lit(False)))
+        .drop("_malformed")
     )
 
 
 def listing_records(parsed: DataFrame) -> DataFrame:
     """Data records of the right width (FLT-6), header(s) removed."""
-    return parsed.where(~F.col("is_header") & (F.col("n_tokens") == LISTING_WIDTH)).select(
-        *LISTING_FIELDS[:-1]
-    )
+    return parsed.where(~F.col("is_header") & ~F.col("bad_width")).select(*LISTING_FIELDS[:-1])
 
 
 def listing_rejects(parsed: DataFrame) -> DataFrame:
-    """Records of the wrong width (short or over-long rows): the line and its width."""
-    return parsed.where(~F.col("is_header") & (F.col("n_tokens") != LISTING_WIDTH)).select(
-        "line", "n_tokens"
-    )
+    """Records of the wrong width (short, over-long or blank): the line and its width."""
+    return parsed.where(~F.col("is_header") & F.col("bad_width")).select("line", "n_tokens")
 
 
 def cap_normalize(records: DataFrame) -> DataFrame:
@@ -107,7 +110,7 @@ def screen_counters(parsed: DataFrame, billion: bool = False) -> DataFrame:
     data records attempted and records that passed the screen."""
     data = parsed.where(~F.col("is_header"))
     is_b = F.coalesce(F.col("market_cap").endswith("B"), F.lit(False))
-    passed = (F.col("n_tokens") == LISTING_WIDTH) & (is_b if billion else ~is_b)
+    passed = ~F.col("bad_width") & (is_b if billion else ~is_b)
     return data.rollup("sector").agg(
         F.grouping("sector").cast("boolean").alias("is_total"),
         F.count(F.lit(1)).alias("attempted"),
