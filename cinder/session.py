@@ -22,9 +22,10 @@ RECOMMENDED_CONF = {
 }
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "cinder") -> SparkSession:
+def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "cinder",
+                  extra_conf: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
-    for k, v in RECOMMENDED_CONF.items():
+    for k, v in {**RECOMMENDED_CONF, **(extra_conf or {})}.items():
         builder = builder.config(k, v)
     builder = (
         builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
