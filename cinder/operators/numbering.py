@@ -5,8 +5,9 @@ An unpartitioned ``row_number()`` would sort every row in one task. Instead:
 1. range-partition on the keys (Spark samples the keys, so partitions are
    balanced even when one group holds a large share of the rows) and sort
    within each partition;
-2. tag each row with (partition, position in partition) and checkpoint, so
-   the tags stay fixed if a task is re-run;
+2. tag each row with (partition, position in partition) and stage the rows
+   as a table in the checkpoint folder, so the tags stay fixed if a task is
+   re-run;
 3. count rows per (partition, group): a table with at most
    partitions x groups rows, whose running totals are the offsets;
 4. row number = offset of its partition within its group + position.
@@ -18,7 +19,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cinder.session import ensure_checkpoint_dir
+from cinder.operators.staging import stage
 
 _POS_BITS = 33  # monotonically_increasing_id = partition << 33 | record index
 
@@ -35,21 +36,20 @@ def number_rows(
     part = list(partition_cols or [])
     keys = part + list(order_cols)
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     mono = F.monotonically_increasing_id()
     # Range partitioning samples its input in a job of its own; keep the input
-    # for the duration of the checkpoint so the upstream plan runs once. Nothing
-    # reads it after the checkpoint, so it is released right away.
+    # while staging so the upstream plan runs once. Nothing reads it after the
+    # staged table is written, so it is released right away.
     source = df.persist(StorageLevel.MEMORY_AND_DISK)
-    staged = (
+    staged = stage(
         source.repartitionByRange(n, *keys)
         .sortWithinPartitions(*keys)
         .withColumn("_tag", mono)
         .withColumn("_pid", F.shiftright(F.col("_tag"), _POS_BITS))
         .withColumn("_pos", F.col("_tag").bitwiseAND(F.lit((1 << _POS_BITS) - 1)))
-        .drop("_tag")
-        .checkpoint(eager=True)
+        .drop("_tag"),
+        "numbering",
     )
     source.unpersist()
     per_chunk = staged.groupBy("_pid", *part).agg(
