@@ -5,6 +5,9 @@ can leave most cores idle while one task tokenizes everything. ``spread``
 round-robins such an input over the cluster's default parallelism. The check
 is on the planned partition count (no data is read), and on a large input
 (many more splits than cores) it does nothing, so no shuffle is added there.
+Use it on scan-level inputs (scans and row-wise projections of them): on a
+plan that already contains a shuffle, asking for its partition count would
+run that shuffle.
 """
 
 from __future__ import annotations
