@@ -116,3 +116,21 @@ def screen_counters(parsed: DataFrame, billion: bool = False) -> DataFrame:
         F.count(F.lit(1)).alias("attempted"),
         F.count_if(passed).alias("processed"),
     )
+
+
+def screen_observed(parsed: DataFrame, billion: bool = False):
+    """The screen plus its job counters as a by-product of the same job (AGG-11).
+
+    Returns ``(screen_df, observation)``; after ``screen_df`` runs (e.g. is
+    written), ``observation.get`` holds attempted / processed counts. Only
+    those few numbers reach the driver.
+    """
+    from pyspark.sql import Observation
+
+    obs = Observation("screen_counters")
+    is_b = F.coalesce(F.col("market_cap").endswith("B"), F.lit(False))
+    passed = ~F.col("bad_width") & (is_b if billion else ~is_b)
+    data = parsed.where(~F.col("is_header")).observe(
+        obs, F.count(F.lit(1)).alias("attempted"), F.count_if(passed).alias("processed")
+    )
+    return screen(listing_records(data), billion), obs

@@ -146,3 +146,30 @@ def test_sql_and_dataframe_routes_agree(spark):
     same(retail.revenue_on_day(li, o, "F", dt.date(1997, 5, 1), dt.date(1997, 6, 1)),
          spark.sql(retail.SQL["revenue_on_day"].format(status="F", start="1997-05-01", end="1997-06-01")))
     assert F is not None
+
+
+def test_observed_counters(spark, tmp_dir):
+    from cinder.operators import financials as fin
+    from cinder.operators import screen as scr
+    from cinder.plans import catalog as C
+
+    out, obs = scr.screen_observed(C._listing(spark, SF_SMALL))
+    out.write.mode("overwrite").parquet(os.path.join(tmp_dir, "screen"))
+    agg = {(r.sector, r.is_total): (r.attempted, r.processed)
+           for r in scr.screen_counters(C._listing(spark, SF_SMALL)).collect()}
+    assert (obs.get["attempted"], obs.get["processed"]) == agg[(None, True)]
+    cl, obs2 = fin.clean_observed(C._fin(spark, SF_SMALL))
+    n = cl.count()
+    c = fin.counts(C._fin(spark, SF_SMALL)).first()
+    assert (obs2.get["valid"], obs2.get["invalid"]) == (c.valid, c.invalid) and n == c.valid
+
+
+def test_report_written_by_executors(spark, tmp_dir):
+    from cinder.plans import catalog as C
+
+    rep = C.q_listing_report(spark, SF_SMALL)
+    path = sinks.stamped_path(os.path.join(tmp_dir, "report"))
+    sinks.write_report(rep, path)
+    back = spark.read.parquet(path)
+    assert back.count() == rep.count()
+    assert back.where("section = 'top_dividend'").count() == 10
