@@ -74,3 +74,25 @@ def test_partition_independent(spark):
     s1 = rows(scr.screen_symbols(scr.listing_records(scr.parse_listing(lines_df(spark, many, 1))), chunk_size=7))
     s8 = rows(scr.screen_symbols(scr.listing_records(scr.parse_listing(lines_df(spark, many, 8))), chunk_size=7))
     assert s1 == s8
+
+
+def test_screen_sql_route_agrees(spark):
+    """Two implementations, one answer: SQL text over the parsed records vs the operator."""
+    from conftest import SF_SMALL
+
+    from cinder.plans import catalog as C
+
+    recs = scr.listing_records(C._listing(spark, SF_SMALL))
+    recs.createOrReplaceTempView("listing_records_v")
+    for billion in (False, True):
+        cond = "endswith(market_cap, 'B')" if billion else "NOT coalesce(endswith(market_cap, 'B'), false)"
+        sql = spark.sql(f"""
+            SELECT sector, count(*) AS company_count,
+                   CAST(sum(CASE WHEN lower(trim(market_cap)) = 'n/a' THEN 0
+                                 WHEN market_cap LIKE '%B' THEN CAST(substr(market_cap, 2, length(market_cap) - 2)
+                                                                     AS DECIMAL(30,8)) * 1000000000
+                                 WHEN market_cap LIKE '%M' THEN CAST(substr(market_cap, 2, length(market_cap) - 2)
+                                                                     AS DECIMAL(30,8)) * 1000000
+                                 ELSE CAST(substr(market_cap, 2) AS DECIMAL(30,8)) END) AS DECIMAL(38,2)) AS total_cap
+            FROM listing_records_v WHERE {cond} GROUP BY sector""")
+        assert rows(sql) == rows(scr.screen(recs, billion=billion).select("sector", "company_count", "total_cap"))
