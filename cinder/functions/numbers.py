@@ -20,10 +20,6 @@ def try_float(s: Column) -> Column:
     return s.try_cast("float")
 
 
-def try_double(s: Column) -> Column:
-    return s.try_cast("double")
-
-
 def float_or_zero(s: Column) -> Column:
     """PRJ-5: parse failure (or missing) -> 0."""
     return F.coalesce(try_float(s), F.lit(0.0).cast("float"))

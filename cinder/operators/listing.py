@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from cinder.functions.formatting import currency, whole_percent
 from cinder.functions.numbers import float_or_zero, growth
 from cinder.operators.numbering import number_rows
+from cinder.operators.topk import top_k
 from cinder.sources.delimited import parse_delimited
 
 # Fixed value: the exchange list's first three fields.
@@ -52,7 +53,7 @@ def join_both_details(fin: DataFrame, exch: DataFrame) -> DataFrame:
 
 def _top(df: DataFrame, value: str, k: int) -> DataFrame:
     # ORDER BY v DESC, symbol LIMIT k -> TakeOrderedAndProject: k rows per task, then k overall
-    return df.orderBy(F.desc(value), F.asc("symbol")).limit(k)
+    return top_k(df, [F.desc(value), F.asc("symbol")], k)
 
 
 def dividends(joined: DataFrame) -> DataFrame:

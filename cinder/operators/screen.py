@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from cinder.functions.formatting import currency
 from cinder.functions.numbers import cap_unit, cap_usd
+from cinder.functions.text import ieq
 from cinder.operators.numbering import number_rows
 from cinder.sources.delimited import parse_delimited, token_count
 
@@ -34,8 +35,8 @@ def parse_listing(lines: DataFrame, line_col: str = "value") -> DataFrame:
     return (
         parsed.withColumn("bad_width", bad)
         .withColumn("n_tokens", F.when(bad, token_count(F.col("line"))).otherwise(F.lit(LISTING_WIDTH)))
-        .withColumn("is_header", F.coalesce(
-            (F.lower(F.col("symbol")) == "symbol") | (F.lower(F.col("sector")) == "sector"), F.lit(False)))
+        .withColumn("is_header", F.coalesce(ieq(F.col("symbol"), "symbol") | ieq(F.col("sector"), "sector"),
+                                            F.lit(False)))
         .drop("_malformed")
     )
 
@@ -62,7 +63,7 @@ def _screened(records: DataFrame, billion: bool, known_sectors_only: bool) -> Da
     is_b = F.coalesce(F.col("market_cap").endswith("B"), F.lit(False))
     out = records.where(is_b if billion else ~is_b)
     if known_sectors_only:
-        out = out.where(F.lower(F.col("sector")) != "n/a")
+        out = out.where(~ieq(F.col("sector"), "n/a"))
     return out.withColumn("cap_usd", cap_usd(F.col("market_cap")))
 
 

@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as _T
 
-from cinder.operators import words
+from cinder.operators import financials as fin_ops
+from cinder.operators import listing as lst
+from cinder.operators import nested, retail, words
+from cinder.operators import screen as scr
 from cinder.operators.partitioning import spread
+from cinder.plans import fixtures as fx
+from cinder.sources.delimited import parse_delimited
+from cinder.sources.external import read_external
+from cinder.sources.regex_log import parse_access_log
 from cinder.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,10 +47,7 @@ def q_word_count_sorted(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- retail worksheet
-import datetime as _dt  # noqa: E402
 
-from cinder.operators import retail  # noqa: E402
-from cinder.sources.external import read_external  # noqa: E402
 
 RETAIL_PARAMS = {
     "segment": "BUILDING",
@@ -115,8 +121,6 @@ def q_external_table_scan(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- listing screener (D1)
-from cinder.operators import screen as scr  # noqa: E402
-from cinder.plans import fixtures as fx  # noqa: E402
 
 
 def _listing(spark, sf_dir):
@@ -169,8 +173,6 @@ def q_screen_counters(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- financials (D2) and exchange list (D3)
-from cinder.operators import financials as fin_ops  # noqa: E402
-from cinder.operators import listing as lst  # noqa: E402
 
 
 def _fin(spark, sf_dir):
@@ -227,10 +229,6 @@ def q_listing_report(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- access log (D4), ratings (D5), loyalty (D6)
-from cinder.operators import nested  # noqa: E402
-from cinder.sources.delimited import parse_delimited  # noqa: E402
-from cinder.sources.regex_log import parse_access_log  # noqa: E402
-from pyspark.sql import types as _T  # noqa: E402
 
 # The ratings table's columns and types.
 RATINGS_SCHEMA = _T.StructType([
