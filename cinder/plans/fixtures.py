@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cinder.operators.topk import smallest_k_array
 from cinder.sources.tables import read_table
 
 # Header lines of the two listings (exchange company list with 9
@@ -101,17 +102,17 @@ def ratings_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(line.alias("value"))
 
 
-def loyalty_rows(spark: SparkSession, sf_dir: str, order_ids_kept: int | None = None) -> DataFrame:
+def loyalty_rows(spark: SparkSession, sf_dir: str, order_ids_kept: int = 3) -> DataFrame:
     """D6: one nested row per customer with orders:
     cust_id, email, fname, lname, order_ids ARRAY (ascending), order_value
     STRUCT<min,max,avg,total> of the order prices, phone MAP, level.
 
-    ``order_ids_kept=k`` keeps the k smallest order ids, computed exactly with a
-    per-key top-k (bounded per key); ``None`` keeps all of them, which makes one
-    array as long as the customer's order history.
+    ``order_ids`` holds the customer's ``order_ids_kept`` smallest order ids,
+    computed exactly with a per-key top-k; no customer's whole order history is
+    gathered into one row (a hot customer would make that row unbounded).
+    Lookups up to index ``order_ids_kept - 1`` see the same values as on the
+    full list.
     """
-    from cinder.operators.topk import smallest_k_array
-
     o = read_table(spark, sf_dir, "orders")
     k = F.col("o_custkey")
     price = F.col("o_totalprice").cast("decimal(18,2)")
@@ -122,10 +123,7 @@ def loyalty_rows(spark: SparkSession, sf_dir: str, order_ids_kept: int | None =
         ).alias("order_value"),
         F.count(F.lit(1)).alias("_n"),
     )
-    if order_ids_kept is None:
-        ids = o.groupBy("o_custkey").agg(F.array_sort(F.collect_list("o_orderkey")).alias("order_ids"))
-    else:
-        ids = smallest_k_array(o, "o_custkey", "o_orderkey", order_ids_kept, "order_ids")
+    ids = smallest_k_array(o, "o_custkey", "o_orderkey", order_ids_kept, "order_ids")
     phone_no = F.concat(F.lit("555-"), F.lpad((k % 10000).cast("string"), 4, "0"))
     # left join: every customer in agg has ids; when order_ids is not selected,
     # Catalyst drops this join (right side unique on the key, no column used)
