@@ -55,7 +55,7 @@ WHERE o_orderstatus = 'F' AND year(o_orderdate) = 2000 AND month(o_orderdate) =
 """
 
 _REVENUE = """
-SELECT sum(CAST(l_extendedprice AS DECIMAL(18,2)))::DECIMAL(18,2) AS total FROM lineitem
+SELECT sum(CAST(l_extendedprice AS DECIMAL(18,2)))::DECIMAL(38,2) AS total FROM lineitem
 WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F'
                      AND year(o_orderdate) = 1997 AND month(o_orderdate) = 5)
 """

@@ -173,3 +173,13 @@ def test_report_written_by_executors(spark, tmp_dir):
     back = spark.read.parquet(path)
     assert back.count() == rep.count()
     assert back.where("section = 'top_dividend'").count() == 10
+
+
+def test_revenue_both_plans_agree(spark):
+    import datetime as dt
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    o = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    a = retail.revenue_on_day(li, o, "F", dt.date(1995, 1, 1), dt.date(1998, 1, 1))
+    b = retail.revenue_on_day(li, o, "F", dt.date(1995, 1, 1), dt.date(1998, 1, 1), max_broadcast_keys=0)
+    assert a.first().total == b.first().total and a.first().total is not None
+    assert "BroadcastExchange" in a._jdf.queryExecution().executedPlan().toString()
