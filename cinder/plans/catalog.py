@@ -17,7 +17,7 @@ from cinder.plans import fixtures as fx
 from cinder.sources.delimited import parse_delimited
 from cinder.sources.external import read_external
 from cinder.sources.regex_log import parse_access_log
-from cinder.sources.tables import read_table
+from cinder.sources.tables import TABLE_SCHEMAS, read_table, table_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -117,7 +117,8 @@ def q_count_rows(spark, sf_dir):
 
 @query("external_table_scan")
 def q_external_table_scan(spark, sf_dir):
-    return read_external(spark, f"{sf_dir.rstrip('/')}/orders.parquet", "parquet")
+    # the schema is declared outside the table, as an external table's is
+    return read_external(spark, table_path(sf_dir, "orders"), "parquet", schema=TABLE_SCHEMAS["orders"])
 
 
 # ---------------------------------------------------------------- listing screener (D1)
