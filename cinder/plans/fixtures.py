@@ -27,79 +27,70 @@ def _with_header(spark: SparkSession, header: str, lines: DataFrame) -> DataFram
     return head.unionByName(lines)
 
 
-def _q(c) -> F.Column:
-    return F.concat(F.lit('"'), c, F.lit('"'))
-
-
 def listing_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D1: one quoted 9-field line per customer (3 fields when key % 101 = 50)."""
-    c = read_table(spark, sf_dir, "customer")
-    k = F.col("c_custkey")
-    x = F.abs(F.col("c_acctbal")).cast("decimal(12,2)").cast("string")
-    cap = (
-        F.when(k % 13 == 0, F.lit("n/a"))
-        .when(k % 5 == 0, F.concat(F.lit("$"), x, F.lit("B")))
-        .when(k % 7 == 0, F.concat(F.lit("$"), x))
-        .otherwise(F.concat(F.lit("$"), x, F.lit("M")))
+    c = read_table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS k",
+        "c_name",
+        "CAST(CAST(abs(c_acctbal) AS DECIMAL(12,2)) AS STRING) AS x",
+        "CASE WHEN c_custkey % 17 = 0 THEN 'n/a' ELSE c_mktsegment END AS sector",
     )
-    sector = F.when(k % 17 == 0, F.lit("n/a")).otherwise(F.col("c_mktsegment"))
-    head = F.concat_ws(",", _q(F.col("c_name")), _q(F.concat(F.col("c_name"), F.lit(", Inc."))), _q(F.lit("1.00")))
-    full = F.concat(head, F.lit(","), F.concat_ws(",", _q(cap), _q(F.lit("n/a")), _q(sector),
-                                                     _q(F.lit("ind")), _q(F.lit("url"))), F.lit(","))
-    lines = c.select(F.when(k % 101 == 50, head).otherwise(full).alias("value"))
+    lines = c.selectExpr("""
+        CASE WHEN k % 101 = 50 THEN concat('"', c_name, '","', c_name, ', Inc.","1.00"')
+        ELSE concat('"', c_name, '","', c_name, ', Inc.","1.00","',
+                    CASE WHEN k % 13 = 0 THEN 'n/a' WHEN k % 5 = 0 THEN concat('$', x, 'B')
+                         WHEN k % 7 = 0 THEN concat('$', x) ELSE concat('$', x, 'M') END,
+                    '","n/a","', sector, '","ind","url",')
+        END AS value""")
     return _with_header(spark, LISTING_HEADER, lines)
 
 
 def financials_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D2: one 15-field financials line per part (dividend, P/E, 52-week low/high)."""
-    p = read_table(spark, sf_dir, "part")
-    k = F.col("p_partkey")
-    price = F.col("p_retailprice").cast("decimal(12,2)").cast("string")
-    div = (F.when(k % 7 == 0, F.lit("")).when(k % 11 == 0, F.lit("bad"))
-           .otherwise((F.col("p_size") * F.lit(0.1)).cast("decimal(10,2)").cast("string")))
-    pe = F.when(k % 5 == 0, F.lit("")).when(k % 23 == 0, F.lit("n/a")).otherwise(price)
-    low = F.when(k % 19 == 0, F.lit("0")).when(k % 29 == 0, F.lit("")).otherwise(price)
-    high = (F.col("p_retailprice").cast("decimal(12,2)") + (k % 97)).cast("decimal(12,2)").cast("string")
-    line = F.concat_ws(",", F.concat(F.lit("P"), k.cast("string")), F.col("p_name"), F.col("p_brand"),
-                       F.lit("1.0"), div, pe, F.lit(""), F.lit(""), low, high,
-                       F.lit(""), F.lit(""), F.lit(""), F.lit(""), F.lit(""))
-    return _with_header(spark, FINANCIALS_HEADER, p.select(line.alias("value")))
+    p = read_table(spark, sf_dir, "part").selectExpr(
+        "p_partkey AS k", "p_name", "p_brand", "p_size",
+        "CAST(CAST(p_retailprice AS DECIMAL(12,2)) AS STRING) AS price",
+        "CAST(CAST(CAST(p_retailprice AS DECIMAL(12,2)) + p_partkey % 97 AS DECIMAL(12,2)) AS STRING) AS high",
+    )
+    lines = p.selectExpr("""
+        concat_ws(',', concat('P', CAST(k AS STRING)), p_name, p_brand, '1.0',
+                  CASE WHEN k % 7 = 0 THEN '' WHEN k % 11 = 0 THEN 'bad'
+                       ELSE CAST(CAST(p_size * 0.1 AS DECIMAL(10,2)) AS STRING) END,
+                  CASE WHEN k % 5 = 0 THEN '' WHEN k % 23 = 0 THEN 'n/a' ELSE price END,
+                  '', '',
+                  CASE WHEN k % 19 = 0 THEN '0' WHEN k % 29 = 0 THEN '' ELSE price END,
+                  high, '', '', '', '', '') AS value""")
+    return _with_header(spark, FINANCIALS_HEADER, lines)
 
 
 def exchange_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D3: quoted 3-field exchange list, one line per part. Parts with key % 3 = 0
     are listed under an exchange-only symbol ('X<key>'), so they are on this
     list but not in the financials."""
-    p = read_table(spark, sf_dir, "part")
-    k = F.col("p_partkey")
-    sym = F.concat(F.when(k % 3 == 0, F.lit("X")).otherwise(F.lit("P")), k.cast("string"))
-    line = F.concat_ws(",", _q(sym), _q(F.concat(F.col("p_name"), F.lit(", Inc."))), _q(F.lit("1.00")))
-    return _with_header(spark, EXCHANGE_HEADER, p.select(line.alias("value")))
+    lines = read_table(spark, sf_dir, "part").selectExpr("""
+        concat('"', CASE WHEN p_partkey % 3 = 0 THEN 'X' ELSE 'P' END, CAST(p_partkey AS STRING),
+               '","', p_name, ', Inc.","1.00"') AS value""")
+    return _with_header(spark, EXCHANGE_HEADER, lines)
 
 
 def access_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D4: one access-log line per event; bytes '-' when event_id % 10 = 0, a
     trailing referrer when event_id % 15 = 1 (both do not match the pattern)."""
-    e = read_table(spark, sf_dir, "events")
-    i = F.col("event_id")
-    size = F.when(i % 10 == 0, F.lit("-")).otherwise((i % 5000).cast("string"))
-    line = F.concat(
-        F.lit("10.0."), (F.col("user_id") % 256).cast("string"), F.lit(".1 - - ["),
-        F.date_format("ts", "yyyy-MM-dd"), F.lit('] "GET /'), F.col("event_type"), F.lit(' HTTP/1.0" 200 '),
-        size, F.when(i % 15 == 1, F.lit(' "ref"')).otherwise(F.lit("")),
-    )
-    return e.select(line.alias("value"))
+    return read_table(spark, sf_dir, "events").selectExpr("""
+        concat('10.0.', CAST(user_id % 256 AS STRING), '.1 - - [', date_format(ts, 'yyyy-MM-dd'),
+               '] "GET /', event_type, ' HTTP/1.0" 200 ',
+               CASE WHEN event_id % 10 = 0 THEN '-' ELSE CAST(event_id % 5000 AS STRING) END,
+               CASE WHEN event_id % 15 = 1 THEN ' "ref"' ELSE '' END) AS value""")
 
 
 def ratings_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D5: tab-separated ratings (posted, cust_id, prod_id, rating, message);
     rating 300 (out of TINYINT range) when event_id % 50 = 0."""
-    e = read_table(spark, sf_dir, "events")
-    i = F.col("event_id")
-    rating = F.when(i % 50 == 0, F.lit(300)).otherwise(i % 6).cast("string")
-    line = F.concat_ws("\t", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.col("user_id").cast("string"),
-                       (i % 500).cast("string"), rating, F.col("event_type"))
-    return e.select(line.alias("value"))
+    return read_table(spark, sf_dir, "events").selectExpr("""
+        concat_ws('\t', date_format(ts, 'yyyy-MM-dd HH:mm:ss'), CAST(user_id AS STRING),
+                  CAST(event_id % 500 AS STRING),
+                  CAST(CASE WHEN event_id % 50 = 0 THEN 300 ELSE event_id % 6 END AS STRING),
+                  event_type) AS value""")
 
 
 def loyalty_rows(spark: SparkSession, sf_dir: str, order_ids_kept: int = 3) -> DataFrame:
