@@ -29,13 +29,9 @@ def parse_financials(lines: DataFrame, line_col: str = "value") -> DataFrame:
     (symbol = 'Symbol', any case) are dropped. Over-long rows keep their first
     15 fields. The field count is computed only for rows the parser flagged."""
     parsed = parse_delimited(lines.select(F.col(line_col).alias("value")), FINANCIALS_SCHEMA, keep_line=True)
-    return (
-        parsed.where(F.trim(F.col("line")) != "")
-        .where(F.coalesce(F.lower(F.col("symbol")) != "symbol", F.lit(True)))
-        .withColumn("_short", F.when(F.col("_malformed"), token_count(F.col("line")) < MIN_FIELDS)
-                    .otherwise(F.lit(False)))
-        .drop("_malformed", "line")
-    )
+    keep = (F.trim(F.col("line")) != "") & F.coalesce(F.lower(F.col("symbol")) != "symbol", F.lit(True))
+    short = F.when(F.col("_malformed"), token_count(F.col("line")) < MIN_FIELDS).otherwise(F.lit(False))
+    return parsed.where(keep).select(*FINANCIALS_FIELDS, short.alias("_short"))
 
 
 def with_defaults(fin: DataFrame) -> DataFrame:

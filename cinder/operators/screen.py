@@ -32,12 +32,12 @@ def parse_listing(lines: DataFrame, line_col: str = "value") -> DataFrame:
     a good row has 9 fields by definition."""
     parsed = parse_delimited(lines.select(F.col(line_col).alias("value")), LISTING_SCHEMA, keep_line=True)
     bad = F.col("_malformed") | (F.col("line") == "")
-    return (
-        parsed.withColumn("bad_width", bad)
-        .withColumn("n_tokens", F.when(bad, token_count(F.col("line"))).otherwise(F.lit(LISTING_WIDTH)))
-        .withColumn("is_header", F.coalesce(ieq(F.col("symbol"), "symbol") | ieq(F.col("sector"), "sector"),
-                                            F.lit(False)))
-        .drop("_malformed")
+    return parsed.select(
+        *LISTING_FIELDS,
+        "line",
+        bad.alias("bad_width"),
+        F.when(bad, token_count(F.col("line"))).otherwise(F.lit(LISTING_WIDTH)).alias("n_tokens"),
+        F.coalesce(ieq(F.col("symbol"), "symbol") | ieq(F.col("sector"), "sector"), F.lit(False)).alias("is_header"),
     )
 
 
