@@ -2,9 +2,9 @@
 
 An unpartitioned ``row_number()`` would sort every row in one task. Instead:
 
-1. range-partition on the keys (Spark samples the keys, so partitions are
-   balanced even when one group holds a large share of the rows) and sort
-   within each partition;
+1. range-partition on the keys plus a per-row tie-breaker (Spark samples the
+   keys, so partitions are balanced even when one group, or one key value,
+   holds a large share of the rows) and sort within each partition;
 2. tag each row with (partition, position in partition) and stage the rows
    as a table in the checkpoint folder, so the tags stay fixed if a task is
    re-run;
@@ -34,14 +34,16 @@ def number_rows(
     """Add ``name`` (BIGINT, from 1) numbering rows by ``order_cols`` within each
     ``partition_cols`` group. Ties get distinct consecutive numbers."""
     part = list(partition_cols or [])
-    keys = part + list(order_cols)
+    # the tie-breaker lets range partitioning split rows with equal keys; ties
+    # have no required order, so any distinct value per row will do
+    keys = part + list(order_cols) + ["_tb"]
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     mono = F.monotonically_increasing_id()
     # Range partitioning samples its input in a job of its own; keep the input
     # while staging so the upstream plan runs once. Nothing reads it after the
     # staged table is written, so it is released right away.
-    source = df.persist(StorageLevel.MEMORY_AND_DISK)
+    source = df.withColumn("_tb", mono).persist(StorageLevel.MEMORY_AND_DISK)
     staged = stage(
         source.repartitionByRange(n, *keys)
         .sortWithinPartitions(*keys)
@@ -67,5 +69,5 @@ def number_rows(
         # one row per partition: a proven bound, always broadcast
         joined = staged.join(F.broadcast(offsets), "_pid")
     return joined.withColumn(name, (F.col("_off") + F.col("_pos") - F.col("_first") + 1).cast("bigint")).drop(
-        "_pid", "_pos", "_first", "_off"
+        "_pid", "_pos", "_first", "_off", "_tb"
     )
