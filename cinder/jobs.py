@@ -12,6 +12,8 @@ overwritten.
   financials IN OUT                cleaned (symbol,dividend,pe) tuple lines
   report     FIN EXCH OUT [--k N]  common symbols, total, top-k dividend/growth
   accesslog  IN OUT                regex-parsed access log as Parquet
+  ratings    IN TABLE              create the typed ratings table if missing,
+                                   replace its rows with the TSV, print the count
 """
 
 from __future__ import annotations
@@ -27,6 +29,9 @@ from cinder.operators import financials as fin_ops
 from cinder.operators import listing as lst
 from cinder.operators import screen as scr
 from cinder.operators import words
+from cinder import tables
+from cinder.sources.delimited import RATINGS_SCHEMA, read_typed_tsv
+from cinder.sources.external import overwrite_load
 from cinder.sources.regex_log import parse_access_log
 from cinder.sources.text import read_lines
 
@@ -59,10 +64,17 @@ def run(argv: list[str], spark: SparkSession | None = None) -> str:
     a = sub.add_parser("accesslog")
     a.add_argument("input")
     a.add_argument("output")
+    rt = sub.add_parser("ratings")
+    rt.add_argument("input")
+    rt.add_argument("table")
     for sp in (w, s, f, r, a):
         sp.add_argument("--exact-output", action="store_true")
     args = p.parse_args(argv)
     spark = spark or SparkSession.builder.appName(f"cinder-{args.job}").getOrCreate()
+    if args.job == "ratings":
+        tables.create_table(spark, args.table, RATINGS_SCHEMA, comment="Ratings table")
+        overwrite_load(read_typed_tsv(spark, args.input, RATINGS_SCHEMA), args.table)
+        return str(spark.table(args.table).count())
     out = _out(args.output, args.exact_output)
 
     if args.job == "wordcount":

@@ -6,7 +6,6 @@ import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as _T
 
 from cinder.operators import financials as fin_ops
 from cinder.operators import listing as lst
@@ -14,7 +13,7 @@ from cinder.operators import nested, retail, words
 from cinder.operators import screen as scr
 from cinder.operators.partitioning import spread
 from cinder.plans import fixtures as fx
-from cinder.sources.delimited import parse_delimited
+from cinder.sources.delimited import RATINGS_SCHEMA, parse_delimited
 from cinder.sources.external import read_external
 from cinder.sources.regex_log import parse_access_log
 from cinder.sources.tables import TABLE_SCHEMAS, read_table, table_path
@@ -231,16 +230,6 @@ def q_listing_report(spark, sf_dir):
 
 # ---------------------------------------------------------------- access log (D4), ratings (D5), loyalty (D6)
 
-# The ratings table's columns and types.
-RATINGS_SCHEMA = _T.StructType([
-    _T.StructField("posted", _T.TimestampNTZType()),
-    _T.StructField("cust_id", _T.IntegerType()),
-    _T.StructField("prod_id", _T.IntegerType()),
-    _T.StructField("rating", _T.ByteType()),
-    _T.StructField("message", _T.StringType()),
-])
-
-
 @query("log_parse")
 def q_log_parse(spark, sf_dir):
     return parse_access_log(spread(fx.access_log_lines(spark, sf_dir)))

@@ -20,6 +20,15 @@ QUOTE_AWARE_COMMA = ',(?=(?:[^"]*+"[^"]*+")*+[^"]*+$)'
 
 CORRUPT_COL = "_corrupt_record"
 
+# The ratings table's columns and types (tab-separated text).
+RATINGS_SCHEMA = T.StructType([
+    T.StructField("posted", T.TimestampNTZType()),
+    T.StructField("cust_id", T.IntegerType()),
+    T.StructField("prod_id", T.IntegerType()),
+    T.StructField("rating", T.ByteType()),
+    T.StructField("message", T.StringType()),
+])
+
 
 def token_count(line: Column, sep_regex: str = QUOTE_AWARE_COMMA) -> Column:
     """Number of fields in a line, trailing empty fields included."""

@@ -3,7 +3,7 @@ import os
 
 from cinder.operators import financials as fin
 from cinder.operators import screen as scr
-from cinder.plans.catalog import RATINGS_SCHEMA
+from cinder.sources.delimited import RATINGS_SCHEMA
 from cinder.sources.delimited import read_delimited, read_typed_tsv
 from cinder.sources.text import read_lines
 

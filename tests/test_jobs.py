@@ -48,3 +48,14 @@ def test_screen_financials_report_accesslog_jobs(spark, tmp_dir):
     _write(log, '10.0.0.1 - - [2024-01-01] "GET /a HTTP/1.0" 200 5\nbad line\n')
     lo = jobs.run(["accesslog", log, os.path.join(tmp_dir, "al"), "--exact-output"], spark)
     assert spark.read.parquet(lo).where("ip IS NOT NULL").count() == 1
+
+
+def test_ratings_job(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "ratings.tsv")
+    _write(src, "2012-05-21 12:52:48\t1043182\t1274362\t5\tThis is truly fantastic!\n"
+                "2012-10-14 01:36:07\t1242853\t1273879\t2\tThe product quality was OK\n")
+    spark.sql("DROP TABLE IF EXISTS ratings_job_t")
+    assert jobs.run(["ratings", src, "ratings_job_t"], spark) == "2"
+    assert jobs.run(["ratings", src, "ratings_job_t"], spark) == "2"  # reload replaces
+    assert spark.table("ratings_job_t").where("rating = 5").count() == 1
+    spark.sql("DROP TABLE IF EXISTS ratings_job_t")
