@@ -33,6 +33,7 @@ from cinder import tables
 from cinder.sources.delimited import RATINGS_SCHEMA, read_typed_tsv
 from cinder.sources.external import overwrite_load
 from cinder.sources.regex_log import parse_access_log
+from cinder.session import RECOMMENDED_CONF
 from cinder.sources.text import read_lines
 
 
@@ -70,7 +71,11 @@ def run(argv: list[str], spark: SparkSession | None = None) -> str:
     for sp in (w, s, f, r, a):
         sp.add_argument("--exact-output", action="store_true")
     args = p.parse_args(argv)
-    spark = spark or SparkSession.builder.appName(f"cinder-{args.job}").getOrCreate()
+    if spark is None:
+        builder = SparkSession.builder.appName(f"cinder-{args.job}")
+        for k, v in RECOMMENDED_CONF.items():  # includes spark.ui.enabled=false
+            builder = builder.config(k, v)
+        spark = builder.getOrCreate()
     if args.job == "ratings":
         tables.create_table(spark, args.table, RATINGS_SCHEMA, comment="Ratings table")
         overwrite_load(read_typed_tsv(spark, args.input, RATINGS_SCHEMA), args.table)
