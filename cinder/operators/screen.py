@@ -106,6 +106,14 @@ def screen_symbols(records: DataFrame, billion: bool = False, chunk_size: int =
     )
 
 
+def screen_symbol_rows(records: DataFrame, billion: bool = False) -> DataFrame:
+    """AGG-4 as rows: (sector, position, symbol), the symbol's place in its
+    sector's ordered list. Nothing is concatenated, so no value grows with a
+    sector; ``screen_symbols`` is the same list joined into bounded parts."""
+    return number_rows(_screened(records, billion, False).select("sector", "symbol"),
+                       ["symbol"], ["sector"], name="position")
+
+
 def screen_counters(parsed: DataFrame, billion: bool = False) -> DataFrame:
     """Job counters in one pass (AGG-11): per sector and in total (sector NULL),
     data records attempted and records that passed the screen."""

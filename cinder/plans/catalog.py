@@ -162,6 +162,11 @@ def q_screen_symbols(spark, sf_dir):
     return scr.screen_symbols(scr.listing_records(_listing(spark, sf_dir)), billion=False, chunk_size=100)
 
 
+@query("screen_symbol_rows")
+def q_screen_symbol_rows(spark, sf_dir):
+    return scr.screen_symbol_rows(scr.listing_records(_listing(spark, sf_dir)), billion=False)
+
+
 @query("screen_formatted")
 def q_screen_formatted(spark, sf_dir):
     return scr.screen_formatted(scr.listing_records(_listing(spark, sf_dir)), billion=False)

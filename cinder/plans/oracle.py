@@ -107,6 +107,10 @@ FROM (SELECT sector, symbol,
       FROM v WHERE NOT is_b)
 GROUP BY sector, part"""
 
+ORACLE["screen_symbol_rows"] = _D1 + """
+SELECT sector, row_number() OVER (PARTITION BY sector ORDER BY symbol)::BIGINT AS position, symbol
+FROM v WHERE NOT is_b"""
+
 ORACLE["screen_formatted"] = _D1 + """
 SELECT 'Sector: ' || sector AS sector_label, count(*)::BIGINT AS company_count,
        '$' || format('{:,.2f}', sum(cap_usd)::DECIMAL(38,2)) AS total_market_cap
