@@ -86,8 +86,8 @@ def report(fin: DataFrame, exch: DataFrame, k: int = 10) -> DataFrame:
     * ``top_dividend`` / ``top_growth``: ranks 1..k with the formatted value.
 
     The join runs once: its rows (symbol, dividend, growth) are numbered, and
-    the numbering checkpoints them, so the total and both rankings read the
-    checkpointed rows instead of re-running the join (MEM-1 without a cache
+    the numbering stages them as a table, so the total and both rankings read
+    the staged rows instead of re-running the join (MEM-1 without a cache
     left behind; a re-run task reads the same rows).
     """
     joined = join_both(fin.select("symbol", "dividend", "low_52w", "high_52w"), exch.select("symbol"))
