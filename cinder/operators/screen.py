@@ -54,8 +54,8 @@ def listing_rejects(parsed: DataFrame) -> DataFrame:
 def cap_normalize(records: DataFrame) -> DataFrame:
     """(symbol, market_cap, cap_unit, cap_usd): units from the actual suffix."""
     return records.select(
-        "symbol", "market_cap", cap_unit(F.col("market_cap")).alias("cap_unit"),
-        cap_usd(F.col("market_cap")).alias("cap_usd"),
+        "symbol", "market_cap", cap_unit("market_cap").alias("cap_unit"),
+        cap_usd("market_cap").alias("cap_usd"),
     )
 
 
@@ -64,7 +64,7 @@ def _screened(records: DataFrame, billion: bool, known_sectors_only: bool) -> Da
     out = records.where(is_b if billion else ~is_b)
     if known_sectors_only:
         out = out.where(~ieq(F.col("sector"), "n/a"))
-    return out.withColumn("cap_usd", cap_usd(F.col("market_cap")))
+    return out.withColumn("cap_usd", cap_usd("market_cap"))
 
 
 def screen(records: DataFrame, billion: bool = False, known_sectors_only: bool = False) -> DataFrame:
