@@ -37,16 +37,17 @@ def number_rows(
     # the tie-breaker lets range partitioning split rows with equal keys; ties
     # have no required order, so any distinct value per row will do
     keys = part + list(order_cols) + ["_tb"]
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     mono = F.monotonically_increasing_id()
     # Range partitioning samples its input in a job of its own; keep the input
     # while staging so the upstream plan runs once. Nothing reads it after the
     # staged table is written, so it is released right away.
     source = df.withColumn("_tb", mono).persist(StorageLevel.MEMORY_AND_DISK)
+    # Without an explicit count AQE may merge adjacent ranges of a small input;
+    # the order is kept and the tags below are taken after the merge.
+    ranged = (source.repartitionByRange(num_partitions, *keys) if num_partitions
+              else source.repartitionByRange(*keys))
     staged = stage(
-        source.repartitionByRange(n, *keys)
-        .sortWithinPartitions(*keys)
+        ranged.sortWithinPartitions(*keys)
         .withColumn("_tag", mono)
         .withColumn("_pid", F.shiftright(F.col("_tag"), _POS_BITS))
         .withColumn("_pos", F.col("_tag").bitwiseAND(F.lit((1 << _POS_BITS) - 1)))
