@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cinder.llm import bpe_rank_array, packing_certified, token_files
+from cinder.llm import bpe_rank_array, langid_centroid, packing_certified, quality_llr, token_files
 from cinder.llm.common import read_table
 from cinder.llm.tokenizer import vocabulary_path
 from cinder.session import ensure_checkpoint_dir
@@ -37,3 +37,14 @@ def op8_token_files(spark, sf_dir):
     folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/cinder-tokens-{uuid.uuid4().hex}"
     token_files.write_token_files(read_table(spark, sf_dir, "documents"), f"{folder}/out", f"{folder}/work", vocabulary_path(), end_id=2)
     return token_files.digests(token_files.read_token_files(spark, f"{folder}/out"))
+
+
+@query
+def op5_nearest_centroid(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    return langid_centroid.predict(docs, langid_centroid.fit(docs))
+
+
+@query
+def op10_quality_llr(spark, sf_dir):
+    return quality_llr.score(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
