@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cinder.llm import bpe_rank_array, langid_centroid, packing_certified, quality_llr, token_files
+from cinder.llm import bpe_rank_array, langid_centroid, packing_certified, pii_weak, quality_llr, token_files
 from cinder.llm.common import read_table
 from cinder.llm.tokenizer import vocabulary_path
 from cinder.session import ensure_checkpoint_dir
@@ -32,6 +32,12 @@ def op6_best_fit_packing(spark, sf_dir):
     return packing_certified.pack(read_table(spark, sf_dir, "documents"), vocabulary_path(), end_id=0, capacity=2048)
 
 
+@query
+def op7_pii_weak(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    return pii_weak.find(docs, pii_weak.fit(docs))
+
+
 @query
 def op8_token_files(spark, sf_dir):
     folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/cinder-tokens-{uuid.uuid4().hex}"
