@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cinder.llm import bpe_rank_array, langid_centroid, packing_certified, pii_weak, quality_llr, token_files
+from cinder.llm import bpe_rank_array, html_tree, langid_centroid, license_scan, packing_certified, pii_weak, quality_llr, token_files
 from cinder.llm.common import read_table
 from cinder.llm.tokenizer import vocabulary_path
 from cinder.session import ensure_checkpoint_dir
@@ -45,12 +45,23 @@ def op8_token_files(spark, sf_dir):
     return token_files.digests(token_files.read_token_files(spark, f"{folder}/out"))
 
 
+@query
+def op4_html_tree(spark, sf_dir):
+    return html_tree.extract(read_table(spark, sf_dir, "pages"))
+
+
 @query
 def op5_nearest_centroid(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents")
     return langid_centroid.predict(docs, langid_centroid.fit(docs))
 
 
+@query
+def op9_license_scan(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    return license_scan.summary(license_scan.scan(docs, license_scan.fit(docs)))
+
+
 @query
 def op10_quality_llr(spark, sf_dir):
     return quality_llr.score(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
