@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cinder.llm import bpe_rank_array, html_tree, langid_centroid, license_scan, packing_certified, pii_weak, quality_llr, token_files
+from cinder.llm import bpe_rank_array, html_tree, langid_centroid, license_scan, packing_certified, pii_weak, quality_llr, token_files, topk_mtree
 from cinder.llm.common import read_table
 from cinder.llm.tokenizer import vocabulary_path
 from cinder.session import ensure_checkpoint_dir
@@ -22,6 +22,28 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op1_mtree_topk(spark, sf_dir):
+    return topk_mtree.top_k(read_table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 100 == 0, k=10)
+
+
+LLM_ORACLE["op1_mtree_topk"] = """
+WITH good AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM good q JOIN good c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+  WHERE q.vec_id % 100 = 0),
+ranked AS (
+  SELECT query_id, vec_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+
 @query
 def op2_bpe_rank_array(spark, sf_dir):
     return bpe_rank_array.digests(bpe_rank_array.round_trip(read_table(spark, sf_dir, "documents"), vocabulary_path()))
