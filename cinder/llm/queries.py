@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cinder.llm import bpe_rank_array, html_tree, langid_centroid, license_scan, packing_certified, pii_weak, quality_llr, token_files, topk_mtree
+from cinder.llm import bpe_rank_array, html_tree, langid_centroid, license_scan, minhash_bottomk, packing_certified, pii_weak, quality_llr, token_files, topk_mtree
 from cinder.llm.common import read_table
 from cinder.llm.tokenizer import vocabulary_path
 from cinder.session import ensure_checkpoint_dir
@@ -67,6 +67,36 @@ def op8_token_files(spark, sf_dir):
     return token_files.digests(token_files.read_token_files(spark, f"{folder}/out"))
 
 
+@query
+def op3_minhash_bottomk(spark, sf_dir):
+    return minhash_bottomk.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+LLM_ORACLE["op3_minhash_bottomk"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS words FROM documents),
+sh AS (
+  SELECT DISTINCT doc_id, unnest(CASE
+    WHEN len(words) = 0 THEN CAST([] AS VARCHAR[])
+    WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+    ELSE list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')) END) AS s FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+edges AS (
+  SELECT a, b FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * i >= 75 * (x.n + y.n - i)),
+both_ways AS (SELECT a, b FROM edges UNION ALL SELECT b, a FROM edges),
+reach(doc_id, r) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION
+  SELECT reach.doc_id, e.b FROM reach JOIN both_ways e ON e.a = reach.r),
+least AS (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, l.component_id, d.doc_id = l.component_id AS kept
+FROM documents d JOIN least l USING (doc_id) LEFT JOIN n USING (doc_id)
+"""
+
+
 @query
 def op4_html_tree(spark, sf_dir):
     return html_tree.extract(read_table(spark, sf_dir, "pages"))
