@@ -117,3 +117,10 @@ def op9_license_scan(spark, sf_dir):
 @query
 def op10_quality_llr(spark, sf_dir):
     return quality_llr.score(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+@query
+def pipeline(spark, sf_dir):
+    import corpus_pipeline  # stands at the repository's top and imports this subpackage
+
+    return corpus_pipeline.run(spark, sf_dir)

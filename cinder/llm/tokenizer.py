@@ -15,9 +15,9 @@ from functools import lru_cache
 VOCABULARY = "word_bpe_49k.json"
 
 #: Words without control characters, combining marks or other scripts: NFC leaves them alone.
-_PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+").fullmatch
-#: Fixed value: the splitting pattern of the vocabulary file, its classes narrowed to _PLAIN, in lower case.
-_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zà-öø-ÿß]+|[0-9]|[^a-z0-9à-öø-ÿß]+").findall
+PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+").fullmatch
+#: Fixed value: the splitting pattern of the vocabulary file, its classes narrowed to PLAIN, in lower case.
+PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zà-öø-ÿß]+|[0-9]|[^a-z0-9à-öø-ÿß]+").findall
 _SPACES = re.compile("[ \t-\r]+").split
 _ODD_SPACES = re.compile("[\x1c-\x1f]").search
 
@@ -72,11 +72,11 @@ class WordTable(dict):
     def __missing__(self, word: str) -> bytes:
         import numpy as np
 
-        if len(word) > self.longest or "<|" in word or not _PLAIN(word):
+        if len(word) > self.longest or "<|" in word or not PLAIN(word):
             out = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
         else:
             known = self.pieces
-            out = b"".join([known.get(p) or self.piece(p) for p in _PIECES(word.lower())])
+            out = b"".join([known.get(p) or self.piece(p) for p in PIECES(word.lower())])
         if len(word) <= self.longest:
             if len(self) >= self.limit:
                 self.clear()
