@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 
 
 def currency(x: Column) -> Column:
-    """'$1,234.50' with thousands separators, rounded half-even to cents."""
-    return F.when(x < 0, F.concat(F.lit("-$"), F.format_number(-x, 2))).otherwise(
+    """'$1,234.50' with thousands separators, rounded half-even to cents. A double's exact value is
+    rounded, so do not round it before. NaN and the infinities have a text of their own."""
+    d = x.cast("double")
+    special = F.when(F.isnan(d), F.lit("$NaN")).when(d == float("inf"), F.lit("$Infinity")).when(d == float("-inf"), F.lit("-$Infinity"))
+    return special.when(x < 0, F.concat(F.lit("-$"), F.format_number(-x, 2))).otherwise(
         F.concat(F.lit("$"), F.format_number(x, 2))
     )
 
@@ -19,6 +22,5 @@ def whole_percent(ratio: Column) -> Column:
 
 
 def dollars_plain(x: Column) -> Column:
-    """printf('$%.2f', x) -- no separators. ``x`` is cast to DOUBLE first
-    (``%f`` does not take a DECIMAL)."""
-    return F.format_string("$%.2f", x.cast("double"))
+    """printf('$%.2f', x) -- no separators. The DECIMAL's own digits are printed, no double in between."""
+    return F.concat(F.lit("$"), x.cast("decimal(38,2)").cast("string"))

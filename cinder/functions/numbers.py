@@ -11,13 +11,16 @@ CAP_AMOUNT = "decimal(30,8)"  # the number before the unit, parsed before scalin
 
 # A market cap is written "$<number>" with an optional unit
 # suffix, B (x 1e9) or M (x 1e6); "n/a" means unknown (counted as 0).
-CAP_PATTERN = r"^\$([0-9]+(?:\.[0-9]+)?)([MB]?)$"
+CAP_PATTERN = r"^\$([0-9]+\.?[0-9]*|\.[0-9]+)([MB]?)\z"
 CAP_UNKNOWN = "n/a"
+# Float text as the JVM reads it (blanks around allowed).
+FLOAT_PATTERN = (r"^[\x00-\x20]*[+-]?(NaN|Infinity|([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?[fFdD]?|"
+                 r"0[xX]([0-9a-fA-F]+\.?|[0-9a-fA-F]*\.[0-9a-fA-F]+)[pP][+-]?[0-9]+[fFdD]?)[\x00-\x20]*\z")
 
 
 def try_float(s: Column) -> Column:
-    """String -> FLOAT, NULL when the text is not a float (blanks around are allowed)."""
-    return s.try_cast("float")
+    """String -> FLOAT, NULL when the text is not a float (the cast alone also takes 'nan', 'inf' and any case)."""
+    return F.when(s.rlike(FLOAT_PATTERN), s.try_cast("float"))
 
 
 def float_or_zero(s: Column) -> Column:
@@ -25,37 +28,26 @@ def float_or_zero(s: Column) -> Column:
     return F.coalesce(try_float(s), F.lit(0.0).cast("float"))
 
 
-def cap_unit(cap: Column | str) -> Column:
-    """'B', 'M' or '' for a well-formed cap, NULL otherwise (n/a, garbage)."""
-    if isinstance(cap, str):
-        return F.expr(f"CASE WHEN `{cap}` RLIKE '{_sql(CAP_PATTERN)}' "
-                      f"THEN regexp_extract(`{cap}`, '{_sql(CAP_PATTERN)}', 2) END")
-    return F.when(cap.rlike(CAP_PATTERN), F.regexp_extract(cap, CAP_PATTERN, 2))
+def cap_unit(cap: str) -> Column:
+    """'B', 'M' or '' for a well-formed cap in column ``cap``, NULL otherwise (n/a, garbage)."""
+    return F.expr(f"CASE WHEN `{cap}` RLIKE '{_sql(CAP_PATTERN)}' "
+                  f"THEN regexp_extract(`{cap}`, '{_sql(CAP_PATTERN)}', 2) END")
 
 
-def cap_usd(cap: Column | str) -> Column:
-    """Cap in dollars as DECIMAL(38,2): unit taken from the actual suffix; n/a -> 0.
+def cap_usd(cap: str) -> Column:
+    """Cap in dollars as DECIMAL(38,2): unit taken from the actual suffix; n/a -> 0, other text -> NULL.
 
     The amount keeps its own decimals until it is scaled ('$1.234M' is
-    1,234,000.00), then rounds to cents. Given a column name, the expression is
-    built as one SQL string (one call to the JVM instead of dozens)."""
-    if isinstance(cap, str):
-        rx = _sql(CAP_PATTERN)
-        amount = f"try_cast(regexp_extract(`{cap}`, '{rx}', 1) AS {CAP_AMOUNT})"
-        unit = f"CASE WHEN `{cap}` RLIKE '{rx}' THEN regexp_extract(`{cap}`, '{rx}', 2) END"
-        return F.expr(
-            f"CASE WHEN lower(trim(`{cap}`)) = '{CAP_UNKNOWN}' THEN CAST(0 AS {CAP}) "
-            f"ELSE CAST(CASE WHEN {unit} = 'B' THEN {amount} * 1000000000 "
-            f"WHEN {unit} = 'M' THEN {amount} * 1000000 ELSE {amount} END AS {CAP}) END"
-        )
-    amount = F.regexp_extract(cap, CAP_PATTERN, 1).try_cast(CAP_AMOUNT)
-    unit = cap_unit(cap)
-    scaled = (
-        F.when(unit == "B", amount * F.lit(1000000000))
-        .when(unit == "M", amount * F.lit(1000000))
-        .otherwise(amount)
+    1,234,000.00), then rounds to cents. The expression is built as one SQL
+    string (one call to the JVM instead of dozens)."""
+    rx = _sql(CAP_PATTERN)
+    amount = f"try_cast(regexp_extract(`{cap}`, '{rx}', 1) AS {CAP_AMOUNT})"
+    unit = f"CASE WHEN `{cap}` RLIKE '{rx}' THEN regexp_extract(`{cap}`, '{rx}', 2) END"
+    return F.expr(
+        f"CASE WHEN lower(trim(`{cap}`)) = '{CAP_UNKNOWN}' THEN CAST(0 AS {CAP}) "
+        f"ELSE CAST(CASE WHEN {unit} = 'B' THEN {amount} * 1000000000 "
+        f"WHEN {unit} = 'M' THEN {amount} * 1000000 ELSE {amount} END AS {CAP}) END"
     )
-    return F.when(F.lower(F.trim(cap)) == CAP_UNKNOWN, F.lit(0).cast(CAP)).otherwise(scaled.cast(CAP))
 
 
 def _sql(pattern: str) -> str:

@@ -18,7 +18,3 @@ def ieq(a: Column, b: str) -> Column:
     """Case-insensitive equality with a constant."""
     return F.lower(a) == F.lit(b.lower())
 
-
-def concat_strict(*cols: Column) -> Column:
-    """``concat`` that is NULL when any part is NULL (Hive/Spark semantics)."""
-    return F.concat(*cols)

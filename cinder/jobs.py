@@ -8,7 +8,7 @@ overwritten.
   wordcount  IN OUT [--shards N]   (word,n) tuple lines in word order, or N
                                    key<TAB>count shards, each sorted
   screen     IN OUT [--billion] [--known-sectors] [--chunk N]
-                                   per-sector totals (CSV) and symbol lists
+                                   per-sector totals, symbol lists and counters (CSV)
   financials IN OUT                cleaned (symbol,dividend,pe) tuple lines
   report     FIN EXCH OUT [--k N]  common symbols, total, top-k dividend/growth
   accesslog  IN OUT                regex-parsed access log as Parquet
@@ -29,6 +29,7 @@ from cinder.operators import financials as fin_ops
 from cinder.operators import listing as lst
 from cinder.operators import screen as scr
 from cinder.operators import words
+from cinder.operators.staging import release, stage
 from cinder import tables
 from cinder.sources.delimited import RATINGS_SCHEMA, read_typed_tsv
 from cinder.sources.external import overwrite_load
@@ -89,12 +90,15 @@ def run(argv: list[str], spark: SparkSession | None = None) -> str:
         else:
             sinks.write_tuples(counts.orderBy("word"), out, ["word", "n"])
     elif args.job == "screen":
-        recs = scr.listing_records(scr.parse_listing(read_lines(spark, args.input)))
+        parsed = stage(scr.parse_listing(read_lines(spark, args.input)), "listing")  # read and parsed once
+        recs = scr.listing_records(parsed)
         totals = scr.screen(recs, billion=args.billion, known_sectors_only=args.known_sectors)
         totals.withColumn("total_market_cap", currency(totals["total_cap"])).orderBy("sector").write.mode(
             "errorifexists").option("header", True).csv(f"{out}/totals")
         scr.screen_symbols(recs, billion=args.billion, chunk_size=args.chunk).orderBy("sector", "part").write.mode(
             "errorifexists").option("header", True).csv(f"{out}/symbols")
+        scr.screen_counters(parsed, billion=args.billion).write.mode("errorifexists").option("header", True).csv(f"{out}/counters")
+        release(parsed)
     elif args.job == "financials":
         cleaned = fin_ops.clean_text(fin_ops.parse_financials(read_lines(spark, args.input)))
         sinks.write_tuples(cleaned.orderBy("symbol"), out, ["symbol", "dividend", "pe"])

@@ -82,11 +82,6 @@ def counts(fin: DataFrame) -> DataFrame:
     )
 
 
-def render_tuples(df: DataFrame, cols: list[str]) -> DataFrame:
-    """SNK-1 text form: '(a,b,c)' per row in a ``value`` column."""
-    return df.select(F.concat(F.lit("("), F.concat_ws(",", *[F.col(c) for c in cols]), F.lit(")")).alias("value"))
-
-
 def clean_observed(fin: DataFrame):
     """``clean`` plus valid / invalid counts collected while it runs (the
     accumulator form of AGG-12). Returns ``(clean_df, observation)``."""

@@ -18,8 +18,15 @@ def map_lookup(loyalty: DataFrame, key: str = "HOME", cust_id: int | None = None
     return _point(loyalty, cust_id).select("cust_id", map_value(F.col("phone"), key).alias("home_phone"))
 
 
-def array_element(loyalty: DataFrame, index0: int = 2, cust_id: int | None = None) -> DataFrame:
-    return _point(loyalty, cust_id).select("cust_id", array_at(F.col("order_ids"), index0).alias("third_order_id"))
+def array_element(df: DataFrame, id_col: str, array_col: str, index0: int) -> DataFrame:
+    """(id, element): the array's element at a zero-based index, NULL past its end."""
+    return df.select(id_col, array_at(F.col(array_col), index0).alias("element"))
+
+
+def json_map_lookup(df: DataFrame, id_col: str, json_col: str, key: str) -> DataFrame:
+    """(id, value) of a key in a map parsed from JSON text; NULL without the key or for bad JSON."""
+    parsed = F.from_json(F.col(json_col), "map<string,string>", {"mode": "PERMISSIVE"})
+    return df.select(id_col, map_value(parsed, key).alias("value"))
 
 
 def struct_lookup(loyalty: DataFrame, field: str = "total", cust_id: int | None = None) -> DataFrame:
@@ -30,3 +37,10 @@ def rename_column(df: DataFrame, old: str, new: str) -> DataFrame:
     """CAT-4: the session catalog has no Hive ``CHANGE``; rename in the plan
     (then write it back or define a view). Data is unchanged (CAT-6)."""
     return df.withColumnRenamed(old, new)
+
+
+def point_lookup(loyalty: DataFrame, cust_id: int) -> DataFrame:
+    """FLT-10: one customer's phone, order total and level."""
+    return _point(loyalty, cust_id).select(
+        "cust_id", map_value(F.col("phone"), "HOME").alias("home_phone"),
+        struct_field(F.col("order_value"), "total").alias("order_total"), "level")

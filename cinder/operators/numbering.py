@@ -2,73 +2,117 @@
 
 An unpartitioned ``row_number()`` would sort every row in one task. Instead:
 
-1. range-partition on the keys plus a per-row tie-breaker (Spark samples the
-   keys, so partitions are balanced even when one group, or one key value,
-   holds a large share of the rows) and sort within each partition;
-2. tag each row with (partition, position in partition) and stage the rows
-   as a table in the checkpoint folder, so the tags stay fixed if a task is
-   re-run;
-3. count rows per (partition, group): a table with at most
-   partitions x groups rows, whose running totals are the offsets;
-4. row number = offset of its partition within its group + position.
+1. identical rows are counted (partial + final aggregate) and expanded again with a
+   copy number, so every row has a key of its own that a re-run task computes alike;
+2. rows are range-partitioned on the order columns, the other columns and the copy
+   number (Spark samples the keys, so partitions are balanced even when one group, or
+   one row value, holds a large share of the rows) and sorted within each partition;
+3. each row is tagged with (partition, position in partition) and staged as a table
+   in the checkpoint folder, so the tags stay fixed if a task is re-run;
+4. rows are counted per (partition, group): a table of at most partitions x groups
+   rows, whose running totals are the offsets;
+5. row number = offset of its partition within its group + position.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cinder.operators.staging import stage
 
 _POS_BITS = 33  # monotonically_increasing_id = partition << 33 | record index
+_TAGS = ["_pid", "_pos", "_copy"]
+#: Copies of one row that one task expands.
+COPIES_PER_TASK = 100_000
 
 
-def number_rows(
+@dataclass
+class NumberedRows:
+    """Staged rows in order, and per (partition, group) their count and offset."""
+
+    rows: DataFrame
+    offsets: DataFrame
+    part: list[str]
+    columns: list[str]
+
+    def data(self) -> DataFrame:
+        """The rows without numbers."""
+        return self.rows.select(*self.columns)
+
+    def total(self) -> DataFrame:
+        """One row ``n``, from the counts alone."""
+        return self.offsets.agg(F.coalesce(F.sum("_cnt"), F.lit(0)).alias("n"))
+
+    def numbered(self, name: str = "row_no") -> DataFrame:
+        if self.part:
+            # at most (partitions + groups) rows; the number of groups is not known
+            # here, so the join strategy is left to AQE (broadcast when it is small)
+            on = [self.rows["_pid"] == self.offsets["_opid"]]
+            on += [self.rows[c].eqNullSafe(self.offsets[f"_g_{c}"]) for c in self.part]
+            joined = self.rows.join(self.offsets, on, "inner")
+        else:
+            # one row per partition: a proven bound, always broadcast
+            joined = self.rows.join(F.broadcast(self.offsets), self.rows["_pid"] == self.offsets["_opid"])
+        number = (F.col("_off") + F.col("_pos") - F.col("_first") + 1).cast("bigint")
+        return joined.select(*[self.rows[c] for c in self.columns], number.alias(name))
+
+
+def _with_copy_numbers(df: DataFrame) -> DataFrame:
+    """Every row with a copy number that tells identical rows apart."""
+    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+    few = counted.where(F.col("_n") <= COPIES_PER_TASK).select(
+        *df.columns, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_n"))).alias("_copy"))
+    # a row with very many copies is expanded by many tasks
+    firsts = counted.where(F.col("_n") > COPIES_PER_TASK).select(
+        *df.columns, "_n", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_n"), F.lit(COPIES_PER_TASK).cast("bigint"))).alias("_at"))
+    many = firsts.repartition("_at").select(*df.columns, F.explode(F.sequence(
+        F.col("_at"), F.least(F.col("_n"), F.col("_at") + COPIES_PER_TASK - 1))).alias("_copy"))
+    return few.unionByName(many)
+
+
+def order_rows(
     df: DataFrame,
     order_cols: list[str],
     partition_cols: list[str] | None = None,
-    name: str = "row_no",
     num_partitions: int | None = None,
-) -> DataFrame:
-    """Add ``name`` (BIGINT, from 1) numbering rows by ``order_cols`` within each
-    ``partition_cols`` group. Ties get distinct consecutive numbers."""
+) -> NumberedRows:
     part = list(partition_cols or [])
-    # the tie-breaker lets range partitioning split rows with equal keys; ties
-    # have no required order, so any distinct value per row will do
-    keys = part + list(order_cols) + ["_tb"]
-    mono = F.monotonically_increasing_id()
-    # Range partitioning samples its input in a job of its own; keep the input
-    # while staging so the upstream plan runs once. Nothing reads it after the
-    # staged table is written, so it is released right away.
-    source = df.withColumn("_tb", mono).persist(StorageLevel.MEMORY_AND_DISK)
+    lead = part + [c for c in order_cols if c not in part]
+    keys = lead + [c for c in df.columns if c not in lead] + ["_copy"]
+    unique = _with_copy_numbers(df)
     # Without an explicit count AQE may merge adjacent ranges of a small input;
     # the order is kept and the tags below are taken after the merge.
-    ranged = (source.repartitionByRange(num_partitions, *keys) if num_partitions
-              else source.repartitionByRange(*keys))
+    ranged = (unique.repartitionByRange(num_partitions, *keys) if num_partitions
+              else unique.repartitionByRange(*keys))
     staged = stage(
         ranged.sortWithinPartitions(*keys)
-        .withColumn("_tag", mono)
+        .withColumn("_tag", F.monotonically_increasing_id())
         .withColumn("_pid", F.shiftright(F.col("_tag"), _POS_BITS))
         .withColumn("_pos", F.col("_tag").bitwiseAND(F.lit((1 << _POS_BITS) - 1)))
         .drop("_tag"),
         "numbering",
     )
-    source.unpersist()
     per_chunk = staged.groupBy("_pid", *part).agg(
         F.count(F.lit(1)).alias("_cnt"), F.min("_pos").alias("_first")
     )
     before = Window.partitionBy(*part).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_chunk.select(
-        "_pid", *part, "_first", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off")
-    )
-    if part:
-        # at most (partitions + groups) rows; the number of groups is not known
-        # here, so the join strategy is left to AQE (broadcast when it is small)
-        joined = staged.join(offsets, on=["_pid", *part], how="inner")
-    else:
-        # one row per partition: a proven bound, always broadcast
-        joined = staged.join(F.broadcast(offsets), "_pid")
-    return joined.withColumn(name, (F.col("_off") + F.col("_pos") - F.col("_first") + 1).cast("bigint")).drop(
-        "_pid", "_pos", "_first", "_off", "_tb"
+        F.col("_pid").alias("_opid"), *[F.col(c).alias(f"_g_{c}") for c in part], "_cnt", "_first",
+        F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"),
     )
+    return NumberedRows(staged, stage(offsets, "offsets"), part, list(df.columns))
+
+
+def number_rows(
+    df: DataFrame,
+    order_cols: list[str],
+    partition_cols: list[str] | None = None,
+    name: str = "row_no",
+    num_partitions: int | None = None,
+) -> DataFrame:
+    """Add ``name`` (BIGINT, from 1) numbering rows by ``order_cols`` within each
+    ``partition_cols`` group. Ties get distinct consecutive numbers."""
+    return order_rows(df, order_cols, partition_cols, num_partitions).numbered(name)

@@ -17,9 +17,6 @@ from cinder.functions.formatting import dollars_plain
 from cinder.functions.numbers import MONEY
 
 TOTAL = "decimal(38,2)"
-# Up to this many selected order keys are broadcast to the lineitem scan
-# (8-byte keys: tens of MB in the hash relation); beyond it, another plan.
-MAX_BROADCAST_KEYS = 4_000_000
 
 
 def _ntz(d: dt.date) -> F.Column:
@@ -83,13 +80,13 @@ def top_products(lineitem: DataFrame, part: DataFrame, k: int = 3) -> DataFrame:
     """Top ``k`` products by total quantity. Quantities are summed per part key
     first (partial + final aggregate), then joined to the part names."""
     qty = lineitem.groupBy("l_partkey").agg(
-        F.sum(F.col("l_quantity").cast(MONEY)).cast(MONEY).alias("ttl_qty")
+        F.sum(F.col("l_quantity").cast(MONEY)).cast(MONEY).alias("total_qty")
     )
     return (
         qty.join(part, qty.l_partkey == part.p_partkey)
-        .groupBy(F.col("l_partkey").alias("pid"), F.col("p_name"))
-        .agg(F.sum("ttl_qty").cast(MONEY).alias("ttl_qty"))
-        .orderBy(F.desc("ttl_qty"), "pid")
+        .groupBy(F.col("l_partkey").alias("product_id"), F.col("p_name"))
+        .agg(F.sum("total_qty").cast(MONEY).alias("total_qty"))
+        .orderBy(F.desc("total_qty"), "product_id")
         .limit(k)
     )
 
@@ -107,30 +104,29 @@ def _orders_in(orders: DataFrame, status: str, start: dt.date, end: dt.date | No
 
 
 def revenue_on_day(lineitem: DataFrame, orders: DataFrame, status: str, start: dt.date,
-                   end: dt.date | None = None, max_broadcast_keys: int = MAX_BROADCAST_KEYS) -> DataFrame:
+                   end: dt.date | None = None) -> DataFrame:
     """Sum of line prices of the orders with ``status`` in [start, end): a semi-join
     (``IN (subquery)``), summed as DECIMAL so the total does not depend on order.
 
-    The selected order keys are counted first (a pushed-down scan of orders):
-    * at most ``max_broadcast_keys``: they are broadcast, lineitem is filtered
-      inside its scan tasks and never shuffled;
-    * more: lineitem is summed per order first (partial + final aggregate, about
-      4 lines per order) and the per-order sums are semi-joined with a shuffle.
+    One plan at every size: the filters on orders reach its scan, AQE picks the
+    join from the real size of the keys, and Spark prunes lineitem with a Bloom
+    filter of the keys where the join shuffles.
     """
     keys = _orders_in(orders, status, start, end)
-    price = F.col("l_extendedprice").cast(MONEY)
-    if keys.count() <= max_broadcast_keys:
-        picked = lineitem.join(F.broadcast(keys), lineitem.l_orderkey == keys.o_orderkey, "left_semi")
-        return picked.agg(F.sum(price).cast(TOTAL).alias("total"))
-    per_order = lineitem.groupBy("l_orderkey").agg(F.sum(price).alias("_rev"))
-    picked = per_order.join(keys, per_order.l_orderkey == keys.o_orderkey, "left_semi")
-    return picked.agg(F.sum("_rev").cast(TOTAL).alias("total"))
+    picked = lineitem.join(keys, lineitem.l_orderkey == keys.o_orderkey, "left_semi")
+    return picked.agg(F.sum(F.col("l_extendedprice").cast(MONEY)).cast(TOTAL).alias("total"))
 
 
 def revenue_formatted(lineitem: DataFrame, orders: DataFrame, status: str, start: dt.date,
-                      end: dt.date | None = None, max_broadcast_keys: int = MAX_BROADCAST_KEYS) -> DataFrame:
-    return revenue_on_day(lineitem, orders, status, start, end, max_broadcast_keys).select(
-        dollars_plain(F.col("total")).alias("total"))
+                      end: dt.date | None = None) -> DataFrame:
+    return revenue_on_day(lineitem, orders, status, start, end).select(dollars_plain(F.col("total")).alias("total"))
+
+
+def orders_by_calendar_day(orders: DataFrame) -> DataFrame:
+    """Orders per calendar day, by ``year()``, ``month()`` and ``day()`` of the timestamp (DAT-1)."""
+    when = F.col("o_orderdate")
+    return orders.groupBy(F.year(when).alias("order_year"), F.month(when).alias("order_month"), F.day(when).alias("order_day")).agg(
+        F.count("o_orderkey").alias("n_orders"))
 
 
 def count_rows(df: DataFrame) -> DataFrame:
@@ -138,34 +134,34 @@ def count_rows(df: DataFrame) -> DataFrame:
 
 
 # The same queries as SQL text over temp views (customer, nation, part,
-# lineitem, orders). Parameters are bound by str.format.
+# lineitem, orders), for ``spark.sql(text, args={...})`` with named parameters.
 SQL = {
     "filter_like_prefix": """
         SELECT c_custkey, c_name, c_mktsegment FROM customer
-        WHERE c_mktsegment = '{segment}' AND c_name LIKE '{prefix}%'""",
+        WHERE c_mktsegment = :segment AND c_name LIKE concat(:prefix, '%')""",
     "lowest_price": """
         SELECT p_partkey, p_name, p_retailprice FROM part
         WHERE p_retailprice = (SELECT min(p_retailprice) FROM part)
-        ORDER BY p_retailprice, p_partkey LIMIT {k}""",
+        ORDER BY p_retailprice, p_partkey LIMIT :k""",
     "count_distinct_concat": """
         SELECT count(DISTINCT concat(c_mktsegment, CAST(c_nationkey AS STRING))) AS n_distinct FROM customer""",
     "distinct_addresses": """
         SELECT DISTINCT concat(c_mktsegment, CAST(c_nationkey AS STRING)) AS address FROM customer
-        ORDER BY address LIMIT {k}""",
+        ORDER BY address LIMIT :k""",
     "customers_per_group": """
         SELECT n_name, count(c_custkey) AS customer_count
-        FROM customer, nation WHERE c_nationkey = n_nationkey
+        FROM customer JOIN nation ON c_nationkey = n_nationkey
         GROUP BY n_name ORDER BY customer_count DESC, n_name""",
     "top_products": """
-        SELECT l_partkey AS pid, p_name, CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS ttl_qty
-        FROM lineitem, part WHERE lineitem.l_partkey = part.p_partkey
-        GROUP BY l_partkey, p_name ORDER BY ttl_qty DESC, pid LIMIT {k}""",
+        SELECT p_partkey AS product_id, p_name, CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS total_qty
+        FROM part JOIN lineitem ON p_partkey = l_partkey
+        GROUP BY p_partkey, p_name ORDER BY total_qty DESC, product_id LIMIT :k""",
     "orders_on_day": """
         SELECT count(o_orderkey) AS n_orders FROM orders
-        WHERE o_orderstatus = '{status}' AND year(o_orderdate) = {y} AND month(o_orderdate) = {m}
-          AND day(o_orderdate) = {d}""",
+        WHERE o_orderstatus = :status AND year(o_orderdate) = :y AND month(o_orderdate) = :m
+          AND day(o_orderdate) = :d""",
     "revenue_on_day": """
         SELECT CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS total FROM lineitem
-        WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = '{status}'
-          AND o_orderdate >= TIMESTAMP_NTZ '{start}' AND o_orderdate < TIMESTAMP_NTZ '{end}')""",
+        WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = :status
+          AND o_orderdate >= CAST(:start AS TIMESTAMP_NTZ) AND o_orderdate < CAST(:end AS TIMESTAMP_NTZ))""",
 }

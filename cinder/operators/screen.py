@@ -59,12 +59,17 @@ def cap_normalize(records: DataFrame) -> DataFrame:
     )
 
 
+def cap_rejects(records: DataFrame) -> DataFrame:
+    """(symbol, market_cap) of records whose cap is neither an amount nor n/a; no screen counts or sums them."""
+    return records.where(cap_usd("market_cap").isNull()).select("symbol", "market_cap")
+
+
 def _screened(records: DataFrame, billion: bool, known_sectors_only: bool) -> DataFrame:
     is_b = F.coalesce(F.col("market_cap").endswith("B"), F.lit(False))
     out = records.where(is_b if billion else ~is_b)
     if known_sectors_only:
         out = out.where(~ieq(F.col("sector"), "n/a"))
-    return out.withColumn("cap_usd", cap_usd("market_cap"))
+    return out.withColumn("cap_usd", cap_usd("market_cap")).where(F.col("cap_usd").isNotNull())
 
 
 def screen(records: DataFrame, billion: bool = False, known_sectors_only: bool = False) -> DataFrame:
@@ -119,11 +124,13 @@ def screen_counters(parsed: DataFrame, billion: bool = False) -> DataFrame:
     data records attempted and records that passed the screen."""
     data = parsed.where(~F.col("is_header"))
     is_b = F.coalesce(F.col("market_cap").endswith("B"), F.lit(False))
-    passed = ~F.col("bad_width") & (is_b if billion else ~is_b)
-    return data.rollup("sector").agg(
+    passed = ~F.col("bad_width") & (is_b if billion else ~is_b) & cap_usd("market_cap").isNotNull()
+    # the few sector rows are rolled up, not the data
+    per_sector = data.groupBy("sector").agg(F.count(F.lit(1)).alias("_a"), F.count_if(passed).alias("_p"))
+    return per_sector.rollup("sector").agg(
         F.grouping("sector").cast("boolean").alias("is_total"),
-        F.count(F.lit(1)).alias("attempted"),
-        F.count_if(passed).alias("processed"),
+        F.coalesce(F.sum("_a"), F.lit(0)).alias("attempted"),
+        F.coalesce(F.sum("_p"), F.lit(0)).alias("processed"),
     )
 
 
@@ -138,7 +145,7 @@ def screen_observed(parsed: DataFrame, billion: bool = False):
 
     obs = Observation("screen_counters")
     is_b = F.coalesce(F.col("market_cap").endswith("B"), F.lit(False))
-    passed = ~F.col("bad_width") & (is_b if billion else ~is_b)
+    passed = ~F.col("bad_width") & (is_b if billion else ~is_b) & cap_usd("market_cap").isNotNull()
     data = parsed.where(~F.col("is_header")).observe(
         obs, F.count(F.lit(1)).alias("attempted"), F.count_if(passed).alias("processed")
     )

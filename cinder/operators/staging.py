@@ -4,23 +4,37 @@
 checkpoint directory (``spark.checkpoint.dir`` on a cluster) and returns a
 scan of it. Compared with ``DataFrame.checkpoint()`` the staged rows are
 columnar and compressed, the read-back scan has real size statistics for join
-planning, and later tasks that fail re-read the same files.
+planning, and later tasks that fail re-read the same files. ``release`` deletes
+staged folders as soon as they are not needed; the rest is deleted when the
+application's JVM ends.
 """
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
-from cinder.session import ensure_checkpoint_dir
+from cinder.session import delete_at_end, ensure_checkpoint_dir, file_system
+
+
+def new_folder(spark: SparkSession, label: str) -> str:
+    """A path in the shared folder that nothing has used, deleted with the application."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/cinder-{label}-{uuid.uuid4().hex}"
+    delete_at_end(spark, path)
+    return path
 
 
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
-    spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark)
-    if not base:
-        return df.checkpoint(eager=True)
-    path = f"{base.rstrip('/')}/cinder-{label}-{uuid.uuid4().hex}"
+    path = new_folder(df.sparkSession, label)
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    out = df.sparkSession.read.parquet(path)
+    out._cinder_path = path
+    return out
+
+
+def release(*staged: DataFrame) -> None:
+    """Delete the folders of staged tables; no plan over them may run afterwards."""
+    for df in staged:
+        fs, path = file_system(df.sparkSession, df._cinder_path)
+        fs.delete(path, True)

@@ -1,32 +1,9 @@
-"""Top-k helpers.
-
-* global top-k: ``orderBy(...).limit(k)`` -> TakeOrderedAndProject (k rows per
-  task, then k overall);
-* k smallest per key: ``row_number() <= k`` over (key ORDER BY value). Spark
-  plans this with a partial WindowGroupLimit *before* the shuffle, so each map
-  task ships at most k rows per key and a key holding a third of the data costs
-  k rows per task, not a third of the shuffle.
-"""
+"""Global top-k: ``orderBy(...).limit(k)`` -> TakeOrderedAndProject (k rows per task, then k overall)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 
 def top_k(df: DataFrame, order: list, k: int) -> DataFrame:
     return df.orderBy(*order).limit(k)
-
-
-def smallest_k_per_key(df: DataFrame, key: str, value: str, k: int) -> DataFrame:
-    """(key, value) rows: the k smallest values of each key (ties broken arbitrarily)."""
-    w = Window.partitionBy(key).orderBy(F.col(value).asc())
-    return df.select(key, value).withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") <= k).drop("_rk")
-
-
-def smallest_k_array(df: DataFrame, key: str, value: str, k: int, name: str) -> DataFrame:
-    """(key, name ARRAY): the k smallest values of each key, ascending. The
-    collected array holds at most k elements."""
-    return smallest_k_per_key(df, key, value, k).groupBy(key).agg(
-        F.array_sort(F.collect_list(value)).alias(name)
-    )

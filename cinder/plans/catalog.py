@@ -11,12 +11,14 @@ from cinder.operators import financials as fin_ops
 from cinder.operators import listing as lst
 from cinder.operators import nested, retail, words
 from cinder.operators import screen as scr
-from cinder.operators.partitioning import spread
 from cinder.plans import fixtures as fx
-from cinder.sources.delimited import RATINGS_SCHEMA, parse_delimited
+from cinder import sinks
+from cinder.operators.staging import new_folder
+from cinder.sources.delimited import RATINGS_SCHEMA, parse_hive_text, read_typed_tsv
 from cinder.sources.external import read_external
 from cinder.sources.regex_log import parse_access_log
 from cinder.sources.tables import TABLE_SCHEMAS, read_table, table_path
+from cinder.sources.text import read_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -29,10 +31,8 @@ def query(name: str):
     return register
 
 
-# ``spread`` is applied where per-row work is heavy (tokenizing whole documents,
-# regex-parsing log lines); short CSV records are not worth an extra exchange.
 def _documents_as_lines(spark, sf_dir):
-    return spread(read_table(spark, sf_dir, "documents").select("text"))
+    return read_table(spark, sf_dir, "documents").select("text")
 
 
 @query("word_count")
@@ -56,6 +56,7 @@ RETAIL_PARAMS = {
     "month_start": _dt.date(1997, 5, 1),
     "month_end": _dt.date(1997, 6, 1),
 }
+LOYALTY_CUSTOMER = 13  # the customer of the point lookup
 
 
 @query("filter_like_prefix")
@@ -205,7 +206,7 @@ def q_financials_counts(spark, sf_dir):
 
 @query("tuple_render")
 def q_tuple_render(spark, sf_dir):
-    return fin_ops.render_tuples(fin_ops.clean_text(_fin(spark, sf_dir)), ["symbol", "dividend", "pe"])
+    return sinks.tuple_lines(fin_ops.clean_text(_fin(spark, sf_dir)), ["symbol", "dividend", "pe"])
 
 
 @query("join_both_lists")
@@ -237,31 +238,81 @@ def q_listing_report(spark, sf_dir):
 
 @query("log_parse")
 def q_log_parse(spark, sf_dir):
-    return parse_access_log(spread(fx.access_log_lines(spark, sf_dir)))
+    return parse_access_log(fx.access_log_lines(spark, sf_dir))
 
 
 @query("ratings_typed")
 def q_ratings_typed(spark, sf_dir):
-    return parse_delimited(spread(fx.ratings_lines(spark, sf_dir)), RATINGS_SCHEMA, sep="\t",
-                           options={"quote": ""}).drop("_malformed")
+    return parse_hive_text(fx.ratings_lines(spark, sf_dir), RATINGS_SCHEMA)
+
+
+def _as_files(lines, label):
+    """Lines written as text files in the shared folder: the path."""
+    folder = new_folder(lines.sparkSession, label)
+    lines.write.text(folder)
+    return folder
+
+
+@query("ratings_file")
+def q_ratings_file(spark, sf_dir):
+    return read_typed_tsv(spark, _as_files(fx.ratings_lines(spark, sf_dir), "ratings"), RATINGS_SCHEMA)
+
+
+@query("word_count_file")
+def q_word_count_file(spark, sf_dir):
+    return words.word_count(read_lines(spark, _as_files(_documents_as_lines(spark, sf_dir).where("text is not null"), "lines")))
 
 
 @query("map_lookup")
 def q_map_lookup(spark, sf_dir):
-    return nested.map_lookup(fx.loyalty_rows(spark, sf_dir, order_ids_kept=3), "HOME")
+    return nested.map_lookup(fx.loyalty_rows(spark, sf_dir), "HOME")
+
+
+@query("map_lookup_json")
+def q_map_lookup_json(spark, sf_dir):
+    return nested.json_map_lookup(read_table(spark, sf_dir, "events"), "event_id", "props", "k")
 
 
 @query("array_element")
 def q_array_element(spark, sf_dir):
-    return nested.array_element(fx.loyalty_rows(spark, sf_dir, order_ids_kept=3), 2)
+    return nested.array_element(read_table(spark, sf_dir, "embeddings"), "vec_id", "embedding", 2)
+
+
+@query("array_element_past_end")
+def q_array_element_past_end(spark, sf_dir):
+    return nested.array_element(read_table(spark, sf_dir, "embeddings"), "vec_id", "embedding", 64)
 
 
 @query("struct_field")
 def q_struct_field(spark, sf_dir):
-    return nested.struct_lookup(fx.loyalty_rows(spark, sf_dir, order_ids_kept=3), "total")
+    return nested.struct_lookup(fx.loyalty_rows(spark, sf_dir), "total")
 
 
 @query("column_rename")
 def q_column_rename(spark, sf_dir):
-    renamed = nested.rename_column(fx.loyalty_rows(spark, sf_dir, order_ids_kept=3), "level", "status")
-    return renamed.select("cust_id", "status")
+    return nested.rename_column(fx.loyalty_rows(spark, sf_dir), "level", "status").select("cust_id", "status")
+
+
+@query("loyalty_point_lookup")
+def q_loyalty_point_lookup(spark, sf_dir):
+    return nested.point_lookup(fx.loyalty_rows(spark, sf_dir), LOYALTY_CUSTOMER)
+
+
+@query("orders_by_calendar_day")
+def q_orders_by_calendar_day(spark, sf_dir):
+    return retail.orders_by_calendar_day(read_table(spark, sf_dir, "orders"))
+
+
+@query("cap_rejects")
+def q_cap_rejects(spark, sf_dir):
+    return scr.cap_rejects(scr.listing_records(scr.parse_listing(fx.listing_lines(spark, sf_dir))))
+
+
+@query("exchange_rejects")
+def q_exchange_rejects(spark, sf_dir):
+    return lst.exchange_rejects(fx.exchange_lines(spark, sf_dir))
+
+
+@query("key_value_render")
+def q_key_value_render(spark, sf_dir):
+    return sinks.key_value_lines(words.word_count(_documents_as_lines(spark, sf_dir), "text"), "word", "n")

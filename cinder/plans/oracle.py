@@ -44,9 +44,9 @@ GROUP BY n_name ORDER BY customer_count DESC, n_name
 """
 
 ORACLE["top_products"] = """
-SELECT l_partkey AS pid, p_name, sum(CAST(l_quantity AS DECIMAL(18,2)))::DECIMAL(18,2) AS ttl_qty
-FROM lineitem, part WHERE lineitem.l_partkey = part.p_partkey
-GROUP BY l_partkey, p_name ORDER BY ttl_qty DESC, pid LIMIT 3
+SELECT p_partkey AS product_id, p_name, sum(CAST(l_quantity AS DECIMAL(18,2)))::DECIMAL(18,2) AS total_qty
+FROM part JOIN lineitem ON p_partkey = l_partkey
+GROUP BY p_partkey, p_name ORDER BY total_qty DESC, product_id LIMIT 3
 """
 
 ORACLE["orders_on_day"] = """
@@ -60,7 +60,7 @@ WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F'
                      AND year(o_orderdate) = 1997 AND month(o_orderdate) = 5)
 """
 ORACLE["revenue_on_day"] = _REVENUE
-ORACLE["revenue_formatted"] = f"SELECT printf('$%.2f', CAST(total AS DOUBLE)) AS total FROM ({_REVENUE})"
+ORACLE["revenue_formatted"] = f"SELECT '$' || CAST(total AS VARCHAR) AS total FROM ({_REVENUE})"
 
 ORACLE["count_rows"] = "SELECT count(*)::BIGINT AS n_rows FROM events"
 
@@ -75,12 +75,14 @@ WITH d AS (
   FROM customer),
 r AS (
   SELECT *, k % 101 = 50 AS short_row,
-         CASE WHEN k % 13 = 0 THEN 'n/a' WHEN k % 5 = 0 THEN '$' || CAST(x AS VARCHAR) || 'B'
+         CASE WHEN k % 13 = 0 THEN 'n/a' WHEN k % 19 = 7 THEN '$1,200.5M' WHEN k % 23 = 3 THEN '$.5M' WHEN k % 23 = 4 THEN '$5.M'
+              WHEN k % 5 = 0 THEN '$' || CAST(x AS VARCHAR) || 'B'
               WHEN k % 7 = 0 THEN '$' || CAST(x AS VARCHAR) ELSE '$' || CAST(x AS VARCHAR) || 'M' END AS market_cap,
-         CASE WHEN k % 13 = 0 THEN NULL WHEN k % 5 = 0 THEN 'B' WHEN k % 7 = 0 THEN '' ELSE 'M' END AS cap_unit,
-         CAST(CASE WHEN k % 13 = 0 THEN 0 WHEN k % 5 = 0 THEN x * 1000000000 WHEN k % 7 = 0 THEN x
+         CASE WHEN k % 13 = 0 OR k % 19 = 7 THEN NULL WHEN k % 23 IN (3, 4) THEN 'M' WHEN k % 5 = 0 THEN 'B' WHEN k % 7 = 0 THEN '' ELSE 'M' END AS cap_unit,
+         CAST(CASE WHEN k % 13 = 0 THEN 0 WHEN k % 19 = 7 THEN NULL WHEN k % 23 = 3 THEN 500000 WHEN k % 23 = 4 THEN 5000000
+              WHEN k % 5 = 0 THEN x * 1000000000 WHEN k % 7 = 0 THEN x
               ELSE x * 1000000 END AS DECIMAL(38,2)) AS cap_usd,
-         k % 13 <> 0 AND k % 5 = 0 AS is_b
+         k % 13 <> 0 AND k % 19 <> 7 AND k % 23 NOT IN (3, 4) AND k % 5 = 0 AS is_b
   FROM d),
 v AS (SELECT * FROM r WHERE NOT short_row)
 """
@@ -94,7 +96,7 @@ ORACLE["cap_normalize"] = _D1 + "SELECT symbol, market_cap, cap_unit, cap_usd FR
 
 _SCREEN = _D1 + """
 SELECT sector, count(*)::BIGINT AS company_count, sum(cap_usd)::DECIMAL(38,2) AS total_cap
-FROM v WHERE {cond} GROUP BY sector"""
+FROM v WHERE cap_usd IS NOT NULL AND {cond} GROUP BY sector"""
 
 ORACLE["screen_million"] = _SCREEN.format(cond="NOT is_b")
 ORACLE["screen_billion"] = _SCREEN.format(cond="is_b")
@@ -104,24 +106,24 @@ ORACLE["screen_symbols"] = _D1 + """
 SELECT sector, part, string_agg(symbol, ', ' ORDER BY symbol) AS symbols, count(*)::BIGINT AS n_symbols
 FROM (SELECT sector, symbol,
              CAST((row_number() OVER (PARTITION BY sector ORDER BY symbol) - 1) // 100 AS INTEGER) AS part
-      FROM v WHERE NOT is_b)
+      FROM v WHERE NOT is_b AND cap_usd IS NOT NULL)
 GROUP BY sector, part"""
 
 ORACLE["screen_symbol_rows"] = _D1 + """
 SELECT sector, row_number() OVER (PARTITION BY sector ORDER BY symbol)::BIGINT AS position, symbol
-FROM v WHERE NOT is_b"""
+FROM v WHERE NOT is_b AND cap_usd IS NOT NULL"""
 
 ORACLE["screen_formatted"] = _D1 + """
 SELECT 'Sector: ' || sector AS sector_label, count(*)::BIGINT AS company_count,
        '$' || format('{:,.2f}', sum(cap_usd)::DECIMAL(38,2)) AS total_market_cap
-FROM v WHERE NOT is_b GROUP BY sector"""
+FROM v WHERE NOT is_b AND cap_usd IS NOT NULL GROUP BY sector"""
 
 ORACLE["screen_counters"] = _D1 + """
 SELECT CASE WHEN short_row THEN NULL ELSE sector END AS sector, false AS is_total,
-       count(*)::BIGINT AS attempted, count(*) FILTER (WHERE NOT short_row AND NOT is_b)::BIGINT AS processed
+       count(*)::BIGINT AS attempted, count(*) FILTER (WHERE NOT short_row AND NOT is_b AND cap_usd IS NOT NULL)::BIGINT AS processed
 FROM r GROUP BY 1
 UNION ALL
-SELECT NULL, true, count(*)::BIGINT, count(*) FILTER (WHERE NOT short_row AND NOT is_b)::BIGINT FROM r"""
+SELECT NULL, true, count(*)::BIGINT, count(*) FILTER (WHERE NOT short_row AND NOT is_b AND cap_usd IS NOT NULL)::BIGINT FROM r"""
 
 # ---------------------------------------------------------------- D2 financials / D3 exchange, from part columns
 _D2 = """
@@ -131,8 +133,8 @@ WITH p AS (
   FROM part),
 f AS (
   SELECT k, symbol, p_name AS name, p_brand AS sector, '1.0' AS price,
-         CASE WHEN k % 7 = 0 THEN NULL WHEN k % 11 = 0 THEN 'bad'
-              ELSE CAST(CAST(p_size * 0.1 AS DECIMAL(10,2)) AS VARCHAR) END AS dividend,
+         CASE WHEN k % 7 = 0 THEN NULL WHEN k % 11 = 0 THEN 'bad' WHEN k % 31 = 5 THEN 'nan' WHEN k % 31 = 6 THEN 'inf'
+              ELSE CAST(CAST(p_size * 0.125 AS DECIMAL(10,3)) AS VARCHAR) END AS dividend,
          CASE WHEN k % 5 = 0 THEN NULL WHEN k % 23 = 0 THEN 'n/a' ELSE CAST(price AS VARCHAR) END AS pe,
          NULL::VARCHAR AS eps, NULL::VARCHAR AS book_value,
          CASE WHEN k % 19 = 0 THEN '0' WHEN k % 29 = 0 THEN NULL ELSE CAST(price AS VARCHAR) END AS low_52w,
@@ -142,16 +144,17 @@ f AS (
   FROM p),
 fd AS (
   SELECT *, coalesce(dividend, '0.0') AS div_text, coalesce(pe, '-Infinity') AS pe_text,
-         TRY_CAST(coalesce(dividend, '0.0') AS FLOAT) IS NOT NULL
-           AND TRY_CAST(coalesce(pe, '-Infinity') AS FLOAT) IS NOT NULL AS ok
+         coalesce(dividend, '') NOT IN ('bad', 'nan', 'inf') AND coalesce(pe, '') <> 'n/a' AS ok
   FROM f),
 e AS (
   SELECT CASE WHEN p_partkey % 3 = 0 THEN 'X' ELSE 'P' END || CAST(p_partkey AS VARCHAR) AS symbol,
-         p_name || ', Inc.' AS name, '1.00' AS last_sale
-  FROM part),
+         p_name || ', Inc.' AS name, '1.00' AS last_sale, '$' || CAST(p_size AS VARCHAR) || 'M' AS cap,
+         CASE WHEN p_partkey % 4 = 0 THEN 'n/a' ELSE '1999' END AS ipo, p_brand AS ex_sec,
+         CASE WHEN p_partkey % 6 <> 0 THEN p_type END AS ind, 'http://list/' || CAST(p_partkey AS VARCHAR) AS quote
+  FROM part WHERE p_partkey % 41 <> 7),
 j AS (
-  SELECT f.*, e.name AS ex_name, e.last_sale AS ex_last_sale,
-         coalesce(TRY_CAST(f.dividend AS FLOAT), 0::FLOAT) AS div_f,
+  SELECT f.*, e.name AS ex_name, e.last_sale AS ex_last_sale, cap, ipo, ex_sec, ind, quote,
+         CASE WHEN f.dividend IN ('nan', 'inf') THEN 0::FLOAT ELSE coalesce(TRY_CAST(f.dividend AS FLOAT), 0::FLOAT) END AS div_f,
          TRY_CAST(f.low_52w AS FLOAT) AS lo, TRY_CAST(f.high_52w AS FLOAT) AS hi
   FROM f JOIN e ON f.symbol = e.symbol),
 g AS (
@@ -159,7 +162,7 @@ g AS (
                  ELSE CAST((hi - lo) / lo AS FLOAT) END AS growth
   FROM j),
 td AS (
-  SELECT symbol, div_f AS dividend, '$' || format('{:,.2f}', CAST(div_f AS DECIMAL(20,2))) AS dividend_text
+  SELECT symbol, div_f AS dividend, '$' || format('{:,.2f}', round_even(CAST(div_f AS DOUBLE), 2)) AS dividend_text  -- half to even
   FROM g ORDER BY div_f DESC, symbol LIMIT 10),
 tg AS (
   SELECT symbol, growth, format('{:,.0f}', CAST(growth AS DOUBLE) * 100) || '%' AS growth_text
@@ -186,7 +189,8 @@ SELECT symbol, name AS fin_name, sector AS fin_sector, price AS fin_price, divid
        pe AS fin_pe, eps AS fin_eps, book_value AS fin_book_value, low_52w AS fin_low_52w,
        high_52w AS fin_high_52w, market_cap AS fin_market_cap, ebitda AS fin_ebitda,
        price_sales AS fin_price_sales, price_book AS fin_price_book, sec_filings AS fin_sec_filings,
-       ex_name, ex_last_sale
+       ex_name, ex_last_sale, cap AS ex_market_cap, ipo AS ex_ipo_year, ex_sec AS ex_sector, ind AS ex_industry,
+       quote AS ex_summary_quote, NULL::VARCHAR AS ex_extra
 FROM j"""
 
 ORACLE["top10_dividend"] = _D2 + "SELECT * FROM td"
@@ -202,7 +206,7 @@ UNION ALL SELECT 'top_growth', row_number() OVER (ORDER BY growth DESC, symbol),
 
 # ---------------------------------------------------------------- D4 access log, D5 ratings (events); D6 loyalty (orders)
 ORACLE["log_parse"] = """
-WITH x AS (SELECT *, event_id % 10 = 0 OR event_id % 15 = 1 AS bad FROM events)
+WITH x AS (SELECT *, event_id % 10 = 0 OR event_id % 15 = 1 OR event_id % 21 = 2 AS bad FROM events)
 SELECT CASE WHEN bad THEN NULL ELSE '10.0.' || CAST(user_id % 256 AS VARCHAR) || '.1' END AS ip,
        CASE WHEN bad THEN NULL ELSE strftime(ts, '%Y-%m-%d') END AS time_local,
        CASE WHEN bad THEN NULL ELSE 'GET' END AS method,
@@ -216,13 +220,12 @@ ORACLE["ratings_typed"] = """
 SELECT date_trunc('second', ts) AS posted, CAST(user_id AS INTEGER) AS cust_id,
        CAST(event_id % 500 AS INTEGER) AS prod_id,
        CAST(CASE WHEN event_id % 50 = 0 THEN NULL ELSE event_id % 6 END AS TINYINT) AS rating,
-       event_type AS message
+       CASE WHEN event_id % 40 = 1 THEN '' WHEN event_id % 40 = 2 THEN NULL ELSE event_type END AS message
 FROM events"""
 
 _D6 = """
 WITH c AS (
-  SELECT o_custkey AS k, count(*) AS n, sum(CAST(o_totalprice AS DECIMAL(18,2)))::DECIMAL(38,2) AS total,
-         list_sort(list(o_orderkey)) AS ids
+  SELECT o_custkey AS k, count(*) AS n, sum(CAST(o_totalprice AS DECIMAL(18,2)))::DECIMAL(38,2) AS total
   FROM orders GROUP BY o_custkey)
 """
 
@@ -231,9 +234,37 @@ SELECT CAST(k AS INTEGER) AS cust_id,
        CASE WHEN k % 4 = 0 THEN NULL ELSE '555-' || lpad(CAST(k % 10000 AS VARCHAR), 4, '0') END AS home_phone
 FROM c"""
 
-ORACLE["array_element"] = _D6 + "SELECT CAST(k AS INTEGER) AS cust_id, ids[3] AS third_order_id FROM c"
+ORACLE["map_lookup_json"] = "SELECT event_id, json_extract_string(props, '$.k') AS value FROM events"
+
+ORACLE["array_element"] = "SELECT vec_id, embedding[3] AS element FROM embeddings"
+
+ORACLE["array_element_past_end"] = "SELECT vec_id, embedding[65] AS element FROM embeddings"
 
 ORACLE["struct_field"] = _D6 + "SELECT CAST(k AS INTEGER) AS cust_id, total AS order_total FROM c"
 
 ORACLE["column_rename"] = _D6 + """
 SELECT CAST(k AS INTEGER) AS cust_id, CASE WHEN n >= 12 THEN 'GOLD' ELSE 'SILVER' END AS status FROM c"""
+
+ORACLE["loyalty_point_lookup"] = _D6 + """
+SELECT CAST(k AS INTEGER) AS cust_id,
+       CASE WHEN k % 4 = 0 THEN NULL ELSE '555-' || lpad(CAST(k % 10000 AS VARCHAR), 4, '0') END AS home_phone,
+       total AS order_total, CASE WHEN n >= 12 THEN 'GOLD' ELSE 'SILVER' END AS level
+FROM c WHERE k = 13"""
+
+ORACLE["orders_by_calendar_day"] = """
+SELECT CAST(year(o_orderdate) AS INTEGER) AS order_year, CAST(month(o_orderdate) AS INTEGER) AS order_month,
+       CAST(day(o_orderdate) AS INTEGER) AS order_day, count(o_orderkey)::BIGINT AS n_orders
+FROM orders GROUP BY ALL"""
+
+ORACLE["ratings_file"] = ORACLE["ratings_typed"]
+
+ORACLE["word_count_file"] = ORACLE["word_count"]
+
+ORACLE["cap_rejects"] = _D1 + "SELECT symbol, market_cap FROM v WHERE cap_usd IS NULL"
+
+ORACLE["exchange_rejects"] = """
+SELECT '"' || CASE WHEN p_partkey % 3 = 0 THEN 'X' ELSE 'P' END || CAST(p_partkey AS VARCHAR) || '","' || p_name || ', Inc.","1.00"' AS line,
+       3 AS n_tokens
+FROM part WHERE p_partkey % 41 = 7"""
+
+ORACLE["key_value_render"] = f"SELECT word || chr(9) || CAST(n AS VARCHAR) AS value FROM ({ORACLE['word_count']})"

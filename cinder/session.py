@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
 
 # Settings the library assumes. On a cluster the caller sets these (plus
-# executor sizing); shuffle partitions there should follow the data size
-# (input bytes / ~200 MB), AQE then coalesces small ones and splits skewed ones.
+# executor sizing). AQE only merges partitions, so a large job should start from
+# enough: spark.sql.adaptive.coalescePartitions.initialPartitionNum (or
+# spark.sql.shuffle.partitions) at about input bytes / 200 MB, and
+# spark.sql.files.maxPartitionBytes at 128-256 MB.
 RECOMMENDED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -41,20 +45,47 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, setting one only if the session has none.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is.
-    When it is unset (local tests, the bench) a fresh scratch folder is taken.
+    On a cluster ``spark.checkpoint.dir`` names a folder that all executors share, and is
+    used as is; without it this raises, since a machine-local folder would lose rows.
+    Only a single-process session (``local``, tests and the bench) gets a scratch folder.
     """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - Spark Connect: the server's spark.checkpoint.dir applies
-        return spark.conf.get("spark.checkpoint.dir", "")
+    sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if conf_dir:
-        sc.setCheckpointDir(conf_dir)
-        return sc.getCheckpointDir()
-    local_dir = tempfile.mkdtemp(prefix="cinder-ckpt-")
-    sc.setCheckpointDir(local_dir)
+    if not conf_dir:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        conf_dir = tempfile.mkdtemp(prefix="cinder-ckpt-")
+        delete_at_end(spark, conf_dir)
+    sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir()
+
+
+def file_system(spark: SparkSession, path: str):
+    """Spark's file system for a path, and the path as that system takes it."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
+def delete_at_end(spark: SparkSession, path: str) -> None:
+    """Delete a folder when the application's JVM ends (it need not exist yet)."""
+    fs, hadoop_path = file_system(spark, path)
+    if not fs.exists(hadoop_path):
+        fs.mkdirs(hadoop_path.getParent())
+    _AT_END.setdefault(spark.sparkContext.applicationId, []).append(path)
+    if len(_AT_END[spark.sparkContext.applicationId]) == 1:
+        atexit.register(_delete_all, spark, spark.sparkContext.applicationId)
+
+
+_AT_END: dict[str, list[str]] = {}
+
+
+def _delete_all(spark: SparkSession, app: str) -> None:
+    for path in _AT_END.pop(app, []):
+        try:
+            fs, hadoop_path = file_system(spark, path)
+            fs.delete(hadoop_path, True)
+        except Exception:  # noqa: BLE001 - the JVM has gone already; nothing is left to ask
+            return

@@ -13,13 +13,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A comma that is followed by an even number of double quotes up to
-# the end of the line is a field separator (it lies outside any quoted field).
-# Possessive quantifiers: same matches, but no backtracking inside the look-ahead.
-QUOTE_AWARE_COMMA = ',(?=(?:[^"]*+"[^"]*+")*+[^"]*+$)'
+# A quoted run of the reversed line, up to its closing quote or the line's start. What a comma
+# stands outside of from the right is what the width check counts.
+QUOTED_RUN = '"[^"]*("|$)'
 
 CORRUPT_COL = "_corrupt_record"
 
+HIVE_NULL = "\\N"
+
 # The ratings table's columns and types (tab-separated text).
 RATINGS_SCHEMA = T.StructType([
     T.StructField("posted", T.TimestampNTZType()),
@@ -30,9 +31,11 @@ RATINGS_SCHEMA = T.StructType([
 ])
 
 
-def token_count(line: Column, sep_regex: str = QUOTE_AWARE_COMMA) -> Column:
-    """Number of fields in a line, trailing empty fields included."""
-    return F.size(F.split(line, sep_regex, -1))
+def token_count(line: Column) -> Column:
+    """Number of comma-separated fields, trailing empty ones included: one more than the commas that an even
+    number of quotes follows. One pass over the line, whatever its quotes."""
+    outside = F.regexp_replace(F.reverse(line), QUOTED_RUN, "")
+    return F.length(outside) - F.length(F.replace(outside, F.lit(","), F.lit(""))) + 1
 
 
 def parse_delimited(
@@ -67,16 +70,19 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType, *, sep:
     return parse_delimited(spark.read.text(path), schema, sep=sep, **kw)
 
 
-def read_typed_tsv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """SRC-4: tab-delimited typed table (``FIELDS TERMINATED BY '\\t'``).
+def parse_hive_text(lines: DataFrame, schema: T.StructType, *, sep: str = "\t", line_col: str = "value") -> DataFrame:
+    """Fields of a text table by Hive's rules: no quoting, ``\\N`` is NULL, a blank STRING stays ''.
 
-    Out-of-range or unparsable fields become NULL; the rest of the row is kept.
+    Missing, out-of-range or unparsable fields become NULL; the rest of the row is kept.
     """
-    return (
-        spark.read.schema(schema)
-        .option("sep", "\t")
-        .option("mode", "PERMISSIVE")
-        .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
-        .option("quote", "")
-        .csv(path)
-    )
+    parts = lines.select(F.split(F.col(line_col), f"\\Q{sep}\\E", -1).alias("_p"))
+
+    def field(i: int, f: T.StructField) -> Column:
+        text = F.nullif(F.get("_p", i), F.lit(HIVE_NULL))
+        return (text if isinstance(f.dataType, T.StringType) else text.try_cast(f.dataType)).alias(f.name)
+    return parts.select(*[field(i, f) for i, f in enumerate(schema.fields)])
+
+
+def read_typed_tsv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """SRC-4: tab-delimited typed table (``FIELDS TERMINATED BY '\\t'``) in files."""
+    return parse_hive_text(spark.read.text(path), schema)

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+
+from cinder.tables import columns_sql, comment_sql, options_sql, quoted_name, text_literal
 
 
 def read_external(
@@ -12,11 +15,12 @@ def read_external(
     *,
     schema=None,
     avro_schema_json: str | None = None,
+    avro_schema_url: str | None = None,
     options: dict | None = None,
 ) -> DataFrame:
     """Scan an external table in any data-source format.
 
-    ``avro_schema_json`` plays the role of a schema kept outside the table; the
+    ``avro_schema_json`` or ``avro_schema_url`` give a schema kept outside the table; the
     ``avro`` format needs the spark-avro package on the classpath.
     """
     reader = spark.read.format(fmt)
@@ -24,16 +28,23 @@ def read_external(
         reader = reader.schema(schema)
     if avro_schema_json is not None:
         reader = reader.option("avroSchema", avro_schema_json)
+    if avro_schema_url is not None:
+        reader = reader.option("avroSchemaUrl", avro_schema_url)
     for k, v in (options or {}).items():
         reader = reader.option(k, v)
     return reader.load(path)
 
 
-def create_external_table(spark: SparkSession, name: str, path: str, fmt: str = "parquet",
-                          if_not_exists: bool = True) -> None:
-    """CAT-2: ``CREATE TABLE ... USING fmt LOCATION path`` (data stays where it is)."""
-    ine = "IF NOT EXISTS " if if_not_exists else ""
-    spark.sql(f"CREATE TABLE {ine}{name} USING {fmt} LOCATION '{path}'")
+def create_external_table(spark: SparkSession, name: str, path: str, fmt: str = "parquet", if_not_exists: bool = True, *,
+                          schema: T.StructType | None = None, avro_schema_url: str | None = None, options: dict | None = None,
+                          comment: str | None = None) -> None:
+    """CAT-2: ``CREATE TABLE ... USING fmt OPTIONS (...) LOCATION path`` (data stays where it is).
+
+    Without ``schema`` the format infers it, for Avro from ``avro_schema_url`` where one is given.
+    """
+    every = {**({"avroSchemaUrl": avro_schema_url} if avro_schema_url else {}), **(options or {})}
+    spark.sql(f"CREATE TABLE {'IF NOT EXISTS ' if if_not_exists else ''}{quoted_name(name)}{columns_sql(schema)} USING {fmt}"
+              f"{options_sql(every)} LOCATION {text_literal(path)}{comment_sql(comment)}")
 
 
 def overwrite_load(df: DataFrame, table: str) -> None:

@@ -20,8 +20,8 @@ _SEP = "\u0001"  # joins the captured groups in the rewritten line
 
 
 def _anchored(pattern: str) -> str:
-    p = pattern if pattern.endswith("$") else pattern + "$"
-    return p if p.startswith("^") else "^" + p
+    """The whole line, alternatives included, to its very end (``$`` would stop before a line break)."""
+    return rf"^(?:{pattern})\z"
 
 
 def parse_regex_per_group(lines: DataFrame, pattern: str, names: list[str], line_col: str = "value") -> DataFrame:
@@ -39,7 +39,7 @@ def parse_regex(lines: DataFrame, pattern: str, names: list[str], line_col: str
     The regex runs once per line: ``regexp_replace`` rewrites a matching line to
     MARK g1 SEP g2 SEP ... and leaves any other line as it is; the groups are
     then split out. A line that already contains MARK or SEP takes the
-    per-group path, so the result is the same for every input.
+    per-group path. A group that took no part in the match gives ''.
     """
     rx = _anchored(pattern)
     line = F.col(line_col)
@@ -50,13 +50,13 @@ def parse_regex(lines: DataFrame, pattern: str, names: list[str], line_col: str
         rewritten.alias("_rw"),
     )
     hit = F.col("_rw").startswith(_MARK)
-    parts = F.split(F.substring(F.col("_rw"), 2, 1 << 30), _SEP, -1)
+    # the array is made once per line, in a projection of its own
+    staged = staged.withColumn("_parts", F.when(hit, F.split(F.substring(F.col("_rw"), 2, 1 << 30), _SEP, -1)))
     slow_ok = F.col("_line").rlike(rx)
     cols = []
     for i, n in enumerate(names):
-        fast = F.when(hit, F.get(parts, i))
-        slow = F.when(slow_ok, F.regexp_extract(F.col("_line"), rx, i + 1))
-        cols.append(F.when(F.col("_plain"), fast).otherwise(slow).alias(n))
+        slow = F.when(slow_ok, F.coalesce(F.regexp_extract(F.col("_line"), rx, i + 1), F.lit("")))
+        cols.append(F.when(F.col("_plain"), F.get("_parts", i)).otherwise(slow).alias(n))
     return staged.select(*cols)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def read_lines(spark: SparkSession, *paths: str) -> DataFrame:
@@ -11,6 +12,9 @@ def read_lines(spark: SparkSession, *paths: str) -> DataFrame:
     return spark.read.text(list(paths))
 
 
-def first_line(lines: DataFrame) -> DataFrame:
-    """Header peek: the first line of the input as a one-row DataFrame."""
-    return lines.limit(1)
+def first_line(spark: SparkSession, *paths: str) -> DataFrame:
+    """Header peek: (file, value) with the first line of every file. Only the split at a file's start is asked."""
+    lines = spark.read.text(list(paths)).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value",
+        F.monotonically_increasing_id().alias("at"))  # grows in reading order within a split
+    return lines.where("start = 0").groupBy("file").agg(F.min_by("value", "at").alias("value"))

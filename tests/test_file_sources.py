@@ -5,6 +5,7 @@ from cinder.operators import financials as fin
 from cinder.operators import screen as scr
 from cinder.sources.delimited import RATINGS_SCHEMA
 from cinder.sources.delimited import read_delimited, read_typed_tsv
+from cinder.sinks import tuple_lines
 from cinder.sources.text import read_lines
 
 
@@ -15,13 +16,13 @@ def _write(path, text):
 
 def test_typed_tsv_file(spark, tmp_dir):
     p = os.path.join(tmp_dir, "ratings.tsv")
-    _write(p, "2012-05-21 12:52:48\t1043182\t1274362\t5\tThis is truly fantastic!\n"
-              "2012-10-14 01:36:07\t1242853\t1273879\t300\tThe product quality was OK\n"
-              "2012-10-14 02:41:50\t1047430\t1273799\t2\tShoddy quality\n")
+    _write(p, "2031-02-03 04:05:06\t11\t21\t5\tfirst message\n2031-02-04 07:08:09\t12\t22\t300\tsecond\n"
+              "2031-02-05 10:11:12\t13\t23\t2\t\n\\N\t14\t24\t1\t\\N\n")
     df = read_typed_tsv(spark, p, RATINGS_SCHEMA)
-    got = sorted(map(tuple, df.collect()))
-    assert got[0] == (dt.datetime(2012, 5, 21, 12, 52, 48), 1043182, 1274362, 5, "This is truly fantastic!")
-    assert got[1][3] is None and got[1][4] == "The product quality was OK"  # 300 overflows TINYINT
+    by = {r.prod_id: tuple(r) for r in df.collect()}
+    assert by[21] == (dt.datetime(2031, 2, 3, 4, 5, 6), 11, 21, 5, "first message")
+    assert by[22][3:] == (None, "second")  # 300 overflows TINYINT
+    assert by[23][4] == "" and by[24] == (None, 14, 24, 1, None)
     assert df.schema["rating"].dataType.simpleString() == "tinyint"
 
 
@@ -43,7 +44,7 @@ def test_financials_file(spark, tmp_dir):
            "52 week low,52 week high,Market Cap,EBITDA,Price/Sales,Price/Book,SEC Filings\n")
     _write(p, hdr + "AA,Alcoa,Materials,1,1.31,,,,1,2,,,,,\nAAL,American,Ind,1,1.41,2.69,,,1,2,,,,,\n")
     f = fin.parse_financials(read_lines(spark, p))
-    got = sorted(r.value for r in fin.render_tuples(fin.clean_text(f), ["symbol", "dividend", "pe"]).collect())
+    got = sorted(r.value for r in tuple_lines(fin.clean_text(f), ["symbol", "dividend", "pe"]).collect())
     assert got == ["(AA,1.31,-Infinity)", "(AAL,1.41,2.69)"]
     raw = read_delimited(spark, p, fin.FINANCIALS_SCHEMA)
     assert raw.count() == 3  # header included at this level; parse_financials drops it

@@ -34,13 +34,14 @@ def test_screen_financials_report_accesslog_jobs(spark, tmp_dir):
     out = jobs.run(["screen", lst, os.path.join(tmp_dir, "scr"), "--exact-output"], spark)
     assert _lines(os.path.join(out, "totals")) == ["sector,company_count,total_cap,total_market_cap",
                                                    'Tech,1,1500000.00,"$1,500,000.00"']
+    assert sorted(_lines(os.path.join(out, "counters")))[-2:] == ["Tech,false,2,1", "sector,is_total,attempted,processed"]
     fin = os.path.join(tmp_dir, "fin.csv")
     _write(fin, "Symbol,Name,Sector,Price,Dividend Yield,Price/Earnings,a,b,52 week low,52 week high,c,d,e,f,g\n"
                 "AA,x,s,1,1.31,,,,1,2,,,,,\nAB,x,s,1,bad,1,,,1,2,,,,,\nAC,x,s,1,2,3,,,4,5,,,,,\n")
     fo = jobs.run(["financials", fin, os.path.join(tmp_dir, "fo"), "--exact-output"], spark)
     assert _lines(fo) == ["(AA,1.31,-Infinity)", "(AC,2,3)"]
     ex = os.path.join(tmp_dir, "ex.csv")
-    _write(ex, '"Symbol","Name","LastSale"\n"AC","x","1"\n"AA","y","1"\n')
+    _write(ex, '"AC","x","1","$1M","n/a","Tech","i","u",\n"AA","y","1","$1M","n/a","Tech","i","u",\n')
     ro = jobs.run(["report", fin, ex, os.path.join(tmp_dir, "rep"), "--exact-output", "--k", "2"], spark)
     rep = spark.read.option("header", True).csv(ro)
     assert rep.where("section = 'common_total'").first().value == "2"
@@ -52,8 +53,7 @@ def test_screen_financials_report_accesslog_jobs(spark, tmp_dir):
 
 def test_ratings_job(spark, tmp_dir):
     src = os.path.join(tmp_dir, "ratings.tsv")
-    _write(src, "2012-05-21 12:52:48\t1043182\t1274362\t5\tThis is truly fantastic!\n"
-                "2012-10-14 01:36:07\t1242853\t1273879\t2\tThe product quality was OK\n")
+    _write(src, "2031-02-03 04:05:06\t11\t21\t5\tfirst message\n2031-02-04 07:08:09\t12\t22\t2\tsecond message\n")
     spark.sql("DROP TABLE IF EXISTS ratings_job_t")
     assert jobs.run(["ratings", src, "ratings_job_t"], spark) == "2"
     assert jobs.run(["ratings", src, "ratings_job_t"], spark) == "2"  # reload replaces

@@ -19,6 +19,9 @@ LINES = [
     rec("TORM          ", "$10.25M", "Energy"),  # padded symbol kept, one-row sector
     rec("EEE", "$1M", "n/a"),
     rec("FFF", "$1.234M", "Energy"),
+    rec("GGG", "$.5M", "Dots"),
+    rec("HHH", "$5.M", "Dots"),
+    rec("III", "$1,200.5M", "Dots"),  # no amount: rejected, neither counted nor summed
     '"SHORT","x","1"',  # short row
     "",  # blank line: a reject, not a record
     rec("LONG", "$1M", "Tech") + "extra,",  # over-long row
@@ -29,7 +32,7 @@ LINES = [
 def test_parse_and_rejects(spark):
     parsed = scr.parse_listing(lines_df(spark, LINES, 3))
     recs = scr.listing_records(parsed)
-    assert sorted(r.symbol for r in recs.collect()) == ["AAA", "BBB", "CCC", "DDD", "EEE", "FFF", "TORM          "]
+    assert sorted(r.symbol for r in recs.collect()) == ["AAA", "BBB", "CCC", "DDD", "EEE", "FFF", "GGG", "HHH", "III", "TORM          "]
     rej = rows(scr.listing_rejects(parsed))
     assert sorted(r[1] for r in rej) == [1, 3, 10]
 
@@ -44,11 +47,12 @@ def test_units_and_screens(spark):
     assert caps["FFF"] == ("M", Decimal("1234000.00"))  # decimals kept until scaled
     million = {r.sector: (r.company_count, r.total_cap) for r in scr.screen(recs).collect()}
     assert million == {"Tech": (3, Decimal("1500300.00")), "Energy": (2, Decimal("11484000.00")),
-                       "n/a": (1, Decimal("1000000.00"))}
+                       "n/a": (1, Decimal("1000000.00")), "Dots": (2, Decimal("5500000.00"))}
+    assert rows(scr.cap_rejects(recs)) == [("III", "$1,200.5M")]
     billion = {r.sector: r.company_count for r in scr.screen(recs, billion=True).collect()}
     assert billion == {"Tech": 1}
     known = {r.sector for r in scr.screen(recs, known_sectors_only=True).collect()}
-    assert known == {"Tech", "Energy"}
+    assert known == {"Tech", "Energy", "Dots"}
 
 
 def test_formatted_and_symbols(spark):
@@ -62,7 +66,7 @@ def test_formatted_and_symbols(spark):
 def test_counters(spark):
     c = {(r.sector, r.is_total): (r.attempted, r.processed)
          for r in scr.screen_counters(scr.parse_listing(lines_df(spark, LINES))).collect()}
-    assert c[(None, True)] == (10, 6)  # data rows only (headers not attempted)
+    assert c[(None, True)] == (13, 8)  # data rows only (headers not attempted)
     assert c[("Tech", False)] == (5, 3)
 
 
@@ -89,10 +93,10 @@ def test_screen_sql_route_agrees(spark):
         sql = spark.sql(f"""
             SELECT sector, count(*) AS company_count,
                    CAST(sum(CASE WHEN lower(trim(market_cap)) = 'n/a' THEN 0
-                                 WHEN market_cap LIKE '%B' THEN CAST(substr(market_cap, 2, length(market_cap) - 2)
+                                 WHEN market_cap LIKE '%B' THEN try_cast(substr(market_cap, 2, length(market_cap) - 2)
                                                                      AS DECIMAL(30,8)) * 1000000000
-                                 WHEN market_cap LIKE '%M' THEN CAST(substr(market_cap, 2, length(market_cap) - 2)
+                                 WHEN market_cap LIKE '%M' THEN try_cast(substr(market_cap, 2, length(market_cap) - 2)
                                                                      AS DECIMAL(30,8)) * 1000000
                                  ELSE CAST(substr(market_cap, 2) AS DECIMAL(30,8)) END) AS DECIMAL(38,2)) AS total_cap
-            FROM listing_records_v WHERE {cond} GROUP BY sector""")
+            FROM listing_records_v WHERE {cond} AND market_cap NOT LIKE '%,%' GROUP BY sector""")
         assert rows(sql) == rows(scr.screen(recs, billion=billion).select("sector", "company_count", "total_cap"))
