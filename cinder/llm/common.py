@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -57,3 +58,9 @@ class WordHash(dict):
         if len(self) < self.limit:
             self[word] = value
         return value
+
+
+@lru_cache(maxsize=1)
+def word_hash() -> WordHash:
+    """The table of this Python worker; Spark reuses workers for later tasks."""
+    return WordHash()

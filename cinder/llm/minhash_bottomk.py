@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cinder.llm.common import WordHash, map_rows
+from cinder.llm.common import WordHash, map_rows, word_hash
 from cinder.operators.staging import stage
 
 WORDS = 5
@@ -80,7 +80,7 @@ def digest(values: np.ndarray) -> tuple[int, int]:
 def features(docs: DataFrame) -> DataFrame:
     """uid (unique), doc_id, n, h1, h2, sketch."""
     def make():
-        known, row = WordHash(), [0]
+        known, row = word_hash(), [0]
 
         def run(keys, texts):
             task = TaskContext.get().partitionId() << 36
@@ -155,7 +155,7 @@ def full_sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame) -> DataFram
     rows = docs.filter(F.col("doc_id").isNotNull()).select(F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)).alias("bit"), "text")
 
     def make():
-        words, known = np.frombuffer(bits.value, np.uint64), WordHash()
+        words, known = np.frombuffer(bits.value, np.uint64), word_hash()
 
         def run(at, texts):
             at = np.asarray(at, np.int64)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cinder.llm.common import WordHash, map_rows
+from cinder.llm.common import WordHash, map_rows, word_hash
 
 BUCKETS = 1 << 17
 TRUSTED = 20_000
@@ -74,7 +74,7 @@ def bucket_counts(docs: DataFrame, trusted: set[int]) -> np.ndarray:
     shared = docs.sparkSession.sparkContext.broadcast(trusted)
 
     def run(batches):
-        known, counts = WordHash(), np.zeros((2, BUCKETS), np.int64)
+        known, counts = word_hash(), np.zeros((2, BUCKETS), np.int64)
         for batch in batches:
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 found = np.bincount(ngram_buckets(word_hashes(text.as_py(), known)), minlength=BUCKETS) if text.is_valid else 0
@@ -113,7 +113,7 @@ def score(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, trus
 
 
 def scorer(shared, threshold: float):
-    known, ratios = WordHash(), shared.value
+    known, ratios = word_hash(), shared.value
 
     def run(keys, texts):
         for key, text in zip(keys, texts):
@@ -137,7 +137,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD,
     shared = docs.sparkSession.sparkContext.broadcast(ratios)
 
     def run(batches):
-        known = WordHash()
+        known = word_hash()
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index("text"))
             yield batch.filter(pa.array([judge(t.as_py(), known, shared.value, threshold)[-1] for t in texts], pa.bool_()))
