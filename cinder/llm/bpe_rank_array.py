@@ -1,10 +1,12 @@
 """BPE encoding and decoding with a contiguous rank array per word.
 
-A word's letters start as one part each. Two parallel lists hold the part boundaries and
-the rank of every adjacent pair of parts. The smallest rank is found by a scan, the
-boundary between its two parts is deleted, and the ranks left and right of it are looked
-up anew, until no pair has a rank. Words are short, so scanning a contiguous list beats a
-heap; words over ``SHORT`` letters use the same rule with a heap over linked boundaries.
+A word's letters start as one part each. Two contiguous arrays hold the parts between its
+boundaries and the rank of every adjacent pair of parts. The smallest rank is found by a
+scan, the boundary between its two parts is deleted (both arrays close the gap), and the
+ranks left and right of it are looked up anew, until no pair has a rank. Words are short,
+so scanning a contiguous array beats a heap. Words of a batch stand as rows of one matrix
+and take each step together in numpy. Words over ``SHORT`` letters use the same rule with a
+heap over linked boundaries.
 
 Only the vocabulary file's normaliser and splitter are the tokenizers library's; merging
 and decoding are done here. Words recur, so each task remembers a bounded number of them.
@@ -19,19 +21,28 @@ from __future__ import annotations
 import heapq
 import json
 import re
-from array import array
+import struct
+from functools import lru_cache
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cinder.llm.common import map_rows
-from cinder.llm.tokenizer import load, words_of
+from cinder.llm.tokenizer import PIECES, PLAIN, byte_letters, load, words_of
 
-SHORT = 512
+SHORT = 32
+#: Words that take their steps together.
+TOGETHER = 4096
+#: Words of texts that are looked up at once.
+BATCH_WORDS = 1 << 16
 
 
-class RankArrayCodec:
-    def __init__(self, path: str, limit: int = 1 << 18, longest: int = 64):
+class RankArrayCodec(dict):
+    """word -> its ids as little-endian 32-bit integers. Full tables start anew, long words are not kept."""
+
+    def __init__(self, path: str, limit: int = 1 << 19, longest: int = 64):
+        super().__init__()
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.vocab: dict[str, int] = spec["model"]["vocab"]
@@ -41,38 +52,70 @@ class RankArrayCodec:
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.added_split = re.compile("(" + "|".join(map(re.escape, self.added)) + ")").split if self.added else None
         self.tokens = {i: t for t, i in {**self.vocab, **self.added}.items()}
+        self.none = len(self.ranks)
+        at = {t: i for t, i in self.vocab.items()}
+        pairs = sorted((at[a] * len(self.tokens) + at[b], k) for (a, b), k in self.ranks.items() if a in at and b in at and a + b in at)
+        self.pair_keys, self.pair_ranks = (np.array(c, np.int64) for c in zip(*pairs))
+        self.merged = np.array([at.get(a + b, -1) for a, b in self.ranks], np.int32)
+        letters = [t for t in self.vocab if len(t) == 1 and t + self.end in self.vocab]
+        self.alphabet = frozenset(letters)
+        self.inner_ids, self.last_ids = (np.zeros(1 + max(map(ord, letters)), np.int32) for _ in range(2))
+        for t in letters:
+            self.inner_ids[ord(t)], self.last_ids[ord(t)] = self.vocab[t], self.vocab[t + self.end]
         library = load(path)
         self.normalise, self.split = library.normalizer.normalize_str, library.pre_tokenizer.pre_tokenize_str
-        self.words: dict[str, array] = {}
         self.pieces: dict[str, list[int]] = {}
         self.limit, self.longest = limit, longest
 
     def merge(self, piece: str) -> list[int]:
-        """Ids of one piece (letters already in the byte alphabet)."""
+        """Ids of one piece (letters already in the byte alphabet) of any length."""
         text = piece + self.end
-        bounds = [*range(len(piece)), len(text)]
-        bounds = self._merge_short(text, bounds) if len(piece) <= SHORT else self._merge_long(text, bounds)
+        bounds = self._merge_long(text, [*range(len(piece)), len(text)])
         parts = (text[a:b] for a, b in zip(bounds, bounds[1:]))
         return [self.vocab[p] for p in parts if p in self.vocab]
 
-    def _merge_short(self, text: str, bounds: list[int]) -> list[int]:
-        none, rank = len(self.ranks), self.ranks.get
-
-        def at(i: int) -> int:  # rank of the parts that meet at boundary i
-            return rank((text[bounds[i - 1]:bounds[i]], text[bounds[i]:bounds[i + 1]]), none)
-
-        ranks = [at(i) for i in range(1, len(bounds) - 1)]
-        while ranks:
-            least = min(ranks)
-            if least == none:
-                break
-            i = ranks.index(least)
-            del ranks[i], bounds[i + 1]
-            if i < len(ranks):
-                ranks[i] = at(i + 1)
-            if i:
-                ranks[i - 1] = at(i)
-        return bounds
+    def rank_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of each pair of part ids, ``none`` without one."""
+        key = left.astype(np.int64) * len(self.tokens) + right
+        at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
+        return np.where(self.pair_keys[at] == key, self.pair_ranks[at], self.none).astype(np.int32)
+
+    def merge_rows(self, pieces: list[str]) -> list[list[int]]:
+        """Ids of pieces of up to SHORT letters: one matrix row each, one merge a row and step."""
+        width = max(map(len, pieces))
+        letters = np.frombuffer("".join([p.ljust(width, "\0") for p in pieces]).encode("utf-32-le"), "<u4").reshape(-1, width)
+        count = np.array([len(p) for p in pieces])
+        row = np.arange(len(pieces))
+        parts = self.inner_ids[letters]
+        parts[row, count - 1] = self.last_ids[letters[row, count - 1]]
+        column = np.arange(width - 1)
+        ranks = np.where(column < (count - 1)[:, None], self.rank_of(parts[:, :-1], parts[:, 1:]), self.none)
+        while width > 1 and len(row):
+            least = ranks[row].argmin(1)
+            rank = ranks[row, least]
+            going = rank < self.none
+            row, least, rank = row[going], least[going], rank[going]
+            p, r, k = parts[row], ranks[row], np.arange(len(row))
+            p[k, least] = self.merged[rank]
+            # close the gap: the boundary right of the merged part goes, and the rank that stood on it
+            p[:, :-1] = np.take_along_axis(p, column + (column > least[:, None]), 1)
+            r[:, :-1] = np.take_along_axis(r, column[:-1] + (column[:-1] >= least[:, None]), 1)
+            r[:, -1] = self.none
+            count[row] -= 1
+            before, after = np.flatnonzero(least > 0), np.flatnonzero(least < count[row] - 1)
+            r[before, least[before] - 1] = self.rank_of(p[before, least[before] - 1], p[before, least[before]])
+            r[after, least[after]] = self.rank_of(p[after, least[after]], p[after, least[after] + 1])
+            parts[row], ranks[row] = p, r
+        return [ids[:n] for ids, n in zip(parts.tolist(), count.tolist())]
+
+    def learn(self, pieces: set[str]) -> dict[str, list[int]]:
+        """Ids of new pieces, short ones together by length."""
+        short = sorted((p for p in pieces if len(p) <= SHORT and self.alphabet.issuperset(p)), key=len)
+        found = {p: self.merge(p) for p in pieces.difference(short)}
+        for at in range(0, len(short), TOGETHER):
+            some = short[at:at + TOGETHER]
+            found.update(zip(some, self.merge_rows(some)))
+        return found
 
     def _merge_long(self, text: str, bounds: list[int]) -> list[int]:
         after, before = dict(zip(bounds, bounds[1:])), dict(zip(bounds[1:], bounds))
@@ -99,50 +142,82 @@ class RankArrayCodec:
             out.append(after[out[-1]])
         return out
 
-    def _word(self, word: str) -> array:
-        out = array("I")
-        for part in (self.added_split(word) if self.added_split else [word]):
-            if part in self.added:
-                out.append(self.added[part])
-            elif part:
-                for piece, _ in self.split(self.normalise(part)):
-                    ids = self.pieces.get(piece)
-                    if ids is None:
-                        ids = self.merge(piece)
-                        if len(piece) <= self.longest:
-                            if len(self.pieces) >= self.limit:
-                                self.pieces.clear()
-                            self.pieces[piece] = ids
-                    out.extend(ids)
-        if len(word) <= self.longest:
-            if len(self.words) >= self.limit:
-                self.words.clear()
-            self.words[word] = out
+    def _pieces(self, part: str) -> list[str]:
+        """Pieces of a word in the byte alphabet, by the file's rules."""
+        if PLAIN(part):
+            return [p if p.isascii() else "".join(map(byte_letters().__getitem__, p.encode())) for p in PIECES(part.lower())]
+        return [piece for piece, _ in self.split(self.normalise(part))]
+
+    def _learn_words(self, words: set[str]) -> dict[str, bytes]:
+        """Ids of new words; they and their short pieces are remembered."""
+        if len(self.pieces) > self.limit:
+            self.pieces.clear()
+        cut, new = {}, set()
+        for word in words:
+            special = self.added_split and any(t in word for t in self.added)
+            cut[word] = [x for part in (self.added_split(word) if special else [word]) if part
+                         for x in ([self.added[part]] if part in self.added else self._pieces(part))]
+            new.update(x for x in cut[word] if x.__class__ is str and x not in self.pieces)
+        known = self.learn(new)
+        self.pieces.update((p, ids) for p, ids in known.items() if len(p) <= self.longest)
+        found = {}
+        for word, parts in cut.items():
+            ids = []
+            for x in parts:
+                ids += [x] if x.__class__ is int else self.pieces[x] if x in self.pieces else known[x]
+            found[word] = struct.pack(f"<{len(ids)}i", *ids)
+        self.update((w, ids) for w, ids in found.items() if len(w) <= self.longest)
+        return found
+
+    def encode_all(self, texts) -> list[np.ndarray]:
+        """Ids of whole texts; null counts as empty."""
+        cut = [words_of(t) if t else [] for t in texts]
+        out, at = [], 0
+        while at < len(cut):  # some texts at a time, so that what is new stays small
+            size, end = 0, at
+            while end < len(cut) and (end == at or size < BATCH_WORDS):
+                size, end = size + len(cut[end]), end + 1
+            if len(self) > self.limit:
+                self.clear()
+            new = set().union(*cut[at:end]).difference(self)
+            found = self._learn_words(new) if new else {}
+            once = [w for w in found if len(w) > self.longest]
+            self.update((w, found[w]) for w in once)
+            out += [np.frombuffer(b"".join(map(self.__getitem__, words)), "<i4") for words in cut[at:end]]
+            for w in once:
+                del self[w]
+            at = end
         return out
 
-    def encode(self, text: str | None) -> array:
-        out, known = array("I"), self.words
-        for word in words_of(text or ""):
-            out += known.get(word) or self._word(word)
-        return out
+    def encode(self, text: str | None) -> np.ndarray:
+        return self.encode_all([text])[0]
 
     def decode(self, ids) -> str:
         """The file names no decoder, so tokens are joined by a space; unknown ids are left out."""
-        return " ".join([t for t in map(self.tokens.get, ids) if t is not None])
+        try:
+            return " ".join(map(self.tokens.__getitem__, ids))
+        except KeyError:
+            return " ".join([self.tokens[i] for i in ids if i in self.tokens])
+
+
+@lru_cache(maxsize=2)
+def codec_of(vocabulary: str) -> RankArrayCodec:
+    """The codec of this Python worker; Spark reuses workers for later tasks."""
+    return RankArrayCodec(vocabulary)
 
 
 def encode(docs: DataFrame, vocabulary: str) -> DataFrame:
     """doc_id, ids."""
     def make():
-        codec = RankArrayCodec(vocabulary)
-        return lambda keys, texts: [(k, codec.encode(t).tolist()) for k, t in zip(keys, texts)]
+        codec = codec_of(vocabulary)
+        return lambda keys, texts: list(zip(keys, codec.encode_all(texts)))
     return map_rows(docs.select("doc_id", "text"), "doc_id bigint, ids array<int>", make)
 
 
 def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
     """doc_id, text from doc_id, ids (null ids: empty)."""
     def make():
-        codec = RankArrayCodec(vocabulary)
+        codec = codec_of(vocabulary)
         return lambda keys, ids: [(k, codec.decode(i or [])) for k, i in zip(keys, ids)]
     return map_rows(encoded.select("doc_id", "ids"), "doc_id bigint, text string", make)
 
@@ -150,12 +225,11 @@ def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
 def round_trip(docs: DataFrame, vocabulary: str) -> DataFrame:
     """doc_id, ids, decoded: both directions in one pass over the texts."""
     def make():
-        codec = RankArrayCodec(vocabulary)
+        codec = codec_of(vocabulary)
 
         def run(keys, texts):
-            for k, t in zip(keys, texts):
-                ids = codec.encode(t).tolist()
-                yield k, ids, codec.decode(ids)
+            for k, ids in zip(keys, codec.encode_all(texts)):
+                yield k, ids, codec.decode(ids.tolist())
         return run
     return map_rows(docs.select("doc_id", "text"), "doc_id bigint, ids array<int>, decoded string", make)
 

@@ -54,7 +54,7 @@ def byte_letters() -> dict[int, str]:
 class WordTable(dict):
     """word -> little-endian 32-bit ids. Full tables start anew, long words are not kept."""
 
-    def __init__(self, path: str, limit: int = 1 << 18, longest: int = 64):
+    def __init__(self, path: str, limit: int = 1 << 19, longest: int = 64):
         super().__init__()
         self.tokenizer, self.limit, self.longest = load(path), limit, longest
         self.model, self.pieces = self.tokenizer.model, {}
@@ -86,3 +86,9 @@ class WordTable(dict):
     def ids(self, text: str | None) -> bytes:
         """All ids of a text as little-endian unsigned 32-bit integers; null counts as empty."""
         return b"".join(map(self.__getitem__, words_of(text))) if text else b""
+
+
+@lru_cache(maxsize=2)
+def word_table(path: str) -> WordTable:
+    """The table of this Python worker: Spark reuses workers, so later tasks find what earlier ones learned."""
+    return WordTable(path)
