@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cinder.llm.common import map_rows
-from cinder.llm.tokenizer import WordTable
+from cinder.llm.tokenizer import word_table
 from cinder.operators.staging import stage
 
 #: Pieces packed by one task.
@@ -39,7 +39,7 @@ PLACED = f"{PIECE}, grp bigint, bin bigint, fill bigint, offset bigint, bound bi
 def pieces(docs: DataFrame, vocabulary: str, end_id: int, capacity: int) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, uid: every document's ids and the end id, cut at ``capacity``."""
     def make():
-        table, end, row = WordTable(vocabulary), struct.pack("<I", end_id), [0]
+        table, end, row = word_table(vocabulary), struct.pack("<I", end_id), [0]
 
         def run(keys, texts):
             task = TaskContext.get().partitionId() << 36

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cinder.llm.common import map_rows
-from cinder.llm.tokenizer import WordTable
+from cinder.llm.tokenizer import load, word_table
 
 BLOCK_IDS = 1 << 18
 MAGIC = b"CTB1"
@@ -87,7 +87,7 @@ def sorted_ids(docs: DataFrame, vocabulary: str, end_id: int, path: str) -> Data
                .repartitionByRange("doc_id").sortWithinPartitions("doc_id", "tie", "text").select("doc_id", "text"))
 
     def make():
-        table, end, state = WordTable(vocabulary), struct.pack("<I", end_id), [0]
+        table, end, state = word_table(vocabulary), struct.pack("<I", end_id), [0]
         small = table.tokenizer.get_vocab_size() <= 1 << 16 and end_id < 1 << 16
 
         def run(keys, texts):
@@ -122,7 +122,7 @@ def write_token_files(docs: DataFrame, path: str, work: str, vocabulary: str, en
     """Write ``path``/blocks and ``path``/ranks. ``work`` is a new folder all executors share."""
     spark = docs.sparkSession
     ids = sorted_ids(docs, vocabulary, end_id, work)
-    size = max(WordTable(vocabulary).tokenizer.get_vocab_size(), end_id + 1)
+    size = max(load(vocabulary).get_vocab_size(), end_id + 1)
     order = id_ranks(ids, size)
     spark.createDataFrame(list(enumerate(order)), "rank int, id int").coalesce(1).write.parquet(f"{path}/ranks")
     ranks = np.zeros(size, np.uint32)
