@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
@@ -12,6 +13,16 @@ from pyspark.sql import DataFrame, SparkSession
 ROWS_PER_SLICE = 512
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver did, whatever folder they start in."""
+    import cinder
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(cinder.__file__)))
+    known = spark.sparkContext.environment.get("PYTHONPATH", os.environ.get("PYTHONPATH", ""))
+    if root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

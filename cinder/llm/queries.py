@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-import uuid
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from cinder.llm import bpe_rank_array, html_tree, langid_centroid, license_scan, minhash_bottomk, packing_certified, pii_weak, quality_llr, token_files, topk_mtree
-from cinder.llm.common import read_table
+from cinder.llm.common import importable, read_table
 from cinder.llm.tokenizer import vocabulary_path
-from cinder.session import ensure_checkpoint_dir
+from cinder.operators.staging import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 LLM_REGISTRY: dict[str, Query] = {}
@@ -18,8 +18,12 @@ LLM_ORACLE: dict[str, str] = {}
 
 
 def query(fn: Query) -> Query:
-    LLM_REGISTRY[fn.__name__] = fn
-    return fn
+    @functools.wraps(fn)
+    def run(spark, sf_dir):
+        importable(spark)
+        return fn(spark, sf_dir)
+    LLM_REGISTRY[fn.__name__] = run
+    return run
 
 
 @query
@@ -62,7 +66,7 @@ def op7_pii_weak(spark, sf_dir):
 
 @query
 def op8_token_files(spark, sf_dir):
-    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/cinder-tokens-{uuid.uuid4().hex}"
+    folder = new_folder(spark, "tokens")
     token_files.write_token_files(read_table(spark, sf_dir, "documents"), f"{folder}/out", f"{folder}/work", vocabulary_path(), end_id=2)
     return token_files.digests(token_files.read_token_files(spark, f"{folder}/out"))
 

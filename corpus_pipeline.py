@@ -11,16 +11,15 @@ every stage against a brute-force version on small tables.
 
 from __future__ import annotations
 
-import uuid
+import functools
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cinder.llm import langid_centroid, minhash_bottomk, packing_certified, pii_weak, quality_llr
-from cinder.llm.common import read_table
+from cinder.llm.common import importable, read_table
 from cinder.llm.tokenizer import vocabulary_path
-from cinder.operators.staging import stage
-from cinder.session import ensure_checkpoint_dir
+from cinder.operators.staging import new_folder, stage
 
 ORACLE_SQL = None
 
@@ -58,18 +57,20 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return packing_certified.pack(docs, vocabulary_path(), end_id=0, capacity=2048)
 
 
-STAGES = [
-    ("quality_rules", quality_rules),
-    ("language_id", language_id),
-    ("near_dedup", near_dedup),
-    ("personal_data", personal_data),
-    ("best_fit_packing", best_fit_packing),
-]
+def _stage(function):
+    @functools.wraps(function)
+    def run_stage(spark, docs, sf_dir):
+        importable(spark)
+        return function(spark, docs, sf_dir)
+    return function.__name__, run_stage
+
+
+STAGES = [_stage(f) for f in (quality_rules, language_id, near_dedup, personal_data, best_fit_packing)]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; what each returns is written in the shared folder and read again."""
-    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/cinder-pipeline-{uuid.uuid4().hex}"
+    folder = new_folder(spark, "pipeline")
     docs = read_table(spark, sf_dir, "documents")
     for k, (name, step) in enumerate(STAGES):
         step(spark, docs, sf_dir).write.parquet(f"{folder}/{k}-{name}")
