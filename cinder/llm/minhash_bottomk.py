@@ -17,6 +17,9 @@ one. Steps, all on classes:
    14 |D(A) & D(B)| >= x(A) + x(B). Members linked to the leader are in one component and
    need no further check among themselves; any other pair must share as many values of the
    D sets as that inequality says, so the same inverted lists, now of D values, find them.
+   A pair that meets in the list of a value that many differences hold has only such
+   values in common, and then the inequality leaves next to no pair. The leader is moved to
+   the group's centre first.
    This is repeated; after ``ROUNDS`` rounds what is left in long lists is paired in full.
 4. The union of two sketches estimates each pair's similarity; pairs that cannot reach 0.75
    go. Of the rest, first each class's likeliest pair is checked on the full sets, then
@@ -45,6 +48,10 @@ WORDS = 5
 SKETCH = 64
 OVERLAP = 30
 SHORT = 48
+#: Group of the first round, of sketches; later groups are named by their leader.
+FIRST = -1
+#: How many times the pairs of a short list a list of low values may look at.
+LOOSE = 64
 ROUNDS = 4
 #: Bits of the filter that saves computing sets nobody asked for; a full filter only costs time.
 FILTER_BITS = 1 << 23
@@ -93,40 +100,54 @@ def features(docs: DataFrame) -> DataFrame:
 
 
 def postings(records: DataFrame) -> DataFrame:
-    """(grp, v, node, n, out, near, typical) of the values of each record's elems that need a list.
-
-    records: grp, node, n, out, elems, need, reach. Values are taken rarest first. ``near``
-    ones are before the last ``need - 1``, the others (of nodes that are ``out``) before
-    the last ``reach - 1``. Values that only one record of the group has are rarest of all
-    and make no list. ``typical`` counts a record's values that many records share.
+    """The values of each record's elems that need a list, with the record's fields.
+
+    records: grp, node, n, out, w (size of elems), ln, x, need, reach, elems. Values are
+    taken rarest first; those that only one record of the group has make no list. ``near``
+    ones are before the last ``need - 1``, the others (of nodes that are ``out``) before the
+    last ``reach - 1``. In the groups of leaders, a value of over SHORT records is ``low``:
+    pairs that meet in its list first have low values in common only, ``h`` at most, and a
+    near one of those is kept only if that can be enough for any partner.
+    ``typical`` counts a record's values that many records share.
     """
-    rows = records.select("grp", "node", "n", "out", "need", "reach", F.explode("elems").alias("v"))
+    keep = ["grp", "node", "n", "out", "w", "ln", "x", "need", "reach"]
+    rows = records.select(*keep, F.explode("elems").alias("v"))
     counts = rows.groupBy("grp", "v").agg(F.count("*").alias("df")).filter("df > 1")
     own = Window.partitionBy("grp", "node")
-    return (rows.join(counts, ["grp", "v"])
-            .withColumn("shared", F.count("*").over(own)).withColumn("typical", F.sum((F.col("df") > SHORT).cast("int")).over(own))
-            .withColumn("place", F.row_number().over(own.orderBy("df", "v")))
-            .filter(F.expr("place <= shared - reach + 1")).withColumn("near", F.expr("place <= shared - need + 1"))
-            .select("grp", "v", "node", "n", "out", "near", "typical"))
+    rows = (rows.join(counts, ["grp", "v"])
+            .withColumn("low", F.when(F.col("grp") == FIRST, 0).otherwise((F.col("df") > SHORT).cast("int")))
+            .withColumn("shared", F.count("*").over(own)).withColumn("h", F.sum("low").over(own))
+            .withColumn("typical", F.sum((F.col("df") > SHORT).cast("int")).over(own))
+            .withColumn("place", F.row_number().over(own.orderBy("df", "v")) + F.col("w") - F.col("shared")))
+    return (rows.filter("place <= w - reach + 1")
+            .withColumn("near", F.expr("place <= w - need + 1 and (low = 0 or 14 * h >= ln + 1 + x)")).filter("near or out")
+            .select("grp", "v", "low", "node", "n", "out", "w", "h", "x", "near", "typical"))
 
 
-#: Which two members of a list are a candidate: sizes allow 0.75, not both settled; two outer ones only by near values.
-_CANDIDATE = ("4 * least(a.n, b.n) >= 3 * greatest(a.n, b.n) and (a.out or b.out) and ((a.near and b.near) or a.out != b.out)")
+#: Whether a and b of one list are a candidate: their sizes, and the overlap that their differences can have at most
+#: (in a low value's list: of low values), allow 0.75.
+_POSSIBLE = "4 * least(a.n, b.n) >= 3 * greatest(a.n, b.n) and 14 * if({low} = 1, least(a.h, b.h), least(a.w, b.w)) >= a.x + b.x"
+_FIELDS = ["node", "n", "out", "w", "h", "x"]
 
 
 def short_pairs(lists: DataFrame) -> DataFrame:
-    """a, b: candidates of short lists. Lists with the same members are paired once."""
-    lists = (lists.groupBy("grp", "v").agg(F.sort_array(F.collect_list(F.struct("node", "n", "out", "near"))).alias("l"))
-             .select("l").distinct())
-    ordered = lists.select("l", F.posexplode("l").alias("i", "a"))
-    return (ordered.select("a", F.explode(F.expr("slice(l, i + 2, size(l))")).alias("b")).filter(_CANDIDATE)
-            .select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct())
+    """a, b: candidates of short lists: near members with each other unless both are settled, the others with settled ones.
+    Lists with the same members are paired once. Impossible pairs are left out before they become rows."""
+    member = F.struct(*_FIELDS)
+    lists = (lists.groupBy("grp", "v", "low").agg(F.sort_array(F.collect_list(F.when(F.col("near"), member))).alias("l"),
+                                                  F.sort_array(F.collect_list(F.when(~F.col("near"), member))).alias("far"))
+             .select("low", "l", "far").distinct())
+    first = lists.select("low", "l", "far", F.posexplode("l").alias("i", "a"))
+    others = f"filter(concat(slice(l, i + 2, size(l)), if(a.out, slice(l, 1, 0), far)), b -> (a.out or b.out) and {_POSSIBLE.format(low='low')})"
+    pairs = first.select(F.col("a.node").alias("p"), F.explode(F.expr(f"transform({others}, b -> b.node)")).alias("q"))
+    return pairs.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
 
 
 def long_pairs(posts: DataFrame) -> DataFrame:
     """a, b: candidates of lists of any length, by a join; for what is left after the last round."""
     a, b = posts.alias("a"), posts.alias("b")
-    on = F.expr(f"a.grp = b.grp and a.v = b.v and a.node < b.node and {_CANDIDATE}")
+    met = "((a.near and b.near and (a.out or b.out)) or a.out != b.out)"
+    on = F.expr(f"a.grp = b.grp and a.v = b.v and a.node < b.node and {met} and {_POSSIBLE.format(low='a.low')}")
     return a.join(b, on).select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
 
 
@@ -174,12 +195,31 @@ def differences(members: DataFrame, sets: DataFrame) -> DataFrame:
     own, lead = sets.select("node", "n", "values"), sets.select(F.col("node").alias("leader"), F.col("n").alias("ln"), F.col("values").alias("lv"))
     both = members.join(own, "node").join(lead, "leader")
     both = both.withColumn("elems", F.expr("concat(array_except(values, lv), array_except(lv, values))"))
-    both = both.withColumn("x", F.expr("7 * size(elems) - n")).withColumn("out", F.expr("x > ln"))
-    return both.select(F.col("leader").alias("grp"), "node", "n", "out", "elems",
+    both = both.withColumn("w", F.size("elems").cast("long"))
+    both = both.withColumn("x", F.expr("7 * w - n")).withColumn("out", F.expr("x > ln"))
+    return both.select(F.col("leader").alias("grp"), "node", "n", "out", "w", "ln", "x", "elems",
                        F.expr("greatest(1, ceil((ln + 1 + x) / 14))").alias("need"),
                        F.expr("greatest(1, if(out, ceil((x - floor(4 * n / 3)) / 14), ceil((ln + 1 + x) / 14)))").alias("reach"))
 
 
+def recentred(members: DataFrame, records: DataFrame) -> DataFrame:
+    """leader, node with each group's most central member as its leader.
+
+    The group's majority set is the leader's set changed by the values that most
+    differences hold; the member that differs least from it leads. A leader with an edit of
+    its own would put that edit into every difference.
+    """
+    size = records.groupBy("grp").agg(F.count("*").alias("m"))
+    rows = records.select("grp", "node", F.explode("elems").alias("v"))
+    counts = rows.groupBy("grp", "v").agg(F.count("*").alias("df")).filter("df > 1").join(size, "grp").filter("2 * df > m").select("grp", "v")
+    held = rows.join(counts, ["grp", "v"], "left_semi").groupBy("grp", "node").agg(F.count("*").alias("c"))
+    score = records.select("grp", "node", "w").join(held, ["grp", "node"]).select("grp", F.struct((F.col("w") - 2 * F.col("c")).alias("s"), "node").alias("k"))
+    better = score.groupBy("grp").agg(F.min("k").alias("k")).filter("k.s < 0").select(F.col("grp").alias("leader"), F.col("k.node").alias("new"))
+    moved = members.join(better, "leader", "left").select("leader", F.coalesce("new", "leader").alias("new"), "node")
+    every = moved.select("new", "node").union(moved.select("new", F.col("leader").alias("node")))
+    return every.toDF("leader", "node").filter("leader != node").distinct()
+
+
 def estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """a, b, est of the pairs that the union sketch leaves possible."""
     sk = lambda side: classes.select(F.col("node").alias(side), F.col("sketch").alias(f"s{side}"))
@@ -216,18 +256,19 @@ def links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """node, label of all classes that are linked with another one."""
     spark = docs.sparkSession
     need = F.least(F.lit(OVERLAP), F.ceil(F.lit(0.75) * F.size("sketch"))).cast("long")
-    records = classes.select(F.lit(0).cast("long").alias("grp"), "node", "n", F.lit(True).alias("out"), F.col("sketch").alias("elems"),
-                             need.alias("need"), need.alias("reach"))
+    zero = F.lit(0).cast("long")
+    records = classes.select(F.lit(FIRST).cast("long").alias("grp"), "node", "n", F.lit(True).alias("out"), F.size("sketch").cast("long").alias("w"),
+                             zero.alias("ln"), zero.alias("x"), need.alias("need"), need.alias("reach"), F.col("sketch").alias("elems"))
     pairs, edges = [], [spark.createDataFrame([], "a bigint, b bigint")]
     key = ["grp", "v"]
     for turn in range(ROUNDS + 1):
         posts = stage(postings(records), "lists")
         outer, near = F.col("out").cast("int"), F.col("near").cast("int")
-        sizes = posts.groupBy(*key).agg(F.sum(near).alias("m"), F.sum(1 - near).alias("far"), F.sum(1 - outer).alias("settled"))
-        is_long = F.expr(f"m > {SHORT} or far * settled > {SHORT * SHORT}")
-        # far values only meet settled members
+        sizes = posts.groupBy(*key).agg(F.sum(near).alias("m"), F.sum(1 - near).alias("far"), F.sum((1 - outer) * near).alias("settled"))
+        # a list's pairs at most; those of low values are nearly all ruled out before they are made
+        is_long = F.expr(f"m * m + far * settled > if(low = 1, {LOOSE}, 1) * {SHORT * SHORT}")
         posts = posts.join(sizes, key).filter("near or settled > 0").withColumn("long", is_long)
-        listed = stage(posts.select(*key, "node", "n", "out", "near", "typical", "long"), "lists")
+        listed = stage(posts.select(*key, "low", *_FIELDS, "near", "typical", "long"), "lists")
         pairs.append(short_pairs(listed.filter("not long")))
         rest = listed.filter("long")
         if rest.isEmpty():
@@ -237,7 +278,9 @@ def links(docs: DataFrame, classes: DataFrame) -> DataFrame:
             break
         members = stage(leaders(rest), "members")
         nodes = members.select("node").union(members.select(F.col("leader").alias("node"))).distinct()
-        seen = stage(differences(members, stage(full_sets(docs, classes, nodes), "sets")), "differences")
+        sets = stage(full_sets(docs, classes, nodes), "sets")
+        members = stage(recentred(members, stage(differences(members, sets), "differences")), "members")
+        seen = stage(differences(members, sets), "differences")
         edges.append(seen.filter("not out").select(F.col("grp").alias("a"), F.col("node").alias("b")))
         records = seen.join(seen.filter("out").select("grp").distinct(), "grp", "left_semi")
     every = pairs[0]
