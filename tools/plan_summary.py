@@ -1,4 +1,4 @@
-"""Write PLANS.md: the physical plan shape of every registered query.
+"""Write PLANS.md: the physical plan shape of every query of the catalog.
 
 Usage: python tools/plan_summary.py [sf_dir]
 Per query: shuffles (hash/range/single-partition), broadcasts, join
@@ -13,7 +13,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
+from cinder.plans.catalog import REGISTRY  # noqa: E402
 from cinder.session import local_session  # noqa: E402
 
 
@@ -44,7 +44,7 @@ def main() -> None:
            "broadcast at run time when AQE sees a small side.", "",
            "| Query | hash | range | rr | single | bcast | joins | other | pushed filters | read schema |",
            "|---|---|---|---|---|---|---|---|---|---|"]
-    for name, fn in E.queries().items():
+    for name, fn in REGISTRY.items():
         df = fn(spark, sf_dir)
         s = summarize(df._jdf.queryExecution().explainString(mode))
         pushed = "; ".join(p.strip("[]") for p in s["pushed"]) or "-"
