@@ -32,6 +32,7 @@ from cinder.llm.common import map_rows
 DIMS = 4096
 CLUSTERS = 4
 SAMPLE = 4000
+SALTS = 1024
 ROUNDS = 12
 SLACK = 0.3
 UNKNOWN = "und"
@@ -91,8 +92,11 @@ def sample_counts(rows: DataFrame, bound: int) -> dict[str, np.ndarray]:
     langs = [r.lang for r in rows.select("lang").distinct().orderBy("lang").limit(bound).collect()]
     each = max(1, bound // max(1, len(langs)))
     ids = rows.select("doc_id", "lang").distinct()
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = ids.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= each)
+    # First by language and salt, then by language: no task sees more than SALTS * each rows of a language, however many there are.
+    ids = ids.withColumn("h", F.xxhash64("doc_id")).withColumn("salt", F.pmod(F.hash("doc_id"), F.lit(SALTS)))
+    for by in (["lang", "salt"], ["lang"]):
+        order = Window.partitionBy(*by).orderBy("h", "doc_id")
+        ids = ids.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= each)
     chosen = {(r.doc_id, r.lang) for r in ids.limit(bound).collect()}
     wanted = rows.filter(F.col("doc_id").isin([k for k, _ in chosen])) if len(chosen) <= 64 else rows.join(
         F.broadcast(rows.sparkSession.createDataFrame([(k,) for k, _ in chosen], "doc_id bigint").distinct()), "doc_id", "left_semi")
