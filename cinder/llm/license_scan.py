@@ -1,17 +1,18 @@
 """Licence scan with a trained paragraph classifier.
 
-A paragraph is a line with a word; long ones are also read in overlapping windows of
-``WINDOW`` words, so a notice inside a long line is found. Word n-grams of one to three are
-the sparse features of a multinomial logistic regression over the licence families and an
-``unknown`` class. It is trained on notices (templates and naming phrases, each also with
-words dropped and corpus words mixed in) and, for ``unknown``, on at most ``SAMPLE``
-paragraphs of the corpus of up to ``LONGEST`` characters, by hash order (the bounds are parameters). A temperature fitted on
-a held-out fifth calibrates the probabilities. A family is reported if its calibrated
-probability is at least ``ACCEPT`` and the text also holds ``OVERLAP`` of the word pairs of
-some template of that family.
-
-Only word n-grams of the notices have weights. A paragraph without any word pair of a
-notice has no evidence and is unknown.
+Stretches of a text that hold ``OVERLAP`` of the word pairs of some template (a notice, a
+naming phrase or a bare name), in at most half as many words again as the template has (a
+sentence of a licence: in ``WINDOW`` words at least), are candidates for its family. Word n-grams of one to
+three are the sparse features of a multinomial logistic regression over the licence families
+and an ``unknown`` class. It is trained on the templates (also with words dropped and corpus
+words mixed in) and, for ``unknown``, on at most ``SAMPLE`` paragraphs (lines) of the corpus of
+up to ``LONGEST`` characters, by hash order (the bounds are parameters). A temperature fitted on
+a held-out fifth calibrates the probabilities. A candidate is confirmed if its words get its
+own family with a calibrated probability of at least ``ACCEPT``. Where confirmed candidates of
+two families share word pairs, the one with more pairs stays; overlapping ones of one family
+are merged. Every family of a line is reported, each with its own spans.
+
+Only word n-grams of the notices have weights. A span holds the punctuation that touches it.
 
 Defined results: a null or empty text has no paragraphs and no licences. Positions are code
 points. Null or repeated doc_ids keep their rows; other input columns are ignored. Texts
@@ -22,6 +23,7 @@ from __future__ import annotations
 
 import random
 import re
+from collections import Counter
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -33,7 +35,7 @@ SAMPLE = 4000
 LONGEST = 2000
 ACCEPT = 0.6
 OVERLAP = 0.6
-WINDOW, STEP = 40, 20
+WINDOW = 40
 UNKNOWN = "unknown"
 COPIES = 8
 _WORD = re.compile(r"[^\W_]+(?:[.+-][^\W_]+)*")
@@ -86,7 +88,8 @@ def grams(words: list[str]) -> list[str]:
 def templates() -> list[tuple[str, str]]:
     """(family, text) of every notice."""
     named = [(f, p.format(n)) for f, names in NAMES.items() for n in names for p in PHRASES]
-    return named + [(f, t) for f, texts in NOTICES.items() for t in texts]
+    bare = [(f, n) for f, names in NAMES.items() for n in names if any(map(str.isdigit, n)) or " " in n]
+    return named + bare + [(f, t) for f, texts in NOTICES.items() for t in texts]
 
 
 def paragraphs(text: str | None) -> list[tuple[int, int]]:
@@ -120,8 +123,9 @@ class Model:
         self.classes: list[str] = []
         self.weights = np.zeros((0, 0))
         self.temperature = 1.0
-        self.pairs: dict[str, list[frozenset]] = {}
-        self.known_pairs: frozenset = frozenset()
+        self.templates: list[tuple[str, frozenset, int, int]] = []  # family, units, units needed, words of a window
+        self.anchors: dict[tuple, list[int]] = {}  # unit -> templates that cannot be there without one of their anchors
+        self.singles: frozenset = frozenset()
 
     def features(self, words: list[str]) -> np.ndarray:
         """Positions of the known n-grams, each once."""
@@ -134,23 +138,90 @@ class Model:
         best = int(np.argmax(z))
         return self.classes[best], float(z[best] / z.sum())
 
-    def confirmed(self, family: str, words: list[str]) -> bool:
-        """Template comparison: enough of a template's word pairs stand in the text."""
-        own = set(zip(words, words[1:]))
-        return any(len(p & own) >= OVERLAP * len(p) for p in self.pairs.get(family, ()))
+    def learn_templates(self, notices: list[tuple[str, list[str]]], corpus: list[list[str]]) -> None:
+        """Units are word pairs; a template of one word that is an id of its own (with a digit) is one unit."""
+        common = Counter(p for words in corpus for p in set(zip(words, words[1:])))
+        for family, words in notices:
+            units = frozenset(zip(words, words[1:])) or frozenset((w,) for w in words if any(c.isdigit() for c in w))
+            if units:
+                width = len(words) + max(2, len(words) // 2)
+                self.templates.append((family, units, -(-round(OVERLAP * 100) * len(units) // 100), max(width, WINDOW) if len(words) > 10 else width))
+        shared = Counter(u for _, units, *_ in self.templates for u in units)
+        for t, (_, units, needed, _) in enumerate(self.templates):
+            # With more units missing than these leave, too few would stand: one of the rarest is always there.
+            for u in sorted(units, key=lambda u: (common[u], shared[u], u))[:len(units) - needed + 1]:
+                self.anchors.setdefault(u, []).append(t)
+        self.singles = frozenset(u[0] for u in shared if len(u) == 1)
+
+    def possible(self, words: list[str]) -> bool:
+        return not (self.anchors.keys().isdisjoint(zip(words, words[1:])) and self.singles.isdisjoint(words))
+
+    def candidates(self, words: list[str]) -> set[tuple[int, int, str, tuple]]:
+        """(first word, last word, family, places of the units) of the stretches that hold enough of a template."""
+        out = set()
+        pairs = list(zip(words, words[1:]))
+        done: dict[int, int] = {}  # template -> last place looked at
+        places = [(i, u) for i, u in enumerate(pairs) if u in self.anchors]
+        places += [(i, (w,)) for i, w in enumerate(words) if w in self.singles]
+        for at, unit in places:
+            for t in self.anchors[unit]:
+                family, units, needed, width = self.templates[t]
+                if len(unit) == 1:
+                    out.add((at, at, family, (at,)))
+                    continue
+                low = max(0, at - width + 2, done.get(t, -1) + 1)
+                done[t] = high = min(len(pairs), at + width - 1) - 1
+                # Windows before ``low`` were looked at with the template's last anchor; those that reach over it were not.
+                near = [(i, pairs[i]) for i in range(max(0, low - width + 2), high + 1) if pairs[i] in units]
+                count, k = Counter(), 0
+                for j, (i, u) in enumerate(near):
+                    count[u] += 1
+                    while i - near[k][0] > width - 2:
+                        count[near[k][1]] -= 1
+                        if not count[near[k][1]]:
+                            del count[near[k][1]]
+                        k += 1
+                    if len(count) >= needed and count[u] == 1:  # nor does one at the end
+                        while count[near[k][1]] > 1:  # a repeated unit at the start adds nothing
+                            count[near[k][1]] -= 1
+                            k += 1
+                        out.add((near[k][0], i + 1, family, tuple(x for x, _ in near[k:j + 1])))
+        return out
+
+    def found(self, words: list[str]) -> list[tuple[int, int, str, float]]:
+        """(first word, last word, family, probability) of every confirmed stretch, merged by family, in order."""
+        seen: dict[tuple[int, int], tuple[str, float]] = {}
+        good = []
+        for first, last, family, places in self.candidates(words):
+            if (first, last) not in seen:
+                seen[first, last] = self.predict(words[first:last + 1])
+            best, p = seen[first, last]
+            if best == family and p >= ACCEPT:
+                good.append((-len(places), -p, first, last, family, places))
+        owner: dict[int, str] = {}
+        kept = []
+        for _, p, first, last, family, places in sorted(good):
+            if all(owner.get(i, family) == family for i in places):
+                owner.update(dict.fromkeys(places, family))
+                kept.append((family, first, last, -p))
+        merged: list[list] = []
+        for family, first, last, p in sorted(kept):
+            if merged and merged[-1][2] == family and first <= merged[-1][1]:
+                merged[-1][1], merged[-1][3] = max(merged[-1][1], last), max(merged[-1][3], p)
+            else:
+                merged.append([first, last, family, p])
+        return sorted(map(tuple, merged))
 
 
 def train(notices: list[tuple[str, str]], background: list[str], seed: int = 7) -> Model:
     rng, model = random.Random(seed), Model()
     model.classes = [*sorted({f for f, _ in notices}), UNKNOWN]
     plain = [(f, tokens(t)) for f, t in notices]
-    for family, words in plain:
-        model.pairs.setdefault(family, []).append(frozenset(zip(words, words[1:])))
     vocabulary = sorted({g for _, words in plain for g in grams(words)})
     model.index = {g: k + 1 for k, g in enumerate(vocabulary)}  # 0: the intercept
     known_words = {w for _, words in plain for w in words}
     corpus = [w for w in map(tokens, background) if w]
-    model.known_pairs = frozenset(p for _, words in plain for p in zip(words, words[1:]))
+    model.learn_templates(plain, corpus)
     filler = [w for words in corpus for w in words[:20] if w not in known_words] or ["x"]
     examples = []
     for family, words in plain:
@@ -161,7 +232,7 @@ def train(notices: list[tuple[str, str]], background: list[str], seed: int = 7)
             cut = rng.randrange(0, len(extra) + 1)
             examples.append((family, extra[:cut] + kept + extra[cut:]))
     # Notices in the sampled paragraphs must not teach "unknown": leave out those that hold most of a template.
-    clean = [w for w in corpus if not (model.known_pairs & set(zip(w, w[1:])) and any(model.confirmed(f, w) for f in model.pairs))]
+    clean = [w for w in corpus if not (model.possible(w) and model.candidates(w))]
     examples += [(UNKNOWN, w) for w in clean]
     shuffled = [words[:] for _, words in plain]
     for words in shuffled:  # the words of a notice without its order say nothing
@@ -214,25 +285,26 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
 
 
 def scan_text(text: str | None, model: Model) -> list[tuple[int, int, str, float]]:
-    """(start, end, family, probability) of every paragraph that holds a notice."""
+    """(start, end, family, probability) of every notice and every name of a licence."""
     out = []
     for start, end in paragraphs(text):
-        words = tokens(text[start:end])
-        if model.known_pairs.isdisjoint(zip(words, words[1:])):
+        if not model.possible(tokens(text[start:end])):
             continue
-        best = None
-        parts = [words] + ([words[i:i + WINDOW] for i in range(0, max(1, len(words) - STEP), STEP)] if len(words) > WINDOW else [])
-        for part in parts:
-            if model.known_pairs.isdisjoint(zip(part, part[1:])):
-                continue
-            family, p = model.predict(part)
-            if family != UNKNOWN and p >= ACCEPT and model.confirmed(family, part) and (best is None or p > best[1]):
-                best = family, p
-        if best:
-            out.append((start, end, *best))
+        words = list(_WORD.finditer(text, start, end))
+        for first, last, family, p in model.found([w[0].lower() for w in words]):
+            out.append((*_touching(text, words[first].start(), words[last].end()), family, p))
     return out
 
 
+def _touching(text: str, start: int, end: int) -> tuple[int, int]:
+    """With the punctuation that touches the span."""
+    while end < len(text) and not (text[end].isspace() or text[end].isalnum()):
+        end += 1
+    while start and not (text[start - 1].isspace() or text[start - 1].isalnum()):
+        start -= 1
+    return start, end
+
+
 def scan(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, n_paragraphs, licences: array of (start, end, family, probability)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)

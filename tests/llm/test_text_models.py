@@ -264,3 +264,23 @@ def test_license_edges(spark):
     assert license_scan.scan(cases.empty_docs(spark), license_scan.fit(cases.empty_docs(spark))).count() == 0
     text = "a\n\n  Licensed under CC BY-NC 4.0.\nz"
     assert [(text[s:e].strip(), f) for s, e, f, _ in license_scan.scan_text(text, model)] == [("Licensed under CC BY-NC 4.0.", "CC-BY-NC")]
+
+
+def license_model():
+    rng = __import__("random").Random(3)
+    words = "river stone walk the of and under public house general tree is this work in with".split()
+    return license_scan.train(license_scan.templates(), [" ".join(rng.choices(words, k=20)) for _ in range(400)])
+
+
+def test_license_families_of_one_line():
+    model = license_model()
+    def found(text):
+        return [(text[s:e], f) for s, e, f, _ in license_scan.scan_text(text, model)]
+    mit, apache = "Licensed under the MIT License.", "Licensed under the Apache License, Version 2.0."
+    assert found(f"{mit} {apache}") == [(mit, "MIT"), (apache, "Apache")]
+    filler = "river stone " * 200
+    text = f"{filler}{mit} {filler}Released under the ISC License. {filler}This work is licensed under CC BY-SA 4.0. {filler}{mit}"
+    assert found(text) == [(mit, "MIT"), ("Released under the ISC License.", "ISC"), ("This work is licensed under CC BY-SA 4.0.", "CC-BY-SA"), (mit, "MIT")]
+    assert [f for _, f in found("parts under the GNU General Public License version 3 and Mozilla Public License")] == ["GPL", "MPL"]
+    assert [f for _, f in found("Released under the GNU Lesser General Public License.")] == ["LGPL"]
+    assert found(filler + "this work is in the public house") == []
