@@ -10,7 +10,8 @@ up to ``LONGEST`` characters, by hash order (the bounds are parameters). A tempe
 a held-out fifth calibrates the probabilities. A candidate is confirmed if its words get its
 own family with a calibrated probability of at least ``ACCEPT``. Where confirmed candidates of
 two families share word pairs, the one with more pairs stays; overlapping ones of one family
-are merged. Every family of a line is reported, each with its own spans.
+are merged. Every family of a text is reported, each with its own spans; line breaks and
+signs between words (comment marks) do not matter. The ids of an SPDX expression are judged one by one.
 
 Only word n-grams of the notices have weights. A span holds the punctuation that touches it.
 
@@ -37,6 +38,7 @@ ACCEPT = 0.6
 OVERLAP = 0.6
 WINDOW = 40
 UNKNOWN = "unknown"
+SPDX = "spdx-license-identifier"
 COPIES = 8
 _WORD = re.compile(r"[^\W_]+(?:[.+-][^\W_]+)*")
 
@@ -44,10 +46,11 @@ _WORD = re.compile(r"[^\W_]+(?:[.+-][^\W_]+)*")
 NAMES = {
     "AGPL": ["GNU Affero General Public License", "GNU AGPL", "AGPL-3.0"],
     "Apache": ["Apache License", "Apache-2.0", "Apache License Version 2.0", "Apache 2.0 License"],
-    "BSD": ["BSD License", "BSD-3-Clause", "BSD-2-Clause", "3-clause BSD License", "New BSD License", "Simplified BSD License"],
+    "BSD": ["BSD License", "BSD-3-Clause", "BSD-2-Clause", "3-clause BSD License", "New BSD License", "Simplified BSD License", "BSD 3-Clause License", "BSD 2-Clause License"],
     "CC-BY": ["CC BY 4.0", "CC BY 3.0", "Creative Commons Attribution 4.0 International License", "Creative Commons Attribution License"],
-    "CC-BY-NC": ["CC BY-NC 4.0", "CC BY-NC 2.0", "CC BY-NC 3.0", "Creative Commons Attribution-NonCommercial License", "CC BY-NC-SA 4.0"],
-    "CC-BY-SA": ["CC BY-SA 4.0", "CC BY-SA 3.0", "Creative Commons Attribution-ShareAlike License"],
+    "CC-BY-NC": ["CC BY-NC 4.0", "CC BY-NC 2.0", "CC BY-NC 3.0", "Creative Commons Attribution-NonCommercial License", "CC BY-NC-SA 4.0",
+                 "Creative Commons Attribution-NonCommercial 4.0 International License", "Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License"],
+    "CC-BY-SA": ["CC BY-SA 4.0", "CC BY-SA 3.0", "Creative Commons Attribution-ShareAlike License", "Creative Commons Attribution-ShareAlike 4.0 International License"],
     "CC0": ["CC0 1.0 Universal", "CC0 Public Domain Dedication", "CC0 1.0"],
     "GPL": ["GNU General Public License", "GNU General Public License version 3", "GNU General Public License version 2", "GPL-3.0", "GPL-2.0", "GNU GPL"],
     "ISC": ["ISC License"],
@@ -60,8 +63,24 @@ NAMES = {
 PHRASES = ["Licensed under the {}.", "Licensed under {}.", "Released under the {}.", "This work is licensed under the {}.",
            "This work is licensed under {}, version 3.", "Distributed under the {}.", "Available under the terms of the {}.",
            "This program is free software under the {}.", "SPDX-License-Identifier: {}", "Licensed under the {}, Version 2.0."]
+#: SPDX ids, and how they are named besides by themselves (an id without a digit is no name by itself).
+IDS = {
+    "AGPL": ["AGPL-3.0-only", "AGPL-3.0-or-later"],
+    "BSD": ["0BSD"],
+    "CC-BY": ["CC-BY-4.0", "CC-BY-3.0", "CC-BY-2.0"],
+    "CC-BY-NC": ["CC-BY-NC-4.0", "CC-BY-NC-3.0", "CC-BY-NC-SA-4.0", "CC-BY-NC-ND-4.0"],
+    "CC-BY-SA": ["CC-BY-SA-4.0", "CC-BY-SA-3.0"],
+    "CC0": ["CC0-1.0"],
+    "GPL": ["GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only", "GPL-3.0-or-later"],
+    "ISC": ["ISC"],
+    "LGPL": ["LGPL-2.0", "LGPL-2.0-only", "LGPL-2.0-or-later", "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0-only", "LGPL-3.0-or-later"],
+    "MIT": ["MIT", "MIT-0"],
+    "MPL": ["MPL-1.1"],
+}
+ID_PHRASES = ["SPDX-License-Identifier: {}", "Licensed under {}.", "Licensed under the {}.", "Released under {}.", "License: {}"]
 #: Sentences of the licence texts themselves.
 NOTICES = {
+    "AGPL": ["This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation"],
     "Apache": ["you may not use this file except in compliance with the License. You may obtain a copy of the License at",
                "distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied"],
     "BSD": ["Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
@@ -70,6 +89,7 @@ NOTICES = {
     "GPL": ["This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation",
             "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY"],
     "ISC": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"],
+    "LGPL": ["This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation"],
     "MIT": ["Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files",
             "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software"],
     "MPL": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file"],
@@ -85,11 +105,16 @@ def grams(words: list[str]) -> list[str]:
     return [" ".join(words[i:i + k]) for k in (1, 2, 3) for i in range(len(words) - k + 1)]
 
 
+#: Word pairs of the phrases without a name: by themselves they name no licence.
+FRAMES = frozenset(pair for phrase in [*PHRASES, *ID_PHRASES] for part in phrase.split("{}") for pair in zip(tokens(part), tokens(part)[1:]))
+
+
 def templates() -> list[tuple[str, str]]:
     """(family, text) of every notice."""
     named = [(f, p.format(n)) for f, names in NAMES.items() for n in names for p in PHRASES]
     bare = [(f, n) for f, names in NAMES.items() for n in names if any(map(str.isdigit, n)) or " " in n]
-    return named + bare + [(f, t) for f, texts in NOTICES.items() for t in texts]
+    ids = [(f, p.format(i)) for f, names in IDS.items() for i in names for p in [*ID_PHRASES, *["{}"] * any(map(str.isdigit, i))]]
+    return named + bare + ids + [(f, t) for f, texts in NOTICES.items() for t in texts]
 
 
 def paragraphs(text: str | None) -> list[tuple[int, int]]:
@@ -126,6 +151,7 @@ class Model:
         self.templates: list[tuple[str, frozenset, int, int]] = []  # family, units, units needed, words of a window
         self.anchors: dict[tuple, list[int]] = {}  # unit -> templates that cannot be there without one of their anchors
         self.singles: frozenset = frozenset()
+        self.ids: dict[str, str] = {}  # SPDX id -> family
 
     def features(self, words: list[str]) -> np.ndarray:
         """Positions of the known n-grams, each once."""
@@ -142,6 +168,8 @@ class Model:
         """Units are word pairs; a template of one word that is an id of its own (with a digit) is one unit."""
         common = Counter(p for words in corpus for p in set(zip(words, words[1:])))
         for family, words in notices:
+            if len(words) == 2 and words[0] == SPDX:
+                self.ids[words[1]] = family
             units = frozenset(zip(words, words[1:])) or frozenset((w,) for w in words if any(c.isdigit() for c in w))
             if units:
                 width = len(words) + max(2, len(words) // 2)
@@ -154,7 +182,7 @@ class Model:
         self.singles = frozenset(u[0] for u in shared if len(u) == 1)
 
     def possible(self, words: list[str]) -> bool:
-        return not (self.anchors.keys().isdisjoint(zip(words, words[1:])) and self.singles.isdisjoint(words))
+        return not (self.anchors.keys().isdisjoint(zip(words, words[1:])) and self.singles.isdisjoint(words) and SPDX not in words)
 
     def candidates(self, words: list[str]) -> set[tuple[int, int, str, tuple]]:
         """(first word, last word, family, places of the units) of the stretches that hold enough of a template."""
@@ -181,7 +209,7 @@ class Model:
                         if not count[near[k][1]]:
                             del count[near[k][1]]
                         k += 1
-                    if len(count) >= needed and count[u] == 1:  # nor does one at the end
+                    if len(count) >= needed and count[u] == 1 and not FRAMES.issuperset(count):  # nor does one at the end
                         while count[near[k][1]] > 1:  # a repeated unit at the start adds nothing
                             count[near[k][1]] -= 1
                             k += 1
@@ -285,14 +313,42 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
 
 
 def scan_text(text: str | None, model: Model) -> list[tuple[int, int, str, float]]:
-    """(start, end, family, probability) of every notice and every name of a licence."""
-    out = []
-    for start, end in paragraphs(text):
-        if not model.possible(tokens(text[start:end])):
-            continue
-        words = list(_WORD.finditer(text, start, end))
-        for first, last, family, p in model.found([w[0].lower() for w in words]):
-            out.append((*_touching(text, words[first].start(), words[last].end()), family, p))
+    """(start, end, family, probability) of every notice and every name of a licence, also over line breaks."""
+    if not text or not model.possible(tokens(text)):
+        return []
+    found = list(_WORD.finditer(text))
+    words = [w[0].lower() for w in found]
+    spans = model.found(words)
+    for i, word in enumerate(words):
+        if word == SPDX:
+            spans += _expression(text, found, words, i, model)
+    spans = sorted((*_touching(text, found[first].start(), found[last].end()), family, p) for first, last, family, p in set(spans))
+    inner = _inside(spans)
+    return [x for x in spans if x not in inner]
+
+
+def _inside(spans: list[tuple]) -> set[tuple]:
+    """Spans that lie in another one of their family."""
+    last, out = {}, set()
+    for x in sorted(spans, key=lambda x: (x[0], -x[1], -x[3])):
+        if x[1] <= last.get(x[2], -1):
+            out.add(x)
+        last[x[2]] = max(x[1], last.get(x[2], -1))
+    return out
+
+
+def _expression(text: str, found: list[re.Match], words: list[str], at: int, model: Model) -> list[tuple[int, int, str, float]]:
+    """The ids of an SPDX expression, each judged as if it stood alone: the one after the tag and those after or, and, with."""
+    out, i = [], at + 1
+    while i < len(words) and "\n" not in text[found[at].end():found[i].start()]:
+        family = model.ids.get(words[i])
+        if family:
+            best, p = model.predict([SPDX, words[i]])
+            if best == family and p >= ACCEPT:
+                out.append((at if i == at + 1 else i, i, family, p))
+        if i + 1 >= len(words) or words[i + 1] not in ("or", "and", "with"):
+            break
+        i += 2
     return out
 
 

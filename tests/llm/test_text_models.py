@@ -284,3 +284,21 @@ def test_license_families_of_one_line():
     assert [f for _, f in found("parts under the GNU General Public License version 3 and Mozilla Public License")] == ["GPL", "MPL"]
     assert [f for _, f in found("Released under the GNU Lesser General Public License.")] == ["LGPL"]
     assert found(filler + "this work is in the public house") == []
+
+
+def test_license_wrapped_notices_and_bare_names():
+    model = license_model()
+    def families(text):
+        return [f for *_, f, _ in license_scan.scan_text(text, model)]
+    for family, text in (
+            ("BSD", "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions\nare met:"),
+            ("ISC", "/*\n * Permission to use, copy, modify, and/or distribute this software for any\n * purpose with or without fee is hereby granted, provided\n */"),
+            ("MIT", "Permission is hereby granted, free of charge, to any person\nobtaining a copy of this software and associated\ndocumentation files (the \"Software\"), to deal"),
+            ("AGPL", "# This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU Affero General Public License as\n# published by the Free Software Foundation"),
+            ("LGPL", "This library is free software; you can redistribute it and/or\nmodify it under the terms of the GNU Lesser General Public\nLicense as published by the Free Software Foundation"),
+            ("MIT", "x\n# SPDX-License-Identifier: MIT\ny"), ("ISC", "// SPDX-License-Identifier: ISC"), ("GPL", "SPDX-License-Identifier: GPL-2.0-or-later"),
+            ("ISC", "ISC License"), ("MIT", "The MIT License (MIT)"), ("BSD", "BSD 3-Clause License"), ("Apache", "Apache License\n Version 2.0")):
+        assert families(f"river stone walk.\n{text}\nriver stone walk\n") == [family], (family, text)
+    assert families("SPDX-License-Identifier: (MIT OR Apache-2.0) AND ISC\nor Apache") == ["MIT", "Apache", "ISC"]
+    assert families("He left MIT with a driving license.\nSPDX-License-Identifier: none\nMIT") == []
+    assert families("This work is licensed under the terms of the contract.") == []
