@@ -3,7 +3,11 @@
 The page is read into a tree (open paragraphs, list items and cells end where the next one
 begins, as browsers do). Subtrees that are never article text are left out: scripts,
 styles, menus, forms, footers, asides, and elements whose class, id or role names a menu,
-advert, notice, share bar or comment section. Every remaining block of text earns points
+advert, notice, share bar or comment section as a whole word of its list (``cookie-notice`` and
+``ad-box``, not ``no-ads``, ``has-sidebar`` or ``related-work``; ids of headings and inline
+elements say nothing). Such a name alone does not drop an element that holds the page's
+article or main, or over half of its text without links; a comment section may be longer than the
+article if there is text besides. If nothing is left, names do not count. Every remaining block of text earns points
 for its commas and length and passes them to the element that holds it, half to the next
 one up and a falling share to further ancestors. An element's points are discounted by the
 share of its characters that are link text. The best container, raised to the ``article``
@@ -50,39 +54,62 @@ BOILERPLATE = frozenset("ad ads adv advert advertisement adverts advertising spo
                         "topbar paywall skip".split())
 #: Marks that only stand for page furniture outside an article.
 OUTSIDE = frozenset("header banner".split())
+#: Words that may stand beside a mark within one class, id or role, as in ad-box or share-buttons.
+NEUTRAL = frozenset("area article bar block body bottom box btn button buttons col column container content entry form group header icon icons "
+                    "inner item items js large left link links list main mobile module outer page panel post posts primary right row "
+                    "secondary section site slot small text title to top unit wrap wrapper".split())
+COMMENTS = frozenset("comment comments commentlist disqus replies reply respond".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 KEPT = frozenset("html body article main".split())
+#: Why an element is left out: never article text, or only by its name; comment sections apart.
+NEVER, NAMED, COMMENTED = 1, 2, 3
 
 
-def _boilerplate(tag: str, attributes: str, in_article: bool) -> bool:
+def _marks(value: str, marks: frozenset) -> set[str]:
+    """The marks of the words of a class, id or role that hold nothing but marks and neutral parts."""
+    out = set()
+    for word in value.split():
+        parts = {x for x in _PARTS.findall(word) if len(x) > 1}
+        if parts & marks and parts <= BOILERPLATE | OUTSIDE | NEUTRAL:
+            out |= parts & marks
+    return out
+
+
+def _boilerplate(tag: str, attributes: str, in_article: bool) -> int:
     if tag in DROPPED:
-        return True
+        return NEVER
     if tag == "header" and not in_article:
-        return True
+        return NEVER
     if not attributes or "=" not in attributes and "hidden" not in attributes.lower():
-        return False
+        return 0
+    named = 0
     for name, value in _HINTS.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return True
+            return NEVER
         if name == "style":
             if "display:none" in value.replace(" ", ""):
-                return True
-        elif name != "aria-hidden" and tag not in ("html", "body", "main"):
-            words = set(_PARTS.findall(value))
-            if words & BOILERPLATE and not (tag == "article" and not words & {"comment", "comments", "reply", "ad", "advert"}):
-                return True
-            if words & OUTSIDE and not in_article and tag != "article":
-                return True
-    return False
+                return NEVER
+        elif name != "aria-hidden" and tag not in ("html", "body", "main") and not (name == "id" and (tag in HEADINGS or tag in INLINE)):
+            words = _marks(value, BOILERPLATE)
+            if words and not (tag == "article" and not words & {"comment", "comments", "reply", "ad", "advert"}):
+                named = COMMENTED if words & COMMENTS else named or NAMED
+            if not named and not in_article and tag != "article" and _marks(value, OUTSIDE):
+                named = NAMED
+    return named
 
 
 class Page:
     """Elements by number (parents before children) and text in page order."""
 
     def __init__(self, html: str):
-        self.parent, self.tag, self.dropped = [-1], [""], [False]
+        self.parent, self.tag, self.why, self.dropped = [-1], [""], [0], [False]
         self.text: list[tuple[int, str]] = []  # (element, decoded text); "\n" ends a block
         self._read(html)
+        if any(w > NEVER for w in self.why):
+            self._judge_names()
+        else:
+            self._drop(self.why)
 
     def _read(self, html: str) -> None:
         stack, open_tags, at, n, quotes = [0], {}, 0, len(html), True
@@ -159,7 +186,7 @@ class Page:
             up = stack[-1]
             self.parent.append(up)
             self.tag.append(tag)
-            self.dropped.append(self.dropped[up] or _boilerplate(tag, attributes, articles > 0))
+            self.why.append(_boilerplate(tag, attributes, articles > 0))
             if tag not in INLINE:
                 self.text.append((up, "\n"))
             if tag in RAW:
@@ -171,6 +198,42 @@ class Page:
             open_tags[tag] = open_tags.get(tag, 0) + 1
             articles += tag in ("article", "main")
 
+    def _drop(self, why: list[int]) -> None:
+        self.dropped = [False] * len(self.parent)
+        for e in range(1, len(self.parent)):
+            self.dropped[e] = self.dropped[self.parent[e]] or why[e] > 0
+
+    def _judge_names(self) -> None:
+        """Which elements are left out by their name."""
+        size = len(self.parent)
+        self._drop([w == NEVER for w in self.why])
+        marked, in_link, article, chars = [False] * size, [False] * size, [0] * size, [0] * size
+        for e in range(1, size):
+            up = self.parent[e]
+            marked[e] = marked[up] or self.why[e] > NEVER
+            in_link[e] = in_link[up] or self.tag[e] == "a"
+            article[e] = e if self.tag[e] in ("article", "main") and not self.dropped[e] else article[up]
+        clear = rest = 0  # characters without links outside all named elements: in articles, in all
+        for e, text in self.text:
+            if not self.dropped[e] and not in_link[e]:
+                n = len(text.strip())
+                chars[e] += n
+                if not marked[e]:
+                    rest += n
+                    clear += n if article[e] else 0
+        holds = [article[e] == e and e > 0 for e in range(size)]
+        for e in range(size - 1, 0, -1):
+            chars[self.parent[e]] += chars[e]
+            holds[self.parent[e]] = holds[self.parent[e]] or (holds[e] and chars[e] > 0)
+        why = list(self.why)
+        for e in range(1, size):
+            if why[e] > NEVER:
+                main = holds[e] and clear < (1 if why[e] == COMMENTED else chars[e])
+                most = 2 * chars[e] > chars[0] and not (rest if why[e] == COMMENTED else clear and not article[self.parent[e]])
+                if main or most:
+                    why[e] = 0
+        self._drop(why)
+
     def holder(self, element: int) -> int:
         """The nearest element around that is no inline one."""
         while self.tag[element] in INLINE:
@@ -238,6 +301,13 @@ class Page:
         return kept
 
     def main_text(self) -> str:
+        out = self._main_text()
+        if not out and any(w > NEVER for w in self.why):
+            self._drop([w == NEVER for w in self.why])
+            out = self._main_text()
+        return out
+
+    def _main_text(self) -> str:
         chosen = self.main()
         inside = [False] * len(self.parent)
         inside[0] = 0 in chosen

@@ -219,6 +219,23 @@ def test_page_furniture():
     assert html_tree.main_text("<article><p>1 &lt; 2 &amp; 3&nbsp;&#65;<br>x<b>y</b>z</article>") == "1 < 2 & 3 A xyz"
 
 
+def test_page_names_do_not_drop_the_article():
+    p = "<p>Some words, and more of them, in a row that is long enough to read.</p>"
+    want = "Some words, and more of them, in a row that is long enough to read."
+    for page in (f'<body><div class="layout has-sidebar"><article>{p}</article></div></body>', f'<article class="post comments-open">{p}</article>',
+                 f'<div id="page" class="no-ads"><p class=ad>Buy</p>{p}</div>', f'<div class="sidebar"><main>{p}</main></div>', f"<div class=social><div>{p}</div></div><div class=ad>Buy</div>",
+                 f"<div class=comments><article>{p}</article></div>", f"<body class=promo><div class='widget'>{p}</div><div class=share>Tell all</div></body>"):
+        assert html_tree.main_text(page) == want, page
+    page = f'<article><h2 id="related-work">Related</h2><h2 id=comments>On</h2>{p}<section id="social-policy"><p>Policy <span class="search-hit">hit</span> <b id=nav>x</b></p></section></article>'
+    assert html_tree.main_text(page) == f"Related On {want} Policy hit x"
+    for named in ("ad", "cookie-notice", "ad-box", "share-buttons", "post-comments", "related posts"):
+        assert html_tree.main_text(f"<article>{p}{p}<div class='{named}'>{p}</div></article>") == f"{want} {want}", named
+    assert html_tree.main_text(f"<article>{p}</article><div id=comments>{p * 9}</div>") == want
+    assert html_tree.main_text(f"<article>{p}<div id=comments>{p * 9}</div></article>") == want
+    assert html_tree.main_text(f"<main><h1>Title</h1><div class=sidebar><article>{p}</article></div></main>") == want
+    assert html_tree.main_text("<div class=menu><a href=x>only links</a></div>") == "only links"
+
+
 def test_page_edges(spark):
     rows = [(1, None, None, "a"), (2, "u", "", "b"), (None, "u", "<p>x", "c"), (4, None, "plain", "d"), (4, None, "plain", "d"), (5, "u", "<article><p>" + "long, " * 40_000, "e")]
     pages = spark.createDataFrame(rows, "page_id bigint, url string, html string, text string")
