@@ -11,8 +11,9 @@ article if there is text besides. If nothing is left, names do not count. Every
 for its commas and length and passes them to the element that holds it, half to the next
 one up and a falling share to further ancestors. An element's points are discounted by the
 share of its characters that are link text. The best container, raised to the ``article``
-or ``main`` element around it, and those siblings that read like it are kept; the text in
-them is taken in page order.
+or ``main`` element around it, and those siblings that read like it are kept; without an
+``article`` or ``main``, so are all siblings of few links between these and directly after
+them. The text in them is taken in page order.
 
 Defined results: a null or empty html, or a page without text, gives ''. Unclosed tags,
 comments and quotes end where the page ends. White space (also from character references)
@@ -292,11 +293,17 @@ class Page:
             up = self.parent[up]
         kept = {best}
         if best:
-            for e in range(1, len(worth)):
-                if self.parent[e] == self.parent[best] and e != best and chars[e]:
-                    density = links[e] / chars[e]
-                    like = self.tag[e] == self.tag[best] or self.tag[e] in ("p", "section", "div")
-                    if like and density < 0.25 and (worth[e] >= 0.2 * top or (self.tag[e] == "p" and chars[e] > 80)):
+            among = [e for e in range(1, len(worth)) if self.parent[e] == self.parent[best] and (e == best or chars[e])]
+            plain = {e for e in among if e == best or links[e] / chars[e] < 0.25}
+            for e in plain - {best}:
+                like = self.tag[e] == self.tag[best] or self.tag[e] in ("p", "section", "div")
+                if like and (worth[e] >= 0.2 * top or (self.tag[e] == "p" and chars[e] > 80)):
+                    kept.add(e)
+            if self.tag[best] not in ("article", "main"):
+                first, last, follows = min(kept), max(kept), True
+                for e in among:
+                    follows = follows and (e <= last or e in plain)
+                    if e in plain and (first < e < last or (e > last and follows)):
                         kept.add(e)
         return kept
 

@@ -236,6 +236,17 @@ def test_page_names_do_not_drop_the_article():
     assert html_tree.main_text("<div class=menu><a href=x>only links</a></div>") == "only links"
 
 
+def test_page_siblings_of_the_best_container():
+    long = "<p>" + "Some words, and more of them, in a row that is long enough to read. " * 8 + "</p>"
+    links = "<ul><li><a href=x>a link</a><li><a href=y>another link</a></ul>"
+    page = (f"<body>{links}<div id=post><div class=part>{long}{long}{long}</div><h2>Head</h2><ul><li>one<li>two</ul><div class=ad>Buy</div>{links}<blockquote>Quote</blockquote>"
+            f"<p>short</p><div class=part>{long}{long}</div><pre>code</pre><p>end</p><div class=part>last</div>{links}<div>after the links</div></div></body>")
+    words = " ".join(long[3:-4].split())
+    assert html_tree.main_text(page) == f"{words} {words} {words} Head one two Quote short {words} {words} code end last"
+    page = f"<div id=post><div class=part>{long}</div><h2>Head</h2><ul><li>one</ul><blockquote>Quote</blockquote><p>short</p><div class=part>short</div></div>"
+    assert html_tree.main_text(page) == f"{words} Head one Quote short short"
+
+
 def test_page_edges(spark):
     rows = [(1, None, None, "a"), (2, "u", "", "b"), (None, "u", "<p>x", "c"), (4, None, "plain", "d"), (4, None, "plain", "d"), (5, "u", "<article><p>" + "long, " * 40_000, "e")]
     pages = spark.createDataFrame(rows, "page_id bigint, url string, html string, text string")
