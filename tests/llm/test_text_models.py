@@ -101,6 +101,27 @@ def test_language_nearest_centroid_by_hand(spark):
         assert langid_centroid.classify(r["text"], model)[0] == model["langs"][int(np.argmax(sims))]
 
 
+def test_language_rejects_what_it_has_not_learned(spark):
+    import base64
+    import random
+    rng, docs = random.Random(1), spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = langid_centroid.fit(docs)
+
+    def letters(n):
+        return " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randrange(2, 10))) for _ in range(n))
+    strange = [f(n) for n in (20, 100, 400) for _ in range(20)
+               for f in (letters, lambda n: base64.b64encode(rng.randbytes(6 * n)).decode(), lambda n: rng.randbytes(6 * n).hex())]
+    strange += ["Het is een mooie dag in de stad en de mensen lopen langs de rivier. Wij hebben gisteren met onze buren gesproken over de nieuwe "
+                "school die volgend jaar gebouwd zal worden, maar niemand weet precies waar de school komt te staan of wie het allemaal gaat betalen.",
+                "O menino foi para a escola com os seus amigos e depois voltou para casa. A cidade está muito bonita nesta época do ano, e as "
+                "pessoas não querem ficar em casa porque o tempo está bom. Amanhã vamos todos juntos à praia, se não chover durante a noite.",
+                "Мальчик пошёл в школу со своими друзьями, а потом вернулся домой."]
+    accepted = [t[:40] for t in strange if not langid_centroid.classify(t, model)[2]]
+    assert len(accepted) <= 0.03 * len(strange) and not any(langid_centroid.classify(t, model)[2] is False for t in strange[-3:])
+    held = [langid_centroid.classify(r.text, model)[2] for r in docs.filter(langid_centroid.held_out(F.col("doc_id"))).collect() if r.text]
+    assert np.mean(held) < 0.04
+
+
 def test_language_edges(spark):
     docs = cases.edge_docs(spark)
     model = langid_centroid.fit(docs)
