@@ -15,6 +15,7 @@ with their number.
 
 from __future__ import annotations
 
+import itertools
 import struct
 import zlib
 
@@ -30,8 +31,6 @@ from cinder.operators.staging import stage
 
 #: Pieces packed by one task.
 GROUP_PIECES = 1 << 16
-#: Rounds of exchange at most; each but the last has saved bins.
-ROUNDS = 4
 PIECE = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, uid bigint"
 PLACED = f"{PIECE}, grp bigint, bin bigint, fill bigint, offset bigint, bound bigint, bins bigint"
 
@@ -106,31 +105,32 @@ def _pack(items: DataFrame, groups: int, salt: int, capacity: int) -> DataFrame:
 
 
 def pack(docs: DataFrame, vocabulary: str, end_id: int = 0, capacity: int = 2048, group_pieces: int = GROUP_PIECES,
-         rounds: int = ROUNDS) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
+         rounds: int | None = None) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32, sequence_id, offset. ``rounds`` bounds the rounds; without it they end when none saves a bin."""
     cut = stage(pieces(docs, vocabulary, end_id, capacity), "pieces")
     result = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
     full = (cut.filter(F.col("length") == capacity)
             .select("doc_id", "piece", "start", "length", "ids_crc32", (-F.col("uid") - 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset")))
-    name = lambda r: ((F.lit(r) * F.lit(1 << 24) + F.col("grp")) * F.lit(1 << 32) + F.col("bin")).alias("sequence_id")
+    name = lambda first: ((F.lit(first) + F.col("grp")) * F.lit(1 << 32) + F.col("bin")).alias("sequence_id")
     items = cut.filter(F.col("length") < capacity)
     n = items.count()
-    placed = stage(_pack(items, max(1, -(-n // group_pieces)), 0, capacity), "packed")
+    groups, first = max(1, -(-n // group_pieces)), 1 << 24  # groups are numbered on through the rounds
+    placed = stage(_pack(items, groups, 0, capacity), "packed")
     done = [full]
-    for r in range(1, rounds + 1):
+    for r in itertools.count(1):
         # Certified partitions are final; of the others, full bins are.
         final = (F.col("bins") == F.col("bound")) | (F.col("fill") == capacity)
         gaps = placed.filter(~final)
         n, before = gaps.agg(F.count("*"), F.count_distinct("grp", "bin")).first()
-        groups = max(1, -(-n // group_pieces))
-        again = n and r < rounds and gaps.select("grp").distinct().count() > 1
+        used, groups = groups, max(1, -(-n // group_pieces))
+        again = n and (rounds is None or r < rounds) and gaps.select("grp").distinct().count() > 1
         new = stage(_pack(gaps.select(*[c.split()[0] for c in PIECE.split(", ")]), groups, r, capacity), "packed") if again else None
         after = new.agg(F.count_distinct("grp", "bin")).first()[0] if again else before
         if after >= before:
-            done.append(placed.select("doc_id", "piece", "start", "length", "ids_crc32", name(r), "offset"))
+            done.append(placed.select("doc_id", "piece", "start", "length", "ids_crc32", name(first), "offset"))
             break
-        done.append(placed.filter(final).select("doc_id", "piece", "start", "length", "ids_crc32", name(r), "offset"))
-        placed = new
+        done.append(placed.filter(final).select("doc_id", "piece", "start", "length", "ids_crc32", name(first), "offset"))
+        placed, first = new, first + used
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more)

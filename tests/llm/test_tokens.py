@@ -8,6 +8,8 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from cinder.llm import bpe_rank_array, packing_certified, token_files
 from cinder.llm.queries import LLM_REGISTRY
 from cinder.llm.tokenizer import load, vocabulary_path, word_table
@@ -154,3 +156,15 @@ def test_bound_never_exceeds_the_best_packing(lengths):
             assert offsets[i] == at
             at += a[i]
         assert at <= 20
+
+
+def test_packing_rounds_end_when_no_bin_is_saved(spark, monkeypatch):
+    """Groups that grow from round to round and are never certified, so that more than four rounds save bins."""
+    deal = packing_certified._pack
+    monkeypatch.setattr(packing_certified, "_pack", lambda items, groups, salt, capacity: deal(items, max(2, 64 >> salt), salt, capacity)
+                        .withColumn("bound", F.lit(0).cast("long")))
+    words = "alpha beta gamma delta the of and to in is that for it was on are".split()
+    texts = [" ".join(random.Random(k).choices(words, k=random.Random(k).randrange(2, 40))) for k in range(400)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    bins = [packing_certified.pack(docs, vocabulary_path(), 0, 64, group_pieces=4, **bound).select("sequence_id").distinct().count() for bound in ({"rounds": 4}, {})]
+    assert bins[1] < bins[0], bins
