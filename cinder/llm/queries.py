@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cinder.llm import bpe_rank_array, html_tree, langid_centroid, license_scan, minhash_bottomk, packing_certified, periodic_runs, pii_weak, quality_llr, token_files, topk_mtree
+from cinder.llm import bpe_rank_array, html_tree, langid_centroid, license_scan, minhash_bottomk, packing_certified, packing_windows, periodic_runs, pii_weak, quality_llr, token_files, topk_mtree
 from cinder.llm.common import importable, read_table
 from cinder.llm.tokenizer import vocabulary_path
 from cinder.operators.staging import new_folder
@@ -128,6 +128,11 @@ def op11_periodic_runs(spark, sf_dir):
     return periodic_runs.digests(periodic_runs.run_rows(read_table(spark, sf_dir, "documents"), periodic_runs.planted))
 
 
+@query
+def op12_window_packing(spark, sf_dir):
+    return packing_windows.pack(read_table(spark, sf_dir, "documents"), vocabulary_path(), end_id=1, capacity=2048)
+
+
 @query
 def pipeline(spark, sf_dir):
     import corpus_pipeline  # stands at the repository's top and imports this subpackage
