@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cinder.llm import bpe_rank_array, html_tree, langid_centroid, license_scan, minhash_bottomk, packing_certified, packing_windows, periodic_runs, pii_weak, quality_llr, token_files, topk_mtree
+from cinder.llm import bpe_rank_array, html_tree, langid_centroid, license_scan, minhash_bottomk, packing_certified, packing_windows, periodic_runs, phrase_automata, pii_weak, quality_llr, token_files, topk_mtree
 from cinder.llm.common import importable, read_table
 from cinder.llm.tokenizer import vocabulary_path
 from cinder.operators.staging import new_folder
@@ -133,6 +133,40 @@ def op12_window_packing(spark, sf_dir):
     return packing_windows.pack(read_table(spark, sf_dir, "documents"), vocabulary_path(), end_id=1, capacity=2048)
 
 
+@query
+def op13_phrase_automata(spark, sf_dir):
+    return phrase_automata.collocations(read_table(spark, sf_dir, "documents"))
+
+
+LLM_ORACLE["op13_phrase_automata"] = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents WHERE text IS NOT NULL),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+total AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+grams AS (
+  SELECT lang, size, unnest(list_transform(range(1, CAST(len(w) - size + 2 AS BIGINT)), lambda i: array_to_string(w[i:i + size - 1], ' '))) AS phrase
+  FROM w, (SELECT unnest([1, 2, 3, 4]) AS size) WHERE len(w) >= size),
+f AS (SELECT lang, size, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 30),
+cand AS (SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE size > 1),
+cuts AS (SELECT *, unnest(range(1, size)) AS k FROM cand),
+scored AS (
+  SELECT c.lang, c.phrase, c.size, c.a, c.k, x.f AS l, y.f AS r, CAST(2000000::HUGEINT * c.a // (x.f + y.f) AS BIGINT) AS score
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:c.k], ' ')
+              JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.k + 1:], ' ')),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner_ AS (SELECT lang, a, w, size, unnest(range(2, size)) AS n FROM cand WHERE size > 2),
+subs AS (SELECT lang, a, unnest(list_transform(range(1, size - n + 2), lambda i: array_to_string(w[i:i + n - 1], ' '))) AS phrase FROM inner_),
+longer AS (SELECT lang, phrase, max(a) AS longer FROM subs GROUP BY ALL),
+ranked AS (
+  SELECT s.*, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, encode(s.phrase)) AS rank
+  FROM lowest s LEFT JOIN longer b ON b.lang = s.lang AND b.phrase = s.phrase
+  WHERE b.longer IS NULL OR 100 * b.longer < 80 * s.a)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+"""
+
+
 @query
 def pipeline(spark, sf_dir):
     import corpus_pipeline  # stands at the repository's top and imports this subpackage
