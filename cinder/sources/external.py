@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from cinder.session import file_system
 from cinder.tables import columns_sql, comment_sql, options_sql, quoted_name, text_literal
 
 
@@ -48,5 +51,35 @@ def create_external_table(spark: SparkSession, name: str, path: str, fmt: str =
 
 
 def overwrite_load(df: DataFrame, table: str) -> None:
-    """SRC-7: replace a table's contents with ``df`` (``LOAD DATA ... OVERWRITE``)."""
-    df.write.mode("overwrite").insertInto(table, overwrite=True)
+    """SRC-7: replace a table's contents with ``df`` (``LOAD DATA ... OVERWRITE``), which may read the table itself.
+
+    The rows are written to a fresh folder as the table would hold them, then one catalog call makes it the
+    table's folder: readers see all old rows or all new ones, and a load that fails leaves the old ones. The
+    old folder is deleted, but for the one an external table was declared on. A versioned name, and a table
+    whose partitions the catalog lists one by one (it is adopted), get a new version instead.
+    """
+    from cinder import versioned
+
+    spark = df.sparkSession
+    about = versioned.details(spark, table)
+    if about.get("Partition Provider") == "Catalog" and not versioned.current_version(spark, table):
+        versioned.adopt(spark, table)
+    if versioned.current_version(spark, table):
+        return versioned.replace_contents(df, table)
+    mark, fresh = f"__load{uuid.uuid4().hex}", f"{table}__load{uuid.uuid4().hex}"
+    old = about["Location"].rstrip("/")
+    new = old.split("__load")[0] + mark
+    versioned.like(spark, table, fresh, new)
+    try:
+        df.write.insertInto(quoted_name(fresh))
+        spark.sql(f"ALTER TABLE {quoted_name(table)} SET LOCATION {text_literal(new)}")
+    except BaseException:
+        fs, path = file_system(spark, new)
+        fs.delete(path, True)
+        raise
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {quoted_name(fresh)}")  # external: its folder stays
+    spark.catalog.refreshTable(quoted_name(table))
+    if about["Type"] == "MANAGED" or "__load" in old:
+        fs, path = file_system(spark, old)
+        fs.delete(path, True)

@@ -3,8 +3,6 @@ no Hive mode needed. Every name is quoted and every text escaped."""
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -24,7 +22,8 @@ def quoted_name(name: str) -> str:
 
 
 def columns_sql(schema: T.StructType | None) -> str:
-    return "" if schema is None else " (" + ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in schema.fields) + ")"
+    return "" if schema is None else " (" + ", ".join(
+        f"{quoted(f.name)} {f.dataType.simpleString()}{comment_sql(f.metadata.get('comment'))}" for f in schema.fields) + ")"
 
 
 def options_sql(options: dict | None) -> str:
@@ -49,6 +48,10 @@ def describe(spark: SparkSession, name: str) -> DataFrame:
 
 def rename_table(spark: SparkSession, old: str, new: str) -> None:
     """CAT-5."""
+    from cinder import versioned
+
+    if versioned.current_version(spark, old):
+        return versioned.rename(spark, old, new)
     spark.sql(f"ALTER TABLE {quoted_name(old)} RENAME TO {quoted_name(new)}")
 
 
@@ -56,12 +59,14 @@ def _renamed_columns(spark: SparkSession, table: str, old: str, new: str) -> str
     return ", ".join(quoted(c) if c != old else f"{quoted(old)} AS {quoted(new)}" for c in spark.table(quoted_name(table)).columns)
 
 
-def rename_column(spark: SparkSession, table: str, old: str, new: str, fmt: str = "parquet") -> None:
-    """CAT-4 that lasts: the table is written anew with the column renamed and takes the old one's name."""
-    fresh = f"{table}_{uuid.uuid4().hex}"
-    spark.sql(f"CREATE TABLE {quoted_name(fresh)} USING {fmt} AS SELECT {_renamed_columns(spark, table, old, new)} FROM {quoted_name(table)}")
-    drop_table(spark, table)
-    rename_table(spark, fresh, table)
+def rename_column(spark: SparkSession, table: str, old: str, new: str) -> None:
+    """CAT-4 that lasts, without rewriting a row: the name becomes a view of the catalog over the table as it is, with its
+    partitions, buckets, options, comments and folder (see :mod:`cinder.versioned`)."""
+    from cinder import versioned
+
+    if not versioned.current_version(spark, table):
+        versioned.adopt(spark, table)
+    versioned.rename_column(spark, table, old, new)
 
 
 def rename_column_as_view(spark: SparkSession, table: str, old: str, new: str, view: str, lasting: bool = False) -> None:
@@ -72,4 +77,8 @@ def rename_column_as_view(spark: SparkSession, table: str, old: str, new: str, v
 
 def drop_table(spark: SparkSession, name: str) -> None:
     """CAT-7: safe to repeat."""
+    from cinder import versioned
+
+    if versioned.current_version(spark, name):
+        return versioned.drop(spark, name)
     spark.sql(f"DROP TABLE IF EXISTS {quoted_name(name)}")
