@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 MONEY = "decimal(18,2)"
 CAP = "decimal(38,2)"
-CAP_AMOUNT = "decimal(30,8)"  # the number before the unit, parsed before scaling
 
 # A market cap is written "$<number>" with an optional unit
 # suffix, B (x 1e9) or M (x 1e6); "n/a" means unknown (counted as 0).
@@ -37,16 +36,18 @@ def cap_unit(cap: str) -> Column:
 def cap_usd(cap: str) -> Column:
     """Cap in dollars as DECIMAL(38,2): unit taken from the actual suffix; n/a -> 0, other text -> NULL.
 
-    The amount keeps its own decimals until it is scaled ('$1.234M' is
-    1,234,000.00), then rounds to cents. The expression is built as one SQL
-    string (one call to the JVM instead of dozens)."""
+    The decimal point is moved in the text, so all of the amount's digits count, and the dollars are
+    rounded once, half up, to cents ('$1.1234567891B' is 1,123,456,789.10). More dollars than the type
+    holds give NULL. The expression is built as one SQL string (one call to the JVM instead of dozens)."""
     rx = _sql(CAP_PATTERN)
-    amount = f"try_cast(regexp_extract(`{cap}`, '{rx}', 1) AS {CAP_AMOUNT})"
-    unit = f"CASE WHEN `{cap}` RLIKE '{rx}' THEN regexp_extract(`{cap}`, '{rx}', 2) END"
+    number, unit = f"regexp_extract(`{cap}`, '{rx}', 1)", f"regexp_extract(`{cap}`, '{rx}', 2)"
+    shift = f"CASE {unit} WHEN 'B' THEN 9 WHEN 'M' THEN 6 ELSE 0 END"
+    # digits behind the point, as many as the shift needs and three: rounding half up to two looks at no more
+    behind = f"rpad(concat_ws('', get(split({number}, '[.]'), 1)), {shift} + 3, '0')"
+    dollars = f"concat('0', split({number}, '[.]')[0], left({behind}, {shift}), '.', substr({behind}, {shift} + 1, 3))"
     return F.expr(
         f"CASE WHEN lower(trim(`{cap}`)) = '{CAP_UNKNOWN}' THEN CAST(0 AS {CAP}) "
-        f"ELSE CAST(CASE WHEN {unit} = 'B' THEN {amount} * 1000000000 "
-        f"WHEN {unit} = 'M' THEN {amount} * 1000000 ELSE {amount} END AS {CAP}) END"
+        f"WHEN `{cap}` RLIKE '{rx}' THEN try_cast({dollars} AS {CAP}) END"
     )
 
 

@@ -16,7 +16,7 @@ from cinder import sinks
 from cinder.operators.staging import new_folder
 from cinder.sources.delimited import RATINGS_SCHEMA, parse_hive_text, read_typed_tsv
 from cinder.sources.external import read_external
-from cinder.sources.regex_log import parse_access_log
+from cinder.sources.regex_log import parse_access_log, parse_referrer_log
 from cinder.sources.tables import TABLE_SCHEMAS, read_table, table_path
 from cinder.sources.text import read_lines
 
@@ -241,6 +241,11 @@ def q_log_parse(spark, sf_dir):
     return parse_access_log(fx.access_log_lines(spark, sf_dir))
 
 
+@query("log_parse_referrer")
+def q_log_parse_referrer(spark, sf_dir):
+    return parse_referrer_log(fx.access_log_lines(spark, sf_dir, empty_referrers=True))
+
+
 @query("ratings_typed")
 def q_ratings_typed(spark, sf_dir):
     return parse_hive_text(fx.ratings_lines(spark, sf_dir), RATINGS_SCHEMA)

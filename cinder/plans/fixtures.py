@@ -28,7 +28,7 @@ def _with_header(spark: SparkSession, header: str, lines: DataFrame) -> DataFram
 
 def listing_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D1: one quoted 9-field line per customer (3 fields when key % 101 = 50); some caps lack digits
-    before or after the point, some are no number (key % 19 = 7)."""
+    before or after the point, some have more decimals than cents, some are no number (key % 19 = 7)."""
     c = read_table(spark, sf_dir, "customer").selectExpr(
         "c_custkey AS k",
         "c_name",
@@ -40,6 +40,8 @@ def listing_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         ELSE concat('"', c_name, '","', c_name, ', Inc.","1.00","',
                     CASE WHEN k % 13 = 0 THEN 'n/a' WHEN k % 19 = 7 THEN '$1,200.5M'
                          WHEN k % 23 = 3 THEN '$.5M' WHEN k % 23 = 4 THEN '$5.M'
+                         WHEN k % 29 = 9 THEN '$1.1234567891B' WHEN k % 29 = 10 THEN '$0.000000004B'
+                         WHEN k % 29 = 11 THEN '$2.00000000499M' WHEN k % 29 = 12 THEN '$3.005'
                          WHEN k % 5 = 0 THEN concat('$', x, 'B')
                          WHEN k % 7 = 0 THEN concat('$', x) ELSE concat('$', x, 'M') END,
                     '","n/a","', sector, '","ind","url",')
@@ -80,15 +82,17 @@ def exchange_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_header(spark, EXCHANGE_HEADER, lines)
 
 
-def access_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def access_log_lines(spark: SparkSession, sf_dir: str, empty_referrers: bool = False) -> DataFrame:
     """D4: one access-log line per event; bytes '-' when event_id % 10 = 0, a
     trailing referrer when event_id % 15 = 1, a trailing carriage return when
-    event_id % 21 = 2 (none of these matches the whole pattern)."""
-    return read_table(spark, sf_dir, "events").selectExpr("""
+    event_id % 21 = 2 (none of these matches the whole pattern). With ``empty_referrers``
+    an empty one when event_id % 15 = 4."""
+    empty = """WHEN event_id % 15 = 4 THEN ' ""'""" if empty_referrers else ""
+    return read_table(spark, sf_dir, "events").selectExpr(f"""
         concat('10.0.', CAST(user_id % 256 AS STRING), '.1 - - [', date_format(ts, 'yyyy-MM-dd'),
                '] "GET /', event_type, ' HTTP/1.0" 200 ',
                CASE WHEN event_id % 10 = 0 THEN '-' ELSE CAST(event_id % 5000 AS STRING) END,
-               CASE WHEN event_id % 15 = 1 THEN ' "ref"' ELSE '' END,
+               CASE WHEN event_id % 15 = 1 THEN ' "ref"' {empty} ELSE '' END,
                CASE WHEN event_id % 21 = 2 THEN chr(13) ELSE '' END) AS value""")
 
 
@@ -122,7 +126,7 @@ def loyalty_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     phone_no = F.concat(F.lit("555-"), F.lpad((k % 10000).cast("string"), 4, "0"))
     return agg.select(
-        k.cast("int").alias("cust_id"),
+        k.alias("cust_id"),  # as stored: a filter on it reaches the scan of orders
         F.concat(F.lit("cust"), k.cast("string"), F.lit("@example.com")).alias("email"),
         F.concat(F.lit("F"), k.cast("string")).alias("fname"),
         F.concat(F.lit("L"), k.cast("string")).alias("lname"),

@@ -76,13 +76,17 @@ WITH d AS (
 r AS (
   SELECT *, k % 101 = 50 AS short_row,
          CASE WHEN k % 13 = 0 THEN 'n/a' WHEN k % 19 = 7 THEN '$1,200.5M' WHEN k % 23 = 3 THEN '$.5M' WHEN k % 23 = 4 THEN '$5.M'
+              WHEN k % 29 = 9 THEN '$1.1234567891B' WHEN k % 29 = 10 THEN '$0.000000004B'
+              WHEN k % 29 = 11 THEN '$2.00000000499M' WHEN k % 29 = 12 THEN '$3.005'
               WHEN k % 5 = 0 THEN '$' || CAST(x AS VARCHAR) || 'B'
               WHEN k % 7 = 0 THEN '$' || CAST(x AS VARCHAR) ELSE '$' || CAST(x AS VARCHAR) || 'M' END AS market_cap,
-         CASE WHEN k % 13 = 0 OR k % 19 = 7 THEN NULL WHEN k % 23 IN (3, 4) THEN 'M' WHEN k % 5 = 0 THEN 'B' WHEN k % 7 = 0 THEN '' ELSE 'M' END AS cap_unit,
+         CASE WHEN k % 13 = 0 OR k % 19 = 7 THEN NULL WHEN k % 23 IN (3, 4) THEN 'M'
+              WHEN k % 29 IN (9, 10) THEN 'B' WHEN k % 29 = 11 THEN 'M' WHEN k % 29 = 12 THEN '' WHEN k % 5 = 0 THEN 'B' WHEN k % 7 = 0 THEN '' ELSE 'M' END AS cap_unit,
          CAST(CASE WHEN k % 13 = 0 THEN 0 WHEN k % 19 = 7 THEN NULL WHEN k % 23 = 3 THEN 500000 WHEN k % 23 = 4 THEN 5000000
+              WHEN k % 29 = 9 THEN 1123456789.10 WHEN k % 29 = 10 THEN 4 WHEN k % 29 = 11 THEN 2000000.00 WHEN k % 29 = 12 THEN 3.01
               WHEN k % 5 = 0 THEN x * 1000000000 WHEN k % 7 = 0 THEN x
               ELSE x * 1000000 END AS DECIMAL(38,2)) AS cap_usd,
-         k % 13 <> 0 AND k % 19 <> 7 AND k % 23 NOT IN (3, 4) AND k % 5 = 0 AS is_b
+         k % 13 <> 0 AND k % 19 <> 7 AND k % 23 NOT IN (3, 4) AND (k % 29 IN (9, 10) OR k % 29 NOT IN (11, 12) AND k % 5 = 0) AS is_b
   FROM d),
 v AS (SELECT * FROM r WHERE NOT short_row)
 """
@@ -216,6 +220,14 @@ SELECT CASE WHEN bad THEN NULL ELSE '10.0.' || CAST(user_id % 256 AS VARCHAR) ||
        CASE WHEN bad THEN NULL ELSE CAST(event_id % 5000 AS VARCHAR) END AS bytes_sent
 FROM x"""
 
+ORACLE["log_parse_referrer"] = """
+WITH x AS (SELECT *, event_id % 10 <> 0 AND event_id % 21 <> 2 AS ok FROM events)
+SELECT CASE WHEN ok THEN '10.0.' || CAST(user_id % 256 AS VARCHAR) || '.1' END AS ip, CASE WHEN ok THEN strftime(ts, '%Y-%m-%d') END AS time_local,
+       CASE WHEN ok THEN 'GET' END AS method, CASE WHEN ok THEN '/' || event_type END AS uri, CASE WHEN ok THEN 'HTTP/1.0' END AS protocol,
+       CASE WHEN ok THEN '200' END AS status, CASE WHEN ok THEN CAST(event_id % 5000 AS VARCHAR) END AS bytes_sent,
+       CASE WHEN ok AND event_id % 15 = 1 THEN 'ref' WHEN ok AND event_id % 15 = 4 THEN '' END AS referrer
+FROM x"""
+
 ORACLE["ratings_typed"] = """
 SELECT date_trunc('second', ts) AS posted, CAST(user_id AS INTEGER) AS cust_id,
        CAST(event_id % 500 AS INTEGER) AS prod_id,
@@ -230,7 +242,7 @@ WITH c AS (
 """
 
 ORACLE["map_lookup"] = _D6 + """
-SELECT CAST(k AS INTEGER) AS cust_id,
+SELECT k AS cust_id,
        CASE WHEN k % 4 = 0 THEN NULL ELSE '555-' || lpad(CAST(k % 10000 AS VARCHAR), 4, '0') END AS home_phone
 FROM c"""
 
@@ -240,13 +252,13 @@ ORACLE["array_element"] = "SELECT vec_id, embedding[3] AS element FROM embedding
 
 ORACLE["array_element_past_end"] = "SELECT vec_id, embedding[65] AS element FROM embeddings"
 
-ORACLE["struct_field"] = _D6 + "SELECT CAST(k AS INTEGER) AS cust_id, total AS order_total FROM c"
+ORACLE["struct_field"] = _D6 + "SELECT k AS cust_id, total AS order_total FROM c"
 
 ORACLE["column_rename"] = _D6 + """
-SELECT CAST(k AS INTEGER) AS cust_id, CASE WHEN n >= 12 THEN 'GOLD' ELSE 'SILVER' END AS status FROM c"""
+SELECT k AS cust_id, CASE WHEN n >= 12 THEN 'GOLD' ELSE 'SILVER' END AS status FROM c"""
 
 ORACLE["loyalty_point_lookup"] = _D6 + """
-SELECT CAST(k AS INTEGER) AS cust_id,
+SELECT k AS cust_id,
        CASE WHEN k % 4 = 0 THEN NULL ELSE '555-' || lpad(CAST(k % 10000 AS VARCHAR), 4, '0') END AS home_phone,
        total AS order_total, CASE WHEN n >= 12 THEN 'GOLD' ELSE 'SILVER' END AS level
 FROM c WHERE k = 13"""

@@ -92,11 +92,11 @@ def test_screen_sql_route_agrees(spark):
         cond = "endswith(market_cap, 'B')" if billion else "NOT coalesce(endswith(market_cap, 'B'), false)"
         sql = spark.sql(f"""
             SELECT sector, count(*) AS company_count,
-                   CAST(sum(CASE WHEN lower(trim(market_cap)) = 'n/a' THEN 0
+                   CAST(sum(CAST(CASE WHEN lower(trim(market_cap)) = 'n/a' THEN 0
                                  WHEN market_cap LIKE '%B' THEN try_cast(substr(market_cap, 2, length(market_cap) - 2)
-                                                                     AS DECIMAL(30,8)) * 1000000000
+                                                                     AS DECIMAL(26,12)) * 1000000000
                                  WHEN market_cap LIKE '%M' THEN try_cast(substr(market_cap, 2, length(market_cap) - 2)
-                                                                     AS DECIMAL(30,8)) * 1000000
-                                 ELSE CAST(substr(market_cap, 2) AS DECIMAL(30,8)) END) AS DECIMAL(38,2)) AS total_cap
+                                                                     AS DECIMAL(26,12)) * 1000000
+                                 ELSE CAST(substr(market_cap, 2) AS DECIMAL(26,12)) END AS DECIMAL(38,2))) AS DECIMAL(38,2)) AS total_cap
             FROM listing_records_v WHERE {cond} AND market_cap NOT LIKE '%,%' GROUP BY sector""")
         assert rows(sql) == rows(scr.screen(recs, billion=billion).select("sector", "company_count", "total_cap"))
