@@ -39,8 +39,8 @@ def rename_column(df: DataFrame, old: str, new: str) -> DataFrame:
     return df.withColumnRenamed(old, new)
 
 
-def point_lookup(loyalty: DataFrame, cust_id: int) -> DataFrame:
-    """FLT-10: one customer's phone, order total and level."""
+def point_lookup(loyalty: DataFrame, cust_id: int | None = None) -> DataFrame:
+    """FLT-10: one customer's phone, order total and level (of all rows without ``cust_id``)."""
     return _point(loyalty, cust_id).select(
         "cust_id", map_value(F.col("phone"), "HOME").alias("home_phone"),
         struct_field(F.col("order_value"), "total").alias("order_total"), "level")

@@ -3,22 +3,26 @@
 from __future__ import annotations
 
 import datetime as _dt
+import json
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cinder.operators import financials as fin_ops
 from cinder.operators import listing as lst
-from cinder.operators import nested, retail, words
+from cinder.operators import nested, retail, stored, words
 from cinder.operators import screen as scr
 from cinder.plans import fixtures as fx
-from cinder import sinks
+from cinder import sinks, tables, versioned
 from cinder.operators.staging import new_folder
 from cinder.sources.delimited import RATINGS_SCHEMA, parse_hive_text, read_typed_tsv
-from cinder.sources.external import read_external
+from cinder.sources.external import create_external_table, overwrite_load, read_external
 from cinder.sources.regex_log import parse_access_log, parse_referrer_log
 from cinder.sources.tables import TABLE_SCHEMAS, read_table, table_path
-from cinder.sources.text import read_lines
+from cinder.sources.text import first_line, read_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -321,3 +325,130 @@ def q_exchange_rejects(spark, sf_dir):
 @query("key_value_render")
 def q_key_value_render(spark, sf_dir):
     return sinks.key_value_lines(words.word_count(_documents_as_lines(spark, sf_dir), "text"), "word", "n")
+
+
+# ---------------------------------------------------------------- stored layouts, loads and schema documents
+
+
+def _fresh(label: str) -> str:
+    """A table name that nothing has used."""
+    return f"{label}_{uuid.uuid4().hex[:16]}"
+
+
+@query("first_lines")
+def q_first_lines(spark, sf_dir):
+    """The first line of each of 16 files that customers are dealt to, in key order."""
+    folder = new_folder(spark, "heads")
+    lines = read_table(spark, sf_dir, "customer").select(
+        (F.col("c_custkey") % 16).alias("bucket"), "c_custkey", F.concat_ws(",", "c_custkey", "c_name").alias("value"))
+    (lines.repartition(16, "bucket").sortWithinPartitions("bucket", "c_custkey").select("bucket", "value")
+     .write.partitionBy("bucket").text(folder))
+    return first_line(spark, folder).select(F.regexp_extract("file", "bucket=([0-9]+)", 1).cast("bigint").alias("bucket"), "value")
+
+
+@query("word_count_shards")
+def q_word_count_shards(spark, sf_dir):
+    """Word counts in 17 sorted text files of a stamped folder, read back."""
+    path = sinks.stamped_path(f"{new_folder(spark, 'shards')}/counts")
+    sinks.write_sharded(words.word_count(_documents_as_lines(spark, sf_dir), "text"), path, "word", 17, "n")
+    return read_lines(spark, path)
+
+
+@query("loyalty_keyed_lookup")
+def q_loyalty_keyed_lookup(spark, sf_dir):
+    folder = new_folder(spark, "loyalty")
+    stored.write_keyed(fx.loyalty_rows(spark, sf_dir), folder, "cust_id")
+    return nested.point_lookup(stored.lookup(spark.read.parquet(folder), "cust_id", LOYALTY_CUSTOMER))
+
+
+# The six external tables of the retail database by the table that stands in for each, and its key.
+EXTERNAL_TABLES = {"categories": ("region", "r_regionkey"), "departments": ("nation", "n_nationkey"), "customers": ("customer", "c_custkey"),
+                   "orders": ("orders", "o_orderkey"), "order_items": ("lineitem", "l_orderkey"), "products": ("part", "p_partkey")}
+AVRO_OF = {"INT": "int", "BIGINT": "long", "DOUBLE": "double", "STRING": "string",
+           "TIMESTAMP_NTZ": {"type": "long", "logicalType": "local-timestamp-micros"}}
+
+
+def avro_document(name: str, ddl: str) -> str:
+    """An Avro schema document of a table of nullable columns."""
+    fields = [c.split() for c in ddl.split(", ")]
+    return json.dumps({"type": "record", "name": name, "namespace": "retail",
+                       "fields": [{"name": c, "type": ["null", AVRO_OF[t]], "default": None} for c, t in fields]})
+
+
+@query("external_schema_scan")
+def q_external_schema_scan(spark, sf_dir):
+    """Six external tables whose columns stand in schema documents in the shared folder: rows, keys and their sum of each."""
+    documents, out = new_folder(spark, "schemas"), None
+    for name, (table, key) in EXTERNAL_TABLES.items():
+        spark.createDataFrame([(avro_document(name, TABLE_SCHEMAS[table]),)], "value string").coalesce(1).write.text(f"{documents}/{name}.avsc")
+        declared = _fresh(name)
+        create_external_table(spark, declared, table_path(sf_dir, table), "parquet", avro_schema_url=f"{documents}/{name}.avsc")
+        rows = spark.table(declared).agg(F.count("*").alias("n_rows"), F.count_distinct(key).alias("n_keys"), F.sum(key).alias("key_sum"))
+        rows = rows.select(F.lit(name).alias("table_name"), F.lit(len(spark.table(declared).columns)).alias("n_columns"), "n_rows", "n_keys", "key_sum")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def _bucketed_listings(spark, sf_dir, fin_columns=None, ex_columns=None):
+    fin, ex = _fresh("financials"), _fresh("exchange")
+    stored.write_bucketed_pair(_fin(spark, sf_dir), _exch(spark, sf_dir), "symbol", fin, ex, 8, new_folder(spark, "listings"))
+    return stored.join_bucketed(spark, fin, ex, "symbol", fin_columns, ex_columns)
+
+
+@query("join_bucketed_lists")
+def q_join_bucketed_lists(spark, sf_dir):
+    return _bucketed_listings(spark, sf_dir, [], [])
+
+
+@query("join_bucketed_details")
+def q_join_bucketed_details(spark, sf_dir):
+    fields = lambda df, prefix: [F.col(c).alias(prefix + c) for c in df.columns if c != "symbol" and not c.startswith("_")]
+    return _bucketed_listings(spark, sf_dir, fields(_fin(spark, sf_dir), "fin_"), fields(_exch(spark, sf_dir), "ex_"))
+
+
+@query("orders_on_day_stored")
+def q_orders_on_day_stored(spark, sf_dir):
+    p, name = RETAIL_PARAMS, _fresh("orders_by_month")  # a folder a day would be some kilobytes at these sizes
+    stored.store_by_time(read_table(spark, sf_dir, "orders"), name, "o_orderdate", "order_month", new_folder(spark, "orders"), "month")
+    return stored.orders_on_day(spark.table(name), p["status"], p["day"])
+
+
+@query("revenue_stored")
+def q_revenue_stored(spark, sf_dir):
+    p, folder, by = RETAIL_PARAMS, new_folder(spark, "months"), [_fresh("orders_by_month"), _fresh("lines_by_month")]
+    orders = read_table(spark, sf_dir, "orders")
+    stored.store_by_time(orders, by[0], "o_orderdate", "order_month", folder, "month")
+    stored.store_by_time(stored.lines_with_order_time(read_table(spark, sf_dir, "lineitem"), orders), by[1], "o_orderdate", "order_month", folder, "month")
+    return stored.revenue_between(spark.table(by[1]), spark.table(by[0]), p["status"], p["month_start"], p["month_end"])
+
+
+ORDERS_TABLE = T.StructType([T.StructField("o_orderkey", T.LongType(), True, {"comment": "the order"}), T.StructField("o_custkey", T.LongType()),
+                             T.StructField("price", T.DecimalType(18, 2)), T.StructField("o_orderstatus", T.StringType())])
+
+
+def _reloaded_orders(spark, sf_dir):
+    """The orders as a versioned table, reloaded from its own rows without every third one, a column renamed, the table renamed."""
+    name = _fresh("orders_v")
+    versioned.create_versioned(spark, name, ORDERS_TABLE, partitioned_by=("o_orderstatus",), comment="Orders", location=new_folder(spark, "orders"))
+    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.col("o_totalprice").cast("decimal(18,2)").alias("price"), "o_orderstatus")
+    overwrite_load(orders, name)
+    overwrite_load(spark.table(name).where("o_orderkey % 3 <> 0"), name)
+    tables.rename_column(spark, name, "o_custkey", "cust_id")
+    tables.rename_table(spark, name, f"{name}_new")
+    return f"{name}_new"
+
+
+@query("table_reload")
+def q_table_reload(spark, sf_dir):
+    return spark.table(_reloaded_orders(spark, sf_dir)).groupBy("o_orderstatus").agg(
+        F.count("*").alias("n_orders"), F.count_distinct("cust_id").alias("n_customers"), F.sum("price").cast("decimal(38,2)").alias("total"))
+
+
+@query("table_describe")
+def q_table_describe(spark, sf_dir):
+    """DESCRIBE of the reloaded and renamed table, with the values that each column holds."""
+    name = _reloaded_orders(spark, sf_dir)
+    columns = spark.table(name).columns
+    held = spark.table(name).agg(*[F.count(c).alias(c) for c in columns])
+    held = held.select(F.inline(F.array(*[F.struct(F.lit(c).alias("col_name"), F.col(c).alias("n_values")) for c in columns])))
+    return versioned.describe_columns(spark, name).join(held, "col_name")

@@ -280,3 +280,34 @@ SELECT '"' || CASE WHEN p_partkey % 3 = 0 THEN 'X' ELSE 'P' END || CAST(p_partke
 FROM part WHERE p_partkey % 41 = 7"""
 
 ORACLE["key_value_render"] = f"SELECT word || chr(9) || CAST(n AS VARCHAR) AS value FROM ({ORACLE['word_count']})"
+
+# ---------------------------------------------------------------- stored layouts, loads and schema documents
+ORACLE["first_lines"] = """
+SELECT c_custkey % 16 AS bucket, CAST(c_custkey AS VARCHAR) || ',' || c_name AS value
+FROM customer QUALIFY row_number() OVER (PARTITION BY c_custkey % 16 ORDER BY c_custkey) = 1"""
+
+ORACLE["word_count_shards"] = ORACLE["key_value_render"]
+
+ORACLE["loyalty_keyed_lookup"] = ORACLE["loyalty_point_lookup"]
+
+ORACLE["external_schema_scan"] = " UNION ALL ".join(
+    f"SELECT '{name}' AS table_name, {n} AS n_columns, count(*)::BIGINT AS n_rows, count(DISTINCT {key})::BIGINT AS n_keys, sum({key})::BIGINT AS key_sum FROM {table}"
+    for name, n, table, key in [("categories", 2, "region", "r_regionkey"), ("departments", 3, "nation", "n_nationkey"), ("customers", 5, "customer", "c_custkey"),
+                                ("orders", 6, "orders", "o_orderkey"), ("order_items", 11, "lineitem", "l_orderkey"), ("products", 6, "part", "p_partkey")])
+
+ORACLE["join_bucketed_lists"] = ORACLE["join_both_lists"]
+ORACLE["join_bucketed_details"] = ORACLE["join_both_details"]
+ORACLE["orders_on_day_stored"] = ORACLE["orders_on_day"]
+ORACLE["revenue_stored"] = ORACLE["revenue_on_day"]
+
+ORACLE["table_reload"] = """
+SELECT o_orderstatus, count(*)::BIGINT AS n_orders, count(DISTINCT o_custkey)::BIGINT AS n_customers,
+       sum(CAST(o_totalprice AS DECIMAL(18,2)))::DECIMAL(38,2) AS total
+FROM orders WHERE o_orderkey % 3 <> 0 GROUP BY o_orderstatus"""
+
+ORACLE["table_describe"] = """
+WITH o AS (SELECT count(o_orderkey) AS a, count(o_custkey) AS b, count(o_totalprice) AS c, count(o_orderstatus) AS d FROM orders WHERE o_orderkey % 3 <> 0)
+SELECT 0 AS position, 'o_orderkey' AS col_name, 'bigint' AS data_type, 'the order' AS comment, false AS is_partition, a AS n_values FROM o
+UNION ALL SELECT 1, 'cust_id', 'bigint', NULL, false, b FROM o
+UNION ALL SELECT 2, 'price', 'decimal(18,2)', NULL, false, c FROM o
+UNION ALL SELECT 3, 'o_orderstatus', 'string', NULL, true, d FROM o"""

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from cinder.session import file_system
+from cinder.sources.avro_schema import read_schema, schema_from_avro
 from cinder.tables import columns_sql, comment_sql, options_sql, quoted_name, text_literal
 
 
@@ -23,15 +24,18 @@ def read_external(
 ) -> DataFrame:
     """Scan an external table in any data-source format.
 
-    ``avro_schema_json`` or ``avro_schema_url`` give a schema kept outside the table; the
-    ``avro`` format needs the spark-avro package on the classpath.
+    ``avro_schema_json`` or ``avro_schema_url`` give a schema kept outside the table. The ``avro`` format,
+    which needs the spark-avro package on the classpath, takes the document itself; for any other
+    format it is turned into a Spark schema. Columns that a file lacks are NULL.
     """
     reader = spark.read.format(fmt)
+    if schema is None and fmt != "avro" and (avro_schema_json or avro_schema_url):
+        schema = schema_from_avro(avro_schema_json) if avro_schema_json else read_schema(spark, avro_schema_url)
     if schema is not None:
         reader = reader.schema(schema)
-    if avro_schema_json is not None:
+    elif avro_schema_json is not None:
         reader = reader.option("avroSchema", avro_schema_json)
-    if avro_schema_url is not None:
+    elif avro_schema_url is not None:
         reader = reader.option("avroSchemaUrl", avro_schema_url)
     for k, v in (options or {}).items():
         reader = reader.option(k, v)
@@ -43,8 +47,11 @@ def create_external_table(spark: SparkSession, name: str, path: str, fmt: str =
                           comment: str | None = None) -> None:
     """CAT-2: ``CREATE TABLE ... USING fmt OPTIONS (...) LOCATION path`` (data stays where it is).
 
-    Without ``schema`` the format infers it, for Avro from ``avro_schema_url`` where one is given.
+    ``avro_schema_url`` names a schema document: Avro reads it by itself, for other formats its columns are declared.
+    Without either the format infers the schema.
     """
+    if schema is None and avro_schema_url and fmt != "avro":
+        schema, avro_schema_url = read_schema(spark, avro_schema_url), None
     every = {**({"avroSchemaUrl": avro_schema_url} if avro_schema_url else {}), **(options or {})}
     spark.sql(f"CREATE TABLE {'IF NOT EXISTS ' if if_not_exists else ''}{quoted_name(name)}{columns_sql(schema)} USING {fmt}"
               f"{options_sql(every)} LOCATION {text_literal(path)}{comment_sql(comment)}")
