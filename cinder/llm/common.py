@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import shutil
+import tempfile
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
@@ -13,14 +15,35 @@ from pyspark.sql import DataFrame, SparkSession
 ROWS_PER_SLICE = 512
 
 
-def importable(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver did, whatever folder they start in."""
+_SHIPPED: set[str] = set()
+
+
+def prepare(spark: SparkSession) -> None:
+    """What the Python stages need of a session; every one of them calls this.
+
+    Python workers import this package from where the driver did, whatever folder they start in; where the driver's
+    folders do not reach (a master that is not local) the package is shipped to them.
+    """
     import cinder
 
+    context = spark.sparkContext
     root = os.path.dirname(os.path.dirname(os.path.abspath(cinder.__file__)))
-    known = spark.sparkContext.environment.get("PYTHONPATH", os.environ.get("PYTHONPATH", ""))
+    known = context.environment.get("PYTHONPATH", os.environ.get("PYTHONPATH", ""))
     if root not in known.split(os.pathsep):
-        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))
+        context.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))
+    if not context.master.startswith("local") and context.applicationId not in _SHIPPED:
+        _SHIPPED.add(context.applicationId)
+        folder = tempfile.mkdtemp(prefix="cinder-package-")  # the driver's own: Spark serves the file from there
+        context.addPyFile(shutil.make_archive(f"{folder}/cinder", "zip", root, "cinder"))
+
+
+importable = prepare
+
+
+def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """``df.mapInArrow``, prepared."""
+    prepare(df.sparkSession)
+    return df.mapInArrow(run, schema)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,7 +70,7 @@ def map_rows(df: DataFrame, schema: str, make: Callable[[], Callable[..., Iterab
                 part = batch.slice(at, rows)
                 yield rows_to_batch(f(*(c.to_pylist() for c in part.columns)), arrow)
 
-    return df.mapInArrow(run, schema)
+    return map_batches(df, run, schema)
 
 
 def rows_to_batch(rows: Iterable[tuple], arrow: pa.Schema) -> pa.RecordBatch:

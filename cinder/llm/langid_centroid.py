@@ -27,14 +27,12 @@ are ignored. Texts are read whole.
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cinder.llm.common import map_rows
+from cinder.llm.common import map_batches, map_rows
 
 DIMS = 4096
 CLUSTERS = 4
@@ -47,7 +45,6 @@ ENOUGH = 50
 BANDS = 48
 UNKNOWN = "und"
 _LETTERS = bytes(b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
-_LETTER = re.compile(r"[^\W\d_]").search
 
 
 def mixed(text: str) -> str:
@@ -58,7 +55,7 @@ def mixed(text: str) -> str:
 
 def counts_of(text: str | None) -> np.ndarray | None:
     """n-gram counts by dimension, None without a letter."""
-    if not text or not _LETTER(text):
+    if not text or not any(map(str.isalpha, text)):
         return None
     raw = (" " + text.lower() + " ").encode("utf-8", "surrogatepass").translate(_LETTERS)
     b = np.frombuffer(raw, np.uint8)
@@ -98,7 +95,7 @@ def document_frequencies(rows: DataFrame) -> tuple[np.ndarray, int]:
                     seen[DIMS] += 1
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(DIMS + 1, dtype=np.int32)), pa.array(seen)], names=["dim", "n"])
     total = np.zeros(DIMS + 1, np.int64)
-    for r in rows.select("text").mapInArrow(run, "dim int, n bigint").groupBy("dim").agg(F.sum("n").alias("n")).collect():
+    for r in map_batches(rows.select("text"), run, "dim int, n bigint").groupBy("dim").agg(F.sum("n").alias("n")).collect():
         total[r.dim] = r.n
     return total[:DIMS], int(total[DIMS])
 
@@ -140,7 +137,7 @@ def sample_counts(rows: DataFrame, bound: int) -> dict[str, list[tuple[bytes, by
                         out = [pa.array([key]), pa.array([lang]), pa.array([_packed(counts)], pa.binary()), pa.array([_packed(other)], pa.binary())]
                         yield pa.RecordBatch.from_arrays(out, names=["doc_id", "lang", "counts", "other"])
     # An id that stands on several rows counts once, by its smallest counts.
-    found = (wanted.select("doc_id", "text", "lang").mapInArrow(run, "doc_id bigint, lang string, counts binary, other binary")
+    found = (map_batches(wanted.select("doc_id", "text", "lang"), run, "doc_id bigint, lang string, counts binary, other binary")
              .groupBy("doc_id", "lang").agg(F.min(F.struct("counts", "other")).alias("x")).select("doc_id", "lang", "x.*").orderBy("lang", "doc_id").collect())
     out: dict[str, list] = {}
     for r in found:
@@ -244,4 +241,4 @@ def keep_known(docs: DataFrame, model: dict) -> DataFrame:
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index("text"))
             yield batch.filter(pa.array([not classify(t.as_py(), shared.value)[2] for t in texts], pa.bool_()))
-    return docs.mapInArrow(run, docs.schema)
+    return map_batches(docs, run, docs.schema)

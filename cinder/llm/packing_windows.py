@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from cinder.llm.common import ROWS_PER_SLICE, rows_to_batch
+from cinder.llm.common import ROWS_PER_SLICE, map_batches, rows_to_batch
 from cinder.llm.tokenizer import WordTable, word_table, words_of
 
 SENTENCE = 16
@@ -175,4 +175,4 @@ def pack(docs: DataFrame, vocabulary: str, end_id: int = 1, capacity: int = 2048
                     rows += stream.windows(last=False)
                 yield rows_to_batch(rows, arrow)
         yield rows_to_batch(list(stream.windows(last=True)), arrow)
-    return docs.select("doc_id", "text").mapInArrow(run, SCHEMA)
+    return map_batches(docs.select("doc_id", "text"), run, SCHEMA)

@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cinder.llm.common import rows_to_batch
+from cinder.llm.common import map_batches, rows_to_batch
 from cinder.operators.staging import stage
 
 LONGEST = 4
@@ -285,7 +285,7 @@ def shard_transducers(docs: DataFrame, bounds: dict[str, list[tuple[bytes, ...]]
                 if sum(s.words for s in shards.values()) >= shard_words:
                     yield from out()
         yield from out()
-    return languages(docs).mapInArrow(run, schema)
+    return map_batches(languages(docs), run, schema)
 
 
 def range_bounds(docs: DataFrame, range_words: int = RANGE_WORDS) -> dict[str, list[tuple[bytes, ...]]]:
@@ -310,7 +310,7 @@ def range_bounds(docs: DataFrame, range_words: int = RANGE_WORDS) -> dict[str, l
                     rows.append((lang, [w[:BOUND_BYTES] for w in key_of(words, int(high[i]), int(low[i]))]))
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.list_(pa.binary()))],
                                              names=["lang", "words"])
-    keys = sampled.mapInArrow(run, "lang string, words array<binary>").collect()
+    keys = map_batches(sampled, run, "lang string, words array<binary>").collect()
     step = max(1, len(keys) // ranges)
     by_lang: dict[str, list[tuple[bytes, ...]]] = {}
     for lang, words in keys:
@@ -360,7 +360,7 @@ def look_up(asked: DataFrame, counted: DataFrame, bounds: dict[str, list[tuple[b
             found, weights = compose(*(automaton(t.column("phrase").to_pylist(), t.column("f").to_pylist()) for t in (left, right)))
             rows = list(zip([left.column("lang")[0].as_py()] * len(found), found, weights.tolist()))
         return pa.Table.from_batches([rows_to_batch(rows, arrow)])
-    both = [d.select("lang", "phrase", f).mapInArrow(ranged, "lang string, phrase string, f bigint, range int").groupBy("lang", "range")
+    both = [map_batches(d.select("lang", "phrase", f), ranged, "lang string, phrase string, f bigint, range int").groupBy("lang", "range")
             for d, f in ((asked, F.lit(1).cast("long").alias("f")), (counted, "f"))]
     return both[0].cogroup(both[1]).applyInArrow(run, "lang string, phrase string, f bigint")
 

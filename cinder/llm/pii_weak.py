@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cinder.llm.common import map_rows
+from cinder.llm.common import map_batches, map_rows
 
 KINDS = ("email", "ip", "card", "phone", "secret")
 ACCEPT = 0.5
@@ -43,6 +43,7 @@ _DIGIT = re.compile("[0-9]").search
 _NOT_DIGIT = re.compile("[^0-9]+")
 # Loose patterns.
 _AT = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64} ?[(\[{] ?at ?[)\]}] ?[A-Za-z0-9-]{1,63}(?: ?(?:\.|[(\[{] ?dot ?[)\]}]) ?[A-Za-z0-9-]{1,63}){1,8}", re.I)
+_BRACKETED_AT = re.compile(r"[(\[{] ?at ?[)\]}]", re.I).search  # every match of _AT holds one; case is ignored as there
 _LOOSE_CARD = re.compile(r"(?<![0-9])[0-9](?:[ ./-]?[0-9]){12,18}(?![0-9])")
 _LOOSE_PHONE = re.compile(r"(?<![0-9+(])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])")
 _SECRET = re.compile(r"[=:] {0,3}[\"']?([A-Za-z0-9+/_-]{16,})")
@@ -92,7 +93,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 def loose_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """Further candidates; those that touch a base span of their kind are left out."""
     out = []
-    if "at)" in text or "at]" in text or "at}" in text or "AT" in text or "at " in text and ("( at" in text or "[ at" in text):
+    if _BRACKETED_AT(text):
         out += [(0, m.start(), m.end()) for m in _AT.finditer(text)]
     if _DIGIT(text):
         out += [(1, m.start(), m.end()) for m in _IP.finditer(text)] if "." in text else []
@@ -154,7 +155,7 @@ def patterns(docs: DataFrame) -> list[tuple[tuple[int, ...], int]]:
         rows = sorted(seen)
         yield pa.RecordBatch.from_arrays([pa.array([list(r) for r in rows], pa.list_(pa.int32())),
                                           pa.array([seen[r] for r in rows], pa.int64())], names=["pattern", "n"])
-    found = docs.select("text").mapInArrow(run, "pattern array<int>, n bigint").groupBy("pattern").agg(F.sum("n").alias("n"))
+    found = map_batches(docs.select("text"), run, "pattern array<int>, n bigint").groupBy("pattern").agg(F.sum("n").alias("n"))
     return sorted((tuple(r.pattern), r.n) for r in found.collect())
 
 
@@ -249,4 +250,4 @@ def redact(docs: DataFrame, model: dict) -> DataFrame:
                 counts = [len(t) if f else n for t, f, n in zip(new, found, old)]
                 batch = batch.set_column(n_at, batch.schema.field(n_at), pa.array(counts, batch.schema.field(n_at).type))
             yield batch
-    return docs.mapInArrow(run, docs.schema)
+    return map_batches(docs, run, docs.schema)

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cinder.llm import bpe_rank_array, html_tree, langid_centroid, license_scan, minhash_bottomk, packing_certified, packing_windows, periodic_runs, phrase_automata, pii_weak, quality_llr, token_files, topk_mtree
-from cinder.llm.common import importable, read_table
+from cinder.llm.common import prepare, read_table
 from cinder.llm.tokenizer import vocabulary_path
 from cinder.operators.staging import new_folder
 
@@ -20,7 +20,7 @@ LLM_ORACLE: dict[str, str] = {}
 def query(fn: Query) -> Query:
     @functools.wraps(fn)
     def run(spark, sf_dir):
-        importable(spark)
+        prepare(spark)
         return fn(spark, sf_dir)
     LLM_REGISTRY[fn.__name__] = run
     return run

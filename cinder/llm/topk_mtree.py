@@ -18,8 +18,10 @@ A query's first threshold is its k-th best score among a bounded sample of vecto
 is shuffled; it is sent only to cells that can beat it. Identical queries are searched once.
 
 Defined results: vectors null, empty, with a null or non-finite component, and null ids
-take no part. Rows of the same id and vector count once; an id with several vectors is
-searched with each, its own rows never among the answers. Only vectors of the query's
+take no part. Rows of the same id and vector count once. An id with several vectors is
+searched with each, and its answer is the k best of all (query vector, candidate row) pairs;
+rows of its own are left out before anything is counted, so they never take a place or raise
+a threshold. Only vectors of the query's
 dimension are candidates. Components of 2^31 or more after scaling are taken as +-2^31
 (scores stay in 64 bits). Other input columns are ignored.
 """
@@ -33,6 +35,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cinder.llm.common import prepare
 from cinder.operators.staging import stage
 
 #: Vectors, by hash order, whose scores give a query's first threshold; the first CELLS of them are the cells' pivots.
@@ -119,8 +122,8 @@ class Tree:
             parts = [rows[:len(rows) // 2], rows[len(rows) // 2:]]
         return [(self._middle(p), p) for p in parts]
 
-    def search(self, query: np.ndarray, k: int, least: float) -> list[tuple[int, int]]:
-        """(score, row) of all rows that no k better ones rule out; only scores of at least ``least`` matter."""
+    def search(self, query: np.ndarray, k: int, least: float, skip: np.ndarray | None = None) -> list[tuple[int, int]]:
+        """(score, row) of all rows that no k better ones rule out; only scores of at least ``least`` matter. Rows marked in ``skip`` do not count."""
         q = query.astype(np.float64)
         q2 = float(q @ q)
         norm = q2 ** 0.5
@@ -156,6 +159,7 @@ class Tree:
                 continue
             rows = self.rows[node]
             rows = rows[by_distance(np.abs(d - self.row_dist[node]), self.norm2[rows]) >= least]
+            rows = rows if skip is None else rows[~skip[rows]]
             if small:
                 scores = self.x[rows] @ q
                 good = scores >= least
@@ -187,18 +191,21 @@ def top_k(df: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", vec_col:
           pivots: int = PIVOTS, n_cells: int = CELLS, page_rows: int = PAGE_ROWS) -> DataFrame:
     """query_id, rank, vec_id, score. ``is_query`` maps the id column to a boolean column."""
     spark = df.sparkSession
+    prepare(spark)
     rows = stage(whole_vectors(df, id_col, vec_col, scale), "vectors")
     # Entries: each distinct vector with its k + 1 smallest ids. The limit by rank works before the shuffle.
     order = Window.partitionBy("vec").orderBy("id")
     entries = (rows.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k + 1)
                .groupBy("vec").agg(F.sort_array(F.collect_list("id")).alias("ids")).withColumn("h", F.xxhash64("vec")))
     entries = stage(entries, "entries")
-    chosen = [r.vec for r in entries.orderBy("h", "vec").limit(pivots).select("vec").collect()]  # at most `pivots` rows
+    chosen = entries.orderBy("h", "vec").limit(pivots).select("vec", "ids").collect()  # at most `pivots` rows of k + 1 ids
     by_dim: dict[int, np.ndarray] = {}
-    for v in chosen:
-        by_dim.setdefault(len(v), []).append(v)
+    only: dict[int, list[int | None]] = {}
+    for r in chosen:
+        by_dim.setdefault(len(r.vec), []).append(r.vec)
+        only.setdefault(len(r.vec), []).append(r.ids[0] if len(r.ids) == 1 else None)
     by_dim = {n: np.array(v, np.int64) for n, v in by_dim.items()}
-    shared = spark.sparkContext.broadcast(by_dim)
+    shared, only_id = spark.sparkContext.broadcast(by_dim), spark.sparkContext.broadcast(only)
 
     def assign(batches):
         """Cell of each entry: its nearest pivot of its dimension (0 if none), the distance to it, and its squared norm."""
@@ -217,28 +224,35 @@ def top_k(df: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", vec_col:
     # One row a cell: at most `n_cells` for each dimension of a pivot, and one for each dimension without a pivot of its own.
     directory = celled.groupBy("dim", "cell").agg(F.max("dist").alias("radius"), F.count("*").alias("n")).collect()
     cells = spark.sparkContext.broadcast({dim: sorted((r.cell, r.radius) for r in directory if r.dim == dim) for dim in {r.dim for r in directory}})
+    # A query is a vector. One whose id has no other vector finds its own id in one entry at most, so k + 1 places are
+    # enough whoever asks; one whose id has several is searched for that id, without its rows.
     queries = rows.filter(is_query(F.col("id"))).select("vec", "id")
-    searched = queries.select("vec").distinct().withColumn("q", F.xxhash64("vec"))
+    several = queries.groupBy("id").count().filter("count > 1").select("id", F.lit(True).alias("alone"))
+    queries = queries.join(several, "id", "left").select("id", "vec", F.col("alone").isNotNull().alias("alone"))
+    queries = stage(queries.withColumn("own", F.when(F.col("alone"), F.col("id")).otherwise(0)).withColumn("q", F.xxhash64("vec", "alone", "own")), "queries")
+    searched = queries.select("vec", "alone", "own", "q").distinct()
 
     def route(batches):
         """Each distinct query once for every cell that can hold one of its k best."""
         for pdf in batches:
-            out = {"q": [], "least": [], "qvec": [], "dim": [], "cell": []}
-            for q, vec in zip(pdf["q"], pdf["vec"]):
+            out = {"q": [], "alone": [], "own": [], "least": [], "qvec": [], "dim": [], "cell": []}
+            for q, vec, alone, own in zip(pdf["q"], pdf["vec"], pdf["alone"], pdf["own"]):
                 query, dim = np.asarray(vec, np.int64), len(vec)
                 centres = shared.value.get(dim)
                 norm, least, dots = float(np.linalg.norm(query.astype(float))), -float(1 << 63), None
                 if centres is not None:
-                    scores = sorted(exact_scores(centres, query), reverse=True)
-                    least = float(scores[k]) if len(scores) > k else least  # k + 1 vectors: one of them may be the query's own
+                    scores = exact_scores(centres, query)
+                    scores = sorted((s for s, i in zip(scores, only_id.value[dim]) if not alone or i != own), reverse=True)
+                    enough = k if alone else k + 1  # one of the vectors may be the query's own
+                    least = float(scores[enough - 1]) if len(scores) >= enough else least
                     dots = centres[:n_cells].astype(float) @ query.astype(float)
                 for cell, radius in cells.value.get(dim, ()):
                     bound = (dots[cell] if dots is not None else 0.0) + norm * radius
                     if dots is None or bound + SLACK * (abs(bound) + norm * norm) + 1e-3 >= least:
-                        for name, value in zip(out, (q, least, vec, dim, cell)):
+                        for name, value in zip(out, (q, alone, own, least, vec, dim, cell)):
                             out[name].append(value)
-            yield pd.DataFrame(out).astype({"q": "int64", "least": "float64", "dim": "int32", "cell": "int32"})
-    routed = stage(searched.mapInPandas(route, "q bigint, least double, qvec array<bigint>, dim int, cell int"), "routed")
+            yield pd.DataFrame(out).astype({"q": "int64", "alone": "bool", "own": "int64", "least": "float64", "dim": "int32", "cell": "int32"})
+    routed = stage(searched.mapInPandas(route, "q bigint, alone boolean, own bigint, least double, qvec array<bigint>, dim int, cell int"), "routed")
     # Pages of entries and blocks of queries by cell; every page meets every block of its cell once.
     asked = {(r.dim, r.cell): r["count"] for r in routed.groupBy("dim", "cell").count().collect()}
     plan = [(r.dim, r.cell, -(-r.n // page_rows), -(-asked[r.dim, r.cell] // QUERY_ROWS)) for r in directory if (r.dim, r.cell) in asked]
@@ -246,15 +260,18 @@ def top_k(df: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", vec_col:
     pages = (celled.join(plan, ["dim", "cell"]).withColumn("page", F.pmod("h", "n_pages").cast("int"))
              .select("vec", "ids", "dim", "cell", "page", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)).alias("block")))
     routed = (routed.join(plan, ["dim", "cell"]).withColumn("block", F.pmod(F.hash("q"), "n_blocks"))
-              .select("q", "least", "qvec", "dim", "cell", F.explode(F.sequence(F.lit(0), F.col("n_pages") - 1)).alias("page"), "block"))
+              .select("q", "alone", "own", "least", "qvec", "dim", "cell", F.explode(F.sequence(F.lit(0), F.col("n_pages") - 1)).alias("page"), "block"))
 
     def look(entries_pdf: pd.DataFrame, queries_pdf: pd.DataFrame) -> pd.DataFrame:
         out = {"q": [], "id": [], "score": []}
         if len(entries_pdf) and len(queries_pdf):
             tree, ids = Tree(np.stack(entries_pdf["vec"].to_list()).astype(np.int64)), entries_pdf["ids"].to_list()
-            for q, least, vec in zip(queries_pdf["q"], queries_pdf["least"], queries_pdf["qvec"]):
-                best = [(-s, int(i)) for s, row in tree.search(np.asarray(vec, np.int64), k + 1, least) for i in ids[row]]
-                for s, i in heapq.nsmallest(k + 1, best):
+            one = np.array([len(i) == 1 for i in ids])
+            first = np.array([i[0] for i in ids], np.int64)
+            for q, alone, own, least, vec in zip(*(queries_pdf[c] for c in ("q", "alone", "own", "least", "qvec"))):
+                skip, places = (one & (first == own), k) if alone else (None, k + 1)
+                best = [(-s, int(i)) for s, row in tree.search(np.asarray(vec, np.int64), places, least, skip) for i in ids[row] if not alone or i != own]
+                for s, i in heapq.nsmallest(places, best):
                     out["q"].append(q)
                     out["id"].append(i)
                     out["score"].append(-s)
@@ -264,9 +281,8 @@ def top_k(df: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", vec_col:
     best = Window.partitionBy("q").orderBy(F.desc("score"), "id")
     hits = hits.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= k + 1).drop("place")
     hits = hits.groupBy("q").agg(F.collect_list(F.struct("id", "score")).alias("hits"))  # k + 1 at most
-    answers = (queries.withColumn("q", F.xxhash64("vec")).join(hits, "q")
-               .select("id", F.explode(F.filter("hits", lambda x: x["id"] != F.col("id"))).alias("x"), "vec"))
-    rank = F.row_number().over(Window.partitionBy("query_id", "vec").orderBy(F.desc("score"), "vec_id"))
-    return (answers.select(F.col("id").alias("query_id"), "vec", F.col("x.id").alias("vec_id"), F.col("x.score").alias("score"))
-            .withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score"))
-
+    answers = (queries.join(hits, "q")
+               .select(F.col("id").alias("query_id"), F.explode(F.filter("hits", lambda x: x["id"] != F.col("id"))).alias("x"))
+               .select("query_id", F.col("x.id").alias("vec_id"), F.col("x.score").alias("score")))
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    return answers.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

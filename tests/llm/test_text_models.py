@@ -4,6 +4,7 @@ from collections import Counter
 from types import SimpleNamespace
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -351,3 +352,24 @@ def test_license_wrapped_notices_and_bare_names():
     assert families("SPDX-License-Identifier: (MIT OR Apache-2.0) AND ISC\nor Apache") == ["MIT", "Apache", "ISC"]
     assert families("He left MIT with a driving license.\nSPDX-License-Identifier: none\nMIT") == []
     assert families("This work is licensed under the terms of the contract.") == []
+
+
+# ---------------------------------------------------------------- letters, prefilters
+
+@pytest.mark.parametrize("text, letters", [("½ ² Ⅷ", False), ("²", False), ("①", False), ("٣٤ 12 _", False), ("ª", True), ("1a", True), ("日", True), ("", False)])
+def test_numerals_are_no_letters(text, letters):
+    assert (langid_centroid.counts_of(text) is not None) == letters
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["jo", "a.b", " ", "(", "[", "{", ")", "]", "}", "at", "At", "AT", "aT", "dot", "DOT", ".", "host", "com", "@", "-", "x"]), max_size=14).map("".join))
+def test_the_prefilter_never_changes_the_spans(text):
+    every = [(0, m.start(), m.end()) for m in pii_weak._AT.finditer(text)]
+    base = pii_weak.base_spans(text)
+    free = [s for s in every if not any(k == 0 and s[1] < e and b < s[2] for k, b, e in base)]
+    assert [s for s in pii_weak.loose_spans(text, base) if s[0] == 0] == free
+
+
+@pytest.mark.parametrize("text", ["jo ( At ) host.com", "jo(At)host.com", "jo { at } host { dot } com", "JO[AT]HOST[DOT]COM"])
+def test_any_case_of_at_is_a_candidate(text):
+    assert (0, 0, len(text)) in pii_weak.loose_spans(text, [])
