@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 ROWS_PER_SLICE = 512
 
 
+#: Rows in an Arrow batch between Spark and Python. Texts are long: Spark's 10,000 of them make hundreds of MB a task.
+ROWS_PER_BATCH = 1024
 _SHIPPED: set[str] = set()
 
 
@@ -22,7 +24,7 @@ def prepare(spark: SparkSession) -> None:
     """What the Python stages need of a session; every one of them calls this.
 
     Python workers import this package from where the driver did, whatever folder they start in; where the driver's
-    folders do not reach (a master that is not local) the package is shipped to them.
+    folders do not reach (a master that is not local) the package is shipped to them. Arrow batches are kept small.
     """
     import cinder
 
@@ -35,6 +37,8 @@ def prepare(spark: SparkSession) -> None:
         _SHIPPED.add(context.applicationId)
         folder = tempfile.mkdtemp(prefix="cinder-package-")  # the driver's own: Spark serves the file from there
         context.addPyFile(shutil.make_archive(f"{folder}/cinder", "zip", root, "cinder"))
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > ROWS_PER_BATCH:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))
 
 
 importable = prepare
