@@ -17,9 +17,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cinder.llm import langid_centroid, minhash_bottomk, packing_certified, pii_weak, quality_llr
-from cinder.llm.common import importable, read_table
+from cinder.llm.common import prepare, read_table
 from cinder.llm.tokenizer import vocabulary_path
-from cinder.operators.staging import new_folder, stage
+from cinder.operators.staging import new_folder, releasing, stage
 
 ORACLE_SQL = None
 
@@ -48,19 +48,19 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data in text is replaced by its kind; n_chars follows."""
+    """Personal data in text is replaced by its kind; n_chars follows. Every row stays; null and empty texts stay as they are."""
     return pii_weak.redact(docs, pii_weak.fit(docs))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every row's ids and an end id, packed in sequences of at most 2048."""
+    """Every row's ids and an end id, packed in sequences of at most 2048. A null or empty text is its end id alone."""
     return packing_certified.pack(docs, vocabulary_path(), end_id=0, capacity=2048)
 
 
 def _stage(function):
     @functools.wraps(function)
     def run_stage(spark, docs, sf_dir):
-        importable(spark)
+        prepare(spark)
         return function(spark, docs, sf_dir)
     return function.__name__, run_stage
 
@@ -73,6 +73,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "pipeline")
     docs = read_table(spark, sf_dir, "documents")
     for k, (name, step) in enumerate(STAGES):
-        step(spark, docs, sf_dir).write.parquet(f"{folder}/{k}-{name}")
+        with releasing(spark):
+            step(spark, docs, sf_dir).write.parquet(f"{folder}/{k}-{name}")
         docs = spark.read.parquet(f"{folder}/{k}-{name}")
     return docs
