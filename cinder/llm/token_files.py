@@ -12,7 +12,8 @@ documents, about ``BLOCK_IDS`` ids each. They are written by Spark's own committ
 written again; ``ranks`` beside them holds id by rank. Blocks in order of (part, at) have
 the documents in ascending doc_id order (nulls first; equal ids by their text).
 
-Defined results: a null or empty text holds only the end id. Repeated rows stay. Other
+Defined results: a null or empty text holds only the end id. Repeated rows stay; those of one
+id, however many, are dealt to several parts by their text. Other
 input columns are ignored. An empty table gives no blocks and no rows.
 """
 
@@ -22,11 +23,14 @@ import struct
 import zlib
 
 import numpy as np
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
-from cinder.llm.common import map_rows
+from cinder.llm.common import ROWS_PER_SLICE, map_batches, map_rows, rows_to_batch
 from cinder.llm.tokenizer import load, word_table
 
 BLOCK_IDS = 1 << 18
@@ -81,56 +85,67 @@ def read_block(block: bytes, by_rank: np.ndarray) -> tuple[list[int | None], np.
     return [None if z else int(k) for k, z in zip(keys, null)], counts, by_rank[ranks]
 
 
-def sorted_ids(docs: DataFrame, vocabulary: str, end_id: int, path: str) -> DataFrame:
-    """Tokenise in ascending doc_id order; rows (part, at, doc_id, ids) in the shared folder; at: ids before it in its part."""
-    ordered = (docs.select("doc_id", "text").withColumn("tie", F.xxhash64("text"))
-               .repartitionByRange("doc_id").sortWithinPartitions("doc_id", "tie", "text").select("doc_id", "text"))
+TOKENS = "part int, at bigint, doc_id bigint, width int, ids binary, counts binary"
 
-    def make():
-        table, end, state = word_table(vocabulary), struct.pack("<I", end_id), [0]
-        small = table.tokenizer.get_vocab_size() <= 1 << 16 and end_id < 1 << 16
-
-        def run(keys, texts):
-            for k, t in zip(keys, texts):
-                ids = table.ids(t) + end
-                ids = np.frombuffer(ids, "<u4").astype("<u2").tobytes() if small else ids
-                width = 2 if small else 4
-                yield TaskContext.get().partitionId(), state[0], k, width, ids
-                state[0] += len(ids) // width
-        return run
-    out = map_rows(ordered, "part int, at bigint, doc_id bigint, width int, ids binary", make)
-    out.write.option("compression", "zstd").parquet(path)
-    return docs.sparkSession.read.parquet(path)
 
+def sorted_ids(docs: DataFrame, vocabulary: str, end_id: int, path: str) -> DataFrame:
+    """Tokenise in ascending doc_id order; rows (part, at, doc_id, width, ids) in the shared folder; at: ids before it in its part.
 
-def id_ranks(ids: DataFrame, size: int) -> list[int]:
-    """Ids by falling count over all documents (ties: smaller id first); at most ``size`` of them reach the driver."""
-    def make_counts(batches):
-        counts = np.zeros(size, np.int64)
+    Each task ends with a row of its own: ``counts`` of every id in its rows, as 64-bit integers.
+    """
+    ordered = (docs.select("doc_id", "text").withColumn("tie", F.xxhash64("text"))
+               .repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie", "text").select("doc_id", "text"))
+    arrow = to_arrow_schema(StructType.fromDDL(TOKENS))
+    size = vocabulary_size(vocabulary, end_id)
+    width = 2 if size <= 1 << 16 else 4
+
+    def run(batches):
+        table, end, part = word_table(vocabulary), struct.pack("<I", end_id), TaskContext.get().partitionId()
+        counts, at = np.zeros(size, np.int64), 0
+        for batch in batches:
+            for first in range(0, batch.num_rows, ROWS_PER_SLICE):
+                rows, held = [], []
+                for key, text in zip(*(c.to_pylist() for c in batch.slice(first, ROWS_PER_SLICE).columns)):
+                    ids = table.ids(text) + end
+                    held.append(ids)
+                    rows.append((part, at, key, width, np.frombuffer(ids, "<u4").astype("<u2").tobytes() if width == 2 else ids, None))
+                    at += len(ids) // 4
+                counts += np.bincount(np.frombuffer(b"".join(held), "<u4"), minlength=size)
+                yield rows_to_batch(rows, arrow)
+        yield rows_to_batch([(part, at, None, width, b"", counts.astype("<i8").tobytes())], arrow)
+    map_batches(ordered, run, TOKENS).write.option("compression", "zstd").parquet(path)
+    return docs.sparkSession.read.schema(TOKENS).parquet(path)
+
+
+def vocabulary_size(vocabulary: str, end_id: int) -> int:
+    return max(load(vocabulary).get_vocab_size(), end_id + 1)
+
+
+def id_ranks(tokens: DataFrame) -> list[int]:
+    """Ids by falling count over all documents (ties: smaller id first); no more than the vocabulary has reach the driver."""
+    def sums(batches):
+        counts = 0
         for batch in batches:
-            for w, b in zip(batch.column(0).to_pylist(), batch.column(1)):
-                found = np.bincount(np.frombuffer(b.as_buffer(), f"<u{w}"), minlength=size)
-                counts += found
-        import pyarrow as pa
+            for held in batch.column(0):
+                counts = counts + np.frombuffer(held.as_buffer(), "<i8")
         at = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(counts[at])], names=["id", "n"])
-    counted = ids.select("width", "ids").mapInArrow(make_counts, "id int, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(counts[at] if len(at) else [], pa.int64())], names=["id", "n"])
+    counted = map_batches(tokens.filter("counts is not null").select("counts"), sums, "id int, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
     return [r.id for r in counted.orderBy(F.desc("n"), "id").collect()]
 
 
 def write_token_files(docs: DataFrame, path: str, work: str, vocabulary: str, end_id: int) -> None:
     """Write ``path``/blocks and ``path``/ranks. ``work`` is a new folder all executors share."""
     spark = docs.sparkSession
-    ids = sorted_ids(docs, vocabulary, end_id, work)
-    size = max(load(vocabulary).get_vocab_size(), end_id + 1)
-    order = id_ranks(ids, size)
+    tokens = sorted_ids(docs, vocabulary, end_id, work)
+    order = id_ranks(tokens)
+    ids = tokens.filter("counts is null").drop("counts")
     spark.createDataFrame(list(enumerate(order)), "rank int, id int").coalesce(1).write.parquet(f"{path}/ranks")
-    ranks = np.zeros(size, np.uint32)
+    ranks = np.zeros(vocabulary_size(vocabulary, end_id), np.uint32)
     ranks[order] = np.arange(len(order))
     shared = spark.sparkContext.broadcast(ranks.tobytes())
 
     def blocks(batches):
-        import pyarrow as pa
         rank_of = np.frombuffer(shared.value, np.uint32)
         names = ["part", "at", "n_ids", "block"]
         keys, held, count, first = [], [], 0, None
@@ -152,7 +167,7 @@ def write_token_files(docs: DataFrame, path: str, work: str, vocabulary: str, en
         if held:
             yield out()
     # A staged file may be read in several splits; blocks then start anew, (part, at) still orders them.
-    (ids.mapInArrow(blocks, "part int, at bigint, n_ids bigint, block binary")
+    (map_batches(ids, blocks, "part int, at bigint, n_ids bigint, block binary")
         .write.option("compression", "zstd").parquet(f"{path}/blocks"))
 
 

@@ -168,3 +168,16 @@ def test_packing_rounds_end_when_no_bin_is_saved(spark, monkeypatch):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
     bins = [packing_certified.pack(docs, vocabulary_path(), 0, 64, group_pieces=4, **bound).select("sequence_id").distinct().count() for bound in ({"rounds": 4}, {})]
     assert bins[1] < bins[0], bins
+
+
+def test_token_files_of_one_id_on_a_third_of_the_rows(spark, tmp_dir):
+    rows = [(7 if k % 3 == 0 else None if k % 50 == 1 else k, f"text {k % 100} of {'many ' * (k % 7)}rows") for k in range(1500)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # these rows would go to one part
+    try:
+        token_files.write_token_files(docs, f"{tmp_dir}/a", f"{tmp_dir}/w", vocabulary_path(), 2)
+        parts = spark.read.parquet(f"{tmp_dir}/w").filter("doc_id = 7").select("part").distinct().count()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert parts > 2
+    check_files(token_files.digests(token_files.read_token_files(spark, f"{tmp_dir}/a")).collect(), rows, 2)
