@@ -54,7 +54,7 @@ def byte_letters() -> dict[int, str]:
 class WordTable(dict):
     """word -> little-endian 32-bit ids. Full tables start anew, long words are not kept."""
 
-    def __init__(self, path: str, limit: int = 1 << 19, longest: int = 64):
+    def __init__(self, path: str, limit: int = 1 << 20, longest: int = 64):
         super().__init__()
         self.tokenizer, self.limit, self.longest = load(path), limit, longest
         self.model, self.pieces = self.tokenizer.model, {}
@@ -72,7 +72,8 @@ class WordTable(dict):
     def __missing__(self, word: str) -> bytes:
         import numpy as np
 
-        if len(word) > self.longest or "<|" in word or not PLAIN(word):
+        plain = word.isprintable() if word.isascii() else PLAIN(word)  # the same for ASCII, quicker
+        if len(word) > self.longest or "<|" in word or not plain:
             out = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
         else:
             known = self.pieces
