@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cinder.llm.common import WordHash, map_rows, word_hash
+from cinder.llm.common import WordHash, map_batches, map_rows, word_hash
 
 BUCKETS = 1 << 17
 TRUSTED = 20_000
@@ -76,15 +76,15 @@ def bucket_counts(docs: DataFrame, trusted: set[int]) -> np.ndarray:
     def run(batches):
         known, counts = word_hash(), np.zeros((2, BUCKETS), np.int64)
         for batch in batches:
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                found = np.bincount(ngram_buckets(word_hashes(text.as_py(), known)), minlength=BUCKETS) if text.is_valid else 0
-                counts[0] += found
-                if key in shared.value:
-                    counts[1] += found
+            found = [ngram_buckets(word_hashes(text.as_py(), known)) for text in batch.column(1)]
+            counts[0] += np.bincount(np.concatenate(found), minlength=BUCKETS)
+            good = [f for key, f in zip(batch.column(0).to_pylist(), found) if key in shared.value]
+            if good:
+                counts[1] += np.bincount(np.concatenate(good), minlength=BUCKETS)
         at = np.flatnonzero(counts[0])
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(counts[0][at]), pa.array(counts[1][at])],
                                          names=["bucket", "raw", "target"])
-    sums = (docs.select("doc_id", "text").mapInArrow(run, "bucket int, raw bigint, target bigint")
+    sums = (map_batches(docs.select("doc_id", "text"), run, "bucket int, raw bigint, target bigint")
             .groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toArrow())
     counts = np.zeros((2, BUCKETS), np.int64)
     at = sums.column("bucket").to_numpy()
@@ -141,4 +141,4 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD,
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index("text"))
             yield batch.filter(pa.array([judge(t.as_py(), known, shared.value, threshold)[-1] for t in texts], pa.bool_()))
-    return docs.mapInArrow(run, docs.schema)
+    return map_batches(docs, run, docs.schema)
