@@ -41,9 +41,6 @@ def prepare(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))
 
 
-importable = prepare
-
-
 def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
     """``df.mapInArrow``, prepared."""
     prepare(df.sparkSession)
