@@ -1,16 +1,20 @@
 """Licence scan with a trained paragraph classifier.
 
-Stretches of a text that hold ``OVERLAP`` of the word pairs of some template (a notice, a
-naming phrase or a bare name), in at most half as many words again as the template has (a
-sentence of a licence: in ``WINDOW`` words at least), are candidates for its family. Word n-grams of one to
-three are the sparse features of a multinomial logistic regression over the licence families
-and an ``unknown`` class. It is trained on the templates (also with words dropped and corpus
-words mixed in) and, for ``unknown``, on at most ``SAMPLE`` paragraphs (lines) of the corpus of
-up to ``LONGEST`` characters, by hash order (the bounds are parameters). A temperature fitted on
-a held-out fifth calibrates the probabilities. A candidate is confirmed if its words get its
-own family with a calibrated probability of at least ``ACCEPT``. Where confirmed candidates of
-two families share word pairs, the one with more pairs stays; overlapping ones of one family
-are merged. Every family of a text is reported, each with its own spans; line breaks and
+Word n-grams of one to three are the sparse features of a multinomial logistic regression over
+the licence families and an ``unknown`` class. It is trained on the templates (notices, naming
+phrases and bare names, also with words dropped and corpus words mixed in) and, for ``unknown``,
+on at most ``SAMPLE`` paragraphs of the corpus (lines, those of over ``LONGEST`` characters in
+pieces of that many), by hash order, whole and in windows (the bounds are parameters). A
+temperature fitted on a held-out fifth calibrates the probabilities.
+
+The classifier judges every text first, in overlapping windows of 8, 24 and 64 words, whatever
+they hold. A window is identified as each family that gets a probability of at least ``PROPOSE``;
+where none does, the window is ``unknown``. Identified windows are then compared with the
+templates of their families: a stretch is confirmed if it holds ``OVERLAP`` of the word pairs of one, in
+at most half as many words again as the template has (a sentence of a licence: in ``WINDOW`` words
+at least), and if its own words get that family with a probability of at least ``ACCEPT``.
+Where confirmed stretches of two families share word pairs, the one with more pairs stays; overlapping
+ones of one family are merged. Every family of a text is reported, each with its own spans; line breaks and
 signs between words (comment marks) do not matter. The ids of an SPDX expression are judged one by one.
 
 Only word n-grams of the notices have weights. A span holds the punctuation that touches it.
@@ -24,6 +28,7 @@ from __future__ import annotations
 
 import random
 import re
+from bisect import bisect_right
 from collections import Counter
 
 import numpy as np
@@ -37,6 +42,11 @@ LONGEST = 2000
 ACCEPT = 0.6
 OVERLAP = 0.6
 WINDOW = 40
+PROPOSE = 0.05
+#: (words, step) of the classifier's windows. A stretch of up to words - step + 1 words lies wholly in one of them.
+WINDOWS = ((8, 4), (24, 8), (64, 16))
+#: Words judged together; bounds what a task holds.
+WORDS_AT_ONCE = 1 << 17
 UNKNOWN = "unknown"
 SPDX = "spdx-license-identifier"
 COPIES = 8
@@ -98,7 +108,8 @@ NOTICES = {
 
 
 def tokens(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+    """Words in small letters; cut before lower-casing, which may add signs that are no letters."""
+    return _WORD.findall(text.lower()) if text.isascii() else [w.lower() for w in _WORD.findall(text)]
 
 
 def grams(words: list[str]) -> list[str]:
@@ -128,12 +139,12 @@ def paragraphs(text: str | None) -> list[tuple[int, int]]:
 
 
 def sample_paragraphs(docs: DataFrame, bound: int) -> list[str]:
-    """At most ``bound`` corpus paragraphs of up to ``LONGEST`` characters, the smallest hashes first; repeated ones count once.
+    """At most ``bound`` corpus paragraphs, long ones in pieces of ``LONGEST`` characters, the smallest hashes first; repeated ones count once.
 
     Only hashes are shuffled; the second pass fetches the chosen lines.
     """
-    lines = docs.select(F.explode(F.split(F.col("text"), "\n")).alias("line"))
-    lines = lines.filter((F.length(F.trim("line")) > 0) & (F.length("line") <= LONGEST)).withColumn("h", F.xxhash64("line"))
+    lines = docs.select(F.explode(F.regexp_extract_all("text", F.lit(f"([^\\n]{{1,{LONGEST}}})"), F.lit(1))).alias("line"))
+    lines = lines.filter(F.length(F.trim("line")) > 0).withColumn("h", F.xxhash64("line"))
     chosen = lines.select("h").distinct().orderBy("h").limit(bound).collect()
     if not chosen:
         return []
@@ -152,6 +163,68 @@ class Model:
         self.anchors: dict[tuple, list[int]] = {}  # unit -> templates that cannot be there without one of their anchors
         self.singles: frozenset = frozenset()
         self.ids: dict[str, str] = {}  # SPDX id -> family
+        self.longer: list[tuple[np.ndarray, np.ndarray]] = []  # n-grams of two, three words: sorted keys, positions
+
+    def learn_vocabulary(self, vocabulary: list[str]) -> None:
+        """An n-gram's key is the position of all but its last word, times the size, plus the position of its last."""
+        self.index = {g: k + 1 for k, g in enumerate(vocabulary)}  # 0: the intercept
+        for n in (2, 3):
+            some = [(g.rpartition(" "), at) for g, at in self.index.items() if g.count(" ") == n - 1]
+            some = sorted((self.index[head] * (len(vocabulary) + 1) + self.index[last], at) for (head, _, last), at in some)
+            self.longer.append((np.array([k for k, _ in some], np.int64), np.array([at for _, at in some], np.int64)))
+
+    def windows(self, single: np.ndarray) -> list[tuple[int, int, int]]:
+        """(start, end, class) of the windows over a row of word positions (0: an unknown word) that are identified as a family."""
+        by_size, out = [single], []
+        for keys, at in self.longer:
+            head = by_size[-1][:len(single) - len(by_size)]
+            asked = head * (len(self.index) + 1) + single[len(by_size):]
+            place = np.minimum(np.searchsorted(keys, asked), max(len(keys) - 1, 0))
+            good = (head > 0) & (single[len(by_size):] > 0) & (keys[place] == asked) if len(keys) else np.zeros(len(asked), bool)
+            by_size.append(np.where(good, at[place] if len(keys) else 0, 0))
+        where = np.concatenate([np.flatnonzero(x) for x in by_size])
+        feature = np.concatenate([x[x > 0] for x in by_size])
+        size = np.concatenate([np.full(int((x > 0).sum()), n + 1) for n, x in enumerate(by_size)])
+        order = np.lexsort((where, feature))
+        where, feature, size = where[order], feature[order], size[order]
+        before = np.full(len(where), -1)  # the same n-gram's place before this one: in a window each counts once
+        before[1:] = np.where(feature[1:] == feature[:-1], where[:-1], -1)
+        for width, step in WINDOWS:
+            count = -(-max(len(single) - width, 0) // step) + 1
+            low = -(-np.maximum(before + 1, np.maximum(where + size - width, 0)) // step)
+            high = np.minimum(where // step, count - 1)
+            use = low <= high
+            low, high, used = low[use], high[use] + 1, feature[use]
+            z = np.empty((count, len(self.classes)))
+            for c in range(len(self.classes)):
+                w = self.weights[used, c]
+                z[:, c] = self.weights[0, c] + np.cumsum(np.bincount(low, w, count + 1) - np.bincount(high, w, count + 1))[:count]
+            p = np.exp((z - z.max(1, keepdims=True)) / self.temperature)
+            p = p[:, :-1] / p.sum(1, keepdims=True)  # the last class is "unknown"
+            out += [(t * step, t * step + width, c) for t, c in np.argwhere(p >= PROPOSE).tolist()]
+        return out
+
+    def identify(self, texts: list[list[str]]) -> list[list[tuple[int, int, str]]]:
+        """For each text (as words) the (start, end, family) of its identified windows."""
+        out: list[list[tuple[int, int, str]]] = [[] for _ in texts]
+        gap = max(w for w, _ in WINDOWS)  # unknown words between texts, so that no window holds words of two
+        step = max(s for _, s in WINDOWS)
+        at = 0
+        while at < len(texts):
+            starts, row, first = [], [], at
+            while at < len(texts) and (not row or len(row) < WORDS_AT_ONCE):
+                starts.append(len(row))
+                row += [self.index.get(w, 0) for w in texts[at]]
+                row += [0] * (gap + -(len(row) + gap) % step)
+                at += 1
+            found = self.windows(np.array(row, np.int64))
+            if found:
+                which = np.searchsorted(starts, [s for s, _, _ in found], "right") - 1
+                for (start, end, c), t in zip(found, which.tolist()):
+                    start, end = start - starts[t], min(end - starts[t], len(texts[first + t]))
+                    if start < end:
+                        out[first + t].append((start, end, self.classes[c]))
+        return out
 
     def features(self, words: list[str]) -> np.ndarray:
         """Positions of the known n-grams, each once."""
@@ -181,9 +254,6 @@ class Model:
                 self.anchors.setdefault(u, []).append(t)
         self.singles = frozenset(u[0] for u in shared if len(u) == 1)
 
-    def possible(self, words: list[str]) -> bool:
-        return not (self.anchors.keys().isdisjoint(zip(words, words[1:])) and self.singles.isdisjoint(words) and SPDX not in words)
-
     def candidates(self, words: list[str]) -> set[tuple[int, int, str, tuple]]:
         """(first word, last word, family, places of the units) of the stretches that hold enough of a template."""
         out = set()
@@ -216,11 +286,31 @@ class Model:
                         out.add((near[k][0], i + 1, family, tuple(x for x, _ in near[k:j + 1])))
         return out
 
-    def found(self, words: list[str]) -> list[tuple[int, int, str, float]]:
+    def matches(self, words: list[str], identified: list[tuple[int, int, str]]) -> set[tuple[int, int, str, tuple]]:
+        """Candidates that share a word with an identified window of their family. Templates are looked for around the windows only."""
+        by_family: dict[str, list[list[int]]] = {}
+        around: list[list[int]] = []
+        reach = max((width for *_, width in self.templates), default=0)
+        for start, end, family in sorted(identified):
+            for spans, a, b in ((by_family.setdefault(family, []), start, end), (around, max(0, start - reach), end + reach)):
+                if spans and a <= spans[-1][1]:
+                    spans[-1][1] = max(spans[-1][1], b)
+                else:
+                    spans.append([a, b])
+        out = set()
+        for a, b in around:
+            for first, last, family, places in self.candidates(words[a:b]):
+                spans = by_family.get(family, ())
+                k = bisect_right(spans, [a + last, len(words) + reach]) - 1 if spans else -1
+                if k >= 0 and spans[k][1] > a + first:
+                    out.add((a + first, a + last, family, tuple(a + i for i in places)))
+        return out
+
+    def found(self, words: list[str], identified: list[tuple[int, int, str]]) -> list[tuple[int, int, str, float]]:
         """(first word, last word, family, probability) of every confirmed stretch, merged by family, in order."""
         seen: dict[tuple[int, int], tuple[str, float]] = {}
         good = []
-        for first, last, family, places in self.candidates(words):
+        for first, last, family, places in self.matches(words, identified):
             if (first, last) not in seen:
                 seen[first, last] = self.predict(words[first:last + 1])
             best, p = seen[first, last]
@@ -246,11 +336,11 @@ def train(notices: list[tuple[str, str]], background: list[str], seed: int = 7)
     model.classes = [*sorted({f for f, _ in notices}), UNKNOWN]
     plain = [(f, tokens(t)) for f, t in notices]
     vocabulary = sorted({g for _, words in plain for g in grams(words)})
-    model.index = {g: k + 1 for k, g in enumerate(vocabulary)}  # 0: the intercept
+    model.learn_vocabulary(vocabulary)
     known_words = {w for _, words in plain for w in words}
     corpus = [w for w in map(tokens, background) if w]
     model.learn_templates(plain, corpus)
-    filler = [w for words in corpus for w in words[:20] if w not in known_words] or ["x"]
+    filler = [w for words in corpus for w in words if w not in known_words] or ["x"]
     examples = []
     for family, words in plain:
         examples.append((family, words))
@@ -260,8 +350,13 @@ def train(notices: list[tuple[str, str]], background: list[str], seed: int = 7)
             cut = rng.randrange(0, len(extra) + 1)
             examples.append((family, extra[:cut] + kept + extra[cut:]))
     # Notices in the sampled paragraphs must not teach "unknown": leave out those that hold most of a template.
-    clean = [w for w in corpus if not (model.possible(w) and model.candidates(w))]
+    clean = [w for w in corpus if not model.candidates(w)]
     examples += [(UNKNOWN, w) for w in clean]
+    for words in clean:
+        for width, _ in WINDOWS:
+            if len(words) > width:
+                at = rng.randrange(len(words) - width + 1)
+                examples.append((UNKNOWN, words[at:at + width]))
     shuffled = [words[:] for _, words in plain]
     for words in shuffled:  # the words of a notice without its order say nothing
         rng.shuffle(words)
@@ -314,15 +409,25 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
 
 def scan_text(text: str | None, model: Model) -> list[tuple[int, int, str, float]]:
     """(start, end, family, probability) of every notice and every name of a licence, also over line breaks."""
-    if not text or not model.possible(tokens(text)):
+    return scan_texts([text], model)[0]
+
+
+def scan_texts(texts: list[str | None], model: Model) -> list[list[tuple[int, int, str, float]]]:
+    """``scan_text`` of each; the classifier judges the windows of many texts together."""
+    split = [tokens(t or "") for t in texts]
+    return [_confirm(t, words, windows, model) if windows or SPDX in words else []
+            for t, words, windows in zip(texts, split, model.identify(split))]
+
+
+def _confirm(text: str, words: list[str], identified: list[tuple[int, int, str]], model: Model) -> list[tuple[int, int, str, float]]:
+    spans = model.found(words, identified)
+    if not spans and SPDX not in words:
         return []
-    found = list(_WORD.finditer(text))
-    words = [w[0].lower() for w in found]
-    spans = model.found(words)
+    found = [(m.start(), m.end()) for m in _WORD.finditer(text)]
     for i, word in enumerate(words):
         if word == SPDX:
             spans += _expression(text, found, words, i, model)
-    spans = sorted((*_touching(text, found[first].start(), found[last].end()), family, p) for first, last, family, p in set(spans))
+    spans = sorted((*_touching(text, found[first][0], found[last][1]), family, p) for first, last, family, p in set(spans))
     inner = _inside(spans)
     return [x for x in spans if x not in inner]
 
@@ -337,10 +442,10 @@ def _inside(spans: list[tuple]) -> set[tuple]:
     return out
 
 
-def _expression(text: str, found: list[re.Match], words: list[str], at: int, model: Model) -> list[tuple[int, int, str, float]]:
+def _expression(text: str, found: list[tuple[int, int]], words: list[str], at: int, model: Model) -> list[tuple[int, int, str, float]]:
     """The ids of an SPDX expression, each judged as if it stood alone: the one after the tag and those after or, and, with."""
     out, i = [], at + 1
-    while i < len(words) and "\n" not in text[found[at].end():found[i].start()]:
+    while i < len(words) and "\n" not in text[found[at][1]:found[i][0]]:
         family = model.ids.get(words[i])
         if family:
             best, p = model.predict([SPDX, words[i]])
@@ -366,7 +471,7 @@ def scan(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def make():
-        return lambda keys, texts: [(k, len(paragraphs(t)), scan_text(t, shared.value)) for k, t in zip(keys, texts)]
+        return lambda keys, texts: [(k, len(paragraphs(t)), x) for k, t, x in zip(keys, texts, scan_texts(texts, shared.value))]
     return map_rows(docs.select("doc_id", "text"), "doc_id bigint, n_paragraphs bigint, "
                     "licences array<struct<start: bigint, end: bigint, family: string, probability: double>>", make)
 

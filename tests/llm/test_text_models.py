@@ -322,6 +322,33 @@ def license_model():
     return license_scan.train(license_scan.templates(), [" ".join(rng.choices(words, k=20)) for _ in range(400)])
 
 
+def test_license_windows_by_plain_classification():
+    model, rng = license_model(), __import__("random").Random(5)
+    texts = [[], ["mit"], license_scan.tokens("river stone Licensed under the MIT License. " + "river the of " * 60)]
+    words = [w for _, t in license_scan.templates() for w in license_scan.tokens(t)] + ["river", "stone", "the", "of"] * 40
+    texts += [rng.choices(words, k=rng.randrange(1, 200)) for _ in range(30)]
+    for t, got in zip(texts, model.identify(texts)):
+        want, close = set(), set()
+        for width, step in license_scan.WINDOWS:
+            for start in range(0, len(t), step):
+                z = model.weights[sorted({model.index.get(g, 0) for g in license_scan.grams(t[start:start + width])} | {0})].sum(0)
+                p = np.exp((z - z.max()) / model.temperature)
+                p /= p.sum()
+                for family, x in zip(model.classes[:-1], p):
+                    (close if abs(x - license_scan.PROPOSE) < 1e-9 else want if x > license_scan.PROPOSE else set()).add((start, min(start + width, len(t)), family))
+        assert want == {x for x in got if x not in close}, t
+
+
+def test_license_classifier_identifies_before_templates():
+    """A stretch that a template matches is no finding where no window gets its family, and one of no template is none either."""
+    model = license_model()
+    text = "river Released under the MIT License. stone"
+    words = license_scan.tokens(text)
+    assert model.found(words, model.identify([words])[0])
+    assert model.candidates(words) and not model.found(words, []) and not model.found(words, [(0, len(words), "GPL")])
+    assert not model.matches(["river"] * 80, [(0, 8, "MIT")])
+
+
 def test_license_families_of_one_line():
     model = license_model()
     def found(text):
