@@ -7,7 +7,11 @@ advert, notice, share bar or comment section as a whole word of its list (``cook
 ``ad-box``, not ``no-ads``, ``has-sidebar`` or ``related-work``; ids of headings and inline
 elements say nothing). Such a name alone does not drop an element that holds the page's
 article or main, or over half of its text without links; a comment section may be longer than the
-article if there is text besides. If nothing is left, names do not count. Every remaining block of text earns points
+article if there is text besides. A list word at the start or end of a longer name (``sticky-nav``,
+``related-stories``, ``cookie-law-info-bar``) is a penalty, weighed against the element's text: it is left out if a
+quarter of its characters or more are link text, or if its other text is under a fifth of the
+page's; a section that begins with a heading is not penalised for its id or for a first word. Comment
+words at either end of a name mark a comment section. If nothing is left, names do not count. Every remaining block of text earns points
 for its commas and length and passes them to the element that holds it, half to the next
 one up and a falling share to further ancestors. An element's points are discounted by the
 share of its characters that are link text. The best container, raised to the ``article``
@@ -52,7 +56,7 @@ BOILERPLATE = frozenset("ad ads adv advert advertisement adverts advertising spo
                         "notice notification alert newsletter subscribe subscription signup comment comments commentlist disqus replies reply "
                         "respond sidebar widget menu nav navbar navigation breadcrumb breadcrumbs footer masthead share sharing social related "
                         "recommended recommendations popup modal overlay pagination pager toolbar login search complementary contentinfo "
-                        "topbar paywall skip".split())
+                        "topbar paywall skip adsbygoogle".split())
 #: Marks that only stand for page furniture outside an article.
 OUTSIDE = frozenset("header banner".split())
 #: Words that may stand beside a mark within one class, id or role, as in ad-box or share-buttons.
@@ -60,10 +64,17 @@ NEUTRAL = frozenset("area article bar block body bottom box btn button buttons c
                     "inner item items js large left link links list main mobile module outer page panel post posts primary right row "
                     "secondary section site slot small text title to top unit wrap wrapper".split())
 COMMENTS = frozenset("comment comments commentlist disqus replies reply respond".split())
+#: Words of a name that tell of something else than the element: has-sidebar, no-ads, comments-open, category-social.
+ELSEWHERE = frozenset("has no not with without non open closed enabled disabled off count category tag type status format".split())
+#: Marks that also count where they begin or end a word written without a sign between its parts.
+LONG_MARKS = tuple(sorted(m for m in BOILERPLATE if len(m) > 7)) + ("sidebar",)
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 KEPT = frozenset("html body article main".split())
 #: Why an element is left out: never article text, or only by its name; comment sections apart.
-NEVER, NAMED, COMMENTED = 1, 2, 3
+#: A mark that ends a longer name (its head noun, as in mega-menu) weighs more than one elsewhere in it or in an id.
+NEVER, NAMED, COMMENTED, ENDED, TOUCHED = 1, 2, 3, 4, 5
+#: What a penalised element must have to stay: the greatest share of link text, the least share of the page's other text.
+LINKED, SHARE = 0.25, 0.2
 
 
 def _marks(value: str, marks: frozenset) -> set[str]:
@@ -76,6 +87,28 @@ def _marks(value: str, marks: frozenset) -> set[str]:
     return out
 
 
+def _penalty(value: str, tag: str, is_id: bool, in_article: bool) -> int:
+    """The heaviest penalty of the words of a class, id or role that hold a mark at their start or end, and other parts.
+
+    Ids in an article are mostly anchors named by their headings: there only comment words count.
+    """
+    worst = 0
+    for word in value.split():
+        parts = _PARTS.findall(word)
+        if not parts or not ELSEWHERE.isdisjoint(parts):
+            continue
+        ends = {m for x in (parts[0], parts[-1]) for m in (x, *(m for m in LONG_MARKS if x != m and (x.startswith(m) or x.endswith(m))))} & BOILERPLATE
+        if ends & COMMENTS:
+            return COMMENTED
+        if tag == "article" or is_id and in_article:
+            continue
+        if not is_id and (parts[-1] in BOILERPLATE or parts[-1].endswith(LONG_MARKS)):
+            worst = ENDED
+        elif ends or len(BOILERPLATE.intersection(parts)) > 1 or "banner" in parts:
+            worst = worst or TOUCHED
+    return worst
+
+
 def _boilerplate(tag: str, attributes: str, in_article: bool) -> int:
     if tag in DROPPED:
         return NEVER
@@ -83,7 +116,7 @@ def _boilerplate(tag: str, attributes: str, in_article: bool) -> int:
         return NEVER
     if not attributes or "=" not in attributes and "hidden" not in attributes.lower():
         return 0
-    named = 0
+    named = penalty = 0
     for name, value in _HINTS.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
@@ -97,7 +130,10 @@ def _boilerplate(tag: str, attributes: str, in_article: bool) -> int:
                 named = COMMENTED if words & COMMENTS else named or NAMED
             if not named and not in_article and tag != "article" and _marks(value, OUTSIDE):
                 named = NAMED
-    return named
+            if not named and tag not in INLINE:
+                found = _penalty(value, tag, name == "id", in_article)
+                penalty = COMMENTED if COMMENTED in (found, penalty) else min(found, penalty) or found or penalty
+    return named or penalty
 
 
 class Page:
@@ -214,10 +250,15 @@ class Page:
             marked[e] = marked[up] or self.why[e] > NEVER
             in_link[e] = in_link[up] or self.tag[e] == "a"
             article[e] = e if self.tag[e] in ("article", "main") and not self.dropped[e] else article[up]
+        links = [0] * size
         clear = rest = 0  # characters without links outside all named elements: in articles, in all
         for e, text in self.text:
-            if not self.dropped[e] and not in_link[e]:
-                n = len(text.strip())
+            if self.dropped[e]:
+                continue
+            n = len(text.strip())
+            if in_link[e]:
+                links[e] += n
+            else:
                 chars[e] += n
                 if not marked[e]:
                     rest += n
@@ -225,6 +266,7 @@ class Page:
         holds = [article[e] == e and e > 0 for e in range(size)]
         for e in range(size - 1, 0, -1):
             chars[self.parent[e]] += chars[e]
+            links[self.parent[e]] += links[e]
             holds[self.parent[e]] = holds[self.parent[e]] or (holds[e] and chars[e] > 0)
         why = list(self.why)
         for e in range(1, size):
@@ -233,6 +275,10 @@ class Page:
                 most = 2 * chars[e] > chars[0] and not (rest if why[e] == COMMENTED else clear and not article[self.parent[e]])
                 if main or most:
                     why[e] = 0
+                elif why[e] in (ENDED, TOUCHED) and links[e] < LINKED * (links[e] + chars[e]):
+                    headed = why[e] == TOUCHED and e + 1 < size and self.parent[e + 1] == e and self.tag[e + 1] in HEADINGS
+                    if headed or chars[e] >= SHARE * rest:
+                        why[e] = 0
         self._drop(why)
 
     def holder(self, element: int) -> int:

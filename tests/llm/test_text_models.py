@@ -258,6 +258,29 @@ def test_page_names_do_not_drop_the_article():
     assert html_tree.main_text("<div class=menu><a href=x>only links</a></div>") == "only links"
 
 
+def test_page_longer_names_are_penalties():
+    text = "Some words, and more of them, in a row that is long enough to read."
+    p, other = f"<p>{text}</p>", "<p>We thank you, dear reader, and say more.</p>"
+    body, want = p * 4, " ".join([text] * 4)
+    for name in ("class='user-comments'", "class='comment-thread'", "class='fb-comments'", "class='reader-comments'", "id=disqus_thread", "class='usercomments'",
+                 "class='related-articles'", "class='related-stories'", "class='cookie-law-info-bar'", "class='google-ads'",
+                 "class='breadcrumb-trail'", "class='sticky-nav'", "class='mega-menu'", "class='leaderboard-ad'", "class='adsbygoogle'"):
+        assert html_tree.main_text(f"<article>{body}<div {name}>{other}</div></article>") == want, name
+        assert html_tree.main_text(f"<div class=page><div {name}>{other}</div><div>{body}</div><div {name}>{other}</div></div>") == want, name
+    for name in ("id='onetrust-banner-sdk'", "id='cookie-law-info-bar'", "id='mega-menu'"):
+        assert html_tree.main_text(f"<div {name}>{other}</div><div>{body}</div>") == want, name
+    for many in ("class='user-comments'", "id=disqus_thread"):  # comments may be longer than the article
+        assert html_tree.main_text(f"<article>{body}</article><div {many}>{other * 30}</div>") == want, many
+    links = "<h3>More</h3><ul>" + f"<li><a href=x>{text}</a></li>" * 3 + "</ul>"  # links, however many
+    assert html_tree.main_text(f"<article>{body}<div class='related-stories'>{links}</div></article>") == want
+    for kept in ("class='menu-engineering'", "class='has-sidebar'", "class='no-ads'", "class='comments-open'", "class='category-social'", "class='address'",
+                 "class='thread'", "class='research'", "class='download'", "class='sharecropping'", "id='cookie-recipes'"):
+        assert html_tree.main_text(f"<article>{p}<div {kept}>{p}</div>{p}{p}</article>") == want, kept  # a fair share of the text
+    assert html_tree.main_text(f"<article>{body}<section class='menu-engineering'><h2>Menus</h2><p>Short.</p></section></article>") == f"{want} Menus Short."
+    assert html_tree.main_text(f"<article>{body}<section id='cookie-recipes'><p>Short.</p></section></article>") == f"{want} Short."
+    assert html_tree.main_text(f"<div class='site-menu-page'><div class='lead-story-promo'>{body}</div></div>") == want
+
+
 def test_page_siblings_of_the_best_container():
     long = "<p>" + "Some words, and more of them, in a row that is long enough to read. " * 8 + "</p>"
     links = "<ul><li><a href=x>a link</a><li><a href=y>another link</a></ul>"
