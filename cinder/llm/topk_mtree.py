@@ -2,8 +2,8 @@
 
 Vectors become whole numbers, floor(scale * x). Rows with the same whole vector are one
 entry that keeps its ``k + 1`` smallest ids (no answer can need more of them), so copies,
-however many, cost one. Entries are dealt to cells around pivots and within a cell to pages
-of bounded size. A page is an M-tree: every node has a routing vector, the covering radius
+however many, cost one. Entries are dealt to cells around pivots, more of them for more entries, within a cell to
+shells of like distance from its pivot, and within a shell to pages of bounded size. A page is an M-tree: every node has a routing vector, the covering radius
 of its subtree, its distance to its parent's routing vector and its largest norm; leaves
 hold vectors with their distance to the leaf's routing vector.
 
@@ -15,7 +15,9 @@ rules out costs no inner product. Nodes are visited best bound first until none
 the k-th score. Ties stay in, so smaller ids win. Scores are exact integers.
 
 A query's first threshold is its k-th best score among a bounded sample of vectors, found before anything
-is shuffled; it is sent only to cells that can beat it. Identical queries are searched once.
+is shuffled. It is then sent to one page, that of the shell with the best bound, whose k-th best score tightens the
+threshold, and after that only to the pages of the shells that can still beat it: a shell is ruled out by its
+least and greatest distance from the pivot before a vector moves. Identical queries are searched once.
 
 Defined results: vectors null, empty, with a null or non-finite component, and null ids
 take no part. Rows of the same id and vector count once. An id with several vectors is
@@ -38,9 +40,12 @@ from pyspark.sql import functions as F
 from cinder.llm.common import prepare
 from cinder.operators.staging import stage
 
-#: Vectors, by hash order, whose scores give a query's first threshold; the first CELLS of them are the cells' pivots.
+#: Vectors, by hash order, whose scores give a query's first threshold; the first of them are the cells' pivots:
+#: one for each PAGE_ROWS entries, CELLS at least and PIVOTS at most.
 PIVOTS = 256
 CELLS = 32
+#: Shells of a cell at most; with PIVOTS it bounds the directory of shells.
+SHELLS = 64
 PAGE_ROWS = 8192
 QUERY_ROWS = 4096
 LEAF = 256
@@ -187,8 +192,13 @@ def exact_scores(vectors: np.ndarray, query: np.ndarray) -> list[int]:
     return [max(-(1 << 63), min((1 << 63) - 1, int(s))) for s in exact]
 
 
+def floor_of(score: int) -> float:
+    """The score as a threshold; where a double cannot hold it, a little less."""
+    return float(score) if abs(score) < 2 ** 53 else float(score) - 1e-12 * abs(float(score))
+
+
 def top_k(df: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", vec_col: str = "embedding", scale: int = 1024,
-          pivots: int = PIVOTS, n_cells: int = CELLS, page_rows: int = PAGE_ROWS) -> DataFrame:
+          pivots: int = PIVOTS, n_cells: int = CELLS, page_rows: int = PAGE_ROWS, n_shells: int = SHELLS) -> DataFrame:
     """query_id, rank, vec_id, score. ``is_query`` maps the id column to a boolean column."""
     spark = df.sparkSession
     prepare(spark)
@@ -198,6 +208,7 @@ def top_k(df: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", vec_col:
     entries = (rows.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k + 1)
                .groupBy("vec").agg(F.sort_array(F.collect_list("id")).alias("ids")).withColumn("h", F.xxhash64("vec")))
     entries = stage(entries, "entries")
+    n_cells = min(pivots, max(n_cells, -(-entries.count() // page_rows)))
     chosen = entries.orderBy("h", "vec").limit(pivots).select("vec", "ids").collect()  # at most `pivots` rows of k + 1 ids
     by_dim: dict[int, np.ndarray] = {}
     only: dict[int, list[int | None]] = {}
@@ -210,7 +221,7 @@ def top_k(df: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", vec_col:
     def assign(batches):
         """Cell of each entry: its nearest pivot of its dimension (0 if none), the distance to it, and its squared norm."""
         for pdf in batches:
-            cells, dists = np.zeros(len(pdf), np.int32), np.zeros(len(pdf))
+            cells, dists, tops = np.zeros(len(pdf), np.int32), np.zeros(len(pdf)), np.zeros(len(pdf))
             dims = pdf["vec"].map(len).to_numpy()
             for dim in np.unique(dims):
                 centres = shared.value.get(int(dim))
@@ -218,12 +229,27 @@ def top_k(df: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", vec_col:
                     at = np.flatnonzero(dims == dim)
                     x, c = np.stack(pdf["vec"].iloc[at].to_list()).astype(float), centres[:n_cells].astype(float)
                     d = (x * x).sum(1)[:, None] + (c * c).sum(1)[None, :] - 2 * (x @ c.T)
-                    cells[at], dists[at] = np.argmin(d, 1), np.sqrt(np.maximum(d.min(1), 0))
-            yield pdf.assign(dim=dims.astype(np.int32), cell=cells, dist=dists)[["vec", "ids", "h", "dim", "cell", "dist"]]
-    celled = stage(entries.mapInPandas(assign, "vec array<bigint>, ids array<bigint>, h bigint, dim int, cell int, dist double"), "cells")
+                    cells[at], dists[at], tops[at] = np.argmin(d, 1), np.sqrt(np.maximum(d.min(1), 0)), (x * x).sum(1)
+            yield pdf.assign(dim=dims.astype(np.int32), cell=cells, dist=dists, top=tops)[["vec", "ids", "h", "dim", "cell", "dist", "top"]]
+    celled = stage(entries.mapInPandas(assign, "vec array<bigint>, ids array<bigint>, h bigint, dim int, cell int, dist double, top double"), "cells")
     # One row a cell: at most `n_cells` for each dimension of a pivot, and one for each dimension without a pivot of its own.
-    directory = celled.groupBy("dim", "cell").agg(F.max("dist").alias("radius"), F.count("*").alias("n")).collect()
-    cells = spark.sparkContext.broadcast({dim: sorted((r.cell, r.radius) for r in directory if r.dim == dim) for dim in {r.dim for r in directory}})
+    steps = [j / n_shells for j in range(1, n_shells)] or [0.5]
+    sizes = celled.groupBy("dim", "cell").agg(F.count("*").alias("n"), F.percentile_approx("dist", steps, 1000).alias("at")).collect()
+    edges = {}
+    for r in sizes:
+        m = min(n_shells, -(-r.n // page_rows))
+        edges.setdefault(r.dim, {})[r.cell] = [r.at[-(-n_shells * j // m) - 1] for j in range(1, m)]
+    edges = spark.sparkContext.broadcast(edges)
+
+    def shell_of(dim: pd.Series, cell: pd.Series, dist: pd.Series) -> pd.Series:
+        return pd.Series([int(np.searchsorted(edges.value[d][c], x)) for d, c, x in zip(dim, cell, dist)], dtype="int32")
+    celled = celled.withColumn("shell", F.pandas_udf(shell_of, "int")("dim", "cell", "dist"))
+    # One row a shell: at most `n_shells` for each row above. Shells of more than a page are dealt to pages by hash.
+    directory = celled.groupBy("dim", "cell", "shell").agg(F.min("dist").alias("low"), F.max("dist").alias("high"), F.max("top").alias("top"),
+                                                           F.count("*").alias("n")).orderBy("dim", "cell", "shell").collect()
+    shells = {dim: [r for r in directory if r.dim == dim] for dim in {r.dim for r in directory}}
+    shells = spark.sparkContext.broadcast({dim: {c: np.array([r[c] for r in some]) for c in ("cell", "shell", "low", "high", "top")}
+                                           for dim, some in shells.items()})
     # A query is a vector. One whose id has no other vector finds its own id in one entry at most, so k + 1 places are
     # enough whoever asks; one whose id has several is searched for that id, without its rows.
     queries = rows.filter(is_query(F.col("id"))).select("vec", "id")
@@ -232,35 +258,60 @@ def top_k(df: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", vec_col:
     queries = stage(queries.withColumn("own", F.when(F.col("alone"), F.col("id")).otherwise(0)).withColumn("q", F.xxhash64("vec", "alone", "own")), "queries")
     searched = queries.select("vec", "alone", "own", "q").distinct()
 
-    def route(batches):
-        """Each distinct query once for every cell that can hold one of its k best."""
-        for pdf in batches:
-            out = {"q": [], "alone": [], "own": [], "least": [], "qvec": [], "dim": [], "cell": []}
-            for q, vec, alone, own in zip(pdf["q"], pdf["vec"], pdf["alone"], pdf["own"]):
-                query, dim = np.asarray(vec, np.int64), len(vec)
-                centres = shared.value.get(dim)
-                norm, least, dots = float(np.linalg.norm(query.astype(float))), -float(1 << 63), None
-                if centres is not None:
-                    scores = exact_scores(centres, query)
-                    scores = sorted((s for s, i in zip(scores, only_id.value[dim]) if not alone or i != own), reverse=True)
-                    enough = k if alone else k + 1  # one of the vectors may be the query's own
-                    least = float(scores[enough - 1]) if len(scores) >= enough else least
-                    dots = centres[:n_cells].astype(float) @ query.astype(float)
-                for cell, radius in cells.value.get(dim, ()):
-                    bound = (dots[cell] if dots is not None else 0.0) + norm * radius
-                    if dots is None or bound + SLACK * (abs(bound) + norm * norm) + 1e-3 >= least:
-                        for name, value in zip(out, (q, alone, own, least, vec, dim, cell)):
+    def route(only_best: bool):
+        def run(batches):
+            """Each distinct query once for the shell of the best bound (``first``), or also for every other that can hold one of its k best."""
+            for pdf in batches:
+                out = {"q": [], "alone": [], "own": [], "least": [], "qvec": [], "dim": [], "cell": [], "shell": [], "first": []}
+                for q, vec, alone, own, known in zip(pdf["q"], pdf["vec"], pdf["alone"], pdf["own"], pdf["known"]):
+                    query, dim = np.asarray(vec, np.int64), len(vec)
+                    centres, here, least = shared.value.get(dim), shells.value.get(dim), float(known)
+                    if here is None:
+                        continue
+                    bounds = np.full(len(here["cell"]), np.inf)
+                    if centres is not None:
+                        x, scores = query.astype(float), exact_scores(centres, query)
+                        scores = sorted((s for s, i in zip(scores, only_id.value[dim]) if not alone or i != own), reverse=True)
+                        enough = k if alone else k + 1  # one of the vectors may be the query's own
+                        least = max(least, floor_of(scores[enough - 1])) if len(scores) >= enough else least
+                        c = centres[:n_cells].astype(float)
+                        dots, q2 = c @ x, float(x @ x)
+                        c2 = (c * c).sum(1)
+                        d = np.sqrt(np.maximum(q2 + c2 - 2 * dots, 0))[here["cell"]]
+                        size2 = q2 + here["top"] + c2[here["cell"]]
+                        apart = np.maximum(np.maximum(d - here["high"], here["low"] - d), 0)
+                        # the rounding of distances grows with the norms, so it is allowed for on both sides
+                        apart = np.maximum(apart - SLACK ** 0.5 * np.sqrt(size2), 0)
+                        bounds = np.minimum((q2 + here["top"] - apart * apart) / 2, dots[here["cell"]] + q2 ** 0.5 * here["high"])
+                        bounds = bounds + SLACK * (np.abs(bounds) + size2) + 1e-3
+                    best = int(np.argmax(bounds))
+                    for at in [best] if only_best else np.flatnonzero(bounds >= least).tolist():
+                        for name, value in zip(out, (q, alone, own, least, vec, dim, here["cell"][at], here["shell"][at], at == best)):
                             out[name].append(value)
-            yield pd.DataFrame(out).astype({"q": "int64", "alone": "bool", "own": "int64", "least": "float64", "dim": "int32", "cell": "int32"})
-    routed = stage(searched.mapInPandas(route, "q bigint, alone boolean, own bigint, least double, qvec array<bigint>, dim int, cell int"), "routed")
-    # Pages of entries and blocks of queries by cell; every page meets every block of its cell once.
-    asked = {(r.dim, r.cell): r["count"] for r in routed.groupBy("dim", "cell").count().collect()}
-    plan = [(r.dim, r.cell, -(-r.n // page_rows), -(-asked[r.dim, r.cell] // QUERY_ROWS)) for r in directory if (r.dim, r.cell) in asked]
-    plan = F.broadcast(spark.createDataFrame(plan, "dim int, cell int, n_pages int, n_blocks int"))
-    pages = (celled.join(plan, ["dim", "cell"]).withColumn("page", F.pmod("h", "n_pages").cast("int"))
-             .select("vec", "ids", "dim", "cell", "page", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)).alias("block")))
-    routed = (routed.join(plan, ["dim", "cell"]).withColumn("block", F.pmod(F.hash("q"), "n_blocks"))
-              .select("q", "alone", "own", "least", "qvec", "dim", "cell", F.explode(F.sequence(F.lit(0), F.col("n_pages") - 1)).alias("page"), "block"))
+                yield pd.DataFrame(out).astype({"q": "int64", "alone": "bool", "own": "int64", "least": "float64", "dim": "int32", "cell": "int32",
+                                                "shell": "int32", "first": "bool"})
+        return run
+
+    def asked_of(known: DataFrame, only_best: bool) -> DataFrame:
+        return stage(known.select("vec", "alone", "own", "q", "known").mapInPandas(
+            route(only_best), "q bigint, alone boolean, own bigint, least double, qvec array<bigint>, dim int, cell int, shell int, first boolean"), "routed")
+
+    place = ["dim", "cell", "shell"]
+
+    def search(routed: DataFrame, only_best: bool) -> DataFrame:
+        """Pages of entries and blocks of queries by shell; every page meets every block of its shell once. The first page of a
+        query's best shell is all that is searched first, and left out afterwards."""
+        asked = {tuple(r[c] for c in place): r["count"] for r in routed.groupBy(*place).count().collect()}
+        plan = [(*at, -(-r.n // page_rows), -(-asked[at] // QUERY_ROWS)) for r in directory if (at := (r.dim, r.cell, r.shell)) in asked]
+        plan = F.broadcast(spark.createDataFrame(plan, "dim int, cell int, shell int, n_pages int, n_blocks int"))
+        pages = (celled.join(plan, place).withColumn("page", F.pmod("h", "n_pages").cast("int")).filter("page = 0" if only_best else "true")
+                 .select("vec", "ids", *place, "page", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)).alias("block")))
+        last = F.lit(0) if only_best else F.col("n_pages") - 1
+        numbers = F.filter(F.sequence(F.lit(0), last), lambda i: F.lit(only_best) | ~F.col("first") | (i > 0))
+        blocks = (routed.join(plan, place).withColumn("block", F.pmod(F.hash("q"), "n_blocks"))
+                  .select("q", "alone", "own", "least", "qvec", *place, F.explode(numbers).alias("page"), "block"))
+        key = [*place, "page", "block"]
+        return pages.groupBy(*key).cogroup(blocks.groupBy(*key)).applyInPandas(look, "q bigint, id bigint, score bigint")
 
     def look(entries_pdf: pd.DataFrame, queries_pdf: pd.DataFrame) -> pd.DataFrame:
         out = {"q": [], "id": [], "score": []}
@@ -276,8 +327,14 @@ def top_k(df: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", vec_col:
                     out["id"].append(i)
                     out["score"].append(-s)
         return pd.DataFrame(out).astype({"q": "int64", "id": "int64", "score": "int64"})
-    key = ["dim", "cell", "page", "block"]
-    hits = pages.groupBy(*key).cogroup(routed.groupBy(*key)).applyInPandas(look, "q bigint, id bigint, score bigint")
+    first_hits = stage(search(asked_of(searched.withColumn("known", F.lit(-float(1 << 63))), True), True), "first-hits")
+    # The k-th best score of that page, where it holds as many rows as the query asks for.
+    enough = F.when(F.col("alone"), k).otherwise(k + 1)
+    tight = first_hits.groupBy("q").agg(F.count("*").alias("found"), F.min("score").alias("worst"))
+    worst = F.when(F.abs(F.col("worst").cast("double")) < float(1 << 53), F.col("worst").cast("double"))
+    worst = F.coalesce(worst, F.col("worst").cast("double") - F.abs(F.col("worst").cast("double")) * 1e-12)
+    known = searched.join(tight, "q", "left").withColumn("known", F.when(F.col("found") >= enough, worst).otherwise(-float(1 << 63)))
+    hits = first_hits.unionByName(search(asked_of(known, False), False))
     best = Window.partitionBy("q").orderBy(F.desc("score"), "id")
     hits = hits.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= k + 1).drop("place")
     hits = hits.groupBy("q").agg(F.collect_list(F.struct("id", "score")).alias("hits"))  # k + 1 at most

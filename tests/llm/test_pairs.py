@@ -65,6 +65,31 @@ def test_ids_with_many_vectors(spark):
         assert got == sorted(con.execute(LLM_ORACLE["op1_mtree_topk"]).fetchall())
 
 
+def test_search_by_shells_moves_only_what_can_win(spark, monkeypatch):
+    """Clusters of rows on rings around their centres, one cluster of a third of all rows: cells, several shells and several pages of one shell."""
+    rng = random.Random(8)
+    centres = [[rng.randrange(-900, 900) for _ in range(6)] for _ in range(12)]
+    rows = []
+    for k in range(900):
+        centre = centres[0] if k % 3 == 0 else rng.choice(centres)
+        rows.append((k, [float(x + rng.choice((1, 20)) * rng.choice((-1, 1))) for x in centre]))
+    rows += [(900 + k, rows[k % 7][1]) for k in range(60)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    staged = {}
+
+    def watched(frame, name, stage=topk_mtree.stage):
+        out = stage(frame, name)
+        staged.setdefault(name, []).append(out)
+        return out
+    monkeypatch.setattr(topk_mtree, "stage", watched)
+    got = topk_mtree.top_k(df, lambda c: c % 10 == 0, k=5, scale=1, pivots=30, n_cells=6, page_rows=15, n_shells=4)
+    assert sorted(map(tuple, got.collect())) == brute_top(rows, [i for i, _ in rows if i % 10 == 0], 5)
+    first, rest = (x.count() for x in staged["routed"])
+    asked, cells = staged["queries"][0].select("q").distinct().count(), [r["count"] for r in staged["cells"][0].groupBy("cell").count().collect()]
+    shells = sum(min(4, -(-n // 15)) for n in cells)
+    assert first == asked and len(cells) > 6 and len(cells) < shells and rest < asked * shells / 2, (first, rest, asked, shells)
+
+
 def test_tree_equals_brute_force():
     rng = np.random.default_rng(2)
     for dims, size, spread in ((3, 900, 6), (16, 1500, 300), (2, 600, 1)):
