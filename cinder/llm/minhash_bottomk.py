@@ -20,7 +20,9 @@ one. Steps, all on classes:
    A pair that meets in the list of a value that many differences hold has only such
    values in common, and then the inequality leaves next to no pair. The leader is moved to
    the group's centre first.
-   This is repeated; after ``ROUNDS`` rounds what is left in long lists is paired in full.
+   This is repeated as long as a round leaves at most ``SHRINK`` of the entries of long lists
+   that the one before left, however many rounds that takes. Only entries that no leader
+   makes fewer are paired in full, by a join.
 4. The union of two sketches estimates each pair's similarity; pairs that cannot reach 0.75
    go. Of the rest, first each class's likeliest pair is checked on the full sets, then
    those whose ends are not in one component yet. Pairs within a component change nothing.
@@ -52,9 +54,11 @@ SHORT = 48
 FIRST = -1
 #: How many times the pairs of a short list a list of low values may look at.
 LOOSE = 64
-ROUNDS = 4
-#: Bits of the filter that saves computing sets nobody asked for; a full filter only costs time.
-FILTER_BITS = 1 << 23
+SHRINK = 0.9
+#: Most bits of the filter that saves computing sets nobody asked for, and its bits for each id asked for. More ids
+#: than it has room for are joined with the texts instead.
+FILTER_BITS = 1 << 27
+BITS_PER_ID = 16
 _STEP, _MIX1, _MIX2 = (np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
 
@@ -144,7 +148,7 @@ def short_pairs(lists: DataFrame) -> DataFrame:
 
 
 def long_pairs(posts: DataFrame) -> DataFrame:
-    """a, b: candidates of lists of any length, by a join; for what is left after the last round."""
+    """a, b: candidates of lists of any length, by a join; for what further rounds would not make fewer."""
     a, b = posts.alias("a"), posts.alias("b")
     met = "((a.near and b.near and (a.out or b.out)) or a.out != b.out)"
     on = F.expr(f"a.grp = b.grp and a.v = b.v and a.node < b.node and {met} and {_POSSIBLE.format(low='a.low')}")
@@ -158,25 +162,34 @@ def leaders(posts: DataFrame) -> DataFrame:
     return posts.join(chosen, ["grp", "v"]).filter("node != leader").select("leader", "node").distinct()
 
 
-def wanted_bits(ids: DataFrame) -> np.ndarray:
-    """A bit for each hash of the ids: FILTER_BITS / 64 numbers reach the driver, whatever the input."""
-    bit = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
+def wanted_bits(ids: DataFrame, n_bits: int) -> np.ndarray:
+    """A bit for each hash of the ids: n_bits / 64 numbers reach the driver."""
+    bit = F.pmod(F.xxhash64("doc_id"), F.lit(n_bits))
     words = (ids.select(bit.alias("b")).groupBy(F.shiftright("b", 6).alias("w"))
-             .agg(F.bit_or(F.expr("shiftleft(1L, cast(b % 64 as int))")).alias("x")).collect())
-    out = np.zeros(FILTER_BITS // 64, np.uint64)
-    for r in words:
-        out[r.w] = r.x & 0xFFFFFFFFFFFFFFFF
+             .agg(F.bit_or(F.expr("shiftleft(1L, cast(b % 64 as int))")).alias("x")).toArrow())
+    out = np.zeros(n_bits // 64, np.uint64)
+    out[words["w"].to_numpy()] = words["x"].to_numpy().view(np.uint64)
     return out
 
 
 def full_sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame) -> DataFrame:
-    """node, n, set of the asked nodes, computed again from their texts."""
-    asked = classes.join(nodes, "node", "left_semi").select("node", "cid", "h1", "h2")
-    bits = docs.sparkSession.sparkContext.broadcast(wanted_bits(asked.select(F.col("cid").alias("doc_id"))).tobytes())
-    rows = docs.filter(F.col("doc_id").isNotNull()).select(F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)).alias("bit"), "text")
+    """node, n, set of the asked nodes, computed again from their texts.
+
+    Texts that nobody asked for are left out before their sets are made: by a filter of the asked ids, whose bits
+    follow their number, or, where these are more than ``FILTER_BITS`` allow, by a join that moves texts instead of sets.
+    """
+    asked = stage(classes.join(nodes, "node", "left_semi").select("node", "cid", "h1", "h2"), "asked")
+    ids, rows = asked.select(F.col("cid").alias("doc_id")), docs.filter(F.col("doc_id").isNotNull())
+    n_bits = 1 << max(6, (BITS_PER_ID * asked.count()).bit_length())
+    bits = None
+    if n_bits <= FILTER_BITS:
+        bits = docs.sparkSession.sparkContext.broadcast(wanted_bits(ids, n_bits).tobytes())
+        rows = rows.select(F.pmod(F.xxhash64("doc_id"), F.lit(n_bits)).alias("bit"), "text")
+    else:
+        rows = rows.join(ids.distinct(), "doc_id", "left_semi").select(F.lit(0).cast("long").alias("bit"), "text")
 
     def make():
-        words, known = np.frombuffer(bits.value, np.uint64), word_hash()
+        words, known = np.frombuffer(bits.value, np.uint64) if bits else np.ones(1, np.uint64), word_hash()
 
         def run(at, texts):
             at = np.asarray(at, np.int64)
@@ -259,9 +272,9 @@ def links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     zero = F.lit(0).cast("long")
     records = classes.select(F.lit(FIRST).cast("long").alias("grp"), "node", "n", F.lit(True).alias("out"), F.size("sketch").cast("long").alias("w"),
                              zero.alias("ln"), zero.alias("x"), need.alias("need"), need.alias("reach"), F.col("sketch").alias("elems"))
-    pairs, edges = [], [spark.createDataFrame([], "a bigint, b bigint")]
+    pairs, edges, before = [], [spark.createDataFrame([], "a bigint, b bigint")], float("inf")
     key = ["grp", "v"]
-    for turn in range(ROUNDS + 1):
+    while True:
         posts = stage(postings(records), "lists")
         outer, near = F.col("out").cast("int"), F.col("near").cast("int")
         sizes = posts.groupBy(*key).agg(F.sum(near).alias("m"), F.sum(1 - near).alias("far"), F.sum((1 - outer) * near).alias("settled"))
@@ -271,11 +284,13 @@ def links(docs: DataFrame, classes: DataFrame) -> DataFrame:
         listed = stage(posts.select(*key, "low", *_FIELDS, "near", "typical", "long"), "lists")
         pairs.append(short_pairs(listed.filter("not long")))
         rest = listed.filter("long")
-        if rest.isEmpty():
+        left = rest.count()
+        if not left:
             break
-        if turn == ROUNDS:
+        if left > SHRINK * before:
             pairs.append(long_pairs(rest))
             break
+        before = left
         members = stage(leaders(rest), "members")
         nodes = members.select("node").union(members.select(F.col("leader").alias("node"))).distinct()
         sets = stage(full_sets(docs, classes, nodes), "sets")

@@ -152,7 +152,7 @@ def edited(words, rng, n):
 
 
 def test_dedup_large_group_of_near_copies(spark, monkeypatch):
-    """Long lists: leaders, differences, further rounds and the full pairing of what is left."""
+    """Long lists: leaders, differences, further rounds; the full pairing and the join with texts where rounds or the filter can't do."""
     rng = random.Random(9)
     vocabulary = [f"v{k}" for k in range(4000)]
     original = rng.choices(vocabulary, k=150)
@@ -164,6 +164,12 @@ def test_dedup_large_group_of_near_copies(spark, monkeypatch):
     texts += [edited(rng.choices(vocabulary, k=8), rng, 0) for _ in range(20)] + texts[:10]
     rows = list(enumerate(rng.sample(texts, len(texts))))
     check(spark, rows)
-    monkeypatch.setattr(minhash_bottomk, "SHORT", 6)
-    monkeypatch.setattr(minhash_bottomk, "ROUNDS", 1)
+    monkeypatch.setattr(minhash_bottomk, "SHORT", 4)
+    monkeypatch.setattr(minhash_bottomk, "LOOSE", 1)
+    rounds, recentred = [], minhash_bottomk.recentred
+    monkeypatch.setattr(minhash_bottomk, "recentred", lambda *x: rounds.append(1) or recentred(*x))
+    check(spark, rows)
+    assert len(rounds) > 1  # long lists of long lists: no fixed number of rounds
+    monkeypatch.setattr(minhash_bottomk, "SHRINK", 0)
+    monkeypatch.setattr(minhash_bottomk, "FILTER_BITS", 0)
     check(spark, rows)
