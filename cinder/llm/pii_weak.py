@@ -214,16 +214,17 @@ def written(spans: list) -> str:
 
 
 def find(docs: DataFrame, model: dict) -> DataFrame:
-    """doc_id, n_email, n_ip, n_card, n_phone (base spans), base_sha256, spans: one row per row of ``docs``."""
+    """doc_id, n_email, n_ip, n_card, n_phone (base spans), base_sha256, spans, n_secret (no base kind) and n_spans (of
+    every kind, added ones too): one row per row of ``docs``."""
     def make():
         def run(keys, texts):
             for key, text in zip(keys, texts):
                 base, every = spans_of(text, model)
                 count = Counter(k for k, _, _ in base)
-                yield key, count[0], count[1], count[2], count[3], hashlib.sha256(written(base).encode()).hexdigest(), written(every)
+                yield key, count[0], count[1], count[2], count[3], hashlib.sha256(written(base).encode()).hexdigest(), written(every), sum(k == 4 for k, _, _ in every), len(every)
         return run
     return map_rows(docs.select("doc_id", "text"), "doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, "
-                    "base_sha256 string, spans string", make)
+                    "base_sha256 string, spans string, n_secret bigint, n_spans bigint", make)
 
 
 def redacted(text: str, spans: list) -> str:
