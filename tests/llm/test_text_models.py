@@ -1,5 +1,6 @@
 import re
 import time
+import zlib
 from collections import Counter
 from types import SimpleNamespace
 
@@ -38,21 +39,32 @@ def brute_counts(text):
     return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text or "")), lines, len(again), failed
 
 
-def test_quality_query_against_brute_force(spark):
-    got, docs = rows_by_id(LLM_REGISTRY["op10_quality_llr"](spark, cases.SF)), cases.table("documents", ["doc_id", "text"])
-    good = {r["doc_id"] for r in cases.table("labels") if r["quality"] == 1}
-    assert len(good) <= quality_llr.TRUSTED
-    known, counts = WordHash(), np.zeros((2, quality_llr.BUCKETS))
+@pytest.mark.parametrize("bound", [quality_llr.TRUSTED, 9])
+def test_quality_query_against_brute_force(spark, bound):
+    """All good labels, and more of them than the bound: then those with the smallest hashes."""
+    docs, labels = cases.table("documents", ["doc_id", "text"]), spark.read.parquet(f"{cases.SF}/labels.parquet")
+    if bound == quality_llr.TRUSTED:
+        got = rows_by_id(LLM_REGISTRY["op10_quality_llr"](spark, cases.SF))
+    else:
+        got = rows_by_id(quality_llr.score(spark.read.parquet(f"{cases.SF}/documents.parquet"), labels, trusted=bound))
+    hashes = sorted({(r.h, r.doc_id) for r in labels.filter("quality = 1").select("doc_id", F.xxhash64("doc_id").alias("h")).collect()})
+    assert 9 < len(hashes) <= quality_llr.TRUSTED
+    good = {k for _, k in hashes[:bound]}
+    known, raw, target = WordHash(), Counter(), Counter()
+    grams = {r["doc_id"]: [int(b) for b in quality_llr.ngram_buckets(quality_llr.word_hashes(r["text"], known))] for r in docs}
+    for key, buckets in grams.items():
+        raw.update(buckets)
+        target.update(buckets if key in good else ())
+    half = quality_llr.BUCKETS // 2
+    total = [[sum(n for b, n in counts.items() if b // half == part) for part in (0, 1)] for counts in (raw, target)]
+
+    def ratio(b):
+        p, q = ((counts[b] + quality_llr.SMOOTHING) / (total[k][b // half] + quality_llr.SMOOTHING * half) for k, counts in enumerate((raw, target)))
+        return np.log(q / p)
     for r in docs:
-        for b in quality_llr.ngram_buckets(quality_llr.word_hashes(r["text"], known)):
-            counts[0, b] += 1
-            counts[1, b] += r["doc_id"] in good
-    ratios = quality_llr.log_ratios(counts)
-    for r in docs:
-        g, want = got[r["doc_id"]], brute_counts(r["text"])
+        g, want, buckets = got[r["doc_id"]], brute_counts(r["text"]), grams[r["doc_id"]]
         assert (g.n_words, g.word_chars, g.n_symbols, g.n_dup_lines, g.n_repeat_words, g.base_failed) == want
-        buckets = quality_llr.ngram_buckets(quality_llr.word_hashes(r["text"], known))
-        score = np.mean([ratios[b] for b in buckets]) if len(buckets) else 0
+        score = sum(map(ratio, buckets)) / len(buckets) if buckets else 0
         assert abs(g.score - score) < 1e-9 and g.kept == (not want[-1] and g.score >= quality_llr.THRESHOLD)
 
 
@@ -102,6 +114,54 @@ def test_language_nearest_centroid_by_hand(spark):
         assert langid_centroid.classify(r["text"], model)[0] == model["langs"][int(np.argmax(sims))]
 
 
+def plain_vector(text, idf=None):
+    """n-grams of the letters' bytes counted in a dictionary, then weighed and normalised."""
+    raw = re.sub(b"[^a-z\x80-\xff]+", b" ", (" " + text.lower() + " ").encode("utf-8", "surrogatepass"))
+    low, counts = 0xFFFFFFFF, Counter()
+    for i in range(len(raw) - 1):
+        two = (raw[i] * 0x9E3779B1 + raw[i + 1] * 0x85EBCA77) & low
+        found = [two ^ two >> 15]
+        if i + 2 < len(raw):
+            three = (two * 0xC2B2AE3D + raw[i + 2] * 0x27D4EB2F) & low
+            found.append(three ^ three >> 13)
+        counts.update((h * 0x2C1B3C6D & low) * langid_centroid.DIMS >> 32 for h in found)
+    if idf is None:
+        return counts
+    v = np.zeros(langid_centroid.DIMS)
+    for k, n in counts.items():
+        v[k] = (1 + np.log(n)) * idf[k]
+    return v / max(np.linalg.norm(v), 1e-300)
+
+
+def test_language_query_against_plain_vectors(spark):
+    """Frequencies, weights, centres and the nearest of them, all a second time and without the module's functions."""
+    got, docs = LLM_REGISTRY["op5_nearest_centroid"](spark, cases.SF).collect(), cases.table("documents", ["doc_id", "text", "lang"])
+    docs = [r for r in docs if r["text"] and any(c.isalpha() for c in r["text"])]
+    learned = sorted((r["lang"], r["doc_id"], r["text"]) for r in docs if r["lang"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 5)
+    seen = Counter(k for _, _, text in learned for k in plain_vector(text))
+    idf = [np.log((1 + len(learned)) / (1 + seen[k])) + 1 for k in range(langid_centroid.DIMS)]
+    centres = []
+    for lang in sorted({x for x, _, _ in learned}):
+        own = [plain_vector(text, idf) for x, _, text in learned if x == lang]
+        found = [sum(own) / len(own)]
+        while len(found) < min(langid_centroid.CLUSTERS, len(own)):
+            found.append(min(own, key=lambda v: max(float(v @ c) for c in found)))
+        for _ in range(langid_centroid.ROUNDS):
+            found = [c / np.linalg.norm(c) for c in found]
+            groups = [[] for _ in found]
+            for v in own:
+                groups[max(range(len(found)), key=lambda j: (float(v @ found[j]), -j))].append(v)
+            found = [sum(g) if g else c for g, c in zip(groups, found)]
+        centres += [(lang, c / np.linalg.norm(c)) for c in found]
+    want = {}
+    for r in docs:
+        v = plain_vector(r["text"], idf)
+        want[r["doc_id"]] = max((float(v @ c), lang) for lang, c in centres)
+    wrong = [r.doc_id for r in got if r.doc_id in want and (r.lang_pred != want[r.doc_id][1] or abs(r.score - want[r.doc_id][0]) > 1e-4)]
+    assert not wrong and all(r.lang_pred == "und" for r in got if r.doc_id not in want)
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in got)
+
+
 def test_language_rejects_what_it_has_not_learned(spark):
     import base64
     import random
@@ -188,6 +248,62 @@ def test_pii_adds_likely_spans_only(spark):
     assert not wrong
 
 
+def plain_model(candidates):
+    """Expectation-maximisation and ridge logistic regression over single candidates (kind, four votes, shape)."""
+    chance = {}
+    for kind in range(len(pii_weak.KINDS)):
+        own = [c for c in candidates if c[0] == kind]
+        if not own:
+            continue
+        right = [min(0.95, max(0.05, 0.5 + 0.2 * sum(c[1:5]))) for c in own]
+        for _ in range(pii_weak.ROUNDS):
+            table = {}
+            for j in range(4):
+                for side in (0, 1):
+                    n = {v: 4 if v == (1 if side else -1) else 1 for v in (-1, 0, 1)}
+                    for c, p in zip(own, right):
+                        n[c[1 + j]] += p if side else 1 - p
+                    table.update({(j, side, v): n[v] / sum(n.values()) for v in n})
+            prior, now = (sum(right) + 1) / (len(own) + 2), []
+            for c in own:
+                yes, no = prior, 1 - prior
+                for j in range(4):
+                    yes, no = yes * table[j, 1, c[1 + j]], no * table[j, 0, c[1 + j]]
+                now.append(yes / (yes + no))
+            right = now
+        x = np.array([[1] + [v > 0 for v in c[1:5]] + [v < 0 for v in c[1:5]] + [c[5] == s for s in range(8)] for c in own], float)
+        w = np.zeros(x.shape[1])
+        slope = lambda w: x.T @ (1 / (1 + np.exp(-x @ w)) - np.array(right)) + w
+        for _ in range(200):  # Newton steps with slopes measured, not derived
+            jacobian = np.stack([(slope(w + d) - slope(w - d)) / 2e-4 for d in 1e-4 * np.eye(len(w))], 1)
+            step = np.linalg.solve(jacobian, slope(w))
+            w -= step
+            if np.abs(step).max() < 1e-10:
+                break
+        chance.update({c: float(1 / (1 + np.exp(-(row @ w)))) for c, row in zip(own, x)})
+    return chance
+
+
+def test_pii_model_against_single_candidates(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    planted = [(10 ** 6 + k, f"call 555-0{k % 10}3-{4000 + k} now, jo{k} [at] host.com, server 10.{k}.300.9, token = {'ab12' * 5}{k} card 4111 1111 1111 {1111 + k}") for k in range(60)]
+    docs = docs.union(spark.createDataFrame(planted, "doc_id bigint, text string"))
+    texts, every = {r.doc_id: r.text or "" for r in docs.collect()}, {}
+    for key, text in texts.items():
+        base = brute_spans(text)
+        every[key] = [(c, strict, (c[0], *pii_weak.votes(text, *c, strict)))
+                      for strict, spans in ((True, base), (False, pii_weak.loose_spans(text, base))) for c in spans]
+    plain, model = plain_model([p for found in every.values() for _, _, p in found]), pii_weak.fit(docs)
+    assert plain.keys() == model.keys() and max(abs(plain[p] - model[p]) for p in plain) < 1e-4
+    assert all(abs(q - pii_weak.ACCEPT) > 1e-3 for q in plain.values())
+    got = rows_by_id(pii_weak.find(docs, model))
+    for key, found in every.items():
+        spans = sorted(c for c, strict, p in found if strict or plain[p] >= pii_weak.ACCEPT)
+        assert (got[key].spans, got[key].n_spans) == (pii_weak.written(spans), len(spans))
+        assert got[key].n_secret == sum(k == 4 for k, _, _ in spans)
+    assert any(not strict and plain[p] >= pii_weak.ACCEPT for found in every.values() for _, strict, p in found)
+
+
 def test_em_finds_the_reliable_labeler():
     rng = np.random.default_rng(0)
     truth = rng.random(4000) < 0.4
