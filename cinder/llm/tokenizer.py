@@ -10,14 +10,19 @@ and merged by the library's model; any other goes through the library's whole ``
 from __future__ import annotations
 
 import re
+import struct
 from functools import lru_cache
 
+import numpy as np
+
 VOCABULARY = "word_bpe_49k.json"
 
 #: Words without control characters, combining marks or other scripts: NFC leaves them alone.
 PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+").fullmatch
 #: Fixed value: the splitting pattern of the vocabulary file, its classes narrowed to PLAIN, in lower case.
 PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zà-öø-ÿß]+|[0-9]|[^a-z0-9à-öø-ÿß]+").findall
+#: Words a table keeps: as many as fit a dict of 1 << 21 slots without its next doubling.
+TABLE_WORDS = (1 << 22) // 3
 _SPACES = re.compile("[ \t-\r]+").split
 _ODD_SPACES = re.compile("[\x1c-\x1f]").search
 
@@ -52,36 +57,43 @@ def byte_letters() -> dict[int, str]:
 
 
 class WordTable(dict):
-    """word -> little-endian 32-bit ids. Full tables start anew, long words are not kept."""
+    """word -> little-endian 32-bit ids. Full tables start anew, long words are not kept.
+
+    The pieces of a word stand in the same table: a piece by itself is a word whose only piece it is.
+    """
 
-    def __init__(self, path: str, limit: int = 1 << 20, longest: int = 64):
+    def __init__(self, path: str, limit: int = TABLE_WORDS, longest: int = 64):
         super().__init__()
         self.tokenizer, self.limit, self.longest = load(path), limit, longest
-        self.model, self.pieces = self.tokenizer.model, {}
+        self.model = self.tokenizer.model
 
-    def piece(self, piece: str) -> bytes:
-        import struct
+    def keep(self, word: str, ids: bytes) -> None:
+        if len(self) >= self.limit:
+            self.clear()
+        self[word] = ids
 
+    def piece(self, piece: str) -> bytes:
         letters = piece if piece.isascii() else "".join(map(byte_letters().__getitem__, piece.encode()))
         ids = [t.id for t in self.model.tokenize(letters)]
-        if len(self.pieces) >= self.limit:
-            self.pieces.clear()
-        out = self.pieces[piece] = struct.pack(f"<{len(ids)}I", *ids)
-        return out
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def __missing__(self, word: str) -> bytes:
-        import numpy as np
-
         plain = word.isprintable() if word.isascii() else PLAIN(word)  # the same for ASCII, quicker
         if len(word) > self.longest or "<|" in word or not plain:
             out = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
         else:
-            known = self.pieces
-            out = b"".join([known.get(p) or self.piece(p) for p in PIECES(word.lower())])
+            lower = word.lower()
+            pieces = [lower] if lower.isalpha() else PIECES(lower)  # letters alone are one piece
+            if pieces == [word]:
+                out = self.piece(word)
+            else:
+                out = b"".join([self.get(p) or self.kept_piece(p) for p in pieces])
         if len(word) <= self.longest:
-            if len(self) >= self.limit:
-                self.clear()
-            self[word] = out
+            self.keep(word, out)
+        return out
+
+    def kept_piece(self, piece: str) -> bytes:
+        self.keep(piece, out := self.piece(piece))
         return out
 
     def ids(self, text: str | None) -> bytes:
@@ -89,7 +101,7 @@ class WordTable(dict):
         return b"".join(map(self.__getitem__, words_of(text))) if text else b""
 
 
-@lru_cache(maxsize=2)
-def word_table(path: str) -> WordTable:
-    """The table of this Python worker: Spark reuses workers, so later tasks find what earlier ones learned."""
-    return WordTable(path)
+@lru_cache(maxsize=1)
+def word_table(path: str, limit: int = TABLE_WORDS) -> WordTable:
+    """The one table of this Python worker: Spark reuses workers, so later tasks find what earlier ones learned."""
+    return WordTable(path, limit)

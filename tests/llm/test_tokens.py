@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from cinder.llm import bpe_rank_array, packing_certified, token_files
 from cinder.llm.queries import LLM_REGISTRY
-from cinder.llm.tokenizer import load, vocabulary_path, word_table
+from cinder.llm.tokenizer import WordTable, load, vocabulary_path, word_table
 
 from . import cases
 
@@ -38,6 +38,23 @@ def test_both_ways_equal_the_library(codec):
         assert codec.decode(want) == load(vocabulary_path()).decode(want, skip_special_tokens=False)
 
 
+def test_words_and_pieces_share_a_table():
+    table = WordTable(vocabulary_path())
+    assert np.frombuffer(table.ids("hello, Hello hello don't , 7"), "<u4").tolist() == library_ids("hello, Hello hello don't , 7")
+    held = {*table, *getattr(table, "pieces", ())}
+    assert held == {"hello,", "hello", ",", "Hello", "don't", "don", "'t", "7"}
+    assert len(held) == len(table) + len(getattr(table, "pieces", ()))  # nothing is kept twice
+
+
+@pytest.mark.parametrize("limit", [1, 2, 7, 64])
+def test_full_tables_stay_within_their_limit(limit):
+    rng, table = random.Random(limit), WordTable(vocabulary_path(), limit)
+    words = ["".join(rng.choices("theéaÉX,.'s7", k=rng.randrange(1, 12))) for _ in range(400)]
+    for text in [" ".join(rng.choices(words, k=30)) for _ in range(40)] + ODD:
+        assert np.frombuffer(table.ids(text), "<u4").tolist() == library_ids(text)
+        assert len(table) + len(getattr(table, "pieces", ())) <= limit
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.text(max_size=60))
 def test_any_text_equals_the_library(text):
