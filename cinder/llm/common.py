@@ -99,3 +99,9 @@ class WordHash(dict):
 def word_hash() -> WordHash:
     """The table of this Python worker; Spark reuses workers for later tasks."""
     return WordHash()
+
+
+def forget_hashes() -> None:
+    """Free the table of ``word_hash`` and unused Arrow memory: workers outlive the stages that filled them."""
+    word_hash.cache_clear()
+    pa.default_memory_pool().release_unused()

@@ -25,8 +25,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cinder.llm.common import map_rows
-from cinder.llm.tokenizer import word_table
+from cinder.llm.common import forget_hashes, map_rows
+from cinder.llm.tokenizer import TABLE_WORDS, word_table
 from cinder.operators.staging import stage
 
 #: Pieces packed by one task.
@@ -35,10 +35,14 @@ PIECE = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint
 PLACED = f"{PIECE}, grp bigint, bin bigint, fill bigint, offset bigint, bound bigint, bins bigint"
 
 
-def pieces(docs: DataFrame, vocabulary: str, end_id: int, capacity: int) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32, uid: every document's ids and the end id, cut at ``capacity``."""
+def pieces(docs: DataFrame, vocabulary: str, end_id: int, capacity: int, words: int = TABLE_WORDS) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32, uid: every document's ids and the end id, cut at ``capacity``.
+
+    ``words`` bounds what a Python worker remembers, not what it returns.
+    """
     def make():
-        table, end, row = word_table(vocabulary), struct.pack("<I", end_id), [0]
+        forget_hashes()
+        table, end, row = word_table(vocabulary, words), struct.pack("<I", end_id), [0]
 
         def run(keys, texts):
             task = TaskContext.get().partitionId() << 36
@@ -105,9 +109,9 @@ def _pack(items: DataFrame, groups: int, salt: int, capacity: int) -> DataFrame:
 
 
 def pack(docs: DataFrame, vocabulary: str, end_id: int = 0, capacity: int = 2048, group_pieces: int = GROUP_PIECES,
-         rounds: int | None = None) -> DataFrame:
+         rounds: int | None = None, words: int = TABLE_WORDS) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset. ``rounds`` bounds the rounds; without it they end when none saves a bin."""
-    cut = stage(pieces(docs, vocabulary, end_id, capacity), "pieces")
+    cut = stage(pieces(docs, vocabulary, end_id, capacity, words), "pieces")
     result = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
     full = (cut.filter(F.col("length") == capacity)
             .select("doc_id", "piece", "start", "length", "ids_crc32", (-F.col("uid") - 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset")))

@@ -22,6 +22,8 @@ from cinder.llm.tokenizer import vocabulary_path
 from cinder.operators.staging import new_folder, releasing, stage
 
 ORACLE_SQL = None
+#: Words whose ids a Python worker of the last stage remembers, some 20 MB: by then the executor holds what four stages left.
+REMEMBERED = 1 << 17
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,7 +56,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every row's ids and an end id, packed in sequences of at most 2048. A null or empty text is its end id alone."""
-    return packing_certified.pack(docs, vocabulary_path(), end_id=0, capacity=2048)
+    return packing_certified.pack(docs, vocabulary_path(), end_id=0, capacity=2048, words=REMEMBERED)
 
 
 def _stage(function):

@@ -1,5 +1,5 @@
 import corpus_pipeline as C
-from cinder.llm import langid_centroid, minhash_bottomk, packing_certified, pii_weak, quality_llr
+from cinder.llm import common, langid_centroid, minhash_bottomk, packing_certified, pii_weak, quality_llr, tokenizer
 from cinder.llm.queries import LLM_REGISTRY
 
 from . import cases
@@ -43,3 +43,23 @@ def test_stages_on_odd_rows(spark):
     ids = [r.doc_id for r in three if r.doc_id is not None]
     assert len(ids) == len(set(ids)) and {9, 11} <= set(ids) and not {10, 12, 40} & set(ids)
     assert packing_certified.pack(docs, C.vocabulary_path(), 0, 2048).count() >= docs.count()
+
+
+def test_last_stage_remembers_little(spark):
+    docs = spark.read.parquet(f"{cases.SF}/documents.parquet")
+    assert C.REMEMBERED <= 1 << 17 < tokenizer.TABLE_WORDS
+    small = packing_certified.pieces(docs, C.vocabulary_path(), 0, 2048, words=9).drop("uid")
+    assert sorted(small.collect()) == sorted(packing_certified.pieces(docs, C.vocabulary_path(), 0, 2048).drop("uid").collect())
+
+
+def test_a_worker_drops_earlier_tables(monkeypatch):
+    common.word_hash()[b"word"]
+    made = []
+    monkeypatch.setattr(packing_certified, "map_rows", lambda docs, schema, make: made.append(make))
+
+    class Docs:
+        def select(self, *names):
+            return self
+    packing_certified.pieces(Docs(), C.vocabulary_path(), 0, 2048, words=9)
+    made[0]()
+    assert not common.word_hash() and tokenizer.word_table(C.vocabulary_path(), 9).limit == 9
