@@ -21,6 +21,8 @@ VOCABULARY = "word_bpe_49k.json"
 PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+").fullmatch
 #: Fixed value: the splitting pattern of the vocabulary file, its classes narrowed to PLAIN, in lower case.
 PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zà-öø-ÿß]+|[0-9]|[^a-z0-9à-öø-ÿß]+").findall
+#: The same for many words at once, a line each: a line end is a piece of its own, and in no other.
+LINE_PIECES = re.compile(r"\n|'s|'t|'re|'ve|'m|'ll|'d|[a-zà-öø-ÿß]+|[0-9]|[^\na-z0-9à-öø-ÿß]+").findall
 #: Words a table keeps: as many as fit a dict of 1 << 21 slots without its next doubling.
 TABLE_WORDS = (1 << 22) // 3
 _SPACES = re.compile("[ \t-\r]+").split

@@ -1,9 +1,11 @@
 import hashlib
+import json
 import random
 import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -46,6 +48,49 @@ def test_words_and_pieces_share_a_table():
     assert len(held) == len(table) + len(getattr(table, "pieces", ()))  # nothing is kept twice
 
 
+def test_plain_words_and_pieces_share_the_codecs_table(monkeypatch):
+    """New words are cut together, by one call, and pieces learned with one word are not merged again for another."""
+    one, cuts, learned = bpe_rank_array.RankArrayCodec(vocabulary_path()), [], []
+    whole, learn = bpe_rank_array.LINE_PIECES, one.learn
+    monkeypatch.setattr(bpe_rank_array, "LINE_PIECES", lambda text: cuts.append(text) or whole(text))
+    monkeypatch.setattr(one, "learn", lambda pieces: learned.extend(sorted(pieces)) or learn(pieces))
+    for text in ["hello, Hello hello don't , 7", "HELLO don's 't Été", "été hello€x"]:
+        assert one.encode(text).tolist() == library_ids(text)
+    assert len(cuts) == 2 and learned == ["'t", ",", "7", "don", "hello", "'s", "Ã©tÃ©", "hello", "x", "âĤ¬"]  # the last three of a word that is not plain
+    assert {*one} == {"hello,", "hello", ",", "Hello", "don't", "don", "'t", "7", "HELLO", "don's", "'s", "Été", "été", "hello€x"}
+
+
+def test_pieces_of_other_alphabets_stay_apart():
+    """The Hebrew letter's bytes are written as the signs of a plain word."""
+    for texts in (["ס", "×¡", "a×¡"], ["a×¡", "×¡", "ס"], ["ÿ ß ÷þ", "ס×¡ x"]):
+        one = bpe_rank_array.RankArrayCodec(vocabulary_path())
+        for text in texts * 2:
+            assert one.encode(text).tolist() == library_ids(text)
+        again = bpe_rank_array.RankArrayCodec(vocabulary_path())
+        assert [ids.tolist() for ids in again.encode_all(texts)] == [library_ids(t) for t in texts]
+
+
+def test_added_tokens_of_letters_are_no_pieces(tmp_dir):
+    with open(vocabulary_path(), encoding="utf-8") as f:
+        spec = json.load(f)
+    spec["added_tokens"].append({**spec["added_tokens"][-1], "id": 1 + max(t["id"] for t in spec["added_tokens"]), "content": "qpad"})
+    with open(f"{tmp_dir}/padded.json", "w", encoding="utf-8") as f:
+        json.dump(spec, f)
+    one = bpe_rank_array.RankArrayCodec(f"{tmp_dir}/padded.json")
+    for text in ["QPAD x", "qpad", "a,Qpad,b qpad,qpad", "QPAD qpadding", "keyqpad QPADDING"]:
+        assert one.encode(text).tolist() == load(f"{tmp_dir}/padded.json").encode(text, add_special_tokens=False).ids
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.text("aéÉß×¡ס's7,.<|\u00a0Ω ", max_size=90), max_size=6), st.sampled_from([1, 3, 1 << 19]))
+def test_many_texts_equal_the_library(texts, limit):
+    one = bpe_rank_array.RankArrayCodec(vocabulary_path(), limit=limit, longest=5)
+    got = one.encode_all(texts + texts)
+    assert [ids.tolist() for ids in got] == [library_ids(t) for t in texts + texts]
+    lists = pa.array([ids.tolist() for ids in got], pa.list_(pa.int32()))
+    assert one.decode_all(lists).to_pylist() == [load(vocabulary_path()).decode(library_ids(t), skip_special_tokens=False) for t in texts + texts]
+
+
 @pytest.mark.parametrize("limit", [1, 2, 7, 64])
 def test_full_tables_stay_within_their_limit(limit):
     rng, table = random.Random(limit), WordTable(vocabulary_path(), limit)
@@ -88,6 +133,12 @@ def test_encode_decode_edges(spark):
     assert bpe_rank_array.round_trip(cases.empty_docs(spark), vocabulary_path()).count() == 0
 
 
+def test_round_trip_edges(spark):
+    rows = bpe_rank_array.round_trip(cases.edge_docs(spark), vocabulary_path()).collect()
+    want = [(r[0], ids, load(vocabulary_path()).decode(ids, skip_special_tokens=False)) for r in cases.edge_rows() for ids in [library_ids(r[1])]]
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.ids, r.decoded) for r in rows) == sorted((k is None, k or 0, ids, text) for k, ids, text in want)
+
+
 # ---------------------------------------------------------------- files
 
 @settings(max_examples=60, deadline=None)
